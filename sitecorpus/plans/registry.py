@@ -58,24 +58,17 @@ def cte(name: str, sql: str) -> None:
 
 
 def ora(main: str) -> str:
-    """Prefix `main` with the common table expressions it names, in dependency order."""
+    """Prefix `main` with the common table expressions it reads, dependencies first."""
     ordered: list[str] = []
 
-    def visit(sql: str, seen: tuple[str, ...]) -> None:
+    def visit(sql: str) -> None:
         for name in CTES:
-            if name in ordered or name in seen:
-                continue
-            if re.search(rf"\b{name}\b", sql):
-                visit(CTES[name], (*seen, name))
+            if name not in ordered and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql):
+                visit(CTES[name])
                 ordered.append(name)
 
-    visit(main, ())
+    visit(main)
     if not ordered:
         return main
     head = ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered)
-    recursive = "RECURSIVE " if any("UNION ALL" in CTES[n] and f"FROM {n} " in CTES[n] for n in ordered) else ""
-    if "WITH RECURSIVE" in main:
-        recursive = "RECURSIVE "
-        main = main.replace("WITH RECURSIVE", ",", 1)
-        return f"WITH {recursive}{head}\n{main}"
-    return f"WITH {recursive}{head}\n{main}"
+    return f"WITH {head}\n{main}"

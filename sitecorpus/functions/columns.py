@@ -40,18 +40,23 @@ def _hex2(c: Column) -> Column:
     return F.lpad(F.lower(F.conv(c, 10, 16)), 2, "0")
 
 
+def bind(c: Column, body) -> Column:
+    """`body` of `c` with `c` evaluated once; keeps deep expressions from multiplying in generated code."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
+def _hex_of(v: Column) -> Column:
+    rgb = r"^rgba?\(\s*(\d+)\s*,\s*(\d+)\s*,\s*(\d+)"
+    return F.when(v.rlike("^[0-9a-f]{6}$"), F.concat(F.lit("#"), v)).when(
+        v.rlike(rgb), F.concat(F.lit("#"), *[_hex2(F.regexp_extract(v, rgb, i)) for i in (1, 2, 3)])
+    )
+
+
 def hex_norm(c: Column) -> Column:
     """`#rgb`, `rrggbb`, `rgb()` and `rgba()` to `#rrggbb`; NULL for anything else."""
-    v = F.regexp_replace(F.lower(trim_ws(c)), "^#", "")
-    six = F.when(
-        F.length(v) == 3,
-        F.concat(*[F.repeat(F.substring(v, i, 1), 2) for i in (1, 2, 3)]),
-    ).otherwise(v)
-    rgb = r"rgba?\(\s*(\d+)\s*,\s*(\d+)\s*,\s*(\d+)"
-    parts = [F.regexp_extract(v, rgb, i) for i in (1, 2, 3)]
-    return F.when(six.rlike("^[0-9a-f]{6}$"), F.concat(F.lit("#"), six)).when(
-        parts[0] != "", F.concat(F.lit("#"), *[_hex2(p) for p in parts])
-    )
+    low = F.regexp_replace(F.lower(trim_ws(c)), "^#", "")
+    six = F.regexp_replace(low, "^([0-9a-f])([0-9a-f])([0-9a-f])$", "$1$1$2$2$3$3")
+    return bind(six, _hex_of)
 
 
 def channel(hex_col: Column, i: int) -> Column:
@@ -61,8 +66,8 @@ def channel(hex_col: Column, i: int) -> Column:
 
 def var_fallback(c: Column) -> Column:
     """The fallback of `var(--x, fallback)`; other values unchanged; NULL for `var()` without one."""
-    fb = trim_ws(F.regexp_extract(c, r"var\([^,]+,\s*([^)]+)\)", 1))
-    return F.when(c.startswith("var("), F.when(fb != "", fb)).otherwise(c)
+    fb = F.regexp_extract(c, r"var\([^,]+,\s*([^)]*[^)\s])\s*\)", 1)
+    return F.when(c.startswith("var("), F.nullif(fb, F.lit(""))).otherwise(c)
 
 
 def luminance(hex_col: Column) -> Column:

@@ -52,3 +52,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise on reliable storage and drop the lineage (iterative jobs)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table several later steps read, to the shared folder, and read it back.
+
+    Survives executor loss, computes its input once, and gives the optimizer real sizes for join choices.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

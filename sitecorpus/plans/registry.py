@@ -57,8 +57,16 @@ def cte(name: str, sql: str) -> None:
     CTES[name] = sql
 
 
+_ARROWS = re.compile(
+    r"\b([A-Za-z_]\w*)((?:->>?(?:'(?:[^']|'')*'|\((?:[^()]|\([^()]*\))*\)(?:::INT)?|\d+|i::INT))+)"
+)
+
+
 def ora(main: str) -> str:
-    """Prefix `main` with the common table expressions it reads, dependencies first."""
+    """Prefix `main` with the common table expressions it reads, dependencies first.
+
+    JSON arrows get parentheses, since they bind more loosely than comparisons.
+    """
     ordered: list[str] = []
 
     def visit(sql: str) -> None:
@@ -69,6 +77,6 @@ def ora(main: str) -> str:
 
     visit(main)
     if not ordered:
-        return main
+        return _ARROWS.sub(r"(\1\2)", main)
     head = ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered)
-    return f"WITH {head}\n{main}"
+    return _ARROWS.sub(r"(\1\2)", f"WITH {head}\n{main}")

@@ -58,3 +58,39 @@ def font_files(site_faces: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("extra-"), base, F.lit(".ttf")))
     )
     return f.select("site", file.alias("file")).distinct()
+
+
+def _number(*cols):
+    """Six hex digits of a hash as a whole number."""
+    return F.conv(F.substring(F.md5(F.concat(*cols)), 1, 6), 16, 10).cast("bigint")
+
+
+def media_library(manifest: DataFrame) -> DataFrame:
+    """Media records of part of the manifest: some by URL, some known by file name only."""
+    m = manifest.groupBy("url").agg(F.min("filename").alias("filename")).withColumn("h", _digit("url")).filter("h < 'a'")
+    by_url = F.col("h") < "6"
+    n = _number("url")
+    none = F.lit(None).cast("bigint")
+    return m.select(
+        F.when(by_url, F.col("url")).alias("url"), "filename",
+        F.when(F.col("h") < "3", n).otherwise(none).alias("wp_media_id"),
+        F.when(by_url, n + 1).otherwise(none).alias("media_id"), (n + 2).alias("id"),
+    )
+
+
+def media_texts(manifest: DataFrame) -> DataFrame:
+    f = manifest.select("filename").distinct().withColumn("h", _digit("filename"))
+    return f.select(
+        "filename", F.when(F.col("h") < "5", F.concat(F.lit("Picture of_the "), "filename")).alias("description"),
+        F.when(F.col("h") < "a", F.concat(F.lit("theTitle-of "), F.repeat("filename", 6))).alias("title"),
+    )
+
+
+def uploaded(manifest: DataFrame) -> DataFrame:
+    return manifest.filter(_digit("url", F.lit("up")) < "8").select("site", "url")
+
+
+def upload_results(manifest: DataFrame) -> DataFrame:
+    r = manifest.withColumn("h", _digit("url", F.lit("res"))).filter("h < 'a'")
+    ok = F.col("h") < "7"
+    return r.select("site", "url", F.when(ok, _number("url")).alias("media_id"), F.when(~ok, F.lit("timeout")).alias("error"))

@@ -39,20 +39,17 @@ _BODY = """<div id="main" data-project-id="[[CASE WHEN k % 3 = 0 THEN lower(rege
 [[CASE k % 5 WHEN 0 THEN '<script>gsap.to(".a",{x:1});ScrollTrigger.create({});</script>' WHEN 1 THEN '<script>requestAnimationFrame(step);</script>' WHEN 2 THEN '<script>document.querySelector("#abc").style.color = "red"; console.log("done with it");</script>' WHEN 3 THEN '<div class="w-webflow-badge"></div>' ELSE '<div data-wix="1"></div>' END]]</div>"""
 
 
-def _expression(template: str) -> str:
+def _expression(template: str, key: str | None = "page_id") -> str:
+    """`text [[sql]] text` as one SQL concat; `k` in the SQL parts stands for the key column."""
     out = []
-    for i, part in enumerate(re.split(r"\[\[(.*?)\]\](?!\])", template, flags=re.S)):
+    for i, part in enumerate(re.split(r"\[\[(.*?)\]\]", template, flags=re.S)):
         if i % 2:
-            out.append("(" + re.sub(r"\bk\b", "page_id", part) + ")" if "THEN" not in part else part_with_text(part))
+            out.append("(" + (re.sub(r"\bk (?=[%*+])", f"{key} ", part) if key else part) + ")")
         elif part:
             out.append("'" + part.replace("\n", " ") + "'")
     return "concat(" + ", ".join(out) + ")"
 
 
-def part_with_text(part: str) -> str:
-    return "(" + re.sub(r"\bk (?=%)", "page_id ", part) + ")"
-
-
 STYLED_HTML_SQL = (
     f"concat(replace(html, '</head>', concat({_expression(_HEAD)}, '</head>')), {_expression(_BODY)})"
 )

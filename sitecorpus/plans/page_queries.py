@@ -93,7 +93,7 @@ cte("sigs", """
    left(md5(string_agg(e.tag || '|' || coalesce(k.kids, 0), '::' ORDER BY e.pos)), 12) AS struct_hash
  FROM els e LEFT JOIN kids k ON k.page_id = e.page_id AND k.parent_pos = e.pos
  WHERE e.parent_pos IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2""")
-query("component_candidates_html", ora("""
+query("component_candidates", ora("""
  , s AS (SELECT s.*, p.site FROM sigs s JOIN page_site p USING (page_id))
  SELECT 'page' AS scope, page_id::VARCHAR AS scope_key, struct_hash, n_children, count(*) AS occurrences, 1::BIGINT AS pages
  FROM s GROUP BY ALL HAVING count(*) >= 2

@@ -8,6 +8,7 @@ from sitecorpus.operators import checks
 from sitecorpus.plans import ops_queries as oq
 from sitecorpus.plans.registry import ORACLES, Tables, ora, query
 from sitecorpus.plans.tree_queries import guard_rows
+from sitecorpus.session import stage
 from sitecorpus.sources import events as src, trees
 from sitecorpus.streaming import jobs
 
@@ -30,7 +31,8 @@ query("stream_error_sessions", ora(f"""
  SELECT service, min(us) AS start_us, max(us) + 7200000000 AS end_us, count(*) AS errors FROM s GROUP BY service, sid HAVING (max(us) + 7200000000) // 1000 <= epoch_ms({_WM})"""))(
     lambda t: jobs.run_to_table(jobs.error_sessions(calls(t)), "error-sessions"))
 query("stream_latest_phase", ora("SELECT run_id, phase, started_us, status, duration_ms FROM lphase"))(
-    lambda t: jobs.latest_phase_step(t.spark, src.phase_runs(src.stream_events(t.spark, t.sf_dir))))
+    lambda t: jobs.updates_to_table(jobs.latest_phases(src.phase_runs(src.stream_events(t.spark, t.sf_dir))), "phases",
+                                    ["run_id", "phase"], F.struct("started_us", "event_id")).drop("event_id"))
 
 
 def _until_watermark(name: str) -> str:
@@ -55,20 +57,7 @@ def notes_stream(t: Tables):
 
 
 query("stream_lesson_upsert", ora("SELECT id, max(reinforced_count) AS reinforced_count, max(confidence) AS confidence FROM lessons GROUP BY 1"))(
-    lambda t: _lesson_table(t))
-
-
-def _lesson_table(t: Tables):
-    """Update mode needs a merge by key: batches go to their own folders and the highest count wins."""
-    out = jobs.lessons(notes_stream(t))
-    path = jobs.scratch_path(t.spark, "lessons")
-    q = (
-        out.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{path}/data/batch={i}"))
-        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    rows = t.spark.read.parquet(f"{path}/data")
-    return rows.groupBy("id").agg(F.max("reinforced_count").alias("reinforced_count"), F.max("confidence").alias("confidence"))
+    lambda t: jobs.updates_to_table(jobs.lessons(notes_stream(t)), "lessons", ["id"], F.col("reinforced_count")))
 
 
 class _Batch:
@@ -87,7 +76,7 @@ def _gate(t: Tables):
     docs.write.parquet(docs_path)
     props = trees.style_props(trees.tree_rows(t.spark.read.schema(docs.schema).parquet(docs_path)))
     ids = props.filter("ref_id is not null").select(F.col("ref_id").alias("gv_id")).distinct()
-    kit = jobs_stage(ids.filter(F.substring(F.md5("gv_id"), 1, 1) < "c"))
+    kit = stage(ids.filter(F.substring(F.md5("gv_id"), 1, 1) < "c"), "kit")
 
     def score(batch):
         docs_in = batch.select("page_id", "doc")
@@ -98,10 +87,4 @@ def _gate(t: Tables):
     return jobs.quality_gate(t.spark, stream, score)
 
 
-def jobs_stage(df):
-    from sitecorpus.session import stage
-
-    return stage(df, "kit")
-
-
 query("stream_quality_gate", ora("SELECT page_id, score, status FROM gcard"))(_gate)

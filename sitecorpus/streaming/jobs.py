@@ -47,27 +47,32 @@ def error_sessions(calls: DataFrame, delay: str = "10 minutes", gap: str = "2 ho
     return g.select("service", F.unix_micros("w.start").alias("start_us"), F.unix_micros("w.end").alias("end_us"), "errors")
 
 
-def latest_phase_step(spark: SparkSession, runs: DataFrame, name: str = "phases") -> DataFrame:
-    """Latest record per run and phase, kept up to date batch by batch (last event time wins).
+def updates_to_table(df: DataFrame, name: str, keys: list[str], version) -> DataFrame:
+    """Run an update-mode stream; each batch writes only the changed keys, and the highest version of a key is current.
 
-    Each micro-batch merges into a table by key; a batch that is replayed writes the same version again.
+    A batch that is replayed after a failure overwrites its own folder, so the table stays exact.
     """
+    spark = df.sparkSession
     path = scratch_path(spark, name)
-    keep = F.max(F.struct("started_at", "event_id", "status", "duration_ms")).alias("l")
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        new = batch.groupBy("run_id", "phase").agg(keep).select("run_id", "phase", "l.*")
-        if batch_id > 0:
-            old = batch.sparkSession.read.schema(new.schema).parquet(f"{path}/v{batch_id - 1}")
-            new = old.unionByName(new).groupBy("run_id", "phase").agg(keep).select("run_id", "phase", "l.*")
-        new.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
-        state["last"] = batch_id
-
-    state: dict[str, int] = {}
-    q = runs.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
+
+    q = (
+        df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
     q.awaitTermination()
-    out = spark.read.parquet(f"{path}/v{state['last']}")
-    return out.select("run_id", "phase", F.unix_micros("started_at").alias("started_us"), "status", "duration_ms")
+    rows = spark.read.schema(df.schema).parquet(f"{path}/data/batch=*")
+    values = [c for c in df.columns if c not in keys]
+    g = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), version).alias("l"))
+    return g.select(*keys, *[F.col(f"l.{v}") for v in values])
+
+
+def latest_phases(runs: DataFrame) -> DataFrame:
+    """Latest record per run and phase, kept as streaming state (last event time wins)."""
+    g = runs.groupBy("run_id", "phase").agg(F.max(F.struct("started_at", "event_id", "status", "duration_ms")).alias("l"))
+    return g.select("run_id", "phase", F.unix_micros("l.started_at").alias("started_us"), "l.event_id", "l.status", "l.duration_ms")
 
 
 class OrderedFold(StatefulProcessor):

@@ -403,8 +403,13 @@ def source_merge(existing: DataFrame, live: DataFrame, keys=("site", "name")) ->
     return existing.withColumn("origin", F.lit("existing")).unionByName(fresh.withColumn("origin", F.lit("live")))
 
 
+# Debugging colours that never become variables.
+SKIP_HEXES = ("#550000", "#660000", "#770000")
+
+
 def design_system_build(palette: DataFrame, faces: DataFrame, text_styles: DataFrame, namespace: str = "site") -> DataFrame:
     """Variables and classes of each site with deterministic ids."""
+    palette = palette.filter(~F.col("hex").isin(*SKIP_HEXES))
     colors = palette.select("site", F.lit("color").alias("kind"), F.col("hex").alias("name"), gv_id("color", F.col("hex"), namespace).alias("id"), F.col("hex").alias("value"))
     fonts = faces.select("site", F.col("family").alias("name")).distinct().select(
         "site", F.lit("font").alias("kind"), "name", gv_id("font", F.col("name"), namespace).alias("id"), F.col("name").alias("value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from sitecorpus.functions.dims import PRO_WIDGETS
 from sitecorpus.operators import graph, html, layout, tokens
@@ -232,8 +232,6 @@ def _expanded(t: Tables):
     firsts = firsts.join(sizes, ["page_id", "start"])
     ranked = e.join(firsts, "page_id").filter("pos >= start")
     inside = ranked.groupBy("component_id", "pos").agg(F.first("tag").alias("tag"), (F.first("depth") - F.first("base")).alias("depth"), F.first("amap").alias("attrs"), F.first("start").alias("start"), F.first("descendants").alias("d"))
-    from pyspark.sql import Window as W
-
     inside = inside.withColumn("def_pos", F.row_number().over(W.partitionBy("component_id").orderBy("pos")) - 1).filter("def_pos <= d")
     return graph.component_expand(inst, inside.select("component_id", "def_pos", "depth", "tag", "attrs"))
 

@@ -58,7 +58,7 @@ def cte(name: str, sql: str) -> None:
 
 
 _ARROWS = re.compile(
-    r"\b([A-Za-z_]\w*)((?:->>?(?:'(?:[^']|'')*'|\((?:[^()]|\([^()]*\))*\)(?:::INT)?|\d+|i::INT))+)"
+    r"\b((?:\w+\.)?[A-Za-z_]\w*)((?:->>?(?:'(?:[^']|'')*'|\((?:[^()]|\([^()]*\))*\)(?:::INT)?|\d+|i::INT))+)"
 )
 
 

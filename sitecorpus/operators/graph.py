@@ -23,9 +23,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = cut(both.select(*g, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _signature(e, "graph_id", "u", "v")
     for _ in range(max_rounds):
+        # Large star: larger neighbours move to the smallest one around a node.
         sym = e.unionByName(e.select(*g, F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy(*g, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = sym.join(low, [*g, "u"]).filter("v > u").select(*g, F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = sym.join(low, [*g, "u"]).filter("v > u").select(*g, F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        # Small star: a node and its smaller neighbours move to the smallest of them.
         low = large.groupBy(*g, "u").agg(F.min("v").alias("m"))
         pairs = large.join(low, [*g, "u"])
         small = pairs.select(*g, F.col("v").alias("u"), F.col("m").alias("v")).unionByName(pairs.select(*g, "u", F.col("m").alias("v")))

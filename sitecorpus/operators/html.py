@@ -74,9 +74,12 @@ def element_rows(pages: DataFrame) -> DataFrame:
     lv = lv.withColumn(
         "text", F.when((F.col("kind") == "open") & (F.col("next_kind") == "close"), F.col("text")).otherwise("")
     ).drop("next_kind")
-    two = lv.withColumn(
-        "probe", F.explode(F.array(F.lit(0), F.lit(1)))
-    ).withColumn("lvl", F.col("level") - F.col("probe"))
+    # The opener rows only mark positions, so they travel without attributes and text.
+    two = lv.withColumn("probe", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns({
+        "lvl": F.col("level") - F.col("probe"),
+        "attrs": F.when(F.col("probe") == 1, F.col("attrs")),
+        "text": F.when(F.col("probe") == 1, F.col("text")),
+    })
     opener = F.when((F.col("probe") == 0) & (F.col("kind") == "open"), F.col("pos"))
     by_level = W.partitionBy("page_id", "lvl").orderBy("pos", "probe").rowsBetween(W.unboundedPreceding, 0)
     probes = two.withColumn("parent_pos", F.last(opener, ignorenulls=True).over(by_level)).filter("probe = 1")

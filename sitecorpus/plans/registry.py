@@ -7,12 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from sitecorpus.session import prepare
+from sitecorpus.session import prepare, spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 CTES: dict[str, str] = {}
 
+# Tables whose text is parsed in the first stage, before any shuffle.
+_PARSED = ("pages",)
 _INT = (T.ByteType, T.ShortType, T.IntegerType)
 
 
@@ -50,7 +52,8 @@ class Tables:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread_small(df) if name in _PARSED else df
 
 
 def cte(name: str, sql: str) -> None:

@@ -20,7 +20,7 @@ def asset_references(pages: DataFrame) -> DataFrame:
         lambda s: F.transform(F.split(s, ","), lambda p: F.regexp_extract(p, r"^\s*(\S+)", 1)),
     ))
     kinds = [
-        ("html:img[src]", _matches(r"(?i)<img[^>]+?\ssrc=[\"']([^\"']+)[\"']")),
+        ("html:img[src]", _matches(r"(?i)<img[^>]*?\ssrc=[\"']([^\"']+)[\"']")),
         ("html:img[srcset]", srcsets),
         ("html:background-image", _matches(r"(?i)background(?:-image)?\s*:[^;]*?url\(\s*[\"']?([^\"')]+)[\"']?\s*\)")),
         ("html:video[src]", _matches(r"(?i)<video[^>]+src=[\"']([^\"']+)[\"']")),

@@ -12,7 +12,7 @@ from sitecorpus.sources import design
 _q = "[\"'']"
 _nq = "[^\"'']"
 _kinds = [
-    ("html:img[src]", f"regexp_extract_all(html, '(?i)<img[^>]+?\\ssrc={_q}({_nq}+){_q}', 1)"),
+    ("html:img[src]", f"regexp_extract_all(html, '(?i)<img[^>]*?\\ssrc={_q}({_nq}+){_q}', 1)"),
     ("html:img[srcset]", f"list_transform(flatten(list_transform(regexp_extract_all(html, '(?i)<img[^>]+srcset={_q}({_nq}+){_q}', 1), lambda s: string_split(s, ','))), lambda p: regexp_extract(p, '^\\s*(\\S+)', 1))"),
     ("html:background-image", f"regexp_extract_all(html, '(?i)background(?:-image)?\\s*:[^;]*?url\\(\\s*{_q}?([^\"'')]+){_q}?\\s*\\)', 1)"),
     ("html:video[src]", f"regexp_extract_all(html, '(?i)<video[^>]+src={_q}({_nq}+){_q}', 1)"),

@@ -38,14 +38,11 @@ query("stream_latest_phase", ora("SELECT run_id, phase, started_us, status, dura
 def _until_watermark(name: str) -> str:
     """The batch twin's SQL, limited to the calls the watermark has passed when the stream ends."""
     return f"""SELECT * FROM ({ORACLES[name]}) WHERE event_id IN (
-      SELECT event_id FROM events e JOIN (SELECT user_id, {{keys}} max(epoch_ms(ts)) AS top FROM events GROUP BY ALL) m USING (user_id {{using}})
-      WHERE m.top + 1 <= (SELECT epoch_ms(max(ts)) FROM events) - 600000)"""
+      SELECT event_id FROM events WHERE epoch_us(ts) <= ((SELECT epoch_ms(max(ts)) FROM events) - 600000) * 1000)"""
 
 
-query("stream_breaker", _until_watermark("breaker_replay").format(keys="", using=""))(
-    lambda t: jobs.run_to_table(jobs.breaker(calls(t), 3, oq._RESET * 1000), "breaker"))
-query("stream_dedupe", _until_watermark("ttl_dedupe").format(keys="event_type, json_extract_string(props, '$.k') AS k,", using=", event_type").replace("USING (user_id , event_type)", "ON m.user_id = e.user_id AND m.event_type = e.event_type AND m.k = json_extract_string(e.props, '$.k')"))(
-    lambda t: jobs.run_to_table(jobs.dedupe(calls(t), oq._TTL), "dedupe"))
+query("stream_breaker", _until_watermark("breaker_replay"))(lambda t: jobs.run_to_table(jobs.breaker(calls(t), 3, oq._RESET * 1000), "breaker"))
+query("stream_dedupe", _until_watermark("ttl_dedupe"))(lambda t: jobs.run_to_table(jobs.dedupe(calls(t), oq._TTL), "dedupe"))
 query("stream_dedupe_watermark")(
     lambda t: jobs.run_to_table(jobs.dedupe_within_watermark(calls(t)).select("event_id", "service", "ability", "k"), "dedupe-watermark"))
 

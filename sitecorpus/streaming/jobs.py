@@ -93,18 +93,20 @@ class OrderedFold(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        newest = None
+        oldest = None
         for pdf in rows:
             items = list(zip(pdf["ts_us"].tolist(), pdf["event_id"].tolist(), pdf["status"].tolist()))
             self.buffer.appendList(items)
-            top = max(i[0] for i in items)
-            newest = top if newest is None else max(newest, top)
-        # Fires once the watermark is past the newest row of this batch.
-        self.handle.registerTimer(newest // 1000 + 1)
+            low = min(i[0] for i in items)
+            oldest = low if oldest is None else min(oldest, low)
+        self._wake_at(oldest)
         return iter([])
 
+    def _wake_at(self, ts_us: int) -> None:
+        self.handle.registerTimer(ts_us // 1000 + 1)
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        due_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        due_us = timerValues.getCurrentWatermarkInMs() * 1000
         held = sorted(tuple(r) for r in self.buffer.get())
         due = [r for r in held if r[0] <= due_us]
         rest = [r for r in held if r[0] > due_us]
@@ -118,6 +120,7 @@ class OrderedFold(StatefulProcessor):
         self.buffer.clear()
         if rest:
             self.buffer.put(rest)
+            self._wake_at(rest[0][0])
         if results:
             yield self.output(key, results)
 

@@ -32,7 +32,7 @@ def asset_references(pages: DataFrame) -> DataFrame:
             F.lit(n).alias("context_ix"), F.lit(k).alias("context"), i.alias("pos"), trim_ws(u).alias("url")))
 
     all_refs = F.flatten(F.array(*[tagged(n, k, urls) for n, (k, urls) in enumerate(kinds)]))
-    return pages.select("page_id", F.inline(all_refs)).filter(F.col("url").rlike("(?i)^http"))
+    return pages.select("page_id", F.inline(all_refs)).filter(F.col("url").startswith("http"))
 
 
 def classify_asset_url(url):

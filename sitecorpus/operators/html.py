@@ -175,41 +175,42 @@ def page_inventory(pages: DataFrame) -> DataFrame:
     )
 
 
-def headings(pages: DataFrame) -> DataFrame:
-    return pages.select(
-        "page_id",
-        F.posexplode(F.regexp_extract_all("html", F.lit(r"(?i)<h([1-6])[\s>]"), F.lit(1))).alias("pos", "level"),
-    ).withColumn("level", F.col("level").cast("int"))
-
-
 def heading_skips(pages: DataFrame) -> DataFrame:
-    """Headings more than one level below the one before; `is_first` marks the skip an audit reports."""
-    w = W.partitionBy("page_id").orderBy("pos")
-    h = headings(pages).withColumn("prev_level", F.lag("level").over(w))
-    skips = h.filter(F.col("level") > F.col("prev_level") + 1)
-    return skips.select(
-        "page_id", "pos", "prev_level", "level", (F.row_number().over(w) == 1).alias("is_first")
+    """Headings more than one level below the one before; `is_first` marks the skip an audit reports.
+
+    The levels of a page are one array, compared in place: no shuffle.
+    """
+    levels = F.transform(
+        F.regexp_extract_all("html", F.lit(r"(?i)<h([1-6])[\s>]"), F.lit(1)), lambda x: x.cast("int")
+    )
+    p = pages.select("page_id", levels.alias("levels"))
+    steps = F.transform(
+        F.col("levels"), lambda x, i: F.struct(i.alias("pos"), F.get("levels", i - 1).alias("prev_level"), x.alias("level"))
     )
+    skips = F.filter(steps, lambda s: s["level"] > s["prev_level"] + 1)
+    rows = p.select("page_id", F.posexplode(skips).alias("nth", "s"))
+    return rows.select("page_id", "s.pos", "s.prev_level", "s.level", (F.col("nth") == 0).alias("is_first"))
 
 
 def page_text_summary(pages: DataFrame) -> DataFrame:
-    """Title (60 characters at most) and the first three text blocks over 20 characters as a description."""
-    blocks = html_tokens(pages).select(
-        "page_id", "pos", trim_ws(F.regexp_replace("text", r"[\s\x{00A0}]+", " ")).alias("text")
-    ).filter((F.length("text") > 20) & ~F.col("tag").isin("title", "script", "style"))
-    w = W.partitionBy("page_id").orderBy("pos")
-    top = blocks.withColumn("rn", F.row_number().over(w)).filter("rn <= 3")
-    joined = top.groupBy("page_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "text"))), lambda s: s["text"]), " ").alias("t"),
-        F.count("*").alias("blocks"),
-    )
+    """Title (60 characters at most) and the first three text blocks over 20 characters as a description.
+
+    A page's tags and texts are one array, so the blocks are picked in place and no text is shuffled.
+    """
+    tokens = F.regexp_extract_all(_markup(F.col("html")), F.lit(r"<[/]?[A-Za-z][^>]*>[^<]*"), F.lit(0))
+
+    def block(t):
+        tag = F.lower(F.regexp_extract(t, _TAG, 2))
+        text = trim_ws(F.regexp_replace(F.regexp_replace(t, r"^<[^>]*>", ""), r"[\s\x{00A0}]+", " "))
+        return F.when(~tag.isin("title", "script", "style"), text)
+
+    blocks = F.filter(F.transform(tokens, block), lambda x: F.length(x) > 20)
+    p = pages.select(
+        "page_id", trim_ws(F.regexp_extract("html", r"(?i)<title[^>]*>([^<]*)</title>", 1)).alias("title"), F.slice(blocks, 1, 3).alias("b")
+    ).withColumn("t", F.when(F.size("b") > 0, F.array_join("b", " ")))
     cut = F.regexp_replace(F.substring("t", 1, 155), r"\s+\S*$", "")
     desc = F.when(F.length("t") > 155, F.concat(cut, F.lit("…"))).otherwise(F.col("t"))
-    titles = pages.select("page_id", trim_ws(F.regexp_extract("html", r"(?i)<title[^>]*>([^<]*)</title>", 1)).alias("title"))
-    return titles.join(joined, "page_id", "left").select(
-        "page_id", F.substring("title", 1, 60).alias("title"), desc.alias("description"),
-        F.coalesce("blocks", F.lit(0)).alias("blocks"),
-    )
+    return p.select("page_id", F.substring("title", 1, 60).alias("title"), desc.alias("description"), F.size("b").alias("blocks"))
 
 
 def element_signatures(elements: DataFrame) -> DataFrame:

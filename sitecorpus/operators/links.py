@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.functions.columns import site_of, trim_ws
 from sitecorpus.functions.dims import (
@@ -18,45 +18,54 @@ from sitecorpus.functions.dims import (
 from sitecorpus.operators.html import with_site
 
 
-def _href_rows(pages: DataFrame) -> DataFrame:
+def _resolved_links(pages: DataFrame) -> DataFrame:
+    """Pages with their anchors as an array of absolute URLs without fragment (NULL for what is not a link)."""
     hrefs = F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*href=[\"']([^\"']*)[\"']"), F.lit(1))
-    base = pages.select(
-        "page_id",
-        F.lower(F.regexp_extract("url", r"^(https?)://", 1)).alias("scheme"),
-        F.lower(F.regexp_extract("url", r"^https?://([^/?#]+)", 1)).alias("host"),
-        F.posexplode(hrefs).alias("pos", "href"),
-    )
-    return base
+    scheme = F.lower(F.regexp_extract("url", r"^(https?)://", 1))
+    host = F.lower(F.regexp_extract("url", r"^https?://([^/?#]+)", 1))
+    p = pages.select("page_id", scheme.alias("scheme"), host.alias("host"), hrefs.alias("hrefs"))
+
+    def resolve(raw):
+        h = trim_ws(raw)
+        skip = (h == "") | h.rlike(r"(?i)^(javascript:|mailto:|tel:|#)")
+        full = (
+            F.when(skip, None).when(h.rlike("^https?://"), h).when(h.startswith("//"), F.concat("scheme", F.lit(":"), h))
+            .when(h.startswith("/"), F.concat("scheme", F.lit("://"), "host", h))
+        )
+        return F.regexp_replace(full, "#.*$", "")
+
+    return p.select("page_id", F.regexp_replace("host", r"^www\.", "").alias("site"), F.transform("hrefs", resolve).alias("urls"))
+
+
+def _target(url):
+    site = F.regexp_replace(F.lower(F.regexp_extract(url, r"^https?://([^/?#]+)", 1)), r"^www\.", "")
+    return site, F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Every anchor resolved against its page: (page_id, pos, site, target_site, target_url, target_path)."""
-    rows = _href_rows(pages).withColumn("href", trim_ws(F.col("href")))
-    rows = rows.filter((F.col("href") != "") & ~F.col("href").rlike(r"(?i)^(javascript:|mailto:|tel:|#)"))
-    absolute = (
-        F.when(F.col("href").rlike("^https?://"), F.col("href"))
-        .when(F.col("href").startswith("//"), F.concat("scheme", F.lit(":"), "href"))
-        .when(F.col("href").startswith("/"), F.concat("scheme", F.lit("://"), "host", "href"))
-    )
-    rows = rows.withColumn("target_url", F.regexp_replace(absolute, "#.*$", "")).filter("target_url is not null")
-    host = F.lower(F.regexp_extract("target_url", r"^https?://([^/?#]+)", 1))
-    path = F.regexp_extract("target_url", r"^https?://[^/?#]+([^?#]*)", 1)
-    return rows.select(
-        "page_id", "pos",
-        F.regexp_replace("host", r"^www\.", "").alias("site"),
-        F.regexp_replace(host, r"^www\.", "").alias("target_site"),
-        "target_url", path.alias("target_path"),
-    )
+    rows = _resolved_links(pages).select("page_id", "site", F.posexplode("urls").alias("pos", "target_url")).filter("target_url is not null")
+    site, path = _target(F.col("target_url"))
+    return rows.select("page_id", "pos", "site", site.alias("target_site"), "target_url", path.alias("target_path"))
 
 
 def internal_links(pages: DataFrame, per_page: int = 50) -> DataFrame:
-    """Distinct same-site links per page in document order, the first `per_page` kept (the crawler's own rule)."""
-    links = page_links(pages).filter(
-        (F.col("site") == F.col("target_site")) & ~F.col("target_path").isin("", "/")
+    """Distinct same-site links per page in document order, the first `per_page` kept (the crawler's own rule).
+
+    A page's anchors are one array: resolved, filtered, made distinct and cut in place, without a shuffle.
+    """
+    p = _resolved_links(pages)
+
+    def internal(u):
+        site, path = _target(u)
+        return (site == F.col("site")) & ~path.isin("", "/")
+
+    kept = F.slice(F.array_distinct(F.filter("urls", internal)), 1, per_page)
+    rows = p.select("page_id", "site", "urls", F.posexplode(kept).alias("nth", "target_url"))
+    return rows.select(
+        "page_id", "site", "target_url", _target(F.col("target_url"))[1].alias("target_path"),
+        (F.array_position("urls", F.col("target_url")) - 1).alias("first_pos"), (F.col("nth") + 1).alias("rank"),
     )
-    first = links.groupBy("page_id", "site", "target_url", "target_path").agg(F.min("pos").alias("first_pos"))
-    w = W.partitionBy("page_id").orderBy("first_pos")
-    return first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_page)
 
 
 def site_link_graph(pages: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ _kinds = [
 ]
 cte("aref", "SELECT page_id, context_ix, context, pos, url FROM (" + " UNION ALL ".join(
     f"SELECT page_id, {i}::BIGINT AS context_ix, '{k}' AS context, (generate_subscripts({x}, 1) - 1)::BIGINT AS pos, {trim(f'unnest({x})')} AS url FROM sp" for i, (k, x) in enumerate(_kinds)
-) + ") WHERE regexp_matches(url, '(?i)^http')")
+) + ") WHERE starts_with(url, 'http')")
 query("asset_references", ora("SELECT * FROM aref"))(lambda t: assets.asset_references(sp(t)))
 
 

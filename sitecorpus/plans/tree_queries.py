@@ -1,4 +1,4 @@
-"""Queries over element trees (`conversation_trees`: one layout document per conversation)."""
+"""Queries over element trees (`conversation_trees`: layout documents of up to eight conversation turns)."""
 
 from __future__ import annotations
 
@@ -13,9 +13,9 @@ from sitecorpus.session import stage
 from sitecorpus.sources import trees
 
 cte("tdoc", f"""
- SELECT conv_id::VARCHAR AS page_id, {trees.wrap_sql('cards')}::JSON AS doc FROM (
-  SELECT conv_id, string_agg({trees.CARD_SQL}, ',' ORDER BY turn) AS cards FROM (
-   SELECT conv_id, turn, role, conv_id * 8 + turn AS k, {trees.TEXT_SQL} AS txt FROM conversations) GROUP BY 1)""")
+ SELECT {trees.PAGE_SQL} AS page_id, {trees.wrap_sql('cards')}::JSON AS doc FROM (
+  SELECT conv_id, part, string_agg({trees.CARD_SQL}, ',' ORDER BY turn) AS cards FROM (
+   SELECT conv_id, {trees.PART_SQL} AS part, turn, role, conv_id * 8 + turn AS k, {trees.TEXT_SQL} AS txt FROM conversations) GROUP BY 1, 2)""")
 # DuckDB walks the same documents with JSON functions: roots, then four levels (the documents have no more).
 cte("tlv0", """SELECT page_id, [1] AS path, CASE WHEN json_type(doc) = 'ARRAY' THEN doc->0 WHEN doc->'element' IS NOT NULL THEN doc->'element' ELSE doc END AS n FROM tdoc""")
 for i in range(1, 5):

@@ -33,7 +33,7 @@ body{background:#ffffff;color:#111111;font-family:"Inter [[k % 4]]", sans-serif;
 </style>[[CASE WHEN k % 5 = 0 THEN '<meta name="description" content="A page about things"><link rel="canonical" href="https://x.example/"><meta property="og:title" content="t">' ELSE '' END]]<link rel="preconnect" href="https://fonts.gstatic.com" crossorigin>[[CASE WHEN k % 6 = 1 THEN '<script src="https://www.googletagmanager.com/gtm.js"></script><script src="https://stats.g.doubleclick.net/x.js"></script>' WHEN k % 6 = 2 THEN '<script src="https://events.framer.com/script"></script>' WHEN k % 6 = 3 THEN '<script src="https://frog.wix.com/bi"></script>' ELSE '' END]]"""
 
 _BODY = """<div id="main" data-project-id="[[CASE WHEN k % 3 = 0 THEN lower(regexp_extract(url, '^https?://([^/?#.]+)', 1)) ELSE 'other' END]]"><h2 id="sec">Part</h2>[[CASE WHEN k % 4 = 3 THEN '<h4 id="sec">Skipped</h4>' ELSE '' END]][[CASE WHEN k % 9 = 0 THEN '<h1>Again</h1>' ELSE '' END]]<div class="hero" data-framer-appear-id="a[[k % 3]]">x</div><section data-framer-appear-id="b[[k % 5]]"></section><p data-framer-appear-id="a[[k % 3]]">y</p>
-<img src="https://framerusercontent.com/images/Hero[[k % 9]].png?scale=2" srcset="https://framerusercontent.com/images/hero[[k % 9]].png 1x, https://cdn.example.com/img/big_shot-[[k % 6]].webp 2x"[[CASE WHEN k % 3 = 0 THEN ' alt="hero"' ELSE '' END]]><img src="HTTPS://cdn.example.com/img/teamPhoto_[[k % 4]].jpg"><img src="https://cdn.example.com/img/teamPhoto_[[k % 4]].JPG"><img src="/local/logo-[[k % 3]].svg" alt=""><img src="data:image/png;base64,AAAA">
+<img src="https://framerusercontent.com/images/Hero[[k % 9]].png?scale=2" srcset="https://framerusercontent.com/images/hero[[k % 9]].png 1x, https://cdn.example.com/img/big_shot-[[k % 6]].webp 2x"[[CASE WHEN k % 3 = 0 THEN ' alt="hero"' ELSE '' END]]><img src="https://CDN.example.com/img/teamPhoto_[[k % 4]].jpg"><img src="https://cdn.example.com/img/teamPhoto_[[k % 4]].JPG"><img src="/local/logo-[[k % 3]].svg" alt=""><img src="data:image/png;base64,AAAA">
 <div style="background-image:url(https://cdn.example.com/bg[[k % 5]].jpg);padding:[[4 * (k % 5)]]px 10px">bg</div><video src="https://cdn.example.com/v[[k % 2]].mp4"></video><source src="https://cdn.example.com/s[[k % 2]].webm"><a href="/empty"> </a>
 [[CASE k % 4 WHEN 0 THEN '<form action="mailto:a@x.com"><label>Your name</label><input type="text" name="name" required><label for="mail">Mail</label> <br><input type="email" name="mail" placeholder="Your mail"/><input type="hidden" name="token"><textarea name="msg"></textarea><button type="submit"> Send now </button></form>' WHEN 1 THEN '<input type="hidden" name="h"><input type="email" name="e" required><input placeholder="Phone"><button>Subscribe</button>' WHEN 2 THEN '<input type="text" name="q">' ELSE '' END]][[CASE WHEN k % 8 = 0 THEN '<form><input type="search" placeholder="Find"></form>' ELSE '' END]]
 [[CASE k % 5 WHEN 0 THEN '<script>gsap.to(".a",{x:1});ScrollTrigger.create({});</script>' WHEN 1 THEN '<script>requestAnimationFrame(step);</script>' WHEN 2 THEN '<script>document.querySelector("#abc").style.color = "red"; console.log("done with it");</script>' WHEN 3 THEN '<div class="w-webflow-badge"></div>' ELSE '<div data-wix="1"></div>' END]]</div>"""

@@ -43,14 +43,20 @@ def wrap_sql(cards: str) -> str:
     )
 
 
+# A document holds at most this many turns; longer conversations become several documents.
+TURNS_PER_DOCUMENT = 8
+PART_SQL = f"CAST(floor(turn / {TURNS_PER_DOCUMENT}) AS BIGINT)"
+PAGE_SQL = "concat(conv_id, CASE WHEN part = 0 THEN '' ELSE concat('-', part) END)"
+
+
 def conversation_trees(conversations: DataFrame) -> DataFrame:
-    """One layout document per conversation, one card per turn: (page_id, doc). A document is one conversation long."""
-    turns = conversations.selectExpr("conv_id", "turn", "role", "conv_id * 8 + turn AS k", f"{TEXT_SQL} AS txt")
-    cards = turns.select("conv_id", F.struct("turn", F.expr(CARD_SQL).alias("card")).alias("c"))
-    docs = cards.groupBy("conv_id").agg(
+    """Layout documents of up to eight cards, one card per turn of a conversation: (page_id, doc)."""
+    turns = conversations.selectExpr("conv_id", f"{PART_SQL} AS part", "turn", "role", "conv_id * 8 + turn AS k", f"{TEXT_SQL} AS txt")
+    cards = turns.select("conv_id", "part", F.struct("turn", F.expr(CARD_SQL).alias("card")).alias("c"))
+    docs = cards.groupBy("conv_id", "part").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["card"]), ",").alias("cards")
     )
-    return docs.select(F.col("conv_id").cast("string").alias("page_id"), F.expr(wrap_sql("cards")).alias("doc"))
+    return docs.select(F.expr(PAGE_SQL).alias("page_id"), F.expr(wrap_sql("cards")).alias("doc"))
 
 
 ELEMENT_SCHEMA = (
@@ -76,13 +82,23 @@ def _flatten(doc: str) -> Iterator[tuple]:
         ix += 1
 
 
-def _flatten_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _flatten_batches(batches: Iterator[pd.DataFrame], chunk: int = 20000) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in ELEMENT_SCHEMA.split(", ")]
-    for pdf in batches:
-        rows = [(page, *row) for page, doc in zip(pdf["page_id"], pdf["doc"]) for row in _flatten(doc)]
+
+    def frame(rows):
         out = pd.DataFrame(rows, columns=names)
         out["parent_ix"] = out["parent_ix"].astype("Int32")
-        yield out
+        return out
+
+    for pdf in batches:
+        rows = []
+        for page, doc in zip(pdf["page_id"], pdf["doc"]):
+            rows.extend((page, *row) for row in _flatten(doc))
+            if len(rows) >= chunk:
+                yield frame(rows)
+                rows = []
+        if rows:
+            yield frame(rows)
 
 
 def tree_rows(docs: DataFrame) -> DataFrame:

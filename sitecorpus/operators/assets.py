@@ -13,7 +13,7 @@ def _matches(pattern, group=1):
     return F.regexp_extract_all("html", F.lit(pattern), F.lit(group))
 
 
-def asset_references(pages: DataFrame) -> DataFrame:
+def asset_references(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every http(s) asset URL of a page with its context, in document order per context."""
     srcsets = F.flatten(F.transform(
         _matches(r"(?i)<img[^>]+srcset=[\"']([^\"']+)[\"']"),
@@ -32,7 +32,7 @@ def asset_references(pages: DataFrame) -> DataFrame:
             F.lit(n).alias("context_ix"), F.lit(k).alias("context"), i.alias("pos"), trim_ws(u).alias("url")))
 
     all_refs = F.flatten(F.array(*[tagged(n, k, urls) for n, (k, urls) in enumerate(kinds)]))
-    return pages.select("page_id", F.inline(all_refs)).filter(F.col("url").startswith("http"))
+    return pages.select("page_id", *carry, F.inline(all_refs)).filter(F.col("url").startswith("http"))
 
 
 def classify_asset_url(url):
@@ -94,7 +94,7 @@ def asset_manifest(pages: DataFrame, only: str = "all", cdn: str | None = None)
 
     Counts go through (site, asset, context) first: a logo on every page of a huge site is one partial row per task.
     """
-    refs = filter_assets(asset_references(pages), only, cdn).join(with_site(pages).select("page_id", "site"), "page_id")
+    refs = filter_assets(asset_references(with_site(pages), ("site",)), only, cdn)
     at = F.struct("page_id", "context_ix", "pos")
     per_context = refs.groupBy("site", F.lower("url").alias("key"), "context").agg(
         F.count("*").alias("n"), F.min(F.struct(at.alias("at"), "url")).alias("first")

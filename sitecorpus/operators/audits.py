@@ -8,21 +8,21 @@ from sitecorpus.functions.columns import hex_norm, luminance, trim_ws
 from sitecorpus.operators.html import heading_skips, with_site
 
 
-def _issues(df: DataFrame, rules) -> DataFrame:
+def _issues(df: DataFrame, rules, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rules as one array per page, exploded once: a single scan however many rules there are."""
     entries = [
         F.when(cond, F.struct(F.lit(check).alias("check_id"), F.lit(sev).alias("severity"), F.coalesce(n, F.lit(0)).cast("bigint").alias("amount")))
         for check, sev, cond, n in rules
     ]
-    return df.select("page_id", F.inline(F.array_compact(F.array(*entries))))
+    return df.select("page_id", *carry, F.inline(F.array_compact(F.array(*entries))))
 
 
-def seo_audit(pages: DataFrame) -> DataFrame:
+def seo_audit(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     title = F.regexp_extract("html", r"(?i)<title[^>]*>([^<]*)</title>", 1)
     desc = F.regexp_extract("html", r"(?i)<meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']*)[\"']", 1)
     html = F.col("html")
     p = pages.select(
-        "page_id",
+        "page_id", *carry,
         trim_ws(title).alias("t"), F.length(title).alias("tl"), trim_ws(desc).alias("d"), F.length(desc).alias("dl"),
         html.rlike(r"(?i)<meta\s+property=[\"']og:title[\"']").alias("og_t"),
         html.rlike(r"(?i)<meta\s+property=[\"']og:description[\"']").alias("og_d"),
@@ -39,16 +39,16 @@ def seo_audit(pages: DataFrame) -> DataFrame:
         ("og-description", "warn", ~F.col("og_d"), none),
         ("h1", "fail", ~F.col("h1"), none),
         ("canonical", "warn", ~F.col("canon"), none),
-    ])
+    ], carry)
 
 
-def a11y_audit(pages: DataFrame) -> DataFrame:
+def a11y_audit(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     def found(pattern):
         return F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
 
     imgs = found(r"(?i)<img[^>]*>")
     p = pages.select(
-        "page_id",
+        "page_id", *carry,
         F.size(found(r"(?i)<h1[\s>]")).alias("h1s"),
         F.size(F.filter(imgs, lambda t: ~t.rlike(r"(?i)\salt\s*="))).alias("no_alt"),
         F.size(found(r"(?i)<a[^>]*>\s*</a>")).alias("empty_links"),
@@ -58,20 +58,24 @@ def a11y_audit(pages: DataFrame) -> DataFrame:
         ("h1-multiple", "warn", F.col("h1s") > 1, F.col("h1s")),
         ("img-alt", "fail", F.col("no_alt") > 0, F.col("no_alt")),
         ("link-empty", "fail", F.col("empty_links") > 0, F.col("empty_links")),
-    ])
-    skips = heading_skips(pages).filter("is_first").select(
-        "page_id", F.lit("heading-skip").alias("check_id"), F.lit("warn").alias("severity"),
+    ], carry)
+    skips = heading_skips(pages, carry).filter("is_first").select(
+        "page_id", *carry, F.lit("heading-skip").alias("check_id"), F.lit("warn").alias("severity"),
         F.col("level").cast("bigint").alias("amount"),
     )
     return issues.unionByName(skips)
 
 
 def rule_failure_rates(pages: DataFrame) -> DataFrame:
-    """Which rules fail on which sites, and how often: the corpus scorecard."""
-    sites = with_site(pages).select("page_id", "site")
-    totals = sites.groupBy("site").agg(F.count("*").alias("site_pages"))
-    issues = seo_audit(pages).unionByName(a11y_audit(pages)).select("page_id", "check_id", "severity").distinct()
-    failed = issues.join(sites, "page_id").groupBy("site", "check_id", "severity").agg(F.count("*").alias("pages"))
+    """Which rules fail on which sites, and how often: the corpus scorecard.
+
+    A page has at most one issue per rule, so failing pages are plain counts: issues leave the scan already
+    counted per site and rule, and a site with a third of all pages is a few partial rows per task.
+    """
+    p = with_site(pages)
+    totals = p.groupBy("site").agg(F.count("*").alias("site_pages"))
+    issues = seo_audit(p, ("site",)).unionByName(a11y_audit(p, ("site",)))
+    failed = issues.groupBy("site", "check_id", "severity").agg(F.count("*").alias("pages"))
     return failed.join(totals, "site").select(
         "site", "check_id", "severity", "pages", "site_pages",
         F.round(F.col("pages") / F.col("site_pages"), 4).alias("fail_rate"),

@@ -3,6 +3,8 @@
 Rules come from a brace split: each token is text up to and including a brace. A running sum gives the brace
 depth; the at-rules around a rule are the last headers of each smaller depth. All windows share the page_id
 hash distribution, so the whole chain needs one exchange of CSS-only rows (no HTML text is shuffled).
+
+`carry` names page columns (the site, say) that travel with the rows, which saves joining them back later.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ def style_blocks(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.posexplode(bodies).alias("pos", "css"))
 
 
-def page_css(pages: DataFrame) -> DataFrame:
+def page_css(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """All style blocks of a page as one text without comments: (page_id, css)."""
     bodies = F.regexp_extract_all("html", F.lit(r"(?is)<style[^>]*>(.*?)</style>"), F.lit(1))
     return pages.select(
-        "page_id", F.regexp_replace(F.array_join(bodies, "\n"), r"(?s)/\*.*?\*/", "").alias("css")
+        "page_id", *carry, F.regexp_replace(F.array_join(bodies, "\n"), r"(?s)/\*.*?\*/", "").alias("css")
     )
 
 
@@ -33,34 +35,34 @@ def _last_header(c):
     return trim_ws(F.regexp_replace(c, r"(?s)^.*;", ""))
 
 
-def css_blocks(css: DataFrame) -> DataFrame:
+def css_blocks(css: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Brace tokens with depth: (page_id, pos, brace, text, level, next_brace, next_text); level 1 is outermost."""
     tok = css.select(
-        "page_id",
+        "page_id", *carry,
         F.posexplode(
             F.regexp_extract_all(F.regexp_replace("css", _FACE, ""), F.lit(r"[^{}]*[{}]"), F.lit(0))
         ).alias("pos", "tok"),
-    ).select("page_id", "pos", F.right("tok", F.lit(1)).alias("brace"), F.expr("left(tok, length(tok) - 1)").alias("text"))
+    ).select("page_id", *carry, "pos", F.right("tok", F.lit(1)).alias("brace"), F.expr("left(tok, length(tok) - 1)").alias("text"))
     w = W.partitionBy("page_id").orderBy("pos")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
     run = tok.withColumn("run", F.sum(F.when(F.col("brace") == "{", 1).otherwise(-1)).over(upto))
     low = F.least(F.lit(0), F.min("run").over(upto))
     return run.select(
-        "page_id", "pos", "brace", "text",
+        "page_id", *carry, "pos", "brace", "text",
         (F.col("run") - low).alias("level"),
         F.lead("brace").over(w).alias("next_brace"),
         F.lead("text").over(w).alias("next_text"),
     )
 
 
-def css_rules(css: DataFrame) -> DataFrame:
+def css_rules(css: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Leaf rules: (page_id, rule_pos, selector, body, at_rule); at_rule lists enclosing headers, outermost first."""
-    opens = css_blocks(css).filter("brace = '{'").withColumn("header", _last_header(F.col("text")))
+    opens = css_blocks(css, carry).filter("brace = '{'").withColumn("header", _last_header(F.col("text")))
     leaf = F.col("next_brace") == "}"
     # One row per rule at its own level plus one probe per enclosing level, so that the headers around
     # a rule at any depth come from a single window.
     rows = opens.select(
-        "page_id", "pos", "level", "header", "next_text", leaf.alias("leaf"),
+        "page_id", *carry, "pos", "level", "header", "next_text", leaf.alias("leaf"),
         F.explode(F.when(leaf, F.sequence(F.lit(1), F.col("level"))).otherwise(F.array("level"))).alias("lvl"),
     )
     own = (F.col("lvl") == F.col("level")) & ~F.col("leaf")
@@ -68,13 +70,13 @@ def css_rules(css: DataFrame) -> DataFrame:
     rows = rows.withColumn("enclosing", F.last(F.when(own, F.col("header")), ignorenulls=True).over(w))
     around = F.sort_array(F.collect_list(F.when(F.col("lvl") < F.col("level"), F.struct("lvl", "enclosing"))))
     return (
-        rows.filter("leaf").groupBy("page_id", "pos")
+        rows.filter("leaf").groupBy("page_id", *carry, "pos")
         .agg(
             F.max(F.when(F.col("lvl") == F.col("level"), F.col("header"))).alias("selector"),
             F.max(F.when(F.col("lvl") == F.col("level"), F.col("next_text"))).alias("body"),
             F.array_join(F.transform(around, lambda s: s["enclosing"]), " / ").alias("at_rule"),
         )
-        .select("page_id", F.col("pos").alias("rule_pos"), "selector", "body", "at_rule")
+        .select("page_id", *carry, F.col("pos").alias("rule_pos"), "selector", "body", "at_rule")
     )
 
 
@@ -99,25 +101,25 @@ def _pairs(body):
     ).alias("decl_pos", "kv")
 
 
-def css_declarations(pages: DataFrame) -> DataFrame:
+def css_declarations(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """`property: value` pairs of every rule, then of inline style attributes (selector `[inline]`)."""
-    rules = _viewport(css_rules(page_css(pages)))
+    rules = _viewport(css_rules(page_css(pages, carry), carry))
     sheet = rules.select(
-        "page_id", F.lit("sheet").alias("source"), "rule_pos", _pairs(F.col("body")), "selector", "at_rule", "bp_min", "bp_max", "breakpoint"
+        "page_id", *carry, F.lit("sheet").alias("source"), "rule_pos", _pairs(F.col("body")), "selector", "at_rule", "bp_min", "bp_max", "breakpoint"
     )
     inline = pages.select(
-        "page_id",
+        "page_id", *carry,
         F.posexplode(F.regexp_extract_all("html", F.lit(r"(?i)\sstyle=[\"']([^\"']+)[\"']"), F.lit(1))).alias("rule_pos", "body"),
     )
     none = F.lit(None)
     inline = inline.select(
-        "page_id", F.lit("inline").alias("source"), "rule_pos", _pairs(F.col("body")),
+        "page_id", *carry, F.lit("inline").alias("source"), "rule_pos", _pairs(F.col("body")),
         F.lit("[inline]").alias("selector"), F.lit("").alias("at_rule"),
         none.cast("double").alias("bp_min"), none.cast("double").alias("bp_max"), none.cast("string").alias("breakpoint"),
     )
     both = sheet.unionByName(inline)
     return both.select(
-        "page_id", "source", "rule_pos", "decl_pos", "selector", F.col("kv.p").alias("property"),
+        "page_id", *carry, "source", "rule_pos", "decl_pos", "selector", F.col("kv.p").alias("property"),
         trim_ws(F.col("kv.v")).alias("value"), "at_rule", "bp_min", "bp_max", "breakpoint",
     )
 
@@ -153,9 +155,9 @@ def css_var_fallbacks(decls: DataFrame) -> DataFrame:
     ).withColumn("occurrences", F.lit(0))
 
 
-def font_faces(pages: DataFrame) -> DataFrame:
-    css = page_css(pages).select(
-        "page_id",
+def font_faces(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    css = page_css(pages, carry).select(
+        "page_id", *carry,
         F.posexplode(F.regexp_extract_all("css", F.lit(r"(?is)@font-face\s*\{([^}]*)\}"), F.lit(1))).alias("pos", "body"),
     )
 
@@ -168,7 +170,7 @@ def font_faces(pages: DataFrame) -> DataFrame:
     url = F.regexp_extract("body", r"(?i)url\(\s*[\"']?([^\"')]+)[\"']?\s*\)", 1)
     fmt = F.regexp_extract("body", r"(?i)format\(\s*[\"']?([^\"')]+)[\"']?\s*\)", 1)
     f = css.select(
-        "page_id", "pos",
+        "page_id", *carry, "pos",
         F.regexp_replace(prop("font-family"), "[\"']", "").alias("family"),
         or_default(prop("font-weight"), "400").alias("weight"),
         or_default(prop("font-style"), "normal").alias("style"),
@@ -183,14 +185,14 @@ def font_faces(pages: DataFrame) -> DataFrame:
     )
 
 
-def text_style_classes(decls: DataFrame, prefix: str = ".text-style-") -> DataFrame:
+def text_style_classes(decls: DataFrame, prefix: str = ".text-style-", carry: tuple[str, ...] = ()) -> DataFrame:
     """Named text styles: classes with the prefix that set a font size or family."""
     d = decls.filter((F.col("source") == "sheet") & F.col("selector").startswith(prefix) & (F.col("at_rule") == ""))
 
     def last(p):
         return F.max_by(F.when(F.col("property") == p, F.col("value")), F.when(F.col("property") == p, _order()))
 
-    g = d.groupBy("page_id", "selector").agg(
+    g = d.groupBy("page_id", *carry, "selector").agg(
         last("font-size").alias("font_size"), last("font-weight").alias("font_weight"),
         F.regexp_replace(last("font-family"), "[\"']", "").alias("font_family"),
         last("line-height").alias("line_height"), last("letter-spacing").alias("letter_spacing"),

@@ -105,6 +105,8 @@ def build_order_layers(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
             break
         done = ready.withColumn("layer", F.lit(layer))
         placed = done if placed is None else placed.unionByName(done)
+        if layer % 25 == 0:
+            placed = cut(placed)
         rest = cut(rest.join(ready, [*g, "node"], "left_anti"))
         open_edges = cut(open_edges.join(ready.withColumnRenamed("node", "dst"), [*g, "dst"], "left_anti"))
     cyclic = rest.withColumn("layer", F.lit(None).cast("int"))

@@ -175,7 +175,7 @@ def page_inventory(pages: DataFrame) -> DataFrame:
     )
 
 
-def heading_skips(pages: DataFrame) -> DataFrame:
+def heading_skips(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Headings more than one level below the one before; `is_first` marks the skip an audit reports.
 
     The levels of a page are one array, compared in place: no shuffle.
@@ -183,13 +183,13 @@ def heading_skips(pages: DataFrame) -> DataFrame:
     levels = F.transform(
         F.regexp_extract_all("html", F.lit(r"(?i)<h([1-6])[\s>]"), F.lit(1)), lambda x: x.cast("int")
     )
-    p = pages.select("page_id", levels.alias("levels"))
+    p = pages.select("page_id", *carry, levels.alias("levels"))
     steps = F.transform(
         F.col("levels"), lambda x, i: F.struct(i.alias("pos"), F.get("levels", i - 1).alias("prev_level"), x.alias("level"))
     )
     skips = F.filter(steps, lambda s: s["level"] > s["prev_level"] + 1)
-    rows = p.select("page_id", F.posexplode(skips).alias("nth", "s"))
-    return rows.select("page_id", "s.pos", "s.prev_level", "s.level", (F.col("nth") == 0).alias("is_first"))
+    rows = p.select("page_id", *carry, F.posexplode(skips).alias("nth", "s"))
+    return rows.select("page_id", *carry, "s.pos", "s.prev_level", "s.level", (F.col("nth") == 0).alias("is_first"))
 
 
 def page_text_summary(pages: DataFrame) -> DataFrame:

@@ -93,9 +93,9 @@ def site_link_graph(pages: DataFrame) -> DataFrame:
     )
 
 
-def script_blocks(pages: DataFrame) -> DataFrame:
+def script_blocks(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     code = F.regexp_extract_all("html", F.lit(r"(?is)<script[^>]*>(.*?)</script>"), F.lit(1))
-    rows = pages.select("page_id", F.posexplode(code).alias("pos", "code")).withColumn("code", trim_ws(F.col("code")))
+    rows = pages.select("page_id", *carry, F.posexplode(code).alias("pos", "code")).withColumn("code", trim_ws(F.col("code")))
     rows = rows.filter("code != ''")
     gsap = F.col("code").rlike(r"(?i)\bgsap\.|ScrollTrigger")
     anim = F.col("code").rlike(r"(?i)\banimat|\.animate\(|requestAnimationFrame|intersectionObserver")
@@ -104,7 +104,7 @@ def script_blocks(pages: DataFrame) -> DataFrame:
         F.array(*[F.when(F.col("code").rlike("(?i)" + p + (r"\b" if p == "Flip" else "")), F.lit(p)) for p in GSAP_PLUGINS])
     )
     return rows.select(
-        "page_id", "pos",
+        "page_id", *carry, "pos",
         F.when(gsap, "gsap").when(anim | transform, "js").otherwise("other").alias("script_type"),
         F.when(gsap, F.array_join(plugins, ",")).otherwise("").alias("plugins"),
         F.length("code").alias("length"),
@@ -113,7 +113,7 @@ def script_blocks(pages: DataFrame) -> DataFrame:
 
 def script_inventory(pages: DataFrame) -> DataFrame:
     """Inline scripts per site and class, with code length and the plugins met."""
-    s = script_blocks(pages).join(with_site(pages).select("page_id", "site"), "page_id")
+    s = script_blocks(with_site(pages), ("site",))
     return s.groupBy("site", "script_type", "plugins").agg(
         F.count("*").alias("scripts"), F.sum("length").alias("code_chars"), F.max("length").alias("longest")
     )

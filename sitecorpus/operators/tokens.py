@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from sitecorpus.functions.columns import channel, hex_norm, leading_number, shorthand_side, trim_ws, var_fallback
+from sitecorpus.functions.columns import bind, channel, hex_norm, leading_number, shorthand_side, trim_ws, var_fallback
 from sitecorpus.functions.dims import (
     BREAKPOINT_TOLERANCE,
     COLOR_PROPS,
@@ -17,15 +17,13 @@ from sitecorpus.functions.dims import (
     SIZE_CONTEXTS,
     WEIGHT_NAMES,
 )
-from sitecorpus.operators.html import with_site
 
 _ORDER = ("page_id", "source_ix", "rule_pos", "decl_pos")
 
 
-def site_decls(decls: DataFrame, pages: DataFrame) -> DataFrame:
-    """Declarations with the site of their page and a document-order column `at`."""
-    d = decls.join(with_site(pages).select("page_id", "site"), "page_id")
-    return d.withColumn("source_ix", F.when(F.col("source") == "sheet", 0).otherwise(1)).withColumn("at", F.struct(*_ORDER))
+def site_decls(decls: DataFrame) -> DataFrame:
+    """Declarations that carry their `site`, with a document-order column `at`."""
+    return decls.withColumn("source_ix", F.when(F.col("source") == "sheet", 0).otherwise(1)).withColumn("at", F.struct(*_ORDER))
 
 
 def hidden_builder_token(name):
@@ -198,10 +196,6 @@ def style_summary(sd: DataFrame) -> DataFrame:
     return counts(per_site).unionByName(counts(corpus))
 
 
-def site_faces(faces: DataFrame, pages: DataFrame) -> DataFrame:
-    return faces.join(with_site(pages).select("page_id", "site"), "page_id")
-
-
 def _weight_number(c):
     n = F.when(c == "normal", 400).when(c == "bold", 700).otherwise(c.try_cast("int"))
     return F.when((n >= 1) & (n <= 1000), n).otherwise(400)
@@ -314,10 +308,8 @@ def color_unmatched(catalog: DataFrame, design: DataFrame) -> DataFrame:
 
 
 def weight_name(c):
-    out = c.cast("string")
-    for n, name in WEIGHT_NAMES.items():
-        out = F.when(c == n, name).otherwise(out)
-    return out
+    names = F.create_map(*[x for n, name in WEIGHT_NAMES.items() for x in (F.lit(n), F.lit(name))])
+    return bind(c, lambda w: F.coalesce(F.try_element_at(names, w), w.cast("string")))
 
 
 def expected_font_files(fonts: DataFrame) -> DataFrame:
@@ -333,15 +325,17 @@ def expected_font_files(fonts: DataFrame) -> DataFrame:
 
 def decode_font(c):
     """`FR;InterDisplay-SemiBold` or `GF;Roboto-700` to (family, weight)."""
-    sel = F.regexp_replace(c, "^(FR|GF);", "")
-    last = F.regexp_extract(sel, "-([^-]+)$", 1)
-    weight = F.when(last.rlike(r"^\d{3}$"), last.try_cast("int"))
-    for n, name in WEIGHT_NAMES.items():
-        weight = F.coalesce(weight, F.when(F.lower(last) == name.lower(), F.lit(n)))
-    raw = F.when(weight.isNotNull(), F.regexp_replace(F.regexp_replace(sel, "-[^-]+$", ""), "-", "")).otherwise(sel)
-    return F.struct(
-        F.regexp_replace(raw, "([a-z])([A-Z])", "$1 $2").alias("family"), F.coalesce(weight, F.lit(400)).alias("weight")
-    )
+    weights = F.create_map(*[x for n, name in WEIGHT_NAMES.items() for x in (F.lit(name.lower()), F.lit(n))])
+
+    def decode(sel):
+        last = F.regexp_extract(sel, "-([^-]+)$", 1)
+        weight = F.coalesce(F.when(last.rlike(r"^\d{3}$"), last.try_cast("int")), F.try_element_at(weights, F.lower(last)))
+        raw = F.when(weight.isNotNull(), F.regexp_replace(F.regexp_replace(sel, "-[^-]+$", ""), "-", "")).otherwise(sel)
+        return F.struct(
+            F.regexp_replace(raw, "([a-z])([A-Z])", "$1 $2").alias("family"), F.coalesce(weight, F.lit(400)).alias("weight")
+        )
+
+    return bind(F.regexp_replace(c, "^(FR|GF);", ""), decode)
 
 
 def font_crosscheck(fonts: DataFrame, files: DataFrame, faces: DataFrame) -> DataFrame:

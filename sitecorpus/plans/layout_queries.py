@@ -6,8 +6,8 @@ from pyspark.sql import Window as W, functions as F
 
 from sitecorpus.functions.dims import PRO_WIDGETS
 from sitecorpus.operators import graph, html, layout, tokens
-from sitecorpus.plans import token_queries  # noqa: F401  (defines the kit tables used below)
-from sitecorpus.plans.css_queries import decls, hexsql, sp, trim
+from sitecorpus.plans import token_queries
+from sitecorpus.plans.css_queries import hexsql, sp, trim
 from sitecorpus.plans.registry import CTES, Tables, cte, ora, query
 from sitecorpus.session import stage
 from sitecorpus.sources import design, layout as lsrc
@@ -123,7 +123,7 @@ query("unique_ids", ora("""
 
 
 def _substituted(t: Tables):
-    kit = stage(tokens.token_catalog(tokens.site_decls(decls(t), t.table("pages"))), "catalog")
+    kit = stage(tokens.token_catalog(token_queries.sd(t)), "catalog")
     props = sited(t, layout.style_prop_rows(layout.widget_classify(nodes(t))))
     return layout.gv_substitute(props, design.design_vars(kit))
 

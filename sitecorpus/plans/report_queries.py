@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitecorpus.operators import audits, checks, html, reports, tokens, trees as ops
 from sitecorpus.plans import token_queries  # noqa: F401  (defines sdecl)
-from sitecorpus.plans.css_queries import decls, hexsql, sp
+from sitecorpus.plans.css_queries import hexsql, sp
 from sitecorpus.plans.page_queries import _A11Y, _SEO
 from sitecorpus.plans.registry import Tables, cte, ora, query
 from sitecorpus.plans.token_queries import _lin, sd

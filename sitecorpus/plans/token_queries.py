@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitecorpus.functions.dims import WEIGHT_NAMES
-from sitecorpus.operators import audits, css, tokens
-from sitecorpus.plans.css_queries import COLORS, _use, decls, fallback, hexsql, sp, trim
+from sitecorpus.operators import audits, css, html, tokens
+from sitecorpus.plans.css_queries import COLORS, _use, fallback, hexsql, sp, trim
 from sitecorpus.plans.registry import Tables, cte, ora, query
 from sitecorpus.session import stage
 from sitecorpus.sources import design
 
 
 def sd(t: Tables):
-    return tokens.site_decls(decls(t), t.table("pages"))
+    return tokens.site_decls(css.css_declarations(html.with_site(sp(t)), ("site",)))
 
 
 def catalog(t: Tables):
@@ -26,7 +26,7 @@ def catalog_table(t: Tables):
 
 
 def faces(t: Tables):
-    return tokens.site_faces(css.font_faces(sp(t)), t.table("pages"))
+    return css.font_faces(html.with_site(sp(t)), ("site",))
 
 
 def faces_table(t: Tables):
@@ -214,12 +214,8 @@ query("source_merge", ora("""
 
 
 def system(t: Tables):
-    d = decls(t)
-    s = tokens.site_decls(d, t.table("pages"))
-    styles = css.text_style_classes(d).join(t.table("pages").select("page_id", "url"), "page_id")
-    from sitecorpus.functions.columns import site_of
-
-    styles = styles.groupBy(site_of(F.col("url")).alias("site"), "name").agg(F.min_by("font_size", "page_id").alias("font_size"))
+    s = sd(t)
+    styles = css.text_style_classes(s, carry=("site",)).groupBy("site", "name").agg(F.min_by("font_size", "page_id").alias("font_size"))
     return tokens.design_system_build(tokens.palette_totals(s), faces(t), styles)
 
 

@@ -20,9 +20,9 @@ def stream_calls_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(CALL_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The `events` table of a folder as a stream."""
-    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+def stream_events(spark: SparkSession, sf_dir: str, batch_bytes: int = 4 << 30) -> DataFrame:
+    """The `events` table of a folder as a stream, in batches of bounded size."""
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxBytesPerTrigger", str(batch_bytes)).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
 
 
 # Error messages by payload number, written the way clients report them.

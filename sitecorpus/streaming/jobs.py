@@ -2,7 +2,8 @@
 
 Windowed counts use watermarks and append mode. The ordered state machines (breaker, time-to-live dedupe) buffer
 rows per key until the watermark has passed them, then fold them in time order, so the result does not depend on
-how the input was split into batches. State per key is the open buffer plus a few numbers.
+how the input was split into batches. State per key is the open buffer plus a few numbers; the buffer holds
+what arrives within one batch (whose bytes the reader limits) and the watermark delay.
 """
 
 from __future__ import annotations
@@ -164,22 +165,6 @@ class TtlDedupe(OrderedFold):
         return out
 
 
-class LessonStore(StatefulProcessor):
-    """Confidence and count of a lesson; every repeat emits the updated values."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        n += sum(len(pdf) for pdf in rows)
-        self.count.update((n,))
-        yield pd.DataFrame({"id": [key[0]], "reinforced_count": [n - 1], "confidence": [min(95, 50 + 5 * (n - 1)) / 100]})
-
-    def close(self) -> None:
-        pass
-
-
 def _ordered(calls: DataFrame, keys: list[str], processor: OrderedFold, schema: str, delay: str) -> DataFrame:
     calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     rows = calls.withWatermark("ts", delay).select(*keys, "ts", F.unix_micros("ts").alias("ts_us"), "event_id", "status")
@@ -206,11 +191,10 @@ def dedupe_within_watermark(calls: DataFrame, delay: str = "1 hour") -> DataFram
 
 
 def lessons(notes: DataFrame) -> DataFrame:
-    notes.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    keyed = notes.select(F.substring(F.md5("content"), 1, 12).alias("id"))
-    return keyed.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=LessonStore(), outputStructType="id string, reinforced_count bigint, confidence double", outputMode="Update", timeMode="None"
-    )
+    """Confidence and repeat count per lesson as streaming state; repeats are counted before the shuffle."""
+    g = notes.groupBy(F.substring(F.md5("content"), 1, 12).alias("id")).agg(F.count("*").alias("n"))
+    conf = F.least(F.lit(95), F.lit(50) + F.lit(5) * (F.col("n") - 1)) / 100
+    return g.select("id", (F.col("n") - 1).alias("reinforced_count"), conf.alias("confidence"))
 
 
 def quality_gate(spark: SparkSession, docs: DataFrame, score, name: str = "gate") -> DataFrame:

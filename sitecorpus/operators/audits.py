@@ -5,65 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.functions.columns import hex_norm, luminance, trim_ws
-from sitecorpus.operators.html import heading_skips, with_site
+from sitecorpus.operators.html import heading_skip_array, with_site
 
 
-def _issues(df: DataFrame, rules, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Rules as one array per page, exploded once: a single scan however many rules there are."""
-    entries = [
-        F.when(cond, F.struct(F.lit(check).alias("check_id"), F.lit(sev).alias("severity"), F.coalesce(n, F.lit(0)).cast("bigint").alias("amount")))
-        for check, sev, cond, n in rules
-    ]
-    return df.select("page_id", *carry, F.inline(F.array_compact(F.array(*entries))))
-
-
-def seo_audit(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def _features() -> dict:
+    """What the rules look at, one column each, from a single look at the page."""
+    html = F.col("html")
     title = F.regexp_extract("html", r"(?i)<title[^>]*>([^<]*)</title>", 1)
     desc = F.regexp_extract("html", r"(?i)<meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']*)[\"']", 1)
-    html = F.col("html")
-    p = pages.select(
-        "page_id", *carry,
-        trim_ws(title).alias("t"), F.length(title).alias("tl"), trim_ws(desc).alias("d"), F.length(desc).alias("dl"),
-        html.rlike(r"(?i)<meta\s+property=[\"']og:title[\"']").alias("og_t"),
-        html.rlike(r"(?i)<meta\s+property=[\"']og:description[\"']").alias("og_d"),
-        html.rlike(r"(?i)<h1[\s>]").alias("h1"),
-        html.rlike(r"(?i)<link\s+rel=[\"']canonical[\"']").alias("canon"),
-    )
-    none = F.lit(0)
-    return _issues(p, [
-        ("title-missing", "fail", F.col("t") == "", none),
-        ("title-length", "warn", (F.col("t") != "") & (F.col("tl") > 60), F.col("tl")),
-        ("meta-desc-missing", "fail", F.col("d") == "", none),
-        ("meta-desc-length", "warn", (F.col("d") != "") & (F.col("dl") > 155), F.col("dl")),
-        ("og-title", "warn", ~F.col("og_t"), none),
-        ("og-description", "warn", ~F.col("og_d"), none),
-        ("h1", "fail", ~F.col("h1"), none),
-        ("canonical", "warn", ~F.col("canon"), none),
-    ], carry)
-
-
-def a11y_audit(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+
     def found(pattern):
         return F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
 
-    imgs = found(r"(?i)<img[^>]*>")
-    p = pages.select(
-        "page_id", *carry,
-        F.size(found(r"(?i)<h1[\s>]")).alias("h1s"),
-        F.size(F.filter(imgs, lambda t: ~t.rlike(r"(?i)\salt\s*="))).alias("no_alt"),
-        F.size(found(r"(?i)<a[^>]*>\s*</a>")).alias("empty_links"),
-    )
-    issues = _issues(p, [
-        ("h1-missing", "fail", F.col("h1s") == 0, F.lit(0)),
-        ("h1-multiple", "warn", F.col("h1s") > 1, F.col("h1s")),
-        ("img-alt", "fail", F.col("no_alt") > 0, F.col("no_alt")),
-        ("link-empty", "fail", F.col("empty_links") > 0, F.col("empty_links")),
-    ], carry)
-    skips = heading_skips(pages, carry).filter("is_first").select(
-        "page_id", *carry, F.lit("heading-skip").alias("check_id"), F.lit("warn").alias("severity"),
-        F.col("level").cast("bigint").alias("amount"),
-    )
-    return issues.unionByName(skips)
+    return {
+        "t": trim_ws(title), "tl": F.length(title), "d": trim_ws(desc), "dl": F.length(desc),
+        "og_t": html.rlike(r"(?i)<meta\s+property=[\"']og:title[\"']"),
+        "og_d": html.rlike(r"(?i)<meta\s+property=[\"']og:description[\"']"),
+        "canon": html.rlike(r"(?i)<link\s+rel=[\"']canonical[\"']"),
+        "h1s": F.size(found(r"(?i)<h1[\s>]")),
+        "no_alt": F.size(F.filter(found(r"(?i)<img[^>]*>"), lambda t: ~t.rlike(r"(?i)\salt\s*="))),
+        "empty_links": F.size(found(r"(?i)<a[^>]*>\s*</a>")),
+        "skip": F.get(heading_skip_array(html), F.lit(0))["level"],
+    }
+
+
+def _rules(sources: tuple[str, ...]) -> list:
+    c, none = F.col, F.lit(0)
+    rules = [
+        ("seo", "title-missing", "fail", c("t") == "", none),
+        ("seo", "title-length", "warn", (c("t") != "") & (c("tl") > 60), c("tl")),
+        ("seo", "meta-desc-missing", "fail", c("d") == "", none),
+        ("seo", "meta-desc-length", "warn", (c("d") != "") & (c("dl") > 155), c("dl")),
+        ("seo", "og-title", "warn", ~c("og_t"), none),
+        ("seo", "og-description", "warn", ~c("og_d"), none),
+        ("seo", "h1", "fail", c("h1s") == 0, none),
+        ("seo", "canonical", "warn", ~c("canon"), none),
+        ("a11y", "h1-missing", "fail", c("h1s") == 0, none),
+        ("a11y", "h1-multiple", "warn", c("h1s") > 1, c("h1s")),
+        ("a11y", "img-alt", "fail", c("no_alt") > 0, c("no_alt")),
+        ("a11y", "link-empty", "fail", c("empty_links") > 0, c("empty_links")),
+        ("a11y", "heading-skip", "warn", c("skip").isNotNull(), c("skip")),
+    ]
+    return [r for r in rules if r[0] in sources]
+
+
+def page_issues(pages: DataFrame, sources: tuple[str, ...] = ("seo", "a11y"), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Issues of all rules as rows (page_id, source, check_id, severity, amount): one scan however many rules there are."""
+    features = pages.select("page_id", *carry, *[v.alias(k) for k, v in _features().items()])
+    entries = [
+        F.when(cond, F.struct(
+            F.lit(source).alias("source"), F.lit(check).alias("check_id"), F.lit(sev).alias("severity"),
+            F.coalesce(n, F.lit(0)).cast("bigint").alias("amount")))
+        for source, check, sev, cond, n in _rules(sources)
+    ]
+    return features.select("page_id", *carry, F.inline(F.array_compact(F.array(*entries))))
+
+
+def seo_audit(pages: DataFrame) -> DataFrame:
+    return page_issues(pages, ("seo",)).drop("source")
+
+
+def a11y_audit(pages: DataFrame) -> DataFrame:
+    return page_issues(pages, ("a11y",)).drop("source")
 
 
 def rule_failure_rates(pages: DataFrame) -> DataFrame:
@@ -74,8 +77,7 @@ def rule_failure_rates(pages: DataFrame) -> DataFrame:
     """
     p = with_site(pages)
     totals = p.groupBy("site").agg(F.count("*").alias("site_pages"))
-    issues = seo_audit(p, ("site",)).unionByName(a11y_audit(p, ("site",)))
-    failed = issues.groupBy("site", "check_id", "severity").agg(F.count("*").alias("pages"))
+    failed = page_issues(p, carry=("site",)).groupBy("site", "check_id", "severity").agg(F.count("*").alias("pages"))
     return failed.join(totals, "site").select(
         "site", "check_id", "severity", "pages", "site_pages",
         F.round(F.col("pages") / F.col("site_pages"), 4).alias("fail_rate"),

@@ -139,20 +139,33 @@ def css_variables(decls: DataFrame) -> DataFrame:
     return per_value.select("page_id", "name", "value", "occurrences", F.row_number().over(w).alias("value_rank"))
 
 
+def variable_mentions(decls: DataFrame, at) -> DataFrame:
+    """Custom properties a declaration declares or falls back from, in one pass: adds (name, value, declared, o).
+
+    `o` orders declarations before fallbacks, then by `at`, then by position in the value.
+    """
+    pattern = r"var\(\s*(--[\w-]+)\s*,\s*([^)]+?)\s*\)"
+
+    def entry(name, value, declared, ix):
+        return F.struct(
+            name.alias("name"), value.alias("value"), F.lit(declared).alias("declared"),
+            F.struct(F.lit(1 - declared).alias("d"), at.alias("at"), ix.alias("i")).alias("o"),
+        )
+
+    uses = F.arrays_zip(
+        F.regexp_extract_all("value", F.lit(pattern), F.lit(1)).alias("n"), F.regexp_extract_all("value", F.lit(pattern), F.lit(2)).alias("f")
+    )
+    own = F.when(F.col("property").startswith("--"), entry(F.col("property"), F.col("value"), 1, F.lit(0)))
+    used = F.transform(uses, lambda u, i: entry(u["n"], u["f"], 0, i))
+    d = decls.filter(F.col("property").startswith("--") | F.contains("value", F.lit("var(")))
+    return d.withColumn("m", F.explode(F.concat(F.array_compact(F.array(own)), used)))
+
+
 def css_var_fallbacks(decls: DataFrame) -> DataFrame:
     """Names used only as `var(--x, fallback)` and declared nowhere on the page; they count 0 occurrences."""
-    pattern = r"var\(\s*(--[\w-]+)\s*,\s*([^)]+?)\s*\)"
-    uses = decls.select(
-        "page_id", "source", "rule_pos", "decl_pos",
-        F.posexplode(F.arrays_zip(
-            F.regexp_extract_all("value", F.lit(pattern), F.lit(1)).alias("name"),
-            F.regexp_extract_all("value", F.lit(pattern), F.lit(2)).alias("fallback"),
-        )).alias("use_pos", "u"),
-    ).select("page_id", F.struct(_order(), "use_pos").alias("at"), F.col("u.name").alias("name"), F.col("u.fallback").alias("fallback"))
-    declared = decls.filter(F.col("property").startswith("--")).select("page_id", F.col("property").alias("name")).distinct()
-    return uses.groupBy("page_id", "name").agg(F.min_by("fallback", "at").alias("fallback")).join(
-        declared, ["page_id", "name"], "left_anti"
-    ).withColumn("occurrences", F.lit(0))
+    m = variable_mentions(decls, _order()).select("page_id", "m.*")
+    g = m.groupBy("page_id", "name").agg(F.max("declared").alias("declared"), F.min_by("value", "o").alias("fallback"))
+    return g.filter("declared = 0").select("page_id", "name", "fallback", F.lit(0).alias("occurrences"))
 
 
 def font_faces(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from sitecorpus.functions.columns import site_of, trim_ws
+from sitecorpus.functions.columns import bind, site_of, trim_ws
 from sitecorpus.functions.dims import VOID_TAGS
 
 _TAG = r"^<(/?)([A-Za-z][A-Za-z0-9-]*)([^>]*)>"
@@ -175,21 +175,19 @@ def page_inventory(pages: DataFrame) -> DataFrame:
     )
 
 
-def heading_skips(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Headings more than one level below the one before; `is_first` marks the skip an audit reports.
+def heading_skip_array(html):
+    """Headings more than one level below the one before, as an array of (pos, prev_level, level)."""
+    levels = F.transform(F.regexp_extract_all(html, F.lit(r"(?i)<h([1-6])[\s>]"), F.lit(1)), lambda x: x.cast("int"))
+    steps = bind(levels, lambda ls: F.transform(
+        ls, lambda x, i: F.struct(i.alias("pos"), F.get(ls, i - 1).alias("prev_level"), x.alias("level"))
+    ))
+    return F.filter(steps, lambda s: s["level"] > s["prev_level"] + 1)
 
-    The levels of a page are one array, compared in place: no shuffle.
-    """
-    levels = F.transform(
-        F.regexp_extract_all("html", F.lit(r"(?i)<h([1-6])[\s>]"), F.lit(1)), lambda x: x.cast("int")
-    )
-    p = pages.select("page_id", *carry, levels.alias("levels"))
-    steps = F.transform(
-        F.col("levels"), lambda x, i: F.struct(i.alias("pos"), F.get("levels", i - 1).alias("prev_level"), x.alias("level"))
-    )
-    skips = F.filter(steps, lambda s: s["level"] > s["prev_level"] + 1)
-    rows = p.select("page_id", *carry, F.posexplode(skips).alias("nth", "s"))
-    return rows.select("page_id", *carry, "s.pos", "s.prev_level", "s.level", (F.col("nth") == 0).alias("is_first"))
+
+def heading_skips(pages: DataFrame) -> DataFrame:
+    """Heading skips per page, compared in place (no shuffle); `is_first` marks the one an audit reports."""
+    rows = pages.select("page_id", F.posexplode(heading_skip_array(F.col("html"))).alias("nth", "s"))
+    return rows.select("page_id", "s.pos", "s.prev_level", "s.level", (F.col("nth") == 0).alias("is_first"))
 
 
 def page_text_summary(pages: DataFrame) -> DataFrame:
@@ -227,13 +225,13 @@ def element_signatures(elements: DataFrame) -> DataFrame:
     )
 
 
-def component_candidates(pages: DataFrame, min_dups: int = 2) -> DataFrame:
+def component_candidates(pages: DataFrame, elements: DataFrame | None = None, min_dups: int = 2) -> DataFrame:
     """Repeated child structures in a page, a site and the whole corpus.
 
     The corpus level aggregates the site level, which aggregates the page level: hot structures reach
-    the shuffle already counted.
+    the shuffle already counted. `elements` may name a written table of the pages' element rows, which are read twice.
     """
-    sigs = element_signatures(element_rows(pages))
+    sigs = element_signatures(element_rows(pages) if elements is None else elements)
     sites = with_site(pages).select("page_id", "site")
     per_page = sigs.groupBy("page_id", "struct_hash", "n_children").agg(F.count("*").alias("n"))
     per_page = per_page.join(sites, "page_id")

@@ -35,14 +35,17 @@ def a11y_rollup(findings: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("severity") != "fail", F.col("viewports")).otherwise(0)).alias("warns"), F.min("check_id").alias("first_violation"))
 
 
-def action_items(seo: DataFrame, a11y: DataFrame, contrast: DataFrame, http: DataFrame, visual: DataFrame) -> DataFrame:
-    """One list of (page_id, source, check_id, priority) from five audits; 1 is most urgent."""
+def action_items(issues: DataFrame, contrast: DataFrame, http: DataFrame, visual: DataFrame) -> DataFrame:
+    """One list of (page_id, source, check_id, priority) from five audits; 1 is most urgent.
+
+    `issues` holds the SEO and accessibility audits together, so the pages are read once for both.
+    """
     def rows(df, source, check, priority):
         return df.select("page_id", F.lit(source).alias("source"), check.alias("check_id"), priority.alias("priority"))
 
     by_sev = F.when(F.col("severity") == "fail", 2).otherwise(3)
     return (
-        rows(seo, "seo", F.col("check_id"), by_sev).unionByName(rows(a11y, "a11y", F.col("check_id"), by_sev))
+        issues.select("page_id", "source", "check_id", by_sev.alias("priority"))
         .unionByName(rows(contrast, "contrast", F.lit("contrast"), F.when(F.col("verdict") == "FAIL", 2).otherwise(3)))
         .unionByName(rows(http.filter("not passed"), "http", F.concat(F.lit("http-"), "viewport"), F.lit(1)))
         .unionByName(rows(visual.filter("severity = 'critical'"), "visual", F.lit("visual-diff"), F.lit(1)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sitecorpus.functions.columns import bind, channel, hex_norm, leading_number, shorthand_side, trim_ws, var_fallback
+from sitecorpus.operators.css import variable_mentions
 from sitecorpus.functions.dims import (
     BREAKPOINT_TOLERANCE,
     COLOR_PROPS,
@@ -18,6 +19,7 @@ from sitecorpus.functions.dims import (
     WEIGHT_NAMES,
 )
 
+
 _ORDER = ("page_id", "source_ix", "rule_pos", "decl_pos")
 
 
@@ -75,20 +77,12 @@ def token_label(name):
 
 
 def token_catalog(sd: DataFrame) -> DataFrame:
-    """Typed catalogue of all variables, with those met only as `var()` fallbacks at 0 occurrences."""
-    pattern = r"var\(\s*(--[\w-]+)\s*,\s*([^)]+?)\s*\)"
-    uses = sd.select(
-        "site", "at",
-        F.posexplode(F.arrays_zip(
-            F.regexp_extract_all("value", F.lit(pattern), F.lit(1)).alias("name"),
-            F.regexp_extract_all("value", F.lit(pattern), F.lit(2)).alias("value"),
-        )).alias("i", "u"),
-    ).select("site", F.col("u.name").alias("name"), F.col("u.value").alias("value"), F.lit(0).alias("w"), F.struct(F.lit(1).alias("d"), "at", "i").alias("o"))
-    own = sd.filter(F.col("property").startswith("--")).select(
-        "site", F.col("property").alias("name"), "value", F.lit(1).alias("w"), F.struct(F.lit(0).alias("d"), "at", F.lit(0).alias("i")).alias("o")
-    )
-    # One aggregate over both kinds: a declared name keeps its first declaration because declarations sort first.
-    g = own.unionByName(uses).groupBy("site", "name").agg(F.min_by("value", "o").alias("value"), F.sum("w").alias("occurrences"))
+    """Typed catalogue of all variables, with those met only as `var()` fallbacks at 0 occurrences.
+
+    Declarations and fallbacks come out of one pass; a declared name keeps its first declaration, which sorts first.
+    """
+    m = variable_mentions(sd, F.col("at")).select("site", "m.*")
+    g = m.groupBy("site", "name").agg(F.min_by("value", "o").alias("value"), F.sum("declared").alias("occurrences"))
     return g.select(
         "site", "name", "value", "occurrences", token_type(F.col("name"), F.col("value")).alias("token_type"),
         token_label(F.col("name")).alias("label"), hex_norm(F.col("value")).alias("hex"),
@@ -131,16 +125,20 @@ def _plain(sd: DataFrame, props) -> DataFrame:
     return d.withColumn("v", var_fallback(trim_ws(F.col("value")))).filter("v is not null")
 
 
-def typography_scale(sd: DataFrame) -> DataFrame:
-    """Counts per typographic value; the eight largest sizes of a site get context names.
+def typography_counts(sd: DataFrame) -> DataFrame:
+    """Counts per site, kind and typographic value; families by their first name."""
+    d = _plain(sd, ("font-size", "line-height", "letter-spacing", "font-weight", "font-family"))
+    fam = trim_ws(F.regexp_replace(F.split("v", ",").getItem(0), "[\"']", ""))
+    d = d.withColumn("v", F.when(F.col("property") == "font-family", fam).otherwise(F.col("v")))
+    return d.groupBy("site", F.col("property").alias("kind"), F.col("v").alias("value")).agg(F.count("*").alias("occurrences"))
+
+
+def typography_scale(counts: DataFrame) -> DataFrame:
+    """`typography_counts` with context names on the eight largest sizes of each site; stage the counts first.
 
     Ranking keeps at most eight rows per site (the rank filter is applied before the shuffle as well), and the
     names are joined back, so no site's sizes are sorted in one place.
     """
-    d = _plain(sd, ("font-size", "line-height", "letter-spacing", "font-weight", "font-family"))
-    fam = trim_ws(F.regexp_replace(F.split("v", ",").getItem(0), "[\"']", ""))
-    d = d.withColumn("v", F.when(F.col("property") == "font-family", fam).otherwise(F.col("v")))
-    counts = d.groupBy("site", F.col("property").alias("kind"), F.col("v").alias("value")).agg(F.count("*").alias("occurrences"))
     px = F.coalesce(leading_number(F.col("value")), F.lit(0.0))
     w = W.partitionBy("site").orderBy(F.desc("px"), "value")
     top = counts.filter("kind = 'font-size'").withColumn("px", px).withColumn("rn", F.row_number().over(w)).filter(

@@ -6,6 +6,7 @@ from sitecorpus.functions.dims import COLOR_PROPS, EASING, EFFECTS
 from sitecorpus.operators import audits, css, html, links
 from sitecorpus.plans.page_queries import _A11Y, _SEO, chain
 from sitecorpus.plans.registry import Tables, cte, ora, query
+from sitecorpus.session import stage
 from sitecorpus.sources.styled import STYLED_HTML_SQL, styled_pages
 
 WSTRIM = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
@@ -156,7 +157,7 @@ query("dark_light_match", ora(f"""
   'dark-' || CASE WHEN contains(property, 'background') THEN 'surface' WHEN property = 'color' THEN 'text' ELSE 'color' END || '-' ||
   left(regexp_replace(regexp_replace(regexp_replace(selector, '[.#\\[\\]:>\\s,]+', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g'), 24) || '-' ||
   left(regexp_replace(regexp_replace(regexp_replace(property, '^--', ''), '(?i)[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), 20) AS token_name
- FROM dark d"""))(lambda t: css.dark_light_match(decls(t)))
+ FROM dark d"""))(lambda t: css.dark_light_match(stage(decls(t), "declarations")))
 query("keyframes", ora("""
  SELECT page_id, name, count(*) AS steps, sum(length(body))::BIGINT AS body_chars FROM (
   SELECT *, regexp_extract(at_rule, '@(?:-webkit-)?keyframes\\s+([\\w-]+)', 1) AS name FROM css_rule) WHERE name <> '' GROUP BY 1, 2"""))(

@@ -27,6 +27,11 @@ def nodes(t: Tables):
     return lsrc.layout_nodes(html.element_rows(sp(t)))
 
 
+def nodes_table(t: Tables):
+    """The nodes as a written table: classification reads them as parents and as children."""
+    return stage(nodes(t), "nodes")
+
+
 _by_name = "CASE " + " ".join(
     f"WHEN contains(nm, '{w}') THEN " + (
         f"CASE WHEN href IS NULL AND nm NOT IN ('button', 'cta') THEN 'none' ELSE '{x}' END" if x == "e-button" else
@@ -42,7 +47,7 @@ cte("wid", f"""
   SELECT *, {_by_name} AS bn FROM (
    SELECT n.*, lower(name) AS nm, coalesce(children, 0) AS children, coalesce(child_names, 0) AS child_names FROM lnode n LEFT JOIN lchild c USING (page_id, pos)))""")
 query("widget_classify", ora("SELECT page_id, pos::BIGINT AS pos, tag, name, children, child_names, widget, html_tag FROM wid"))(
-    lambda t: layout.widget_classify(nodes(t)).select("page_id", "pos", "tag", "name", "children", "child_names", "widget", "html_tag"))
+    lambda t: layout.widget_classify(nodes_table(t)).select("page_id", "pos", "tag", "name", "children", "child_names", "widget", "html_tag"))
 
 
 def _num(x: str) -> str:
@@ -76,7 +81,7 @@ cte("lprop", " UNION ALL ".join([
     _row("position IS NOT NULL AND (position <> 'absolute' OR top_offset IS NOT NULL)", "position", "string", text="position"),
     _row("position IS NOT NULL AND top_offset IS NOT NULL", "top", "size", _num("top_offset"), _unit("top_offset")),
 ]))
-query("style_prop_rows", ora("SELECT * FROM lprop"))(lambda t: layout.style_prop_rows(layout.widget_classify(nodes(t))))
+query("style_prop_rows", ora("SELECT * FROM lprop"))(lambda t: layout.style_prop_rows(layout.widget_classify(nodes_table(t))))
 query("component_text", ora("""
  , a AS (SELECT page_id, pos, component_id, 1 AS ix, 'caption' AS attr, trim(caption) AS v FROM lnode WHERE component_id IS NOT NULL OR variant IS NOT NULL
   UNION ALL SELECT page_id, pos, component_id, 4, 'src', trim(src) FROM lnode WHERE component_id IS NOT NULL OR variant IS NOT NULL
@@ -114,7 +119,7 @@ query("inline_style_fill", ora(f"""
    coalesce(sff, CASE WHEN bare THEN coalesce(rff, 'Inter') END) AS fa FROM y)
  SELECT page_id, pos::BIGINT AS pos, widget, role, fs AS font_size, fw AS font_weight, {hexsql('co')} AS color, {trim("regexp_replace(split_part(fa, ',', 1), '[\"'']', '', 'g')")} AS font_family,
   CASE WHEN NOT bare THEN CASE WHEN sfs IS NOT NULL THEN 'style' ELSE 'inline' END WHEN rfs IS NOT NULL THEN 'role' ELSE 'constant' END AS source FROM z"""))(
-    lambda t: layout.inline_style_fill(sited(t, layout.widget_classify(nodes(t))), styles(t)))
+    lambda t: layout.inline_style_fill(sited(t, layout.widget_classify(nodes_table(t))), styles(t)))
 query("unique_ids", ora("""
  SELECT page_id, pos::BIGINT AS pos, base, n, uid, count(*) OVER (PARTITION BY page_id, uid) > 1 AS collides FROM (
   SELECT *, CASE n WHEN 1 THEN base ELSE base || '-' || n END AS uid FROM (SELECT page_id, pos, base, row_number() OVER (PARTITION BY page_id, base ORDER BY pos) AS n FROM (
@@ -124,7 +129,7 @@ query("unique_ids", ora("""
 
 def _substituted(t: Tables):
     kit = stage(tokens.token_catalog(token_queries.sd(t)), "catalog")
-    props = sited(t, layout.style_prop_rows(layout.widget_classify(nodes(t))))
+    props = sited(t, layout.style_prop_rows(layout.widget_classify(nodes_table(t))))
     return layout.gv_substitute(props, design.design_vars(kit))
 
 

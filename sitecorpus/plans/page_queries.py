@@ -5,6 +5,7 @@ from __future__ import annotations
 from sitecorpus.functions.dims import STRIP_RULES, VOID_TAGS
 from sitecorpus.operators import audits, html, links
 from sitecorpus.plans.registry import Tables, cte, ora, query
+from sitecorpus.session import stage
 
 _void = ",".join(f"'{t}'" for t in VOID_TAGS)
 
@@ -99,7 +100,7 @@ query("component_candidates", ora("""
  FROM s GROUP BY ALL HAVING count(*) >= 2
  UNION ALL SELECT 'site', site, struct_hash, n_children, count(*), count(DISTINCT page_id) FROM s GROUP BY ALL HAVING count(*) >= 2
  UNION ALL SELECT 'corpus', '*', struct_hash, n_children, count(*), count(DISTINCT page_id) FROM s GROUP BY ALL HAVING count(*) >= 2"""))(
-    lambda t: html.component_candidates(t.table("pages"))
+    lambda t: (lambda p: html.component_candidates(p, stage(html.element_rows(p).select("page_id", "pos", "parent_pos", "ord", "tag"), "elements")))(t.table("pages"))
 )
 
 

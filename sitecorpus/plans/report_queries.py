@@ -148,7 +148,7 @@ def findings(t: Tables):
 
 
 def items(t: Tables):
-    return reports.action_items(audits.seo_audit(sp(t)), audits.a11y_audit(sp(t)), page_contrast(t), reports.page_http_checks(observations(t)), reports.visual_diff_gate(diffs(t)))
+    return reports.action_items(audits.page_issues(sp(t)), page_contrast(t), reports.page_http_checks(observations(t)), reports.visual_diff_gate(diffs(t)))
 
 
 _lists = _SEO.format(pages="sp") + _A11Y.format(pages="sp")

@@ -82,7 +82,7 @@ query("typography_scale", ora(f"""
  r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY coalesce(try_cast(regexp_extract(value, '^\\s*(-?(?:\\d+\\.?\\d*|\\.\\d+))', 1) AS DOUBLE), 0) DESC, value) AS rn
    FROM c WHERE kind = 'font-size')
  SELECT c.*, (['H1','H2','H3','H4','H5','Body','Small','XSmall'])[r.rn] AS context FROM c LEFT JOIN r USING (site, kind, value)"""))(
-    lambda t: tokens.typography_scale(sd(t)))
+    lambda t: tokens.typography_scale(stage(tokens.typography_counts(sd(t)), "sizes")))
 
 
 def _side(i: tuple) -> str:

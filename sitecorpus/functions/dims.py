@@ -98,4 +98,5 @@ PRO_WIDGETS = (
     ("loop-grid", "e-flexbox", True), ("posts", "e-flexbox", True), ("form", "e-flexbox", False),
     ("nav-menu", "e-flexbox", True), ("mega-menu", "e-flexbox", True), ("search-form", "e-flexbox", False),
     ("price-table", "e-flexbox", True), ("slide", "e-flexbox", False), ("countdown", "e-paragraph", True),
+    ("theme-template", "e-flexbox", True), ("popup", None, False), ("login", "e-flexbox", False),
 )

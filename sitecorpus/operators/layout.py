@@ -131,7 +131,7 @@ def pro_feature_detect(nodes: DataFrame) -> DataFrame:
     norm = F.regexp_replace(F.lower(trim_ws(F.col("name"))), r"[\s_-]+", "-")
     found = F.lit(None)
     for key, target, graceful in reversed(PRO_WIDGETS):
-        row = F.struct(F.lit(key).alias("feature"), F.lit(target).alias("stand_in"), F.lit(graceful).alias("graceful"))
+        row = F.struct(F.lit(key).alias("feature"), F.lit(target).cast("string").alias("stand_in"), F.lit(graceful).alias("graceful"))
         found = F.when(F.contains(norm, F.lit(key)), row).otherwise(found)
     return nodes.select("page_id", "pos", "name", found.alias("f")).filter("f is not null").select("page_id", "pos", "name", "f.*")
 

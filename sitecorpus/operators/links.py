@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.functions.columns import site_of, trim_ws
@@ -166,12 +164,6 @@ def platform_by_site(pages: DataFrame) -> DataFrame:
     )
 
 
-def tracking_pattern() -> str:
-    """All listed hosts as one alternation (used by stream jobs and tests)."""
-    hosts = list(SHARED_TRACKING_HOSTS) + [d for ds in PLATFORM_TRACKING_HOSTS.values() for d in ds]
-    return "|".join(re.escape(h) for h in hosts)
-
-
 def project_match(pages: DataFrame) -> DataFrame:
     """Project id written in the page against the slug of its URL; one row per page carrying an id."""
     embedded = F.lower(F.regexp_extract("html", r"(?i)data-project-id=[\"']([^\"']+)[\"']", 1))

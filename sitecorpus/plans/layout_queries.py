@@ -91,7 +91,7 @@ query("component_text", ora("""
    AND NOT contains(v, '/>') AND NOT contains(v, '</') AND NOT regexp_matches(v, '[A-Za-z0-9_]+="[^"]*"')) WHERE rn = 1"""))(lambda t: layout.component_text(nodes(t)))
 _pro = "CASE " + " ".join(f"WHEN contains(n, '{k}') THEN {i}" for i, (k, _, _) in enumerate(PRO_WIDGETS, 1)) + " END"
 query("pro_feature_detect", ora(f"""
- SELECT page_id, pos::BIGINT AS pos, name, ({[k for k, _, _ in PRO_WIDGETS]})[ix] AS feature, ({[s for _, s, _ in PRO_WIDGETS]})[ix] AS stand_in, ({[str(g).lower() for _, _, g in PRO_WIDGETS]})[ix]::BOOLEAN AS graceful
+ SELECT page_id, pos::BIGINT AS pos, name, ({[k for k, _, _ in PRO_WIDGETS]})[ix] AS feature, ({str([s for _, s, _ in PRO_WIDGETS]).replace('None', 'NULL')})[ix] AS stand_in, ({[str(g).lower() for _, _, g in PRO_WIDGETS]})[ix]::BOOLEAN AS graceful
  FROM (SELECT *, {_pro} AS ix FROM (SELECT *, regexp_replace(lower(trim(name)), '[\\s_-]+', '-', 'g') AS n FROM lnode)) WHERE ix IS NOT NULL"""))(lambda t: layout.pro_feature_detect(nodes(t)))
 cte("tst", "SELECT " + ", ".join(lsrc.TEXT_STYLE_COLUMNS) + " FROM (SELECT site, unnest(range(0, 4)) AS n FROM (SELECT DISTINCT site FROM page_site))")
 cte("tfb", """

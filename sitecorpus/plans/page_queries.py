@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sitecorpus.functions.dims import STRIP_RULES, VOID_TAGS
 from sitecorpus.operators import audits, html, links
-from sitecorpus.plans.registry import Tables, cte, ora, query
+from sitecorpus.plans.registry import cte, ora, query
 from sitecorpus.session import stage
 
 _void = ",".join(f"'{t}'" for t in VOID_TAGS)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import automaton, naming
+from sitecorpus.llm import automaton, naming, packing
 from sitecorpus.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,12 @@ def op5_decontamination(table):
         "doc_id", "n_words", automaton.n_hit().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op9_packing")
+def op9_packing(table):
+    """Every piece of every document with its sequence and place."""
+    return packing.pack(packing.pieces(table("documents"), TOKENIZER))

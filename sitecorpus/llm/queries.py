@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import automaton, naming, packing
+from sitecorpus.llm import automaton, naming, packing, sketch
 from sitecorpus.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op2_exact_dedup(table):
     return naming.exact_groups(table("documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op3_near_dedup")
+def op3_near_dedup(table):
+    """Every document with its component of near copies."""
+    return sketch.near_groups(table("documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op5_decontamination", r"""
 WITH RECURSIVE item AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

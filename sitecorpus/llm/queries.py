@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import automaton, naming, packing, sketch
+from sitecorpus.llm import automaton, naming, packing, ppm, sketch
 from sitecorpus.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,15 @@ def op5_decontamination(table):
     )
 
 
+@query("op6_language_id")
+def op6_language_id(table):
+    """Language of every document, learnt from those whose crc32 mod 4 is not 2."""
+    held_out = ppm.crc_mod(F.col("doc_id"), 4) == 2
+    docs = table("documents")
+    model = ppm.train(docs.filter(~held_out))
+    return ppm.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 

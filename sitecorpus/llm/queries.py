@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import automaton, naming, packing, ppm, sketch
+from sitecorpus.llm import anchors, automaton, naming, packing, ppm, sketch
 from sitecorpus.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,17 @@ TOKENIZER = "byte_bpe_50k.json"
 def op9_packing(table):
     """Every piece of every document with its sequence and place."""
     return packing.pack(packing.pieces(table("documents"), TOKENIZER))
+
+
+@query("op10_pii")
+def op10_pii(table):
+    """Personal data of every document: counts, and spans of the base kinds and of all kinds."""
+    base = anchors.KINDS[:4]
+    found = anchors.find(table("documents").select("doc_id", "text"))
+    written = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, base),
+        F.sha2(F.array_join(F.transform(F.filter("spans", lambda s: s["kind"].isin(*base)), written), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", written), ",").alias("spans"),
+    )

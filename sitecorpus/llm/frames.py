@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -26,3 +26,13 @@ def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.
                 yield from [made] if isinstance(made, pa.RecordBatch) else made
 
     return run
+
+
+def bounded(rows: DataFrame, most: int, key: Column) -> DataFrame:
+    """About `most` of the rows, or all if there are fewer, by a hash of the key: the same ones every time."""
+    share = min(1.0, most / max(1, rows.count()))
+    return rows if share == 1.0 else rows.filter(F.pmod(F.xxhash64(key.cast("string")), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def crc_mod(key: Column, n: int) -> Column:
+    return F.pmod(F.crc32(key.cast("string")), F.lit(n))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import anchors, automaton, naming, packing, ppm, sketch
+from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch
+from sitecorpus.llm.frames import crc_mod
 from sitecorpus.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,12 +82,21 @@ def op5_decontamination(table):
 @query("op6_language_id")
 def op6_language_id(table):
     """Language of every document, learnt from those whose crc32 mod 4 is not 2."""
-    held_out = ppm.crc_mod(F.col("doc_id"), 4) == 2
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
     docs = table("documents")
     model = ppm.train(docs.filter(~held_out))
     return ppm.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+@query("op8_quality")
+def op8_quality(table):
+    """Quality of every document, learnt from labelled ones whose crc32 mod 3 is not 1."""
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    docs = table("documents")
+    model = boosted.train(docs.filter(~held_out), table("labels").select("doc_id", F.col("quality").alias("label")))
+    return boosted.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch
+from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch, toxic
 from sitecorpus.llm.frames import crc_mod
 from sitecorpus.session import prepare
 
@@ -88,6 +88,15 @@ def op6_language_id(table):
     return ppm.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+@query("op7_toxicity")
+def op7_toxicity(table):
+    """Toxicity of every document, learnt from labelled ones whose crc32 mod 3 is not 1."""
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    docs = table("documents")
+    model = toxic.train(docs.filter(~held_out), table("labels").select("doc_id", F.col("toxic").alias("label")))
+    return toxic.scored(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 @query("op8_quality")
 def op8_quality(table):
     """Quality of every document, learnt from labelled ones whose crc32 mod 3 is not 1."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch, toxic
+from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch, toxic, wrapper
 from sitecorpus.llm.frames import crc_mod
 from sitecorpus.session import prepare
 
@@ -48,6 +48,12 @@ def op3_near_dedup(table):
     return sketch.near_groups(table("documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op4_html_extraction")
+def op4_html_extraction(table):
+    """Main text of every page."""
+    return wrapper.extract(table("pages")).select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op5_decontamination", r"""
 WITH RECURSIVE item AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

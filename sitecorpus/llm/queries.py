@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import anchors, automaton, boosted, naming, packing, ppm, sketch, toxic, wrapper
+from sitecorpus.llm import anchors, automaton, boosted, licences, naming, packing, ppm, sketch, toxic, wrapper
 from sitecorpus.llm.frames import crc_mod
 from sitecorpus.session import prepare
 
@@ -29,6 +29,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_licence_scan")
+def op1_licence_scan(table):
+    """Licence passages of every document, with the best score and where each stands."""
+    found = licences.scan(table("documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("licences").cast("bigint").alias("n_passages"), F.array_join(F.array_sort(F.array_distinct("licences.licence")), ",").alias("licences"),
+        F.coalesce(F.array_max("licences.score"), F.lit(0.0)).alias("best_score"),
+        F.array_join(F.transform("licences", lambda x: F.concat_ws(":", x["licence"], x["first"].cast("string"), x["last"].cast("string"))), ",").alias("passages"),
+    )
+
+
 @query("op2_exact_dedup", r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sitecorpus.llm.frames import per_batch
-from sitecorpus.llm.tokens import CachedTokenizer
+from sitecorpus.llm.tokens import tokenizer as worker_tokenizer
 from sitecorpus.session import stage
 
 LIMIT = 1024
@@ -34,7 +34,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = LIMIT,
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = CachedTokenizer(tokenizer)
+        encode = worker_tokenizer(tokenizer)
         counts = np.zeros(limit + 1, np.int64)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):

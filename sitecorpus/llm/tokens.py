@@ -11,76 +11,113 @@ import numpy as np
 # place, so the chunks' ids in a row are the text's.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
-CACHED = 200_000  # chunks kept in a task
+CACHED = 500_000  # chunks a worker keeps
 LONGEST = 48  # characters of a chunk that is kept
 
 
 class CachedTokenizer:
+    """Token ids as the `tokenizers` library gives them for the file. Chunks that are new are merged by `tiktoken` with the
+    file's own vocabulary, whose ids are in merge order; texts that hold a special token's string go to `tokenizers`."""
+
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's own core
         import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.bytes[i] = len(token)  # a character stands for a byte
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        byte_of = {c: b for b, c in _byte_characters().items()}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in self.special}
+        self.merges = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, i in ranks.items():
+            self.bytes[i] = len(token)
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.first = [0]
+        self.ids = np.zeros(1 << 20, np.uint32)
+        self.ends = np.zeros(1 << 18, np.int64)  # ends[i]: where the ids of chunk i end
+
+    def _encode(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.merges.encode_ordinary(text), np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
-        """Tokenises new chunks; those that begin with a space in one go."""
+        """Adds new chunks; those that begin with a space are tokenised in one go."""
         spaced = [c for c in chunks if c[0] == " " and len(c) > 1]
-        text = "".join(spaced)
-        found: list[tuple[str, np.ndarray]] = []
-        if spaced:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            ends = np.cumsum(self.bytes[ids])
-            cut = np.searchsorted(ends, np.cumsum([len(c.encode()) for c in spaced]), "left") + 1
-            found = list(zip(spaced, np.split(ids, cut[:-1]), strict=True))
         rest = [c for c in chunks if not (c[0] == " " and len(c) > 1)]
-        found += [(c, np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.uint32)) for c in rest]
-        for chunk, ids in found:
-            self.known[chunk] = len(self.first) - 1
-            at, end = self.first[-1], self.first[-1] + len(ids)
-            while end > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[at:end] = ids
-            self.first.append(end)
+        parts, sizes = [], []
+        if spaced:
+            text = "".join(spaced)
+            if any(s in text for s in self.special):
+                rest, spaced = spaced + rest, []
+            else:
+                ids = np.array(self.merges.encode_ordinary(text), np.uint32)
+                cut = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(c.encode()) for c in spaced]), "left") + 1
+                parts.append(ids)
+                sizes.append(np.diff(cut, prepend=0))
+        for c in rest:
+            parts.append(self._encode(c))
+            sizes.append(np.array([len(parts[-1])]))
+        if not parts:
+            return
+        ids, size, n = np.concatenate(parts), np.concatenate(sizes), len(self.known)
+        at = int(self.ends[n - 1]) if n else 0
+        while at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(size) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[at : at + len(ids)] = ids
+        self.ends[n : n + len(size)] = at + np.cumsum(size)
+        self.known.update(zip(spaced + rest, range(n, n + len(size)), strict=True))
 
     def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each followed by end_id; where each text begins)."""
         if len(self.known) > CACHED:
             self._clear()
-        parts: list[list[str]] = []
+        chunks: list[str] = []
+        many = [0]
         for t in texts:
             if any(s in t for s in self.special):
-                cut = [t]
+                chunks.append(t)
             else:
                 cut = _CUT.split(t) if _WIDE.search(t) else t.split(" ")
-                cut[1:] = [" " + c for c in cut[1:]]
-            parts.append(cut if cut[0] else cut[1:])
-        new = {c for p in parts for c in p} - self.known.keys()
-        long = [c for c in new if len(c) > LONGEST]
-        self._learn(sorted(new.difference(long)))
-        kept, end = len(self.known), self.first[-1]
-        self._learn(long)
-        number = np.fromiter((self.known[c] for p in parts for c in p), np.int64)
-        first = np.array(self.first)
-        sizes = (first[1:] - first[:-1])[number]
-        stop = np.cumsum(sizes)
-        ids = self.ids[np.repeat(first[:-1][number] - (stop - sizes), sizes) + np.arange(stop[-1] if len(stop) else 0)]
-        if long:  # used once
-            for c in list(self.known)[kept:]:
-                del self.known[c]
-            self.first = self.first[: kept + 1]
-            assert self.first[-1] == end
-        ends = np.concatenate([[0], stop])[np.cumsum([len(p) for p in parts])]
-        out = np.insert(ids, ends, np.uint32(end_id))
-        return out, np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+                if cut[0]:
+                    chunks.append(cut[0])
+                chunks += [" " + c for c in cut[1:]]
+            many.append(len(chunks))
+        new = set(chunks).difference(self.known)
+        long = {c for c in new if len(c) > LONGEST}
+        self._learn(list(new - long))
+        kept = len(self.known)
+        self._learn(list(long))
+        number = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        stops = self.ends[number]
+        sizes = stops - np.where(number > 0, self.ends[number - 1], 0)
+        upto = np.cumsum(sizes)
+        ids = self.ids[np.repeat(stops - upto, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+        for c in long:  # used once; they are the last
+            del self.known[c]
+        assert len(self.known) == kept
+        ends = np.concatenate([np.zeros(1, np.int64), upto])[many[1:]]
+        return np.insert(ids, ends, np.uint32(end_id)), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if visible, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {b: chr(b) for b in shown}
+    return out | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in out)}
+
+
+_kept: dict[str, CachedTokenizer] = {}
+
+
+def tokenizer(name: str) -> CachedTokenizer:
+    """One for each worker process, so that what a task has learnt serves the next."""
+    if name not in _kept:
+        _kept[name] = CachedTokenizer(name)
+    return _kept[name]

@@ -8,8 +8,10 @@ WS = r"[\s ]+"
 
 
 def site_of(url: Column) -> Column:
-    """Host of a URL without a leading ``www.``; NULL when the URL does not parse."""
-    return F.regexp_replace(F.lower(F.try_parse_url(url, F.lit("HOST"))), r"^www\.", "")
+    """Host of a URL, lower-cased, without user, port or a leading ``www.``; empty when the URL has none, so that such pages
+    form a group of their own in joins and counts."""
+    host = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.regexp_replace(F.lower(host), r"^www\.", "")
 
 
 def trim_ws(c: Column) -> Column:

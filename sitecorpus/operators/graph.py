@@ -97,8 +97,10 @@ def build_order_layers(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
     nodes = e.select(*g, F.col("src").alias("node")).unionByName(e.select(*g, F.col("dst").alias("node"))).distinct()
     rest = cut(nodes)
     open_edges, placed, layer = e, None, 0
-    while layer < max_rounds:
+    while True:
         layer += 1
+        if layer > max_rounds:
+            raise RuntimeError(f"layers did not settle in {max_rounds} rounds")
         waiting = open_edges.select(*g, F.col("src").alias("node")).distinct()
         ready = cut(rest.join(waiting, [*g, "node"], "left_anti"))
         if ready.isEmpty():
@@ -130,6 +132,8 @@ def nearest_ancestor(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
         hop = p.select("page_id", F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("done").alias("done2"))
         todo = p.filter("not done").join(hop, ["page_id", "ptr"]).select("page_id", "node", F.col("ptr2").alias("ptr"), F.col("done2").alias("done"))
         p = cut(p.filter("done").unionByName(todo))
+    else:
+        raise RuntimeError(f"pointers did not settle in {max_rounds} rounds")
     return p.select("page_id", "node", F.col("ptr").alias("ancestor"))
 
 

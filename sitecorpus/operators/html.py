@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from sitecorpus.functions.columns import bind, site_of, trim_ws
 from sitecorpus.functions.dims import VOID_TAGS
 
-_TAG = r"^<(/?)([A-Za-z][A-Za-z0-9-]*)([^>]*)>"
+# A tag's attributes, where a quoted value may hold ">" (one with a lone quote ends at the first); and the text after a tag,
+# up to the next "<" that begins a tag. Loops run per quoted value and per bare "<", not per character.
+ATTRS = r"""(?:[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*|[^>]*)"""
+TEXT = r"[^<]*(?:<(?![/]?[A-Za-z])[^<]*)*"
+_TAG = rf"^<(/?)([A-Za-z][A-Za-z0-9-]*)({ATTRS})>"
+_TOKEN = rf"<[/]?[A-Za-z]{ATTRS}>{TEXT}"
 
 
 def with_site(pages: DataFrame) -> DataFrame:
@@ -21,6 +26,7 @@ def with_site(pages: DataFrame) -> DataFrame:
 
 def _markup(html):
     h = F.regexp_replace(html, r"(?is)<!--.*?-->", "")
+    h = F.regexp_replace(h, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
     h = F.regexp_replace(h, r"(?is)<script([^>]*)>.*?</script>", "<script$1></script>")
     return F.regexp_replace(h, r"(?is)<style([^>]*)>.*?</style>", "<style$1></style>")
 
@@ -29,7 +35,7 @@ def html_tokens(pages: DataFrame) -> DataFrame:
     """One row per tag: (page_id, pos, kind open|close|self, tag, attrs, text after the tag)."""
     raw = pages.select(
         "page_id",
-        F.posexplode(F.regexp_extract_all(_markup(F.col("html")), F.lit(r"<[/]?[A-Za-z][^>]*>[^<]*"), F.lit(0))).alias(
+        F.posexplode(F.regexp_extract_all(_markup(F.col("html")), F.lit(_TOKEN), F.lit(0))).alias(
             "pos", "tok"
         ),
     )
@@ -39,7 +45,7 @@ def html_tokens(pages: DataFrame) -> DataFrame:
         F.regexp_extract("tok", _TAG, 1).alias("slash"),
         F.lower(F.regexp_extract("tok", _TAG, 2)).alias("tag"),
         F.regexp_extract("tok", _TAG, 3).alias("attrs"),
-        F.regexp_replace("tok", r"^<[^>]*>", "").alias("text"),
+        F.regexp_replace("tok", rf"^<{ATTRS}>", "").alias("text"),
     )
     kind = (
         F.when(F.col("slash") == "/", "close")
@@ -195,11 +201,11 @@ def page_text_summary(pages: DataFrame) -> DataFrame:
 
     A page's tags and texts are one array, so the blocks are picked in place and no text is shuffled.
     """
-    tokens = F.regexp_extract_all(_markup(F.col("html")), F.lit(r"<[/]?[A-Za-z][^>]*>[^<]*"), F.lit(0))
+    tokens = F.regexp_extract_all(_markup(F.col("html")), F.lit(_TOKEN), F.lit(0))
 
     def block(t):
         tag = F.lower(F.regexp_extract(t, _TAG, 2))
-        text = trim_ws(F.regexp_replace(F.regexp_replace(t, r"^<[^>]*>", ""), r"[\s\x{00A0}]+", " "))
+        text = trim_ws(F.regexp_replace(F.regexp_replace(t, rf"^<{ATTRS}>", ""), r"[\s\x{00A0}]+", " "))
         return F.when(~tag.isin("title", "script", "style"), text)
 
     blocks = F.filter(F.transform(tokens, block), lambda x: F.length(x) > 20)
@@ -221,7 +227,7 @@ def element_signatures(elements: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", part.alias("p")))), lambda s: s["p"]), "::").alias("raw"),
     )
     return per_parent.filter("n_children >= 2").select(
-        "page_id", "parent_pos", "n_children", F.substring(F.md5("raw"), 1, 12).alias("struct_hash")
+        "page_id", "parent_pos", "n_children", F.md5("raw").alias("struct_hash")
     )
 
 

@@ -47,10 +47,10 @@ def page_links(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", "pos", "site", site.alias("target_site"), "target_url", path.alias("target_path"))
 
 
-def internal_links(pages: DataFrame, per_page: int = 50) -> DataFrame:
-    """Distinct same-site links per page in document order, the first `per_page` kept (the crawler's own rule).
+def internal_links(pages: DataFrame) -> DataFrame:
+    """Distinct same-site links per page in document order, with their rank; a crawl queue of n takes rank <= n.
 
-    A page's anchors are one array: resolved, filtered, made distinct and cut in place, without a shuffle.
+    A page's anchors are one array: resolved, filtered and made distinct in place, without a shuffle.
     """
     p = _resolved_links(pages)
 
@@ -58,7 +58,7 @@ def internal_links(pages: DataFrame, per_page: int = 50) -> DataFrame:
         site, path = _target(u)
         return (site == F.col("site")) & ~path.isin("", "/")
 
-    kept = F.slice(F.array_distinct(F.filter("urls", internal)), 1, per_page)
+    kept = F.array_distinct(F.filter("urls", internal))
     rows = p.select("page_id", "site", "urls", F.posexplode(kept).alias("nth", "target_url"))
     return rows.select(
         "page_id", "site", "target_url", _target(F.col("target_url"))[1].alias("target_path"),

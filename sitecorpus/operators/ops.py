@@ -135,7 +135,7 @@ def retry_stats(calls: DataFrame, base_ms: int = 500) -> DataFrame:
     )
     return g.select(
         "service", "k", "attempts", "failures",
-        (F.lit(base_ms) * (F.pow(F.lit(2.0), F.least("failures", F.lit(30))) - 1)).cast("bigint").alias("expected_backoff_ms"),
+        (F.lit(float(base_ms)) * (F.pow(F.lit(2.0), "failures") - 1)).alias("expected_backoff_ms"),
         F.coalesce(F.col("last_success") > F.col("first_failure"), F.lit(False)).alias("recovered"),
     )
 
@@ -160,7 +160,7 @@ def health_snapshot(calls: DataFrame, stale_days: int = 7) -> DataFrame:
 
 def lesson_upsert(notes: DataFrame, start_pct: int = 50, step_pct: int = 5, cap_pct: int = 95) -> DataFrame:
     """Notes (content, created_at) to lessons: equal content reinforces, raising confidence up to a cap."""
-    g = notes.groupBy(F.substring(F.md5("content"), 1, 12).alias("id")).agg(
+    g = notes.groupBy(F.md5("content").alias("id")).agg(
         F.count("*").alias("n"), F.min("created_at").alias("created_at"), F.max("created_at").alias("last_reinforced_at"),
         F.min(F.length("content")).alias("chars"),
     )

@@ -72,8 +72,9 @@ def token_type(name, value):
 
 
 def token_label(name):
+    """The name as a label; whole, since labels are joined on. A shorter one is for the reader to cut."""
     base = F.regexp_replace(F.regexp_replace(name, "^--", ""), "^token-", "framer-")
-    return F.substring(F.regexp_replace(F.lower(base), "[^a-z0-9_-]", "-"), 1, 50)
+    return F.regexp_replace(F.lower(base), "[^a-z0-9_-]", "-")
 
 
 def token_catalog(sd: DataFrame) -> DataFrame:
@@ -270,15 +271,15 @@ def style_ref_match(catalog: DataFrame, style_paths: DataFrame) -> DataFrame:
 def name_contained_in(needles: DataFrame, hay: DataFrame) -> DataFrame:
     """Pairs (site, needle, hay) where the needle occurs in the hay text, by equality on substrings.
 
-    Each distinct hay text is expanded to its distinct substrings (its length squared, independent of the number
-    of needles), which turns the containment test into an equi-join that Spark can partition.
+    Each distinct hay text is expanded to its distinct substrings of the lengths that the site's needles have, so the rows
+    grow with the text's length, and the containment test is an equi-join that Spark can partition.
     """
-    h = hay.select("site", "hay").distinct()
-    starts = F.sequence(F.lit(1), F.length("hay"))
-    subs = h.select("site", "hay", F.explode(starts).alias("s")).select(
-        "site", "hay", F.explode(F.transform(F.sequence(F.lit(1), F.length("hay") - F.col("s") + 1), lambda n: F.substring(F.col("hay"), F.col("s"), n))).alias("needle")
-    ).distinct()
-    return needles.select("site", "needle").distinct().filter("needle != ''").join(subs, ["site", "needle"])
+    wanted = needles.select("site", "needle").distinct().filter("needle != ''")
+    lengths = wanted.select("site", F.length("needle").alias("n")).distinct()
+    h = hay.select("site", "hay").distinct().join(lengths, "site").filter(F.length("hay") >= F.col("n"))
+    starts = F.sequence(F.lit(1), F.length("hay") - F.col("n") + 1)
+    subs = h.select("site", "hay", "n", F.explode(starts).alias("s")).select("site", "hay", F.expr("substring(hay, s, n)").alias("needle")).distinct()
+    return wanted.join(subs, ["site", "needle"])
 
 
 def color_crosscheck(design: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def tree_signatures(elements: DataFrame) -> DataFrame:
         F.count("*").alias("n_children"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", part.alias("p")))), lambda s: s["p"]), "::").alias("raw"),
     )
-    return kids.filter("n_children >= 2").select("page_id", "parent_ix", "n_children", F.substring(F.md5("raw"), 1, 12).alias("struct_hash"))
+    return kids.filter("n_children >= 2").select("page_id", "parent_ix", "n_children", F.md5("raw").alias("struct_hash"))
 
 
 def tree_candidates(elements: DataFrame, min_dups: int = 2) -> DataFrame:

@@ -70,7 +70,7 @@ query("run_status_summary", ora("""
   sum(duration_ms)::BIGINT AS elapsed_ms, coalesce(string_agg(phase, ',' ORDER BY phase_ord) FILTER (status = 'failed'), '') AS failed_phases FROM lphase GROUP BY 1"""))(
     lambda t: ops.run_status_summary(runs(t)))
 query("retry_stats", ora("""
- SELECT service, k, count(*) AS attempts, count(*) FILTER (status = 'error') AS failures, (500 * (2 ** least(count(*) FILTER (status = 'error'), 30) - 1))::BIGINT AS expected_backoff_ms,
+ SELECT service, k, count(*) AS attempts, count(*) FILTER (status = 'error') AS failures, 500.0 * (2.0 ** (count(*) FILTER (status = 'error')) - 1)::DOUBLE AS expected_backoff_ms,
   coalesce(max((ts, event_id)) FILTER (status = 'ok') > min((ts, event_id)) FILTER (status = 'error'), false) AS recovered FROM calls GROUP BY 1, 2"""))(
     lambda t: ops.retry_stats(calls(t)))
 query("health_snapshot", ora("""
@@ -94,7 +94,7 @@ def _dated(df):
 
 
 cte("lessons", """
- SELECT left(md5(text), 12) AS id, min(length(text)) AS chars, strftime(min(d), '%Y-%m-%d') AS created_at, strftime(max(d), '%Y-%m-%d') AS last_reinforced_at,
+ SELECT md5(text) AS id, min(length(text)) AS chars, strftime(min(d), '%Y-%m-%d') AS created_at, strftime(max(d), '%Y-%m-%d') AS last_reinforced_at,
   least(95, 50 + 5 * (count(*) - 1)) / 100 AS confidence, count(*) - 1 AS reinforced_count
  FROM (SELECT *, DATE '2024-01-01' + (doc_id % 365)::INT AS d FROM documents) GROUP BY 1""")
 query("lesson_upsert", ora("SELECT * FROM lessons"))(lambda t: _dated(lessons(t)))

@@ -9,21 +9,23 @@ from sitecorpus.session import stage
 
 _void = ",".join(f"'{t}'" for t in VOID_TAGS)
 
-cte("page_site", "SELECT page_id, url, html, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)), '^www\\.', '') AS site FROM pages")
-cte("tag_text", """
+cte("page_site", "SELECT page_id, url, html, regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\\.', '') AS site FROM pages")
+# The same token pattern, said without look-ahead.
+_attrs = """(?:[^>"'']*(?:(?:"[^"]*"|''[^'']*'')[^>"'']*)*|[^>]*)"""
+cte("tag_text", f"""
  SELECT page_id, unnest(a) AS tok, generate_subscripts(a, 1) - 1 AS pos FROM (
   SELECT page_id, regexp_extract_all(
-    regexp_replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'),
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?s)<!\\[CDATA\\[(.*?)\\]\\]>', '\\1', 'g'),
       '(?is)<script([^>]*)>.*?</script>', '<script\\1></script>', 'g'),
       '(?is)<style([^>]*)>.*?</style>', '<style\\1></style>', 'g'),
-    '<[/]?[A-Za-z][^>]*>[^<]*') AS a FROM pages)""")
+    '<[/]?[A-Za-z]{_attrs}>[^<]*(?:<(?:[^/A-Za-z<]|/[^A-Za-z<])[^<]*)*') AS a FROM pages)""")
 cte("tags", f"""
  SELECT page_id, pos, tag, attrs, text,
    CASE WHEN slash = '/' THEN 'close' WHEN attrs LIKE '%/' OR tag IN ({_void}) THEN 'self' ELSE 'open' END AS kind
  FROM (SELECT page_id, pos, regexp_extract(tok, '^<(/?)', 1) AS slash,
    lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9-]*)', 1)) AS tag,
-   regexp_extract(tok, '^</?[A-Za-z][A-Za-z0-9-]*([^>]*)>', 1) AS attrs,
-   regexp_replace(regexp_replace(tok, '^<[^>]*>', ''), '^\\s+|\\s+$', '', 'g') AS text FROM tag_text)""")
+   regexp_extract(tok, '^</?[A-Za-z][A-Za-z0-9-]*({_attrs})>', 1) AS attrs,
+   regexp_replace(regexp_replace(tok, '^<{_attrs}>', ''), '^\\s+|\\s+$', '', 'g') AS text FROM tag_text)""")
 cte("leveled", """
  SELECT *, after + CASE WHEN kind = 'open' THEN 0 ELSE 1 END AS level FROM (
   SELECT *, run - least(0, min(run) OVER w) AS after FROM (
@@ -91,7 +93,7 @@ query("page_text_summary", ora("""
 cte("kids", "SELECT page_id, parent_pos, count(*) AS kids FROM els WHERE parent_pos IS NOT NULL GROUP BY 1, 2")
 cte("sigs", """
  SELECT e.page_id, e.parent_pos, count(*) AS n_children,
-   left(md5(string_agg(e.tag || '|' || coalesce(k.kids, 0), '::' ORDER BY e.pos)), 12) AS struct_hash
+   md5(string_agg(e.tag || '|' || coalesce(k.kids, 0), '::' ORDER BY e.pos)) AS struct_hash
  FROM els e LEFT JOIN kids k ON k.page_id = e.page_id AND k.parent_pos = e.pos
  WHERE e.parent_pos IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2""")
 query("component_candidates", ora("""
@@ -122,7 +124,6 @@ cte("hrefs", """
    trim(unnest(a)) AS href, generate_subscripts(a, 1) AS pos
  FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*href=["'']([^"'']*)["'']', 1) AS a FROM pages)""")
 cte("internal", """
- SELECT * FROM (
  SELECT page_id, site, target_url, target_path, min(pos) - 1 AS first_pos, row_number() OVER (PARTITION BY page_id ORDER BY min(pos)) AS rank FROM (
   SELECT page_id, pos, regexp_replace(host, '^www\\.', '') AS site, u AS target_url,
     regexp_replace(lower(regexp_extract(u, '^https?://([^/?#]+)', 1)), '^www\\.', '') AS target_site,
@@ -130,7 +131,7 @@ cte("internal", """
    SELECT *, regexp_replace(CASE WHEN regexp_matches(href, '^https?://') THEN href WHEN href LIKE '//%' THEN scheme || ':' || href
      WHEN href LIKE '/%' THEN scheme || '://' || host || href END, '#.*$', '') AS u FROM hrefs
    WHERE href <> '' AND NOT regexp_matches(href, '(?i)^(javascript:|mailto:|tel:|#)')) WHERE u IS NOT NULL)
- WHERE site = target_site AND target_path NOT IN ('', '/') GROUP BY 1, 2, 3, 4) WHERE rank <= 50""")
+ WHERE site = target_site AND target_path NOT IN ('', '/') GROUP BY 1, 2, 3, 4""")
 query("internal_links", ora("SELECT page_id, site, target_url, target_path, first_pos, rank FROM internal"))(
     lambda t: links.internal_links(t.table("pages"))
 )

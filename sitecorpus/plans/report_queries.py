@@ -47,7 +47,7 @@ query("ungrouped_elements", ora("SELECT DISTINCT page_id, node_ix FROM jsig s WH
     lambda t: ops.ungrouped_elements(Trees(t, True).props, 20))
 cte("jcand", """
  SELECT struct_hash, n_children, count(*) AS occurrences, count(DISTINCT page_id) AS pages, min((page_id, parent_ix)) AS f FROM (
-  SELECT e.page_id, p.node_ix AS parent_ix, count(*) AS n_children, left(md5(string_agg(coalesce(e.widget_type, e.el_type) || '|' || e.n_children || '|' || array_to_string(list_sort(json_keys(e.styles)), ','), '::' ORDER BY e.ord)), 12) AS struct_hash
+  SELECT e.page_id, p.node_ix AS parent_ix, count(*) AS n_children, md5(string_agg(coalesce(e.widget_type, e.el_type) || '|' || e.n_children || '|' || array_to_string(list_sort(json_keys(e.styles)), ','), '::' ORDER BY e.ord)) AS struct_hash
   FROM jel e JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY 1, 2 HAVING count(*) >= 2""")
 query("component_candidates_tree", ora("SELECT struct_hash, n_children, occurrences, pages, f[1] AS page_id, f[2] AS first_ix FROM jcand"))(lambda t: ops.tree_candidates(Trees(t).elements))
 query("component_fields", ora("""

@@ -45,7 +45,7 @@ cte("cat", f"""
  SELECT *, CASE WHEN (contains(n, '-color') OR (contains(n, '-text') AND NOT contains(n, 'font'))) AND {_looks} THEN 'color'
    WHEN regexp_matches(n, '-font|family|typography') THEN 'font' WHEN regexp_matches(n, '-size|-spacing|-width') THEN 'size'
    WHEN {_looks} THEN 'color' WHEN regexp_matches(value, '^[0-9]') AND regexp_matches(value, '(px|%|em|rem|vw|vh)$') THEN 'size' ELSE 'unknown' END AS token_type,
-   left(regexp_replace(lower(regexp_replace(regexp_replace(name, '^--', ''), '^token-', 'framer-')), '[^a-z0-9_-]', '-', 'g'), 50) AS label,
+   regexp_replace(lower(regexp_replace(regexp_replace(name, '^--', ''), '^token-', 'framer-')), '[^a-z0-9_-]', '-', 'g') AS label,
    {hexsql('value')} AS hex FROM (
   SELECT site, name, lower(name) AS n, primary_value AS value, occurrences FROM tok_usage
   UNION ALL SELECT site, name, lower(name), arg_min(v, (so, i)), 0 FROM (

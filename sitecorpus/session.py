@@ -31,13 +31,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or a temporary one when none is configured (tests)."""
+    """The cluster's checkpoint folder; with a local master and none configured (tests), a temporary one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -62,12 +64,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than there are cores (a single small file).
-
-    Large tables come in many more splits than cores and are left as they are, so no raw text is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -27,15 +27,15 @@ def looks_like_xml(c):
     return F.when(F.ltrim(c).startswith("<"), "xml").otherwise("json")
 
 
-def asset_inventory(spark: SparkSession, path: str, max_depth: int = 10) -> DataFrame:
+def asset_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files below a folder with size, extension and mime type; file contents are not read.
 
-    Hidden files, dependency folders and thumbnails databases are skipped, as is anything nested too deep.
+    Hidden files, dependency folders and thumbnails databases are skipped.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     rel = F.regexp_extract("path", rf"{path.rstrip('/').replace('.', '[.]')}/(.*)$", 1)
     ext = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
-    f = files.withColumn("rel", rel).filter(~F.col("rel").rlike(_SKIPPED) & (F.size(F.split("rel", "/")) <= max_depth))
+    f = files.withColumn("rel", rel).filter(~F.col("rel").rlike(_SKIPPED))
     return f.select(F.col("rel").alias("path"), "length", ext.alias("extension"), mime_of(ext).alias("mime"))
 
 

@@ -192,7 +192,7 @@ def dedupe_within_watermark(calls: DataFrame, delay: str = "1 hour") -> DataFram
 
 def lessons(notes: DataFrame) -> DataFrame:
     """Confidence and repeat count per lesson as streaming state; repeats are counted before the shuffle."""
-    g = notes.groupBy(F.substring(F.md5("content"), 1, 12).alias("id")).agg(F.count("*").alias("n"))
+    g = notes.groupBy(F.md5("content").alias("id")).agg(F.count("*").alias("n"))
     conf = F.least(F.lit(95), F.lit(50) + F.lit(5) * (F.col("n") - 1)) / 100
     return g.select("id", (F.col("n") - 1).alias("reinforced_count"), conf.alias("confidence"))
 

@@ -65,3 +65,44 @@ def test_platform_prefers_url(pages):
     df = pages('<div data-wf-site="1">', '<div data-wf-site="1">', "<p>plain</p>", url=["https://a.wixsite.com/x", "https://b.example/x", "https://c.example/"])
     got = {r.page_id: (r.platform, r.evidence) for r in links.platform_detect(df).collect()}
     assert got == {0: ("wix", "url"), 1: ("webflow", "html"), 2: (None, None)}
+
+
+def tokens_of(df):
+    from sitecorpus.operators.html import html_tokens
+
+    return [(r.kind, r.tag, r.attrs, r.text) for r in html_tokens(df).orderBy("page_id", "pos").collect()]
+
+
+def test_text_runs_to_the_next_tag(pages):
+    assert tokens_of(pages("<p>a < b and more text here</p>")) == [("open", "p", "", "a < b and more text here"), ("close", "p", "", "")]
+    assert tokens_of(pages("<p>1 <2 << 3 </ 4<b>x")) == [("open", "p", "", "1 <2 << 3 </ 4"), ("open", "b", "", "x")]
+
+
+def test_quoted_values_may_hold_brackets(pages):
+    assert tokens_of(pages("""<a title="x > y" href='/q>'>z</a>""")) == [("open", "a", """ title="x > y" href='/q>'""", "z"), ("close", "a", "", "")]
+    assert tokens_of(pages('<p title="open>text</p>'))[0] == ("open", "p", ' title="open', "text")
+
+
+def test_character_data_is_text(pages):
+    assert tokens_of(pages("<p><![CDATA[some text]]></p>"))[0][3] == "some text"
+
+
+def test_long_text_and_attributes(pages):
+    got = tokens_of(pages(f'<p a={"x" * 50_000} b="{"y" * 50_000}">{"word " * 20_000}</p>'))
+    assert len(got) == 2 and len(got[0][3]) == 99_999
+
+
+def test_sites_of_odd_urls(pages):
+    from sitecorpus.operators.html import with_site
+
+    urls = ["https://WWW.my_shop.example/a|b", "http://user@h.example:80/x", "no url", None]
+    assert [r.site for r in with_site(pages("<p>", "<p>", "<p>", "<p>", url=urls)).orderBy("page_id").collect()] == ["my_shop.example", "h.example", "", ""]
+
+
+def test_all_links_count(pages):
+    from sitecorpus.operators.links import internal_links, site_link_graph
+
+    hub = "".join(f'<a href="/p{i}">x</a>' for i in range(60))
+    df = pages(hub, *["<p>"] * 60, url=["https://h.example/"] + [f"https://h.example/p{i}" for i in range(60)])
+    assert internal_links(df).count() == 60
+    assert [r.path for r in site_link_graph(df).filter("orphan").collect()] == ["/"]

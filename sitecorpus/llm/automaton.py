@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sitecorpus.llm.frames import per_batch
+from sitecorpus.llm.frames import free_name, per_batch
 from sitecorpus.llm.words import NON_ALNUM, Words, text_slices
 from sitecorpus.session import stage
 
@@ -274,7 +274,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
 
     Rows without a hit come back as they are, null texts too.
     """
-    hit = n_hit()
-    found = scan(docs, items, window, text_col, **options).filter(hit <= F.col("n_words") * max_coverage)
+    other = {c: free_name(docs, f"_{c}") for c in docs.columns if c.lower() in _FOUND}
+    found = scan(docs.withColumnsRenamed(other), items, window, text_col, **options).filter(n_hit() <= F.col("n_words") * max_coverage)
     clean = F.when(F.size("spans") > 0, _without(F.col(text_col), F.col("spans"))).otherwise(F.col(text_col))
-    return found.withColumn(text_col, clean).select(docs.columns)
+    return found.withColumn(text_col, clean).drop(*_FOUND).withColumnsRenamed({v: k for k, v in other.items()}).select(docs.columns)

@@ -165,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows with a null id or label are left out; repeated ones count each. At most about `sample` rows are measured.
     """
     chosen = bounded(labels.filter(F.col("label").isin(0, 1) & F.col(id_col).isNotNull()), sample, F.col(id_col))
-    known = docs.select(id_col, text_col).join(chosen.select(id_col, F.col("label").cast("int").alias("label")), id_col).select(F.col(text_col), "label")
+    chosen = F.broadcast(chosen.select(id_col, F.col("label").cast("int").alias("label")))  # bounded by the sample
+    known = docs.select(id_col, text_col).join(chosen, id_col).select(F.col(text_col), "label")
     table = _measured(known).toPandas()  # bounded by the sample
     if not len(table):
         return None

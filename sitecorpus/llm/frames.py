@@ -36,3 +36,10 @@ def bounded(rows: DataFrame, most: int, key: Column) -> DataFrame:
 
 def crc_mod(key: Column, n: int) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(n))
+
+
+def row_key(id_col: Column, text: Column) -> Column:
+    """A 128-bit name of a row by its id and text. Unlike a row's place it is the same whenever and however a table is
+    read, so that steps can be joined on it; only rows that are repeated as a whole share it."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(part(id_col), F.lit(":"), part(text))))

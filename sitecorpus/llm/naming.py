@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sitecorpus.llm.frames import row_key
 from sitecorpus.session import stage
 
 BLOCK = 2048  # code points
@@ -44,21 +45,21 @@ def _renamed(rows: DataFrame, contents: DataFrame, numbers: DataFrame) -> DataFr
     """rows(rid, …, names) with numbers taken from (bucket, content, number); contents has (rid, pos, bucket, content)."""
     changed = (
         contents.join(numbers.filter("number > 1"), ["bucket", "content"])
-        .groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("pos", "number"))).alias("new"))  # one text's blocks
+        .groupBy("rid").agg(F.map_from_entries(F.collect_set(F.struct("pos", "number"))).alias("new"))  # one text's blocks
     )
     names = F.transform("names", lambda x, i: F.struct(x["k"].alias("k"), F.coalesce(F.col("new")[i], x["r"]).alias("r")))
     return rows.join(changed, "rid", "left").withColumn("names", F.when(F.col("new").isNull(), F.col("names")).otherwise(names)).drop("new")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, bucket=_bucket) -> DataFrame:
-    """Per row: rid (its place in `docs`), doc_id, keep_id, group_size, kept, text_sha256.
+    """Per row: rid (frames.row_key of id and text), doc_id, keep_id, group_size, kept, text_sha256.
 
-    Of equal texts the row with the most code points stays, then the smallest id (null last), then the first place; so
-    exactly one of repeated rows stays. Null text counts as empty, and all empty texts form one group. An empty table
-    gives no rows. Other columns of `docs` are not read. rid is monotonically_increasing_id() over `docs`.
+    Of equal texts the row with the most code points stays, then the smallest id (null last), then the smallest key;
+    rows repeated as a whole share a key and are kept or not together. Null text counts as empty, and all empty texts
+    form one group. An empty table gives no rows. Other columns of `docs` are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    parted = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text.alias("text")).select(
+    parted = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rid"), F.col(id_col).alias("doc_id"), text.alias("text")).select(
         "rid", "doc_id", F.char_length("text").alias("n"), F.regexp_replace("text", WHITE, "").alias("norm"),
     ).select("rid", "doc_id", "n", "norm", F.regexp_extract_all("norm", F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("blocks"))
     rows = stage(

@@ -7,8 +7,11 @@ Chernoff-like bounds. `BANDS` bands of `ROWS` coordinates key the buckets. With
 32 buckets with probability (1 - 0.85^6)^32 < 3e-7.
 
 Documents with one shingle set form a class first, so copies meet no bucket twice. Within a bucket, every class is held
-against the bucket's hub (the member met most often); what these links already join is done, and the pairs left over,
-between different components, are compared in a second step. Wide buckets are narrowed for that by a second band.
+against the bucket's hub (the member met most often); what these links already join is done. The pairs left over, between
+different components, are compared in a second step: those of small buckets one by one. In wide buckets (a passage that
+many texts share) that would grow with the square of the bucket, so there a pair must also meet in the rare shingles
+that any two sets of this similarity have to share: each set is put in order from rare to frequent, and linked sets
+have a common shingle within their first 15 %, at places that leave enough after them for the overlap asked for.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitecorpus.llm.frames import per_batch
+from sitecorpus.llm.frames import per_batch, row_key
 from sitecorpus.llm.words import SPACES, Words, mix, shingles, text_slices
 from sitecorpus.operators.graph import connected_components
 from sitecorpus.session import stage
@@ -29,7 +32,8 @@ COORDS, ROWS = 192, 6
 BANDS = COORDS // ROWS
 WORDS = 5
 LEAST = 85  # hundredths of the union
-WIDE = 200  # classes in a bucket from which a second band is asked for
+WIDE = 8  # members of a bucket up to which all its pairs are made
+SLOTS = 1 << 18  # counters of shingle frequencies; they only put shingles in order
 # Equal coordinates (by 8 bits) below which a pair need not be verified: at similarity 0.85, 163 of 192 are expected, with a
 # standard deviation of 5; 128 is seven deviations less.
 FEWEST = 128
@@ -88,12 +92,12 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 ["rid", "doc_id", "n_shingles", "digest", "bands", "bits"],
             )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch(run), f"rid bigint, doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, bits binary")
+    rows = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(per_batch(run), f"rid binary, doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, bits binary")
 
 
-def _sets(docs: DataFrame, rids: DataFrame, text_col: str) -> DataFrame:
-    """(digest, set) of the rows named in rids(rid, digest): the sorted shingle hashes, from the whole texts again."""
+def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(digest, set) of the classes: the sorted shingle hashes of the row that stands for each, from the whole text again."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, offsets in text_slices(batch.column(1)):
@@ -101,27 +105,24 @@ def _sets(docs: DataFrame, rids: DataFrame, text_col: str) -> DataFrame:
             own = [shingles(words, i, WORDS).tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["digest", "set"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text_col).alias("text")).join(rids, "rid").select("digest", "text")
-    return rows.mapInArrow(per_batch(run), "digest binary, set binary")
+    # The same plan at every size: the classes may be too many to send everywhere.
+    texts = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
+    rows = texts.join(classes.select("rid", "digest").hint("merge"), "rid").select("digest", "text")
+    # A row that is repeated as a whole comes several times.
+    return stage(rows.mapInArrow(per_batch(run), "digest binary, set binary").dropDuplicates(["digest"]), "shingle-sets")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes with 100 * intersection >= LEAST * union on their full sets."""
-    side = lambda k: classes.select(F.col("digest").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"), F.col("rid").alias(f"rid_{k}"))
+    side = lambda k: classes.select(F.col("digest").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * LEAST
 
     def alike(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COORDS) for k in (4, 5))
-        keep = pa.array((x == y).sum(1) >= FEWEST)
-        return batch.select([0, 1, 2, 3]).filter(keep)
-
-    close = stage(
-        pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b", "rid_a", "rid_b", "bits_a", "bits_b")
-        .mapInArrow(per_batch(alike), "a binary, b binary, rid_a bigint, rid_b bigint"),
-        "close-pairs",
-    )
-    rids = close.select(F.col("rid_a").alias("rid"), F.col("a").alias("digest")).unionByName(close.select(F.col("rid_b").alias("rid"), F.col("b").alias("digest"))).distinct()
-    sets = stage(_sets(docs, rids, text_col), "shingle-sets")
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COORDS) for k in (2, 3))
+        return batch.select([0, 1]).filter(pa.array((x == y).sum(1) >= FEWEST))
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b", "bits_a", "bits_b")
+    close = joined.mapInArrow(per_batch(alike), "a binary, b binary")
 
     def linked(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -133,9 +134,48 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text_col: s
             keep.append(100 * common >= LEAST * (len(both) - common))
         return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    named = lambda k: sets.select(F.col("digest").alias(k), F.col("set").alias(f"set_{k}"))
-    joined = close.select("a", "b").join(named("a"), "a").join(named("b"), "b").select("a", "b", "set_a", "set_b")
-    return stage(joined.mapInArrow(per_batch(linked), "a binary, b binary"), "links")
+    named = lambda k: sets.select(F.col("digest").alias(k), F.col("set").alias(f"set_{k}")).hint("merge")
+    both = close.join(named("a"), "a").join(named("b"), "b").select("a", "b", "set_a", "set_b")
+    return stage(both.mapInArrow(per_batch(linked), "a binary, b binary"), "links")
+
+
+def _rare_first(sets: DataFrame) -> DataFrame:
+    """(digest, n, token, place): the first 15 % of each set's shingles in the order from rare to frequent among `sets`."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for v in batch.column(0):
+                n += np.bincount((np.frombuffer(v.as_buffer(), np.uint64) % _U64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["slot", "n"])
+
+    table = sets.select("set").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # at most SLOTS rows
+    frequency = np.zeros(SLOTS, np.int64)
+    frequency[table["slot"]] = table["n"]
+
+    def first(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i, v in enumerate(batch.column(1)):
+            own = np.frombuffer(v.as_buffer(), np.uint64)
+            n = len(own)
+            order = np.lexsort((own, frequency[(own % _U64(SLOTS)).astype(np.int64)]))[: n - (LEAST * n + 99) // 100 + 1]
+            at = pa.array(np.full(len(order), i))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), pa.array(np.full(len(order), n, np.int64)), pa.array(own[order].astype(np.int64)), pa.array(np.arange(len(order)))],
+                ["digest", "n", "token", "place"],
+            )
+
+    return sets.select("digest", "set").mapInArrow(per_batch(first), "digest binary, n bigint, token bigint, place bigint")
+
+
+def _apart(rows: DataFrame, key: list[str], fits: str = "true") -> DataFrame:
+    """Pairs (a, b) of rows(key…, digest, component, …) in one cell but different components, if they fit."""
+    several = rows.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*key)
+    rows = rows.join(several, key)
+    left, right = rows.alias("x"), rows.alias("y")
+    on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in key]
+    pairs = left.join(right, on).filter(f"x.digest < y.digest AND x.component <> y.component AND {fits}")
+    return pairs.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -149,12 +189,12 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: rid (its place in `docs`), doc_id, n_shingles, component_id, kept.
+    """Per row: rid (frames.row_key of id and text), doc_id, n_shingles, component_id, kept.
 
     Words are ASCII-lower-cased runs of non-space. Documents are linked when their sets of 5-word shingles have
     100 * intersection >= 85 * union; fewer words are one shingle; texts without words (null, empty) link with nothing
     and keep their own id. component_id is the smallest id in the component (null ids last). One row of each component
-    is kept: the first place among those with that id, so repeated rows leave one. Extra columns are not read.
+    is kept: the smallest key among those with that id; rows repeated as a whole share it. Extra columns are not read.
     """
     rows = stage(sketched(docs, id_col, text_col), "sketches")
     classes = stage(
@@ -174,25 +214,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near = ranked.join(hubs, ["band", "key"]).filter("digest <> hub.digest").groupBy("digest", "hub").agg(F.count("*").alias("shared"))
     best = near.groupBy("digest").agg(F.max_by("hub", F.struct("shared", (-F.col("hub.met")).alias("met"), "hub.digest")).alias("hub"))
     tried = stage(best.select(*_ordered(F.col("digest"), F.col("hub.digest"))).distinct(), "hub-pairs")
-    links = _verified(tried, classes, docs, text_col)
+    sets = _sets(docs, classes.join(met.select("digest"), "digest", "left_semi"), id_col, text_col)
+    links = _verified(tried, classes, sets)
     joined = stage(_components(links), "components")
 
     # Pairs of one bucket that are still apart.
-    open_ = stage(buckets.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "open")
-    apart = open_.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band", "key")
-    rest = open_.join(apart, ["band", "key"])
-    wide = F.col("members") > WIDE
-    other = classes.select("digest", F.posexplode("bands").alias("band2", "key2"))
-    narrow = rest.filter(~wide).select("band", "key", F.lit(-1).alias("band2"), F.lit(0).cast("bigint").alias("key2"), "digest", "component")
-    split = rest.filter(wide).join(other, "digest").filter("band2 > band").select("band", "key", "band2", "key2", "digest", "component")
-    cells = stage(narrow.unionByName(split), "cells")
-    cell = ["band", "key", "band2", "key2"]
-    several = cells.groupBy(*cell).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*cell)
-    cells = cells.join(several, cell)
-    right = cells.select(*cell, F.col("digest").alias("digest2"), F.col("component").alias("component2"))
-    # Of two components in a cell the pair is made once, in digest order.
-    pairs = cells.join(right, cell).filter("digest < digest2 AND component <> component2").select(F.col("digest").alias("a"), F.col("digest2").alias("b")).distinct()
-    more = _verified(pairs.join(tried, ["a", "b"], "left_anti"), classes, docs, text_col)
+    open_ = buckets.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    mixed = open_.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band", "key")
+    rest = stage(open_.join(mixed, ["band", "key"]).select("band", "key", "digest", "component", "members"), "unsettled")
+    few = _apart(rest.filter(F.col("members") <= WIDE), ["band", "key"])
+    wide = rest.filter(F.col("members") > WIDE).select("digest", "component").distinct()
+    rare = stage(_rare_first(sets.join(wide, "digest", "left_semi")).join(wide, "digest"), "rare-shingles")
+    enough = f"least(x.n - x.place, y.n - y.place) * {100 + LEAST} >= {LEAST} * (x.n + y.n)"
+    more = _verified(few.unionByName(_apart(rare, ["token"], enough)).distinct().join(tried, ["a", "b"], "left_anti"), classes, sets)
     final = stage(_components(links.unionByName(more)), "components")
 
     lowest = classes.join(final, "digest").groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -1,21 +1,65 @@
-"""From raw documents to packed training sequences: each stage applies one operator to what the stage before it kept."""
+"""From raw documents to packed training sequences: each stage applies one operator to all that the stage before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import naming
+from sitecorpus.llm import automaton, naming, packing, sketch, toxic
+from sitecorpus.llm.frames import crc_mod, free_name, row_key
 from sitecorpus.session import prepare, stage
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """`docs` without the rows that the machine holds toxic. It learns from labelled rows whose crc32 of the id mod 3 is
+    not 1; without both labels among them nothing goes. Null texts stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    model = toxic.train(docs.filter(crc_mod(F.col("doc_id"), 3) != 1), labels)
+    added = free_name(docs, "toxic_score"), free_name(docs, "toxic_predicted")
+    return toxic.scored(docs, model, returned=docs.columns, added=added).filter(F.col(added[1]) == 0).select(docs.columns)
+
+
+def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`docs` without the rows with a key in `gone`; of rows repeated as a whole (keys in `repeated`) one stays."""
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    named = lambda keys: keys.select(F.col("rid").alias(key))
+    kept = keyed.join(named(gone), key, "left_anti")
+    if repeated.isEmpty():
+        return kept.drop(key)
+    once = kept.join(named(repeated), key, "left_semi").dropDuplicates([key])
+    return kept.join(named(repeated), key, "left_anti").unionByName(once).drop(key)
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, as in naming.exact_groups; columns are those of `docs`."""
-    gone = stage(naming.exact_groups(docs).filter("NOT kept").select("rid"), "exact-copies")
-    return docs.withColumn("rid", F.monotonically_increasing_id()).join(gone, "rid", "left_anti").drop("rid")
+    """One row of each group of equal texts stays, as in naming.exact_groups; of rows repeated as a whole, one."""
+    groups = stage(naming.exact_groups(docs).filter("group_size > 1").select("rid", "kept"), "copies")
+    repeated = stage(groups.filter("kept").groupBy("rid").count().filter("count > 1").select("rid"), "repeated")
+    return _without(docs, groups.filter("NOT kept").select("rid"), repeated)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of near copies stays, as in sketch.near_groups; rows without words all stay."""
+    gone = stage(sketch.near_groups(docs).filter("NOT kept").select("rid"), "near-copies")
+    return _without(docs, gone, gone.limit(0))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stretches from benchmark items are cut out of the texts, and n_chars follows; rows that are mostly such go."""
+    clean = automaton.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place, as in packing.pack."""
+    return packing.pack(packing.pieces(docs, TOKENIZER))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("best_fit_packing", best_fit_packing),
+]
+ORACLE_SQL = None  # the toxicity stage is a trained model
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sitecorpus.llm.frames import bounded, per_batch
+from sitecorpus.session import stage
 
 SAMPLE = 20_000  # labelled texts to learn from, at most about this many
 TELLING = 200  # landmarks
@@ -150,56 +151,58 @@ class Model:
 
 
 class _Means:
-    """Mean of a per-word vector over the words of texts, with a bounded cache of the words' vectors."""
+    """Mean over the words of texts of their similarities to the landmarks, or of those times `into`, with a bounded cache
+    of the words' vectors."""
 
-    def __init__(self, kernel: Kernel, into: np.ndarray):
+    def __init__(self, kernel: Kernel, into: np.ndarray | None = None):
         self.kernel, self.into = kernel, into
-        self.most = min(CACHED, 16_000_000 // into.shape[1])
+        self.width = len(kernel.landmarks) if into is None else into.shape[1]
+        self.most = min(CACHED, 16_000_000 // self.width)
         self.known: dict[str, int] = {}
-        self.values = np.zeros((0, into.shape[1]), np.float32)
-        self.used = 0
+        self.values = np.zeros((0, self.width), np.float32)
 
     def _learn(self, words: list[str]) -> None:
-        if self.used + len(words) > self.most:
-            self.known.clear()
-            self.used = 0
-        if self.used + len(words) > len(self.values):
-            more = np.zeros((max(2 * len(self.values), self.used + len(words), 4096), self.into.shape[1]), np.float32)
-            more[: self.used] = self.values[: self.used]
+        used = len(self.known)
+        if used + len(words) > len(self.values):
+            more = np.zeros((max(2 * len(self.values), used + len(words), 4096), self.width), np.float32)
+            more[:used] = self.values[:used]
             self.values = more
         for lo in range(0, len(words), 8192):
             some = words[lo : lo + 8192]
-            pieces = [readings(w) for w in some]
-            flat = [p for ps in pieces for p in ps]
-            k = self.kernel(flat)
-            if len(flat) > len(some):  # the best of a word's readings
-                k = np.maximum.reduceat(k, np.cumsum([0, *(len(p) for p in pieces)])[:-1], axis=0)
-            self.values[self.used : self.used + len(some)] = k @ self.into
-            self.known.update(zip(some, range(self.used, self.used + len(some)), strict=True))
-            self.used += len(some)
+            if all(w.isalnum() and len(w) <= LONGEST for w in some):
+                k = self.kernel(some)
+            else:
+                read = [readings(w) for w in some]
+                k = self.kernel([r for rs in read for r in rs])
+                k = np.maximum.reduceat(k, np.cumsum([0, *map(len, read)])[:-1], axis=0)  # the best of a word's readings
+            self.values[used + lo : used + lo + len(some)] = k if self.into is None else k @ self.into
+        self.known.update(zip(words, range(used, used + len(words)), strict=True))
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), self.into.shape[1]))
+        out = np.zeros((len(texts), self.width))
         lo = 0
         while lo < len(texts):
-            parts, size = [], 0
-            while lo + len(parts) < len(texts) and size < max(1 << 13, (1 << 20) // self.into.shape[1]):
-                t = texts[lo + len(parts)] or ""
-                parts.append(words_of(t))
+            words: list[str] = []
+            ends, size = [0], 0
+            while lo + len(ends) <= len(texts) and size < max(1 << 13, (1 << 20) // self.width):
+                t = texts[lo + len(ends) - 1] or ""
+                words += words_of(t)
+                ends.append(len(words))
                 size += len(t)
-            new = {w for p in parts for w in p}
-            if not new <= self.known.keys():
-                fresh = new - self.known.keys()
-                if self.used + len(fresh) > self.most:
-                    fresh = new  # the cache is emptied first
-                self._learn(sorted(fresh))
-            number = np.fromiter((self.known[w] for p in parts for w in p), np.int64)
-            sizes = np.array([len(p) for p in parts])
+            new = set(words).difference(self.known)
+            if new:
+                if len(self.known) + len(new) > self.most:
+                    self.known.clear()
+                    new = set(words)
+                plain = {w for w in new if w.isalnum() and len(w) <= LONGEST}
+                self._learn(list(plain))
+                self._learn(list(new - plain))
+            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            sizes = np.diff(ends)
             some = np.flatnonzero(sizes)
             if len(some):
-                first = (np.cumsum(sizes) - sizes)[some]
-                out[lo + some] = np.add.reduceat(self.values[number], first, axis=0, dtype=np.float64) / sizes[some][:, None]
-            lo += len(parts)
+                out[lo + some] = np.add.reduceat(self.values[number], np.array(ends[:-1])[some], axis=0, dtype=np.float64) / sizes[some][:, None]
+            lo += len(sizes)
         return out
 
 
@@ -263,17 +266,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows with a null id or label are left out; repeated ones count each. At most about `sample` texts are read.
     """
     chosen = bounded(labels.filter(F.col("label").isin(0, 1) & F.col(id_col).isNotNull()), sample, F.col(id_col))
-    known = docs.select(id_col, F.col(text_col).alias("text")).join(chosen.select(id_col, F.col("label").cast("int").alias("label")), id_col).select("text", "label")
+    chosen = F.broadcast(chosen.select(id_col, F.col("label").cast("int").alias("label")))  # bounded by the sample
+    known = stage(docs.select(id_col, F.col(text_col).alias("text")).join(chosen, id_col).select("text", "label"), "labelled-texts")
     marks = landmarks(known)
     if not marks:
         return None
     kernel = Kernel(marks)
     values, vectors = np.linalg.eigh(kernel(marks).astype(np.float64))
     root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
-    identity = np.eye(len(marks), dtype=np.float32)
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = _Means(kernel, identity)
+        mean = _Means(kernel)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(mean(b.column(0).to_pylist())), pa.list_(pa.float64()))], ["label", "x"])
 
@@ -296,8 +299,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def scored(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD, returned: list[str] | None = None) -> DataFrame:
-    """The columns `returned` of `docs` (all but the text) with score and predicted (1 if score >= threshold).
+def scored(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD, returned: list[str] | None = None, added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """The columns `returned` of `docs` (all but the text) with score and predicted (1 if score >= threshold), called as in `added`.
 
     Null and empty texts have the score of a text without a telling word; without a model all scores are 0.
     """
@@ -315,12 +318,12 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
             if mean is not None:
                 score = model.probabilities(mean(batch.column(at).to_pylist())[:, 0] + model.bias)
             made = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
-            return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *made], [*(names[i] for i in kept), "score", "predicted"])
+            return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *made], [*(names[i] for i in kept), *added])
 
         yield from per_batch(one)(batches)
 
     fields = [f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in kept]
-    return docs.mapInArrow(run, ", ".join([*fields, "score double", "predicted int"]))
+    return docs.mapInArrow(run, ", ".join([*fields, f"`{added[0]}` double", f"`{added[1]}` int"]))
 
 
 _last: list = [None, None]

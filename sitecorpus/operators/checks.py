@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sitecorpus.functions.columns import js_round
+from sitecorpus.functions.columns import hex_norm, js_round
 
 # Guard name and severity, in report order.
 GUARDS = (
@@ -21,7 +21,7 @@ GUARDS = (
 )
 MIN_SCORE = 85
 # Element types a tree may contain, widget types, settings a widget needs, expected property types.
-EL_TYPES = ("widget", "e-flexbox", "e-div-block", "section", "container", "column")
+EL_TYPES = ("widget", "e-flexbox", "e-div-block", "section", "column")
 WIDGETS = ("e-heading", "e-paragraph", "e-button", "e-image", "e-svg", "e-divider", "e-component")
 CONTAINERS = ("e-flexbox", "e-div-block")
 REQUIRED_SETTINGS = (("e-heading", "title"), ("e-paragraph", "paragraph"), ("e-button", "text"), ("e-image", "image"))
@@ -30,7 +30,15 @@ PROP_TYPES = {
     "padding": ("dimensions", "size"), "margin": ("dimensions", "size"), "color": ("color", "global-color-variable"),
     "background": ("background",), "font-family": ("string", "global-font-variable"), "flex-direction": ("string",), "flex-wrap": ("string",),
 }
-VISUAL_SETTINGS = ("color", "font-size", "font-family", "line-height", "padding", "margin", "gap", "width", "background", "flex-direction", "opacity")
+# Visual properties that belong in styles and may not stand in a container's settings.
+VISUAL_SETTINGS = (
+    "color", "font-size", "font-family", "font-weight", "line-height", "letter-spacing",
+    "padding", "margin", "gap", "width", "height", "min-height", "max-width",
+    "background-color", "background", "background-overlay",
+    "flex-direction", "align-items", "justify-content", "flex-wrap",
+    "border-radius", "border-width", "border-color", "border-style",
+    "box-shadow", "opacity", "position", "overflow",
+)
 # Sizes in px above which a style needs a mobile variant.
 OVERSIZE = {"font-size": 28, "min-height": 200, "width": 100}
 OVERSIZE_PADDING = 20
@@ -44,13 +52,10 @@ def _rows(df: DataFrame, guard: str, detail, severity: str | None = None) -> Dat
 
 
 def style_rule_hits(props: DataFrame) -> DataFrame:
-    """g06, g07, g08, g11, g13 in one pass over the style rows."""
+    """g08, g11, g13 in one pass over the style rows."""
     prop, kind, vtype, text, num = (F.col(c) for c in ("prop", "kind", "vtype", "text", "num"))
     lh = prop == "line-height"
-    is_hex = text.rlike("^[ ]*#[0-9a-fA-F]{3,6}[ ]*$")
     rules = [
-        ("g06", is_hex & ~F.coalesce(vtype == "color", F.lit(False)), text),
-        ("g07", text.startswith("e-gv-") & ~F.contains(F.coalesce(vtype, F.lit("")), F.lit("variable")), text),
         ("g08", (prop == "font-family") & (vtype == "string") & F.contains(text, F.lit(" ")) & ~text.rlike("^[\"']"), text),
         ("g11", (prop == "background.color") & (vtype == "color"), text),
         ("g13", lh & (((kind == "number")) | ((kind == "string") & text.rlike(r"^\d+(\.\d+)?px$")) | ((vtype == "size") & (F.col("unit") == "px") & (num < 5))),
@@ -63,23 +68,46 @@ def style_rule_hits(props: DataFrame) -> DataFrame:
     return props.select(*_KEY, F.inline(hits))
 
 
-def g01_token_existence(props: DataFrame, kit: DataFrame) -> DataFrame:
-    """Variables a style names that the kit does not have."""
-    refs = props.filter(F.coalesce("ref_id", "text").startswith("e-gv-")).select(*_KEY, F.coalesce("ref_id", "text").alias("gv_id")).distinct()
-    return _rows(refs.join(kit.select("gv_id").distinct(), "gv_id", "left_anti"), "g01", F.col("gv_id"))
+def value_rule_hits(values: DataFrame) -> DataFrame:
+    """g06, g07, g12 in one pass over all values: bare hex colours in styles, variable ids that no variable type wraps, and
+    image sources that do not name exactly one of id and url or hold an explicit null url."""
+    text, parent = F.col("text"), F.coalesce("parent_type", F.lit(""))
+    issue = (
+        F.when(F.col("null_url"), "null-url").when(F.col("has_id") & F.col("has_url"), "both").when(~F.col("has_id") & ~F.col("has_url"), "neither")
+    )
+    rules = [
+        ("g06", (F.col("part") == "styles") & text.rlike(r"^\s*#[0-9a-fA-F]{3,6}\s*$") & (parent != "color"), text),
+        ("g07", text.startswith("e-gv-") & ~F.contains(parent, F.lit("variable")), text),
+        ("g12", issue.isNotNull(), issue),
+    ]
+    sev = {g: s for g, _, s in GUARDS}
+    hits = F.array_compact(F.array(*[
+        F.when(c, F.struct(F.lit(g).alias("check_id"), F.lit(sev[g]).alias("severity"), d.alias("detail"))) for g, c, d in rules
+    ]))
+    return values.select(*_KEY, F.inline(hits))
+
 
+def _gv_ids(values: DataFrame) -> DataFrame:
+    return values.filter(F.col("text").startswith("e-gv-")).withColumn("gv_id", F.col("text"))
 
-def _missing_refs(props: DataFrame, kit: DataFrame, vtype: str, guard: str) -> DataFrame:
-    refs = props.filter(F.col("vtype") == vtype).select(*_KEY, "prop", F.col("ref_id").alias("gv_id"))
-    return _rows(refs.join(kit.select("gv_id").distinct(), "gv_id", "left_anti"), guard, F.concat_ws(":", "prop", "gv_id"))
 
+def g01_token_existence(values: DataFrame, kit: DataFrame) -> DataFrame:
+    """Variables that styles or settings name, at any depth, and the kit does not have."""
+    refs = _gv_ids(values).select(*_KEY, "gv_id").distinct()
+    return _rows(refs.join(kit.select("gv_id").distinct(), "gv_id", "left_anti"), "g01", F.col("gv_id"))
 
-def g02_color_refs(props, kit):
-    return _missing_refs(props, kit, "global-color-variable", "g02")
 
+def g02_color_refs(values: DataFrame, kit: DataFrame) -> DataFrame:
+    """Colour references in styles that are no colour of the kit, or one without a valid hex value. `kit`: gv_id, kind, hex."""
+    refs = _gv_ids(values).filter("part = 'styles' AND parent_type = 'global-color-variable'").select(*_KEY, "path", "gv_id")
+    good = kit.filter("kind = 'color'").groupBy("gv_id").agg(F.max(F.col("hex").isNull() | hex_norm(F.col("hex")).isNotNull()).alias("good"))
+    bad = refs.join(good, "gv_id", "left").filter("NOT coalesce(good, false)")
+    return _rows(bad, "g02", F.concat_ws(":", "path", "gv_id"))
 
-def g03_font_refs(props, kit):
-    return _missing_refs(props, kit, "global-font-variable", "g03")
+
+def g03_font_refs(values: DataFrame, kit: DataFrame) -> DataFrame:
+    refs = _gv_ids(values).filter("part = 'styles' AND parent_type = 'global-font-variable'").select(*_KEY, "path", "gv_id")
+    return _rows(refs.join(kit.select("gv_id").distinct(), "gv_id", "left_anti"), "g03", F.concat_ws(":", "path", "gv_id"))
 
 
 def g04_breakpoints(variants: DataFrame) -> DataFrame:
@@ -124,15 +152,6 @@ def _image_src(elements: DataFrame) -> DataFrame:
     )
 
 
-def g12_image_source(elements: DataFrame) -> DataFrame:
-    """An image source has exactly one of id and url, and no explicit null url."""
-    s = _image_src(elements)
-    issue = (
-        F.when(F.col("null_url"), "null-url").when(F.col("has_id") & F.col("has_url"), "both").when(~F.col("has_id") & ~F.col("has_url"), "neither")
-    )
-    return _rows(s.withColumn("issue", issue).filter("issue is not null"), "g12", F.col("issue"))
-
-
 _VALID_ID = "^[a-z][a-z0-9_]*$"
 
 
@@ -147,19 +166,21 @@ def g14_ids(elements: DataFrame, styles: DataFrame, classes: DataFrame) -> DataF
 
 
 def g15_unique(elements: DataFrame) -> DataFrame:
-    g = elements.groupBy("page_id", "node_id").agg(F.count("*").alias("n"), F.min("node_ix").alias("node_ix")).filter("n > 1")
+    g = elements.filter("node_id is not null").groupBy("page_id", "node_id").agg(F.count("*").alias("n"), F.min("node_ix").alias("node_ix")).filter("n > 1")
     return _rows(g, "g15", F.concat_ws(":", "node_id", "n"))
 
 
 def g16_el_types(elements: DataFrame) -> DataFrame:
-    return _rows(elements.filter(~F.col("el_type").isin(*EL_TYPES)), "g16", F.col("el_type"))
+    """Elements whose type is missing or not one a tree may contain."""
+    kind = F.nullif(F.col("el_type"), F.lit(""))
+    return _rows(elements.filter(kind.isNull() | ~kind.isin(*EL_TYPES)), "g16", F.coalesce(kind, F.lit("missing")))
 
 
-def all_guards(elements, styles, variants, props, classes, kit) -> DataFrame:
+def all_guards(elements, styles, variants, props, classes, values, kit) -> DataFrame:
     parts = [
-        g01_token_existence(props, kit), g02_color_refs(props, kit), g03_font_refs(props, kit), g04_breakpoints(variants),
-        g05_binding(styles, classes), style_rule_hits(props), g09_base_variant(variants), g10_tablet(variants),
-        g12_image_source(elements), g14_ids(elements, styles, classes), g15_unique(elements), g16_el_types(elements),
+        g01_token_existence(values, kit), g02_color_refs(values, kit), g03_font_refs(values, kit), g04_breakpoints(variants),
+        g05_binding(styles, classes), value_rule_hits(values), style_rule_hits(props), g09_base_variant(variants), g10_tablet(variants),
+        g14_ids(elements, styles, classes), g15_unique(elements), g16_el_types(elements),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -255,6 +276,25 @@ def c6_format(styles: DataFrame, variants: DataFrame) -> DataFrame:
     return _rows(j, "c6", F.concat_ws(":", "style_id", "n"), "error")
 
 
+def c7_depth(elements: DataFrame, warn: int = 4, error: int = 6) -> DataFrame:
+    """Documents nested too deep, at their first deepest element (a root has depth 0)."""
+    deepest = elements.groupBy("page_id").agg(F.max("depth").alias("depth"), F.min_by("node_ix", F.struct((-F.col("depth")).alias("d"), "node_ix")).alias("node_ix"))
+    bad = deepest.filter(F.col("depth") >= warn)
+    return _rows(bad, "c7", F.col("depth"), "warning").withColumn("severity", F.when(F.col("detail").cast("int") >= error, "error").otherwise("warning"))
+
+
+def c9_reuse(signatures: DataFrame) -> DataFrame:
+    """Groups of children that repeat within a document: `signatures` is (page_id, parent_ix, struct_hash)."""
+    g = signatures.groupBy("page_id", "struct_hash").agg(F.count("*").alias("n"), F.min("parent_ix").alias("node_ix")).filter("n > 1")
+    return _rows(g, "c9", F.col("n"), "warning")
+
+
+def hardcoded_colors(props: DataFrame) -> DataFrame:
+    """Literal hex colours where a variable should stand."""
+    own = F.col("prop").isin("color", "background-color", "border-color") & (F.col("vtype") == "color") & F.col("text").rlike("^#[0-9A-Fa-f]{3,8}$")
+    return _rows(props.filter(own & (F.col("nested") == 0)), "hex", F.concat_ws(":", "prop", "text"), "warning")
+
+
 def c8_grid(elements: DataFrame, props: DataFrame) -> DataFrame:
     """Wrapping or crowded flex containers that would be better as a grid."""
     wrap = props.filter("prop = 'flex-wrap' and text = 'wrap'").select(*_KEY).distinct().withColumn("wraps", F.lit(True))

@@ -35,11 +35,11 @@ def tree_interactions(props: DataFrame) -> DataFrame:
     ).withColumn("duration_ms", F.lit(600))
 
 
-def variable_drift(props: DataFrame, kit: DataFrame, pages: DataFrame) -> DataFrame:
+def variable_drift(values: DataFrame, kit: DataFrame, pages: DataFrame) -> DataFrame:
     """Variables each page names: OK or DRIFT (not in the kit), NO_REFS for pages without any; an empty kit reports OK."""
-    refs = props.filter(F.col("ref_id").startswith("e-gv-")).select("page_id", F.col("ref_id").alias("gv_id")).distinct()
+    refs = values.filter(F.col("text").startswith("e-gv-")).select("page_id", F.col("text").alias("gv_id")).distinct()
     known = kit.select("gv_id", F.lit(True).alias("known")).distinct()
-    spark = props.sparkSession
+    spark = values.sparkSession
     checked = spark.sql(
         "SELECT r.*, (SELECT count(*) FROM {k}) AS kit_size FROM {r} r", k=known, r=refs.join(known, "gv_id", "left")
     )

@@ -18,14 +18,14 @@ query("tree_interactions", ora("""
  SELECT page_id, node_id, k2 AS kind, min(node_ix) AS node_ix, CASE k2 WHEN 'scroll' THEN 'scroll_into_view' ELSE 'page_load' END AS "trigger", 600::BIGINT AS duration_ms FROM (
   SELECT *, CASE WHEN prop = 'opacity' AND num < 1 THEN 'entrance' WHEN prop = 'transform' THEN 'scroll' END AS k2 FROM jprop
   WHERE coalesce(breakpoint, '') IN ('', 'desktop') AND state IS NULL AND style_id NOT LIKE 'gc-%' AND nested = 0) WHERE k2 IS NOT NULL GROUP BY 1, 2, 3"""))(
-    lambda t: ops.tree_interactions(Trees(t).props))
-query("token_existence", ora("SELECT coalesce(ref_id, text) AS gv_id, count(DISTINCT (page_id, node_ix)) AS elements FROM jprop WHERE coalesce(ref_id, text) LIKE 'e-gv-%' AND coalesce(ref_id, text) NOT IN (SELECT gv_id FROM jkit) GROUP BY 1"))(
-    lambda t: (lambda x: checks.g01_token_existence(x.props, x.kit).groupBy(F.col("detail").alias("gv_id")).agg(F.count("*").alias("elements")))(Trees(t)))
+    lambda t: ops.tree_interactions(Trees.of(t).props))
+query("token_existence", ora("SELECT text AS gv_id, count(DISTINCT (page_id, node_ix)) AS elements FROM jval WHERE text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit) GROUP BY 1"))(
+    lambda t: (lambda x: checks.g01_token_existence(x.values, x.kit).groupBy(F.col("detail").alias("gv_id")).agg(F.count("*").alias("elements")))(Trees.of(t)))
 query("variable_drift", ora("""
- , r AS (SELECT DISTINCT page_id, ref_id AS gv_id FROM jprop WHERE ref_id LIKE 'e-gv-%')
+ , r AS (SELECT DISTINCT page_id, text AS gv_id FROM jval WHERE text LIKE 'e-gv-%')
  SELECT page_id, gv_id, CASE WHEN gv_id IN (SELECT gv_id FROM jkit) THEN 'OK' ELSE 'DRIFT' END AS result FROM r
  UNION ALL SELECT page_id, NULL, 'NO_REFS' FROM tdoc WHERE page_id NOT IN (SELECT page_id FROM r)"""))(
-    lambda t: (lambda x: ops.variable_drift(x.props, x.kit, x.pages))(Trees(t, True)))
+    lambda t: (lambda x: ops.variable_drift(x.values, x.kit, x.pages))(Trees.of(t)))
 query("token_hardcode_report", ora("""
  , h AS (SELECT page_id, node_id, node_ix, CASE WHEN vtype = 'color' AND lit THEN 'color' WHEN prop = 'font-family' AND vtype = 'string' AND lit THEN 'font' WHEN s THEN 'size' END AS kind,
    CASE WHEN vtype = 'color' AND lit THEN left(text, 7) WHEN prop = 'font-family' AND vtype = 'string' AND lit THEN text WHEN s THEN prop || ':' || num::INT || 'px' END AS value FROM (
@@ -33,7 +33,7 @@ query("token_hardcode_report", ora("""
  c AS (SELECT kind, value, page_id, node_ix, any_value(node_id) AS node_id, count(*) AS n FROM h WHERE kind IS NOT NULL GROUP BY 1, 2, 3, 4),
  r AS (SELECT *, row_number() OVER (PARTITION BY kind, value ORDER BY page_id, node_ix) AS rn FROM c)
  SELECT kind, value, sum(n)::BIGINT AS occurrences, string_agg(node_id, ',' ORDER BY rn) FILTER (rn <= 5) AS samples, CASE WHEN sum(n) >= 3 THEN 'high' WHEN sum(n) >= 2 THEN 'medium' ELSE 'low' END AS severity FROM r GROUP BY 1, 2"""))(
-    lambda t: ops.token_hardcode_report(Trees(t, True).props))
+    lambda t: ops.token_hardcode_report(Trees.of(t).props))
 _in = {k: ", ".join(f"'{p}'" for p in v) for k, v in ops.CLASS_CATEGORIES.items()}
 cte("jsig", f"""
  SELECT page_id, node_ix, category, body, md5(body) AS signature FROM (SELECT page_id, node_ix, category, string_agg(DISTINCT pv, ';' ORDER BY pv) AS body FROM (
@@ -42,28 +42,28 @@ cte("jsig", f"""
 cte("jshare", "SELECT category, signature, count(*) AS elements, count(DISTINCT page_id) AS pages, min(body) AS body FROM jsig GROUP BY 1, 2 HAVING count(*) >= 2 OR category = 'background'")
 query("global_class_candidates", ora("""
  SELECT category, left(signature, 12) AS signature, elements, pages, CASE WHEN category = 'background' THEN 'bg' WHEN category = 'structure' THEN 'layout' WHEN px >= 40 THEN 'display' WHEN px >= 24 THEN 'heading' WHEN px >= 16 THEN 'body' ELSE 'small' END AS label
- FROM (SELECT *, try_cast(nullif(regexp_extract(body, 'font-size=([\\d.]+)', 1), '') AS DOUBLE) AS px FROM jshare)"""))(lambda t: ops.global_class_candidates(Trees(t).props))
+ FROM (SELECT *, try_cast(nullif(regexp_extract(body, 'font-size=([\\d.]+)', 1), '') AS DOUBLE) AS px FROM jshare)"""))(lambda t: ops.global_class_candidates(Trees.of(t).props))
 query("ungrouped_elements", ora("SELECT DISTINCT page_id, node_ix FROM jsig s WHERE NOT EXISTS (SELECT 1 FROM jsig x JOIN jshare h ON h.category = x.category AND h.signature = x.signature AND (h.elements >= 20 OR h.category = 'background') WHERE x.page_id = s.page_id AND x.node_ix = s.node_ix)"))(
-    lambda t: ops.ungrouped_elements(Trees(t, True).props, 20))
+    lambda t: ops.ungrouped_elements(Trees.of(t).props, 20))
 cte("jcand", """
  SELECT struct_hash, n_children, count(*) AS occurrences, count(DISTINCT page_id) AS pages, min((page_id, parent_ix)) AS f FROM (
   SELECT e.page_id, p.node_ix AS parent_ix, count(*) AS n_children, md5(string_agg(coalesce(e.widget_type, e.el_type) || '|' || e.n_children || '|' || array_to_string(list_sort(json_keys(e.styles)), ','), '::' ORDER BY e.ord)) AS struct_hash
   FROM jel e JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY 1, 2 HAVING count(*) >= 2""")
-query("component_candidates_tree", ora("SELECT struct_hash, n_children, occurrences, pages, f[1] AS page_id, f[2] AS first_ix FROM jcand"))(lambda t: ops.tree_candidates(Trees(t).elements))
+query("component_candidates_tree", ora("SELECT struct_hash, n_children, occurrences, pages, f[1] AS page_id, f[2] AS first_ix FROM jcand"))(lambda t: ops.tree_candidates(Trees.of(t).elements))
 query("component_fields", ora("""
  SELECT struct_hash, e.ord AS ord, fld AS field, CASE fld WHEN 'heading' THEN 'title' WHEN 'paragraph' THEN 'paragraph' WHEN 'button' THEN 'text' ELSE 'image' END AS setting,
   coalesce(e.settings->>'$.title.value.content.value', e.settings->>'$.paragraph.value.content.value', e.settings->>'$.text.value.content.value') AS default_value FROM (
   SELECT *, regexp_extract(widget_type, '^e-(heading|paragraph|image|button)$', 1) AS fld FROM jel) e
  JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] JOIN jcand c ON c.f[1] = e.page_id AND c.f[2] = p.node_ix WHERE fld <> ''"""))(
-    lambda t: (lambda x: ops.component_fields(x.elements, ops.tree_candidates(x.elements)))(Trees(t, True)))
+    lambda t: (lambda x: ops.component_fields(x.elements, ops.tree_candidates(x.elements)))(Trees.of(t)))
 query("component_usage", ora("""
  SELECT cid AS component_id, count(*) AS occurrences, string_agg(DISTINCT p.el_type, ',' ORDER BY p.el_type) AS parent_types, arg_min(i.page_id || '/' || i.node_id, (i.page_id, i.node_id)) AS first_instance
  FROM (SELECT *, settings->>'$."component-id".value' AS cid FROM jel) i JOIN jel p ON p.page_id = i.page_id AND p.path = i.path[1:len(i.path) - 1] WHERE cid IS NOT NULL GROUP BY 1"""))(
-    lambda t: ops.component_usage(Trees(t, True).elements))
+    lambda t: ops.component_usage(Trees.of(t).elements))
 query("schema_profile", ora("""
  SELECT section, name, detail, count(*) AS n FROM (SELECT 'el_type' AS section, coalesce(el_type, '(none)') AS name, '' AS detail FROM jel UNION ALL SELECT 'widget', widget_type, '' FROM jel WHERE widget_type IS NOT NULL
   UNION ALL SELECT 'breakpoint', coalesce(breakpoint, '(none)'), '' FROM jvar UNION ALL SELECT 'state', coalesce(state, '(none)'), '' FROM jvar
-  UNION ALL SELECT 'prop', prop, coalesce(vtype, 'plain-' || kind) FROM jprop WHERE nested = 0) GROUP BY 1, 2, 3"""))(lambda t: (lambda x: ops.schema_profile(x.elements, x.variants, x.props))(Trees(t, True)))
+  UNION ALL SELECT 'prop', prop, coalesce(vtype, 'plain-' || kind) FROM jprop WHERE nested = 0) GROUP BY 1, 2, 3"""))(lambda t: (lambda x: ops.schema_profile(x.elements, x.variants, x.props))(Trees.of(t)))
 
 
 def _b(x: str, ok: int, warn: int, up: bool = True) -> str:
@@ -80,12 +80,12 @@ query("quality_metrics", ora(f"""
  b AS (SELECT *, {_b('dom_depth', 3, 5, False)} AS depth_status, {_b('class_pct', 90, 70)} AS class_status, {_b('color_pct', 95, 80)} AS color_status, {_b('font_pct', 95, 80)} AS font_status,
    {_b('grid_pct', 35, 15)} AS grid_status, {_b('components', 10, 3)} AS component_status FROM m)
  SELECT *, ((depth_status = 'FAIL')::INT + (class_status = 'FAIL')::INT + (color_status = 'FAIL')::INT + (font_status = 'FAIL')::INT + (grid_status = 'FAIL')::INT + (component_status = 'FAIL')::INT)::BIGINT AS failed FROM b"""))(
-    lambda t: (lambda x: ops.quality_metrics(x.elements, x.styles, x.props))(Trees(t, True)))
+    lambda t: (lambda x: ops.quality_metrics(x.elements, x.styles, x.props))(Trees.of(t)))
 _lim = " OR ".join(f"(prop = '{k}' AND num > {v})" for k, v in ops.SCALE_LIMITS.items())
 query("responsive_variants", ora(f"""
  SELECT page_id, node_ix, style_id, f.b AS breakpoint, prop, unit, greatest(1, floor(num * f.x + 0.5))::DOUBLE AS num FROM jprop p, (SELECT unnest(['tablet', 'mobile']) AS b, unnest([0.75, 0.6]::DOUBLE[]) AS x) f
  WHERE coalesce(p.breakpoint, '') IN ('', 'desktop') AND state IS NULL AND vtype = 'size' AND ({_lim})
-  AND NOT EXISTS (SELECT 1 FROM jprop h WHERE h.page_id = p.page_id AND h.node_ix = p.node_ix AND h.style_id = p.style_id AND h.breakpoint = f.b)"""))(lambda t: ops.responsive_variants(Trees(t, True).props))
+  AND NOT EXISTS (SELECT 1 FROM jprop h WHERE h.page_id = p.page_id AND h.node_ix = p.node_ix AND h.style_id = p.style_id AND h.breakpoint = f.b)"""))(lambda t: ops.responsive_variants(Trees.of(t).props))
 
 
 def _scale(t: Tables):
@@ -173,7 +173,7 @@ _sco = " ".join(f"WHEN '{k}' THEN '{s}'" for k, (_, s) in reports.FIX_ACTIONS.it
 
 def _fix_issues(t: Tables):
     page = items(t).select(F.concat(F.lit("page-"), "page_id").alias("page_id"), F.lit(None).cast("int").alias("node_ix"), "check_id")
-    return page.unionByName(guard_rows(Trees(t, True)).select("page_id", "node_ix", "check_id"))
+    return page.unionByName(guard_rows(Trees.of(t)).select("page_id", "node_ix", "check_id"))
 
 
 query("autofix_plan", ora(_items + f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sitecorpus.operators import checks
 from sitecorpus.plans import ops_queries as oq
 from sitecorpus.plans.registry import ORACLES, Tables, ora, query
-from sitecorpus.plans.tree_queries import guard_rows
+from sitecorpus.plans.tree_queries import Trees, guard_rows
 from sitecorpus.session import stage
 from sitecorpus.sources import events as src, trees
 from sitecorpus.streaming import jobs
@@ -57,27 +57,15 @@ query("stream_lesson_upsert", ora("SELECT id, max(reinforced_count) AS reinforce
     lambda t: jobs.updates_to_table(jobs.lessons(notes_stream(t)), "lessons", ["id"], F.col("reinforced_count")))
 
 
-class _Batch:
-    """Tree tables of one micro-batch of documents."""
-
-    def __init__(self, docs, kit):
-        self.elements = trees.tree_rows(docs)
-        self.styles, self.variants = trees.style_rows(self.elements), trees.variant_rows(self.elements)
-        self.props, self.classes = trees.style_props(self.elements), trees.element_classes(self.elements)
-        self.kit = kit
-
-
 def _gate(t: Tables):
     docs_path = jobs.scratch_path(t.spark, "docs")
     docs = trees.conversation_trees(t.table("conversations"))
     docs.write.parquet(docs_path)
-    props = trees.style_props(trees.tree_rows(t.spark.read.schema(docs.schema).parquet(docs_path)))
-    ids = props.filter("ref_id is not null").select(F.col("ref_id").alias("gv_id")).distinct()
-    kit = stage(ids.filter(F.substring(F.md5("gv_id"), 1, 1) < "c"), "kit")
+    kit = stage(Trees(t.spark.read.schema(docs.schema).parquet(docs_path)).kit, "kit")
 
     def score(batch):
         docs_in = batch.select("page_id", "doc")
-        cards = checks.guard_scorecard(guard_rows(_Batch(docs_in, kit)), docs_in.select("page_id"))
+        cards = checks.guard_scorecard(guard_rows(Trees(docs_in, kit)), docs_in.select("page_id"))
         return cards.select("page_id", "score", "status")
 
     stream = t.spark.readStream.schema(docs.schema).parquet(docs_path)

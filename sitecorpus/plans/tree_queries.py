@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from sitecorpus.operators import checks
+from sitecorpus.operators import checks, trees as ops
 from sitecorpus.plans.css_queries import sp
 from sitecorpus.plans.registry import Tables, cte, ora, query
 from sitecorpus.session import stage
@@ -47,29 +47,64 @@ cte("jprop", """
 cte("jcls", """
  SELECT page_id, node_ix, node_id, (generate_subscripts(c, 1) - 1)::BIGINT AS pos, unnest(c) AS class_id FROM (
   SELECT *, CASE WHEN json_type(settings->'classes') = 'ARRAY' THEN from_json(settings->'classes', '["VARCHAR"]') WHEN json_type(settings->'classes') = 'OBJECT' THEN from_json(settings->'classes'->'value', '["VARCHAR"]') END AS c FROM jel)""")
-cte("jkit", "SELECT DISTINCT ref_id AS gv_id FROM jprop WHERE ref_id IS NOT NULL AND left(md5(ref_id), 1) < 'c'")
+cte("jkit", """SELECT DISTINCT ref_id AS gv_id, CASE WHEN vtype LIKE '%color%' THEN 'color' ELSE 'font' END AS kind,
+  '#' || CASE WHEN left(md5(ref_id || 'bad'), 1) < 'e' THEN left(md5(ref_id || 'hex'), 6) ELSE 'none' END AS hex
+  FROM jprop WHERE ref_id IS NOT NULL AND left(md5(ref_id), 1) < 'c'""")
+# Every value below styles and settings, by DuckDB's own walk.
+cte("jt", """SELECT e.page_id, e.node_ix, 'styles' AS part, t.fullkey, t.key, t.type, t.value, t.atom, t.id AS tid, t.parent AS tpar FROM jel e, json_tree(e.styles) t
+  UNION ALL SELECT e.page_id, e.node_ix, 'settings', t.fullkey, t.key, t.type, t.value, t.atom, t.id, t.parent FROM jel e, json_tree(e.settings) t""")
+cte("jval", """SELECT c.page_id, c.node_ix, c.part, replace(replace(regexp_replace(c.fullkey, '\\[(\\d+)\\]', '.\\1', 'g'), '"', ''), '$.', '') AS path, c.key,
+  CASE WHEN p.type = 'OBJECT' THEN p.value->>'$."$$type"' END AS parent_type, c.atom->>'$' AS text
+  FROM jt c JOIN jt p ON p.page_id = c.page_id AND p.node_ix = c.node_ix AND p.part = c.part AND p.tid = c.tpar WHERE c.type = 'VARCHAR' AND c.key <> '$$type'""")
+cte("jimg", """SELECT page_id, node_ix, json_extract(s, '$.id') IS NOT NULL AND json_type(s, '$.id') <> 'NULL' AS i, json_extract(s, '$.url') IS NOT NULL AND json_type(s, '$.url') <> 'NULL' AS u,
+  coalesce(json_type(s, '$.url') = 'NULL', false) AS nu FROM (
+  SELECT page_id, node_ix, CASE WHEN json_type(value, '$.value') = 'OBJECT' THEN json_extract(value, '$.value') ELSE value END AS s FROM jt WHERE type = 'OBJECT' AND value->>'$."$$type"' = 'image-src')""")
 
 
 class Trees:
-    """The tree tables of one run; `staged` writes the element rows once for queries that read them repeatedly."""
-
-    def __init__(self, t: Tables, staged: bool = False):
-        self.docs = trees.conversation_trees(t.table("conversations"))
-        self.elements = trees.tree_rows(self.docs)
-        if staged:
-            self.elements = stage(self.elements, "elements")
-        self.styles = trees.style_rows(self.elements)
-        self.variants = trees.variant_rows(self.elements)
-        self.props = trees.style_props(self.elements)
-        self.classes = trees.element_classes(self.elements)
-        if staged:
-            self.props = stage(self.props, "style_props")
+    """The tree tables of one run. Documents are flattened once: the element rows are written, and what several rules read
+    (styles, variants, properties, values) is written when it is first asked for. `staged=False` serves queries that read
+    the elements a single time."""
 
-    @property
+    def __init__(self, docs: DataFrame, kit: DataFrame | None = None, staged: bool = True):
+        self.keep = stage if staged else lambda df, name: df
+        self.elements = self.keep(trees.tree_rows(docs), "elements")
+        self._kit = kit
+
+    @classmethod
+    def of(cls, t: Tables, staged: bool = True) -> Trees:
+        return cls(trees.conversation_trees(t.table("conversations")), staged=staged)
+
+    @cached_property
+    def styles(self):
+        return trees.style_rows(self.elements)
+
+    @cached_property
+    def variants(self):
+        return trees.variant_rows(self.elements)
+
+    @cached_property
+    def props(self):
+        return self.keep(trees.style_props(self.elements), "style-props")
+
+    @cached_property
+    def classes(self):
+        return trees.element_classes(self.elements)
+
+    @cached_property
+    def values(self):
+        return self.keep(trees.tree_values(self.elements), "tree-values")
+
+    @cached_property
     def kit(self):
-        """The variable kit of the corpus: part of the ids its styles name."""
-        ids = self.props.filter("ref_id is not null").select(F.col("ref_id").alias("gv_id")).distinct()
-        return ids.filter(F.substring(F.md5("gv_id"), 1, 1) < "c")
+        """The variable kit of the corpus: part of the ids its styles name, with kind and, of most, a valid colour."""
+        if self._kit is not None:
+            return self._kit
+        gv = F.col("ref_id")
+        ids = self.props.filter(gv.isNotNull() & (F.substring(F.md5(gv), 1, 1) < "c"))
+        kind = F.when(F.contains("vtype", F.lit("color")), "color").otherwise("font")
+        digits = F.when(F.substring(F.md5(F.concat(gv, F.lit("bad"))), 1, 1) < "e", F.substring(F.md5(F.concat(gv, F.lit("hex"))), 1, 6)).otherwise("none")
+        return ids.select(gv.alias("gv_id"), kind.alias("kind"), F.concat(F.lit("#"), digits).alias("hex")).distinct()
 
     @property
     def pages(self):
@@ -79,33 +114,31 @@ class Trees:
 query("tree_rows", ora("""
  SELECT e.page_id, e.node_ix, p.node_ix AS parent_ix, e.ord, e.depth, e.node_id, e.el_type, e.widget_type, e.n_children
  FROM jel e LEFT JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1]"""))(
-    lambda t: Trees(t).elements.drop("settings", "styles"))
-query("style_props", ora("SELECT * FROM jprop"))(lambda t: Trees(t).props)
-query("element_classes", ora("SELECT page_id, node_ix, node_id, pos, class_id FROM jcls"))(lambda t: Trees(t).classes)
+    lambda t: Trees.of(t, False).elements.drop("settings", "styles"))
+query("style_props", ora("SELECT * FROM jprop"))(lambda t: Trees.of(t, False).props)
+query("element_classes", ora("SELECT page_id, node_ix, node_id, pos, class_id FROM jcls"))(lambda t: Trees.of(t, False).classes)
 query("style_variants", ora("SELECT page_id, node_ix, node_id, el_type, widget_type, style_id, variant_ix, breakpoint, bp_present, state, state_present, css_kind FROM jvar"))(
-    lambda t: Trees(t).variants.drop("props"))
+    lambda t: Trees.of(t, False).variants.drop("props"))
 
 _V = {
-    "g01": "SELECT DISTINCT page_id, node_ix, coalesce(ref_id, text) AS detail FROM jprop p WHERE coalesce(ref_id, text) LIKE 'e-gv-%' AND coalesce(ref_id, text) NOT IN (SELECT gv_id FROM jkit)",
-    "g02": "SELECT page_id, node_ix, prop || ':' || ref_id AS detail FROM jprop WHERE vtype = 'global-color-variable' AND ref_id NOT IN (SELECT gv_id FROM jkit)",
-    "g03": "SELECT page_id, node_ix, prop || ':' || ref_id AS detail FROM jprop WHERE vtype = 'global-font-variable' AND ref_id NOT IN (SELECT gv_id FROM jkit)",
+    "g01": "SELECT DISTINCT page_id, node_ix, text AS detail FROM jval WHERE text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit)",
+    "g02": "SELECT page_id, node_ix, path || ':' || text AS detail FROM jval WHERE part = 'styles' AND parent_type = 'global-color-variable' AND text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit WHERE kind = 'color' AND regexp_matches(hex, '^#[0-9a-f]{6}$'))",
+    "g03": "SELECT page_id, node_ix, path || ':' || text AS detail FROM jval WHERE part = 'styles' AND parent_type = 'global-font-variable' AND text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit)",
     "g04": "SELECT page_id, node_ix, breakpoint AS detail FROM jvar WHERE breakpoint NOT IN ('tablet', 'mobile', 'desktop')",
     "g05": "SELECT page_id, node_ix, style_id AS detail FROM jst s WHERE NOT EXISTS (SELECT 1 FROM jcls c WHERE c.page_id = s.page_id AND c.node_ix = s.node_ix AND c.class_id = s.style_id)",
-    "g06": "SELECT page_id, node_ix, text AS detail FROM jprop WHERE regexp_matches(text, '^[ ]*#[0-9a-fA-F]{3,6}[ ]*$') AND coalesce(vtype, '') <> 'color'",
-    "g07": "SELECT page_id, node_ix, text AS detail FROM jprop WHERE text LIKE 'e-gv-%' AND coalesce(vtype, '') NOT LIKE '%variable%'",
+    "g06": "SELECT page_id, node_ix, text AS detail FROM jval WHERE part = 'styles' AND regexp_matches(text, '^\\s*#[0-9a-fA-F]{3,6}\\s*$') AND coalesce(parent_type, '') <> 'color'",
+    "g07": "SELECT page_id, node_ix, text AS detail FROM jval WHERE text LIKE 'e-gv-%' AND coalesce(parent_type, '') NOT LIKE '%variable%'",
     "g08": "SELECT page_id, node_ix, text AS detail FROM jprop WHERE prop = 'font-family' AND vtype = 'string' AND contains(text, ' ') AND NOT regexp_matches(text, '^[\"'']')",
     "g09": "SELECT page_id, node_ix, coalesce(breakpoint, 'missing') AS detail FROM jvar WHERE variant_ix = 0 AND NOT (bp_present AND breakpoint IS NULL)",
     "g10": "SELECT page_id, node_ix, style_id AS detail FROM jvar GROUP BY 1, 2, 3 HAVING bool_or(coalesce(breakpoint = 'mobile', false)) AND NOT bool_or(coalesce(breakpoint = 'tablet', false))",
     "g11": "SELECT page_id, node_ix, text AS detail FROM jprop WHERE prop = 'background.color' AND vtype = 'color'",
-    "g12": """SELECT page_id, node_ix, detail FROM (SELECT page_id, node_ix, CASE WHEN list_contains(json_keys(s), 'url') AND (json_type(s->'url') = 'NULL' OR json_type(s->'url'->'value') = 'NULL') THEN 'null-url'
-        WHEN i AND u THEN 'both' WHEN NOT i AND NOT u THEN 'neither' END AS detail FROM (
-        SELECT page_id, node_ix, s, s->'id'->>'value' IS NOT NULL AS i, s->'url'->>'value' IS NOT NULL AS u FROM (SELECT *, settings->'$.image.value.src.value' AS s FROM jel WHERE widget_type = 'e-image') WHERE s IS NOT NULL)) WHERE detail IS NOT NULL""",
+    "g12": "SELECT page_id, node_ix, detail FROM (SELECT page_id, node_ix, CASE WHEN nu THEN 'null-url' WHEN i AND u THEN 'both' WHEN NOT i AND NOT u THEN 'neither' END AS detail FROM jimg) WHERE detail IS NOT NULL",
     "g13": """SELECT page_id, node_ix, coalesce(text, num::VARCHAR) AS detail FROM jprop WHERE prop = 'line-height' AND (kind = 'number' OR (kind = 'string' AND regexp_matches(text, '^\\d+(\\.\\d+)?px$'))
         OR (vtype = 'size' AND unit = 'px' AND num < 5))""",
     "g14": """SELECT page_id, node_ix, d || ':' || id AS detail FROM (SELECT page_id, node_ix, 'style' AS d, style_id AS id FROM jst UNION ALL SELECT page_id, node_ix, 'class', class_id FROM jcls WHERE class_id NOT LIKE 'gc-%'
         UNION ALL SELECT page_id, node_ix, 'element', node_id FROM jel) WHERE NOT regexp_matches(id, '^[a-z][a-z0-9_]*$')""",
-    "g15": "SELECT page_id, min(node_ix) AS node_ix, node_id || ':' || count(*) AS detail FROM jel GROUP BY page_id, node_id HAVING count(*) > 1",
-    "g16": "SELECT page_id, node_ix, el_type AS detail FROM jel WHERE el_type NOT IN (" + ", ".join(f"'{x}'" for x in checks.EL_TYPES) + ")",
+    "g15": "SELECT page_id, min(node_ix) AS node_ix, node_id || ':' || count(*) AS detail FROM jel WHERE node_id IS NOT NULL GROUP BY page_id, node_id HAVING count(*) > 1",
+    "g16": "SELECT page_id, node_ix, coalesce(nullif(el_type, ''), 'missing') AS detail FROM jel WHERE coalesce(el_type, '') NOT IN (" + ", ".join(f"'{x}'" for x in checks.EL_TYPES) + ")",
 }
 _S = {g: s for g, _, s in checks.GUARDS}
 for _g, _sql in _V.items():
@@ -114,30 +147,31 @@ cte("guard_v", " UNION ALL ".join(f"SELECT page_id, node_ix, '{g}' AS check_id,
 
 
 def _guard(name, fn):
-    query(name, ora(f"SELECT page_id, node_ix, '{name}' AS check_id, '{_S[name]}' AS severity, detail FROM v_{name}"))(lambda t: fn(Trees(t)))
+    query(name, ora(f"SELECT page_id, node_ix, '{name}' AS check_id, '{_S[name]}' AS severity, detail FROM v_{name}"))(lambda t: fn(Trees.of(t)))
 
 
-_guard("g01", lambda x: checks.g01_token_existence(x.props, x.kit))
-_guard("g02", lambda x: checks.g02_color_refs(x.props, x.kit))
-_guard("g03", lambda x: checks.g03_font_refs(x.props, x.kit))
+_guard("g01", lambda x: checks.g01_token_existence(x.values, x.kit))
+_guard("g02", lambda x: checks.g02_color_refs(x.values, x.kit))
+_guard("g03", lambda x: checks.g03_font_refs(x.values, x.kit))
 _guard("g04", lambda x: checks.g04_breakpoints(x.variants))
 _guard("g05", lambda x: checks.g05_binding(x.styles, x.classes))
-for _one in ("g06", "g07", "g08", "g11", "g13"):
+for _one in ("g08", "g11", "g13"):
     _guard(_one, lambda x, g=_one: checks.style_rule_hits(x.props).filter(F.col("check_id") == g))
+for _one in ("g06", "g07", "g12"):
+    _guard(_one, lambda x, g=_one: checks.value_rule_hits(x.values).filter(F.col("check_id") == g))
 _guard("g09", lambda x: checks.g09_base_variant(x.variants))
 _guard("g10", lambda x: checks.g10_tablet(x.variants))
-_guard("g12", lambda x: checks.g12_image_source(x.elements))
 _guard("g14", lambda x: checks.g14_ids(x.elements, x.styles, x.classes))
 _guard("g15", lambda x: checks.g15_unique(x.elements))
 _guard("g16", lambda x: checks.g16_el_types(x.elements))
 
 
 def guard_rows(x: Trees):
-    return checks.all_guards(x.elements, x.styles, x.variants, x.props, x.classes, x.kit)
+    return checks.all_guards(x.elements, x.styles, x.variants, x.props, x.classes, x.values, x.kit)
 
 
 query("guard_violations", ora("SELECT check_id, severity, count(*) AS violations, count(DISTINCT page_id) AS pages FROM guard_v GROUP BY 1, 2"))(
-    lambda t: guard_rows(Trees(t, True)).groupBy("check_id", "severity", "page_id").agg(F.count("*").alias("n"))
+    lambda t: guard_rows(Trees.of(t)).groupBy("check_id", "severity", "page_id").agg(F.count("*").alias("n"))
     .groupBy("check_id", "severity").agg(F.sum("n").alias("violations"), F.count("*").alias("pages")))
 cte("gcard", """
  SELECT page_id, (16 - e - w) AS passed, w AS warnings, e AS errors, floor((16 - e - w) * 100 / 16 + 0.5)::BIGINT AS score,
@@ -145,7 +179,7 @@ cte("gcard", """
   SELECT d.page_id, count(DISTINCT check_id) FILTER (severity = 'error') AS e, count(DISTINCT check_id) FILTER (severity = 'warning') AS w
   FROM tdoc d LEFT JOIN guard_v USING (page_id) GROUP BY 1)""")
 query("guard_scorecard", ora("SELECT * FROM gcard"))(
-    lambda t: (lambda x: checks.guard_scorecard(guard_rows(x), x.pages))(Trees(t, True)))
+    lambda t: (lambda x: checks.guard_scorecard(guard_rows(x), x.pages))(Trees.of(t)))
 
 _pt = " OR ".join(f"(prop = '{k}' AND vtype NOT IN ({', '.join(repr(v) for v in vs)}))" for k, vs in checks.PROP_TYPES.items())
 _known = ", ".join(f"'{k}'" for k in checks.PROP_TYPES)
@@ -174,22 +208,32 @@ _C = {
     "c8": ("warning", """SELECT page_id, node_ix, CASE WHEN w THEN 'wrap' ELSE 'children' END AS detail FROM (SELECT e.*, EXISTS (SELECT 1 FROM jprop p WHERE p.page_id = e.page_id AND p.node_ix = e.node_ix AND prop = 'flex-wrap' AND text = 'wrap') AS w
         FROM jel e WHERE el_type = 'e-flexbox') WHERE w OR n_children >= 4"""),
 }
+_C["c7"] = ("warning", "SELECT page_id, min(node_ix) FILTER (depth = m) AS node_ix, m::VARCHAR AS detail FROM (SELECT *, max(depth) OVER (PARTITION BY page_id) AS m FROM jel) GROUP BY page_id, m HAVING m BETWEEN 4 AND 5")
+_C["c7e"] = ("error", _C["c7"][1].replace("m BETWEEN 4 AND 5", "m >= 6"))
+_C["c9"] = ("warning", """SELECT page_id, min(parent_ix) AS node_ix, count(*)::VARCHAR AS detail FROM (
+        SELECT e.page_id, p.node_ix AS parent_ix, string_agg(coalesce(e.widget_type, e.el_type) || '|' || e.n_children || '|' || array_to_string(list_sort(json_keys(e.styles)), ','), '::' ORDER BY e.ord) AS sig
+        FROM jel e JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY page_id, sig HAVING count(*) > 1""")
+_C["hex"] = ("warning", "SELECT page_id, node_ix, prop || ':' || text AS detail FROM jprop WHERE nested = 0 AND prop IN ('color', 'background-color', 'border-color') AND vtype = 'color' AND regexp_matches(text, '^#[0-9A-Fa-f]{3,8}$')")
+_ID = {c: "hex" if c == "hex" else c[:2] for c in _C}
 for _c, (_, _sql) in _C.items():
     cte(f"v_{_c}", _sql)
-cte("valid_v", " UNION ALL ".join(f"SELECT page_id, node_ix, '{c[:2]}' AS check_id, '{s}' AS severity, detail FROM v_{c}" for c, (s, _) in _C.items()))
+cte("valid_v", " UNION ALL ".join(f"SELECT page_id, node_ix, '{_ID[c]}' AS check_id, '{s}' AS severity, detail FROM v_{c}" for c, (s, _) in _C.items()))
 
 
 def _csql(*names):
-    return ora(" UNION ALL ".join(f"SELECT page_id, node_ix, '{c[:2]}' AS check_id, '{_C[c][0]}' AS severity, detail FROM v_{c}" for c in names))
+    return ora(" UNION ALL ".join(f"SELECT page_id, node_ix, '{_ID[c]}' AS check_id, '{_C[c][0]}' AS severity, detail FROM v_{c}" for c in names))
 
 
-query("c1_types", _csql("c1"))(lambda t: (lambda x: checks.c1_types(x.props, x.variants, x.elements))(Trees(t)))
-query("c2_binding", _csql("c2e", "c2w"))(lambda t: (lambda x: checks.binding_report(x.styles, x.classes))(Trees(t)))
-query("c3_style_ids", _csql("c3"))(lambda t: checks.c3_style_ids(Trees(t).styles))
-query("c4_responsive", _csql("c4"))(lambda t: (lambda x: checks.c4_responsive(x.props, x.variants))(Trees(t)))
-query("c5_required", _csql("c5"))(lambda t: checks.c5_required(Trees(t).elements))
-query("c6_format", _csql("c6"))(lambda t: (lambda x: checks.c6_format(x.styles, x.variants))(Trees(t)))
-query("c8_grid", _csql("c8"))(lambda t: (lambda x: checks.c8_grid(x.elements, x.props))(Trees(t)))
+query("c1_types", _csql("c1"))(lambda t: (lambda x: checks.c1_types(x.props, x.variants, x.elements))(Trees.of(t)))
+query("c2_binding", _csql("c2e", "c2w"))(lambda t: (lambda x: checks.binding_report(x.styles, x.classes))(Trees.of(t)))
+query("c3_style_ids", _csql("c3"))(lambda t: checks.c3_style_ids(Trees.of(t, False).styles))
+query("c4_responsive", _csql("c4"))(lambda t: (lambda x: checks.c4_responsive(x.props, x.variants))(Trees.of(t)))
+query("c5_required", _csql("c5"))(lambda t: checks.c5_required(Trees.of(t, False).elements))
+query("c6_format", _csql("c6"))(lambda t: (lambda x: checks.c6_format(x.styles, x.variants))(Trees.of(t)))
+query("c8_grid", _csql("c8"))(lambda t: (lambda x: checks.c8_grid(x.elements, x.props))(Trees.of(t)))
+query("c7_depth", _csql("c7", "c7e"))(lambda t: checks.c7_depth(Trees.of(t, False).elements))
+query("c9_reuse", _csql("c9"))(lambda t: checks.c9_reuse(ops.tree_signatures(Trees.of(t).elements)))
+query("hardcoded_colors", _csql("hex"))(lambda t: checks.hardcoded_colors(Trees.of(t, False).props))
 query("c10_native", ora("""
  SELECT page_id, count(*) AS calls, count(*) FILTER (regexp_matches(c, '\\b(opacity|x|y|scale|rotation)\\s*:')) AS native_calls
  FROM (SELECT page_id, unnest(regexp_extract_all(html, 'gsap\\.(?:to|from|fromTo)\\([^)]*\\)')) AS c FROM sp) GROUP BY 1"""))(lambda t: checks.c10_native(sp(t)))
@@ -199,6 +243,7 @@ def validation_rows(x: Trees):
     parts = [
         checks.c1_types(x.props, x.variants, x.elements), checks.binding_report(x.styles, x.classes), checks.c3_style_ids(x.styles),
         checks.c4_responsive(x.props, x.variants), checks.c5_required(x.elements), checks.c6_format(x.styles, x.variants), checks.c8_grid(x.elements, x.props),
+        checks.c7_depth(x.elements), checks.c9_reuse(ops.tree_signatures(x.elements)), checks.hardcoded_colors(x.props),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -207,7 +252,7 @@ query("validation_scorecard", ora("""
  SELECT page_id, errors, warnings, floor((6 - f) * 100 / 6 + 0.5)::BIGINT AS score, floor((6 - f) * 100 / 6 + 0.5) >= 85 AS passed FROM (
   SELECT d.page_id, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings,
    count(DISTINCT check_id) FILTER (severity = 'error' AND check_id IN ('c1','c2','c3','c4','c5','c6')) AS f FROM tdoc d LEFT JOIN valid_v USING (page_id) GROUP BY 1)"""))(
-    lambda t: (lambda x: checks.validation_scorecard(validation_rows(x), x.pages))(Trees(t, True)))
+    lambda t: (lambda x: checks.validation_scorecard(validation_rows(x), x.pages))(Trees.of(t)))
 _W = ", ".join(f"'{w}'" for w in checks.WIDGETS)
 query("inv_profile", ora(f"""
  , v AS (SELECT DISTINCT 'I' AS invariant, page_id, node_ix FROM jcls c WHERE regexp_matches(class_id, '^(e-|s-|f)') AND NOT EXISTS (SELECT 1 FROM jst s WHERE s.page_id = c.page_id AND s.node_ix = c.node_ix AND s.style_id = c.class_id)
@@ -219,4 +264,4 @@ query("inv_profile", ora(f"""
   UNION ALL SELECT 'el-type', page_id, node_ix FROM jel WHERE widget_type IN ({_W}) AND el_type <> 'widget')
  SELECT i AS invariant, s AS severity, count(v.page_id) AS violations, count(DISTINCT v.page_id) AS pages
  FROM (SELECT unnest(['I','III','IV','html-wrapper','classes-object','el-type']) AS i, unnest(['warn','error','error','error','error','error']) AS s) LEFT JOIN v ON v.invariant = i GROUP BY 1, 2"""))(
-    lambda t: (lambda x: checks.inv_profile(x.elements, x.styles, x.classes))(Trees(t, True)))
+    lambda t: (lambda x: checks.inv_profile(x.elements, x.styles, x.classes))(Trees.of(t)))

@@ -106,6 +106,51 @@ def tree_rows(docs: DataFrame) -> DataFrame:
     return docs.select("page_id", "doc").mapInPandas(_flatten_batches, ELEMENT_SCHEMA)
 
 
+VALUE_SCHEMA = (
+    "page_id string, node_ix int, part string, path string, key string, parent_type string, kind string, text string, "
+    "has_id boolean, has_url boolean, null_url boolean"
+)
+
+
+def _values(part: str, root: dict) -> Iterator[tuple]:
+    """All texts below styles or settings, and all image sources, whatever their depth, by an explicit stack."""
+    stack = [("", root)]
+    while stack:
+        path, node = stack.pop()
+        own = node.get("$$type") if isinstance(node, dict) else None
+        own = own if isinstance(own, str) else None
+        if own == "image-src":
+            src = node["value"] if isinstance(node.get("value"), dict) else node
+            yield part, path, None, None, "image-src", None, src.get("id") is not None, src.get("url") is not None, "url" in src and src["url"] is None
+        for key, val in node.items() if isinstance(node, dict) else enumerate(node):
+            at = f"{path}.{key}" if path else str(key)
+            if isinstance(val, str):
+                if key != "$$type":
+                    yield part, at, str(key), own, "string", val, None, None, None
+            elif isinstance(val, (dict, list)):
+                stack.append((at, val))
+
+
+def _value_batches(batches: Iterator[pd.DataFrame], chunk: int = 20000) -> Iterator[pd.DataFrame]:
+    names = [c.split()[0] for c in VALUE_SCHEMA.split(", ")]
+    for pdf in batches:
+        rows = []
+        for page, ix, settings, styles in zip(pdf["page_id"], pdf["node_ix"], pdf["settings"], pdf["styles"]):
+            for part, doc in (("styles", styles), ("settings", settings)):
+                rows.extend((page, ix, *row) for row in _values(part, json.loads(doc)))
+            if len(rows) >= chunk:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
+
+
+def tree_values(elements: DataFrame) -> DataFrame:
+    """Every text in the styles and settings of each element, with its path and the declared type of what holds it; and
+    every image source, with whether it names an id and a url."""
+    return elements.select("page_id", "node_ix", "settings", "styles").mapInPandas(_value_batches, VALUE_SCHEMA)
+
+
 def style_rows(elements: DataFrame) -> DataFrame:
     """Style records: which of their fields are there, and the variants as VARIANT."""
     return elements.sparkSession.sql(

@@ -54,7 +54,7 @@ def test_image_source_rule(spark):
 
     one, url = {"$$type": "n", "value": 1}, {"$$type": "url", "value": "https://x"}
     e = trees.tree_rows(docs(spark, img({"id": one}), img({"id": one, "url": url}), img({"url": url}), img({"id": one, "url": None}), img({})))
-    assert {r.page_id: r.detail for r in checks.g12_image_source(e).collect()} == {"1": "both", "3": "null-url", "4": "neither"}
+    assert {r.page_id: r.detail for r in checks.value_rule_hits(trees.tree_values(e)).collect()} == {"1": "both", "3": "null-url", "4": "neither"}
 
 
 def test_repeated_cards(spark):
@@ -90,3 +90,55 @@ def test_artifacts(spark):
     b = spark.createDataFrame([(1, "x"), (2, "CHANGED"), (4, "n")], "id int, v string")
     got = {r.id: r.state for r in files.verify_artifacts(files.row_hashes(a, "id"), files.row_hashes(b, "id"), "id").collect()}
     assert got == {1: "valid", 2: "changed", 3: "missing", 4: "unexpected"}
+
+
+def styled(i, props, **settings):
+    style = {"id": "s", "type": "class", "label": "local", "variants": [{"meta": {"breakpoint": None, "state": None}, "props": props, "custom_css": None}]}
+    return {"id": i, "elType": "e-flexbox", "settings": settings, "styles": {"s": style}, "elements": []}
+
+
+def test_rules_see_values_at_any_depth(spark):
+    gv = lambda kind, i: {"$$type": f"global-{kind}-variable", "value": i}
+    shadow = {"$$type": "box-shadow", "value": [{"$$type": "shadow", "value": {"color": "#abc", "blur": size(3)}}]}
+    overlay = {"$$type": "background", "value": {"overlay": {"$$type": "list", "value": [{"$$type": "layer", "value": {"color": gv("color", "e-gv-gone")}}]}}}
+    image = {"$$type": "background", "value": {"image": {"$$type": "image", "value": {"src": {"$$type": "image-src", "value": {"id": {"$$type": "n", "value": 1}, "url": {"$$type": "url", "value": "u"}}}}}}}
+    e = trees.tree_rows(docs(spark, styled("a", {"box-shadow": shadow}), styled("b", {}, link={"href": ["e-gv-bare"]}), styled("c", {"background": overlay}), styled("d", {"background": image}),
+                             styled("f", {"color": gv("color", "e-gv-bad"), "font-family": gv("font", "e-gv-font")})))
+    v = trees.tree_values(e)
+    assert sorted((r.page_id, r.check_id, r.detail) for r in checks.value_rule_hits(v).collect()) == [("0", "g06", "#abc"), ("1", "g07", "e-gv-bare"), ("3", "g12", "both")]
+    kit = spark.createDataFrame([("e-gv-bad", "color", "#12"), ("e-gv-font", "color", "#112233")], "gv_id string, kind string, hex string")
+    assert sorted(r.detail for r in checks.g01_token_existence(v, kit).collect()) == ["e-gv-bare", "e-gv-gone"]
+    assert sorted((r.page_id, r.detail.split(":")[1]) for r in checks.g02_color_refs(v, kit).collect()) == [("2", "e-gv-gone"), ("4", "e-gv-bad")]
+    assert checks.g03_font_refs(v, kit).count() == 0
+
+
+def test_missing_ids_and_types(spark):
+    none = {"elType": "e-flexbox", "settings": {}, "styles": {}}
+    e = trees.tree_rows(docs(spark, {"id": "r", "elType": "e-div-block", "elements": [none, none, {"id": "x"}, {"id": "y", "elType": "container"}]}))
+    assert checks.g15_unique(e).count() == 0
+    assert sorted(r.detail for r in checks.g16_el_types(e).collect()) == ["container", "missing"]
+
+
+def test_visual_settings_of_containers(spark):
+    e = trees.tree_rows(docs(spark, styled("a", {}, **{"font-weight": 1, "height": 1, "border-radius": 1, "box-shadow": 1, "tag": 1})))
+    got = {r.detail for r in checks.c1_types(trees.style_props(e), trees.variant_rows(e), e).collect()}
+    assert got == {"setting:font-weight", "setting:height", "setting:border-radius", "setting:box-shadow"}
+
+
+def test_depth_reuse_and_hex(spark):
+    deep = widget("leaf")
+    for i in range(6):
+        deep = {"id": f"n{i}", "elType": "e-div-block", "elements": [deep]}
+    card = lambda i: {"id": i, "elType": "e-flexbox", "elements": [widget(f"{i}h"), widget(f"{i}p", "e-paragraph")]}
+    e = trees.tree_rows(docs(spark, deep, {"id": "r", "elType": "e-div-block", "elements": [card("a"), card("b")]}, styled("s", {"color": {"$$type": "color", "value": "#a1b2c3"}})))
+    assert [(r.page_id, r.severity, r.detail) for r in checks.c7_depth(e).collect()] == [("0", "error", "6")]
+    assert [(r.page_id, r.detail) for r in checks.c9_reuse(ops.tree_signatures(e)).collect()] == [("1", "2")]
+    assert [(r.page_id, r.detail) for r in checks.hardcoded_colors(trees.style_props(e)).collect()] == [("2", "color:#a1b2c3")]
+
+
+def test_one_flattening_per_plan(spark):
+    from sitecorpus.plans.tree_queries import Trees, guard_rows, validation_rows
+
+    x = Trees(docs(spark, styled("a", {"color": {"$$type": "color", "value": "#a1b2c3"}})))
+    for df in (guard_rows(x), validation_rows(x), checks.c4_responsive(x.props, x.variants), checks.g14_ids(x.elements, x.styles, x.classes)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInPandas") <= 1

@@ -7,9 +7,10 @@ execution splits when a node is hot.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from sitecorpus.session import cut
+from sitecorpus.session import cut, stage
 
 
 def _signature(df: DataFrame, *cols: str):
@@ -54,13 +55,34 @@ def overlap_pairs(issues: DataFrame) -> DataFrame:
     )
 
 
+def _page_components(page: pd.DataFrame) -> pd.DataFrame:
+    """Components of one page's pairs, named by their smallest node, by union-find."""
+    root: dict[str, str] = {}
+
+    def find(x: str) -> str:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in zip(page["src"], page["dst"]):
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    nodes = list(root)
+    return pd.DataFrame({"graph_id": page["graph_id"].iloc[0], "node": nodes, "component": [find(n) for n in nodes]})
+
+
 def overlap_groups(issues: DataFrame) -> DataFrame:
     """Overlap reports merged into one group per cluster: elements, possible and observed pairs, types.
 
     Types are widget kinds (a small vocabulary), so listing them per group is bounded.
     """
     pairs = overlap_pairs(issues)
-    comp = cut(connected_components(pairs))
+    # Clusters never leave a page, and a page's reports are one task's work: no rounds, one exchange.
+    kind = pairs.schema["graph_id"].dataType.simpleString()
+    found = pairs.select("graph_id", "src", "dst").groupBy("graph_id").applyInPandas(_page_components, f"graph_id {kind}, node string, component string")
+    comp = stage(found, "overlap-components")
     types = pairs.select("graph_id", F.col("src").alias("node"), F.col("src_type").alias("t")).unionByName(
         pairs.select("graph_id", F.col("dst").alias("node"), F.col("dst_type").alias("t"))
     ).distinct()
@@ -89,30 +111,25 @@ def noise_reduction(issues: DataFrame, groups: DataFrame) -> DataFrame:
 def build_order_layers(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
     """Build layers: 1 for nodes that need nothing, else one above the highest need; NULL for nodes in or above a cycle.
 
-    `edges` (graph_id, src, dst): src needs dst. Each round places the nodes whose needs are all placed; the
-    remaining edges shrink with it, so the work falls round by round.
+    `edges` (graph_id, src, dst): src needs dst. Each node keeps the number of needs not yet placed. A round counts, for
+    each node, the needs placed in the round before, and is one aggregate and one checkpoint.
     """
     g = ["graph_id"]
     e = cut(edges.select(*g, "src", "dst").distinct())
-    nodes = e.select(*g, F.col("src").alias("node")).unionByName(e.select(*g, F.col("dst").alias("node"))).distinct()
-    rest = cut(nodes)
-    open_edges, placed, layer = e, None, 0
-    while True:
-        layer += 1
-        if layer > max_rounds:
+    nodes = e.select(*g, F.col("src").alias("node"), F.lit(1).alias("need")).unionByName(e.select(*g, F.col("dst").alias("node"), F.lit(0).alias("need")))
+    needs = nodes.groupBy(*g, "node").agg(F.sum("need").alias("needs"))
+    state = cut(needs.withColumn("layer", F.when(F.col("needs") == 0, F.lit(1))))
+    layer = 1
+    while not state.filter(F.col("layer") == layer).isEmpty():
+        if layer >= max_rounds:
             raise RuntimeError(f"layers did not settle in {max_rounds} rounds")
-        waiting = open_edges.select(*g, F.col("src").alias("node")).distinct()
-        ready = cut(rest.join(waiting, [*g, "node"], "left_anti"))
-        if ready.isEmpty():
-            break
-        done = ready.withColumn("layer", F.lit(layer))
-        placed = done if placed is None else placed.unionByName(done)
-        if layer % 25 == 0:
-            placed = cut(placed)
-        rest = cut(rest.join(ready, [*g, "node"], "left_anti"))
-        open_edges = cut(open_edges.join(ready.withColumnRenamed("node", "dst"), [*g, "dst"], "left_anti"))
-    cyclic = rest.withColumn("layer", F.lit(None).cast("int"))
-    return cyclic if placed is None else placed.unionByName(cyclic)
+        placed = state.filter(F.col("layer") == layer).select(*g, F.col("node").alias("dst"))
+        met = e.join(placed, [*g, "dst"], "left_semi").groupBy(*g, F.col("src").alias("node")).agg(F.count("*").alias("met"))
+        left = F.col("needs") - F.coalesce("met", F.lit(0))
+        layer += 1
+        state = cut(state.join(met, [*g, "node"], "left").select(
+            *g, "node", left.alias("needs"), F.coalesce("layer", F.when(left == 0, F.lit(layer))).alias("layer")))
+    return state.select(*g, "node", "layer")
 
 
 def nearest_ancestor(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sitecorpus.operators import ops
 from sitecorpus.plans.registry import Tables, cte, ora, query
+from sitecorpus.session import scratch_path
 from sitecorpus.sources import events as src
 
 _msg = "['" + "', '".join(src._MESSAGES) + "']"
@@ -35,8 +36,18 @@ def runs(t: Tables):
     return src.phase_runs(t.table("events"))
 
 
+def _call_log(t: Tables):
+    """The calls written as a log, with a broken line for every hundredth, and read by the log reader."""
+    path = scratch_path(t.spark, "calls")
+    lines = src.call_lines(calls(t))
+    broken = calls(t).filter("event_id % 100 = 0").select(F.lit('{"ts": "2024-01-01", "service":').alias("value"))
+    lines.unionByName(broken).write.text(path)
+    return src.read_calls_jsonl(t.spark, path)
+
+
 query("src_events_jsonl", ora("SELECT event_id, epoch_us(ts) AS ts_us, service, ability, k, status, http_status, duration_ms, message FROM calls"))(
-    lambda t: calls(t).withColumn("ts_us", F.unix_micros("ts")).drop("ts"))
+    lambda t: _call_log(t).select("event_id", F.unix_micros("ts").alias("ts_us"), "service", "ability", F.col("params")["k"].cast("int").alias("k"),
+                                  "status", "http_status", "duration_ms", "message"))
 query("error_summary", ora("SELECT category, count(*) AS errors, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us FROM calls WHERE status = 'error' GROUP BY 1"))(
     lambda t: ops.error_summary(calls(t)).drop("services_approx"))
 query("recent_errors", ora("SELECT event_id, epoch_us(ts) AS ts_us, service, ability, category, message FROM calls WHERE status = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10"))(

@@ -205,7 +205,7 @@ def _tree_files(t: Tables):
     docs = tsrc.conversation_trees(t.table("conversations"))
     docs.write.partitionBy("page_id").text(path)
     raw = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"page_id=(\d+)", 1).alias("page_id"), F.col("value").alias("doc")).filter(F.try_parse_json("doc").isNotNull())
+    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"page_id=([^/]+)", 1).alias("page_id"), F.col("value").alias("doc")).filter(F.try_parse_json("doc").isNotNull())
 
 
 query("src_tree_json", ora("SELECT page_id, count(*) AS elements, max(depth) AS max_depth FROM jel GROUP BY 1"))(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CALL_SCHEMA = (
-    "ts timestamp, service string, ability string, params map<string,string>, status string, http_status int, "
+    "event_id bigint, ts timestamp, service string, ability string, params map<string,string>, status string, http_status int, "
     "duration_ms bigint, message string"
 )
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -16,6 +16,13 @@ def read_calls_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CALL_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
+def call_lines(calls: DataFrame) -> DataFrame:
+    """Calls as the lines of such a log, many to a file when written as text."""
+    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts")
+    params = F.create_map(F.lit("k"), F.col("k").cast("string")).alias("params")
+    return calls.select(F.to_json(F.struct("event_id", ts, "service", "ability", params, "status", "http_status", "duration_ms", "message")).alias("value"))
+
+
 def stream_calls_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(CALL_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 

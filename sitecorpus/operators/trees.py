@@ -10,13 +10,28 @@ from sitecorpus.operators.tokens import name_contained_in
 _NODE = ("page_id", "node_ix")
 # Property groups whose equality makes elements share a class.
 CLASS_CATEGORIES = {
-    "typography": ("font-size", "font-weight", "font-family", "line-height", "letter-spacing", "color"),
-    "structure": ("flex-direction", "gap", "padding", "width", "flex-wrap"),
-    "background": ("background.color",),
+    "typography": (
+        "font-size", "font-family", "font-weight", "font-style",
+        "line-height", "letter-spacing", "text-transform",
+        "text-decoration", "color",
+    ),
+    "structure": (
+        "padding", "padding-top", "padding-right", "padding-bottom", "padding-left",
+        "padding-inline-start", "padding-inline-end", "padding-block-start", "padding-block-end",
+        "margin", "margin-top", "margin-right", "margin-bottom", "margin-left",
+        "gap", "row-gap", "column-gap",
+        "max-width", "min-width", "max-height", "min-height",
+        "width", "height",
+        "flex-direction", "flex-wrap", "flex-grow", "flex-shrink",
+        "justify-content", "align-items", "align-self",
+        "display", "position",
+    ),
+    "background": ("background", "background-color"),
 }
-# Px above which a property gets tablet and mobile variants, and their scale factors.
-SCALE_LIMITS = {"font-size": 28, "gap": 24, "width": 300, "min-height": 200, "letter-spacing": 2, "border-radius": 12,
-                "padding.block-start": 20, "padding.inline-start": 20, "padding.inline-end": 20}
+# Px above which a property gets tablet and mobile variants (other paddings and margins: 20, a set of sides when
+# any is above), and the scale factors.
+SCALE_LIMITS = {"font-size": 28, "gap": 24, "width": 300, "height": 200, "min-height": 200, "letter-spacing": 2, "border-radius": 12}
+SCALE_SPACING = 20
 SCALE_FACTORS = (("tablet", 0.75), ("mobile", 0.6))
 
 
@@ -77,7 +92,7 @@ def class_signatures(props: DataFrame) -> DataFrame:
     value = F.coalesce("ref_id", "text", F.concat(F.col("num").cast("string"), F.coalesce("unit", F.lit(""))))
     cat = F.lit(None).cast("string")
     for name, members in CLASS_CATEGORIES.items():
-        cat = F.when(F.col("prop").isin(*members), name).otherwise(cat)
+        cat = F.when(F.split("prop", r"\.")[0].isin(*members), name).otherwise(cat)  # sides and layers go with their property
     b = base_props(props).withColumn("category", cat).filter(F.col("category").isNotNull() & value.isNotNull())
     return b.groupBy(*_NODE, "category").agg(
         F.array_join(F.sort_array(F.collect_set(F.concat_ws("=", "prop", value))), ";").alias("body")
@@ -197,16 +212,31 @@ def quality_metrics(elements: DataFrame, styles: DataFrame, props: DataFrame) ->
 
 
 def responsive_variants(props: DataFrame) -> DataFrame:
-    """Tablet and mobile rows for oversize values of styles that lack the breakpoint: `max(1, round(size * factor))`."""
-    limit = F.lit(None).cast("int")
+    """Tablet and mobile rows for oversize values of styles that lack the breakpoint: `max(1, round(size * factor))`.
+
+    A grid of two columns or more collapses to one on mobile, one of three or more to half on tablet (`text`).
+    """
+    root = F.split("prop", r"\.")[0]
+    spacing = F.contains(root, F.lit("padding")) | F.contains(root, F.lit("margin"))
+    limit = F.when(spacing, SCALE_SPACING)
     for k, v in SCALE_LIMITS.items():
         limit = F.when(F.col("prop") == k, v).otherwise(limit)
-    big = base_props(props).filter((F.col("vtype") == "size") & (F.col("num") > limit))
+    # One property's sides, or one property.
+    largest = F.max("num").over(W.partitionBy(*_NODE, "style_id", "variant_ix", "root"))
+    sizes = base_props(props).filter((F.col("vtype") == "size") & limit.isNotNull()).withColumn("root", root).withColumn("largest", largest)
     factors = F.array(*[F.struct(F.lit(b).alias("breakpoint"), F.lit(f).alias("factor")) for b, f in SCALE_FACTORS])
-    todo = big.select(*_NODE, "style_id", "prop", "num", "unit", F.inline(factors))
-    have = props.filter("breakpoint is not null").select(*_NODE, "style_id", "breakpoint").distinct()
-    rows = todo.join(have, [*_NODE, "style_id", "breakpoint"], "left_anti")
-    return rows.select(*_NODE, "style_id", "breakpoint", "prop", "unit", F.greatest(F.lit(1.0), F.floor(F.col("num") * F.col("factor") + 0.5).cast("double")).alias("num"))
+    key = [*_NODE, "style_id"]
+    scaled = F.greatest(F.lit(1.0), F.floor(F.col("num") * F.col("factor") + 0.5).cast("double"))
+    big = sizes.filter(F.col("largest") > limit).select(*key, "prop", "num", "unit", F.inline(factors)).select(
+        *key, "breakpoint", "prop", "unit", scaled.alias("num"), F.lit(None).cast("string").alias("text"))
+    columns = F.size(F.split(F.trim("text"), r"\s+"))
+    grids = base_props(props).filter("prop = 'grid-template-columns' AND vtype = 'string'").select(*key, "prop", columns.alias("n"), F.inline(factors))
+    tablet = F.col("breakpoint") == "tablet"
+    fewer = F.array_join(F.array_repeat(F.lit("1fr"), F.when(tablet, F.floor(F.col("n") / 2)).otherwise(1).cast("int")), " ")
+    grids = grids.filter(F.col("n") >= F.when(tablet, 3).otherwise(2)).select(
+        *key, "breakpoint", "prop", F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("num"), fewer.alias("text"))
+    have = props.filter("breakpoint is not null").select(*key, "breakpoint").distinct()
+    return big.unionByName(grids).join(have, [*key, "breakpoint"], "left_anti").select(*key, "breakpoint", "prop", "unit", "num", "text")
 
 
 def scale_factor_lookup(styles: DataFrame, factors: DataFrame) -> DataFrame:

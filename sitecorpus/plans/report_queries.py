@@ -37,7 +37,7 @@ query("token_hardcode_report", ora("""
 _in = {k: ", ".join(f"'{p}'" for p in v) for k, v in ops.CLASS_CATEGORIES.items()}
 cte("jsig", f"""
  SELECT page_id, node_ix, category, body, md5(body) AS signature FROM (SELECT page_id, node_ix, category, string_agg(DISTINCT pv, ';' ORDER BY pv) AS body FROM (
-  SELECT *, CASE {" ".join(f"WHEN prop IN ({v}) THEN '{k}'" for k, v in _in.items())} END AS category, prop || '=' || coalesce(ref_id, text, num::VARCHAR || coalesce(unit, '')) AS pv FROM jprop
+  SELECT *, CASE {" ".join(f"WHEN split_part(prop, '.', 1) IN ({v}) THEN '{k}'" for k, v in _in.items())} END AS category, prop || '=' || coalesce(ref_id, text, num::VARCHAR || coalesce(unit, '')) AS pv FROM jprop
   WHERE coalesce(breakpoint, '') IN ('', 'desktop') AND state IS NULL) WHERE category IS NOT NULL AND pv IS NOT NULL GROUP BY 1, 2, 3)""")
 cte("jshare", "SELECT category, signature, count(*) AS elements, count(DISTINCT page_id) AS pages, min(body) AS body FROM jsig GROUP BY 1, 2 HAVING count(*) >= 2 OR category = 'background'")
 query("global_class_candidates", ora("""
@@ -81,11 +81,17 @@ query("quality_metrics", ora(f"""
    {_b('grid_pct', 35, 15)} AS grid_status, {_b('components', 10, 3)} AS component_status FROM m)
  SELECT *, ((depth_status = 'FAIL')::INT + (class_status = 'FAIL')::INT + (color_status = 'FAIL')::INT + (font_status = 'FAIL')::INT + (grid_status = 'FAIL')::INT + (component_status = 'FAIL')::INT)::BIGINT AS failed FROM b"""))(
     lambda t: (lambda x: ops.quality_metrics(x.elements, x.styles, x.props))(Trees.of(t)))
-_lim = " OR ".join(f"(prop = '{k}' AND num > {v})" for k, v in ops.SCALE_LIMITS.items())
-query("responsive_variants", ora(f"""
- SELECT page_id, node_ix, style_id, f.b AS breakpoint, prop, unit, greatest(1, floor(num * f.x + 0.5))::DOUBLE AS num FROM jprop p, (SELECT unnest(['tablet', 'mobile']) AS b, unnest([0.75, 0.6]::DOUBLE[]) AS x) f
- WHERE coalesce(p.breakpoint, '') IN ('', 'desktop') AND state IS NULL AND vtype = 'size' AND ({_lim})
-  AND NOT EXISTS (SELECT 1 FROM jprop h WHERE h.page_id = p.page_id AND h.node_ix = p.node_ix AND h.style_id = p.style_id AND h.breakpoint = f.b)"""))(lambda t: ops.responsive_variants(Trees.of(t).props))
+query("responsive_variants", ora("""
+ , fac AS (SELECT unnest(['tablet', 'mobile']) AS b, unnest([0.75, 0.6]::DOUBLE[]) AS x),
+ own AS (SELECT *, split_part(prop, '.', 1) AS root FROM jprop WHERE coalesce(breakpoint, '') IN ('', 'desktop') AND state IS NULL),
+ sz AS (SELECT *, max(num) OVER (PARTITION BY page_id, node_ix, style_id, variant_ix, root) AS most FROM (
+   SELECT *, CASE WHEN prop = 'font-size' THEN 28 WHEN prop = 'gap' THEN 24 WHEN prop = 'width' THEN 300 WHEN prop IN ('height', 'min-height') THEN 200
+     WHEN prop = 'letter-spacing' THEN 2 WHEN prop = 'border-radius' THEN 12 WHEN contains(root, 'padding') OR contains(root, 'margin') THEN 20 END AS lim FROM own WHERE vtype = 'size') WHERE lim IS NOT NULL),
+ r AS (SELECT page_id, node_ix, style_id, b AS breakpoint, prop, unit, greatest(1, floor(num * x + 0.5))::DOUBLE AS num, NULL::VARCHAR AS text FROM sz, fac WHERE most > lim
+   UNION ALL SELECT page_id, node_ix, style_id, b, prop, NULL, NULL, CASE WHEN b = 'mobile' THEN '1fr' ELSE array_to_string(list_transform(range(0, n // 2), lambda i: '1fr'), ' ') END FROM (
+     SELECT *, len(regexp_split_to_array(trim(text), '\\s+')) AS n FROM own WHERE prop = 'grid-template-columns' AND vtype = 'string'), fac WHERE n >= CASE b WHEN 'tablet' THEN 3 ELSE 2 END)
+ SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM jprop h WHERE h.page_id = r.page_id AND h.node_ix = r.node_ix AND h.style_id = r.style_id AND h.breakpoint = r.breakpoint)"""))(
+    lambda t: ops.responsive_variants(Trees.of(t).props))
 
 
 def _scale(t: Tables):

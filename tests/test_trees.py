@@ -142,3 +142,15 @@ def test_one_flattening_per_plan(spark):
     x = Trees(docs(spark, styled("a", {"color": {"$$type": "color", "value": "#a1b2c3"}})))
     for df in (guard_rows(x), validation_rows(x), checks.c4_responsive(x.props, x.variants), checks.g14_ids(x.elements, x.styles, x.classes)):
         assert df._jdf.queryExecution().executedPlan().toString().count("MapInPandas") <= 1
+
+
+def test_responsive_rows_of_every_kind(spark):
+    sides = {"$$type": "dimensions", "value": {"block-start": size(10), "inline-end": size(40)}}
+    props = {"height": size(500), "margin": sides, "padding-top": size(30), "border-radius": size(8), "grid-template-columns": {"$$type": "string", "value": "1fr 1fr 2fr"}}
+    rows = ops.responsive_variants(trees.style_props(trees.tree_rows(docs(spark, styled("a", props))))).collect()
+    got = {(r.breakpoint, r.prop): r.text or r.num for r in rows}
+    assert got == {
+        ("tablet", "height"): 375.0, ("mobile", "height"): 300.0, ("tablet", "padding-top"): 23.0, ("mobile", "padding-top"): 18.0,
+        ("tablet", "margin.block-start"): 8.0, ("mobile", "margin.block-start"): 6.0, ("tablet", "margin.inline-end"): 30.0, ("mobile", "margin.inline-end"): 24.0,
+        ("tablet", "grid-template-columns"): "1fr", ("mobile", "grid-template-columns"): "1fr",
+    }

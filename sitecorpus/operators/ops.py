@@ -186,6 +186,41 @@ def lesson_stats(lessons: DataFrame) -> DataFrame:
 # --- ordered replays ----------------------------------------------------------------------------------------
 
 
+def failure_streaks(calls: DataFrame, least: int = 3, bucket_seconds: int = 3600) -> DataFrame:
+    """Outages: runs of `least` or more failed calls of a service with no success between them, with the success that
+    ended each (`recovered_us`, NULL while it lasts).
+
+    Runs are found inside time buckets. Those at a bucket's edges are joined over one summary row per bucket, so a busy
+    service's calls are never ordered in one task.
+    """
+    ok = F.col("status") != "error"
+    us = F.unix_micros("ts")
+    b = calls.select("service", "event_id", us.alias("us"), ok.cast("int").alias("ok"), F.floor(us / (bucket_seconds * 1000000)).alias("bucket"))
+    cell = W.partitionBy("service", "bucket")
+    upto = cell.orderBy("us", "event_id").rowsBetween(W.unboundedPreceding, 0)
+    runs = b.withColumn("run", F.sum("ok").over(upto)).groupBy("service", "bucket", "run").agg(
+        F.sum(1 - F.col("ok")).alias("failures"), F.min(F.when(F.col("ok") == 0, F.col("us"))).alias("started_us"),
+        F.max(F.when(F.col("ok") == 0, F.col("us"))).alias("ended_us"), F.min(F.when(F.col("ok") == 1, F.col("us"))).alias("ok_us"),
+    )
+    # Run n begins with the n-th success of its bucket; run 0 has none. The success that ends a run begins the next one.
+    runs = runs.withColumn("recovered_us", F.lead("ok_us").over(cell.orderBy("run"))).withColumn("last", F.max("run").over(cell))
+    if_first, if_last = F.col("run") == 0, F.col("run") == F.col("last")
+    inner = runs.filter(~if_first & ~if_last).select("service", "started_us", "ended_us", "failures", "recovered_us")
+    # Every bucket has its first piece, if only to tell when it recovered, and its last.
+    buckets = runs.groupBy("service", "bucket").agg(
+        F.max("last").alias("successes"), F.min("ok_us").alias("first_ok"),
+        *[F.max_by(F.struct("failures", "started_us", "ended_us"), F.when(c, 1)).alias(n) for n, c in (("head", if_first), ("tail", if_last))],
+    )
+    ordered = W.partitionBy("service").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    some = F.col("successes") > 0
+    buckets = buckets.withColumn("segment", F.sum(some.cast("int")).over(ordered))
+    head = buckets.filter(some).select("service", (F.col("segment") - 1).alias("segment"), "head.*", F.col("first_ok").alias("recovered_us"))
+    tail = buckets.select("service", "segment", "tail.*", F.lit(None).cast("bigint").alias("recovered_us"))
+    edge = head.unionByName(tail).groupBy("service", "segment").agg(
+        F.min("started_us").alias("started_us"), F.max("ended_us").alias("ended_us"), F.sum("failures").alias("failures"), F.min("recovered_us").alias("recovered_us"))
+    return inner.unionByName(edge.select(inner.columns)).filter(F.col("failures") >= least)
+
+
 def segments(rows: DataFrame, keys: list[str], sync, bucket_seconds: int) -> DataFrame:
     """Cut each key's rows into segments that can be replayed on their own.
 

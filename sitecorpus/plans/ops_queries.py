@@ -48,6 +48,11 @@ def _call_log(t: Tables):
 query("src_events_jsonl", ora("SELECT event_id, epoch_us(ts) AS ts_us, service, ability, k, status, http_status, duration_ms, message FROM calls"))(
     lambda t: _call_log(t).select("event_id", F.unix_micros("ts").alias("ts_us"), "service", "ability", F.col("params")["k"].cast("int").alias("k"),
                                   "status", "http_status", "duration_ms", "message"))
+query("failure_streaks", ora("""
+ SELECT service, min(us) FILTER (ok = 0) AS started_us, max(us) FILTER (ok = 0) AS ended_us, (count(*) FILTER (ok = 0))::BIGINT AS failures, any_value(next_ok) AS recovered_us FROM (
+  SELECT *, min(us) FILTER (ok = 1) OVER (PARTITION BY service ORDER BY us, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_ok FROM (
+   SELECT service, event_id, epoch_us(ts) AS us, (status <> 'error')::INT AS ok, sum((status <> 'error')::INT) OVER (PARTITION BY service ORDER BY ts, event_id) AS run FROM calls))
+ GROUP BY service, run HAVING count(*) FILTER (ok = 0) >= 3"""))(lambda t: ops.failure_streaks(calls(t)))
 query("error_summary", ora("SELECT category, count(*) AS errors, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us FROM calls WHERE status = 'error' GROUP BY 1"))(
     lambda t: ops.error_summary(calls(t)).drop("services_approx"))
 query("recent_errors", ora("SELECT event_id, epoch_us(ts) AS ts_us, service, ability, category, message FROM calls WHERE status = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10"))(

@@ -135,3 +135,26 @@ def test_lessons(spark):
     up = ops.lesson_upsert(spark.createDataFrame(d, "content string, created_at date"))
     kept = {r.reinforced_count: (r.confidence, r.decayed) for r in ops.lesson_decay(up, "2025-01-01").collect()}
     assert kept == {1: (0.45, True), 0: (0.5, False)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_streaks_do_not_depend_on_the_buckets(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice("ab"), rnd.randint(0, 400), rnd.choice(["error", "error", "success"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id bigint, service string, s bigint, status string").selectExpr("event_id", "service", "timestamp_seconds(s) AS ts", "status")
+    want = []
+    for svc in "ab":
+        run = []
+        for _, _, t, status in sorted((r for r in rows if r[1] == svc), key=lambda r: (r[2], r[0])):
+            if status == "error":
+                run.append(t)
+                continue
+            if len(run) >= 3:
+                want.append((svc, run[0], run[-1], len(run), t))
+            run = []
+        if len(run) >= 3:
+            want.append((svc, run[0], run[-1], len(run), None))
+    for bucket in (1, 7, 60, 10_000):
+        got = ops.failure_streaks(df, bucket_seconds=bucket).collect()
+        cut = lambda us: None if us is None else us // 1_000_000
+        assert sorted(((r.service, cut(r.started_us), cut(r.ended_us), r.failures, cut(r.recovered_us)) for r in got), key=str) == sorted(want, key=str)

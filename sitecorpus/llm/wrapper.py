@@ -16,6 +16,8 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from sitecorpus.session import stage
+
 GROUP = 96  # pages in a group, about; hosts with more are split by a hash of the page
 ALIKE = 5  # distinct pages that must agree before a node counts as template
 MOST = 0.6  # share of the varying text a container must hold
@@ -297,7 +299,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     many = rows.groupBy("host").count().filter(F.col("count") > group).select("host", F.ceil(F.col("count") / group).alias("parts"))
-    dealt = rows.join(many, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))))
+    # Written, so that the join sees its size: where it is small, pages are dealt once only, by host and part. A join by
+    # host would otherwise leave a host's parts together, hence the repartition.
+    parted = rows.join(stage(many, "large-hosts"), "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))))
+    dealt = parted.select("page_id", "url", "html", "host", "part").repartition("host", "part")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def texts(found: pd.DataFrame) -> pd.DataFrame:

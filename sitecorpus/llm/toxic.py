@@ -2,9 +2,10 @@
 
 Two words are alike by the three-letter subsequences they share within SPAN letters, each occurrence weighing DECAY to the
 power of the stretch it spans, so that inserted letters and gaps cost a little and do not hide a word. The kernel is
-normalised and sharpened, exp(SHARP (k - 1)), where similarities under LEAST count as none; two texts are alike by the mean over their pairs of words, which is a kernel again. The
+normalised and sharpened, exp(SHARP (k - 1)), where similarities under LEAST count as none; two texts are alike by the sum over
+their pairs of words over the root of their lengths, which is a kernel again. The
 landmarks are words: those that set toxic training texts apart. Words are mapped to the Nyström
-features of the landmarks, a text to the mean over its words, and a linear support vector machine with squared hinge
+features of the landmarks, a text to the sum over its words, and a linear support vector machine with squared hinge
 loss learns from the labelled texts. Its margin is turned into a probability by a logistic fit.
 
 A word is a run of letters or digits with signs inside it; a row of single characters, as in i-d-i-o-t, is one word too.
@@ -17,7 +18,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,13 @@ from sitecorpus.llm.frames import bounded, per_batch
 from sitecorpus.session import stage
 
 SAMPLE = 20_000  # labelled texts to learn from, at most about this many
-TELLING = 200  # landmarks
+TELLING, EVIDENCE = 200, 6.0  # landmarks at most, and the likelihood ratio they need
 DECAY, SPAN, SHARP, LEAST = 0.9, 6, 6.0, 0.5
 LONGEST = 24
-CACHED = 500_000  # words whose features a worker keeps
+CACHED = 160_000  # words whose features a worker keeps; the earliest half, the frequent ones, outlives the rest
 THRESHOLD = 0.7
-RIDGE = 0.2
-SCALE = 20.0  # a text's mean is small: a few words in a hundred
+RIDGE = 2.0
+SCALE = 3.0
 
 _WORD = re.compile(r"[^\W_](?:[\W_]{1,2}[^\W_]){2,}(?![^\W_])|[^\W_]+(?:[*@$!.'_~-]+[^\W_]+)*")
 
@@ -150,14 +151,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
-class _Means:
-    """Mean over the words of texts of their similarities to the landmarks, or of those times `into`, with a bounded cache
-    of the words' vectors."""
+class _Sums:
+    """Sum over the words of texts of their similarities to the landmarks, or of those times `into`, over the root of the
+    number of words; with a bounded cache of the words' vectors."""
 
     def __init__(self, kernel: Kernel, into: np.ndarray | None = None):
         self.kernel, self.into = kernel, into
         self.width = len(kernel.landmarks) if into is None else into.shape[1]
-        self.most = min(CACHED, 16_000_000 // self.width)
+        self.most = min(CACHED, 10_000_000 // self.width)
         self.known: dict[str, int] = {}
         self.values = np.zeros((0, self.width), np.float32)
 
@@ -192,8 +193,8 @@ class _Means:
             new = set(words).difference(self.known)
             if new:
                 if len(self.known) + len(new) > self.most:
-                    self.known.clear()
-                    new = set(words)
+                    self.known = dict(islice(self.known.items(), self.most // 2))
+                    new = set(words).difference(self.known)
                 plain = {w for w in new if w.isalnum() and len(w) <= LONGEST}
                 self._learn(list(plain))
                 self._learn(list(new - plain))
@@ -201,7 +202,7 @@ class _Means:
             sizes = np.diff(ends)
             some = np.flatnonzero(sizes)
             if len(some):
-                out[lo + some] = np.add.reduceat(self.values[number], np.array(ends[:-1])[some], axis=0, dtype=np.float64) / sizes[some][:, None]
+                out[lo + some] = np.add.reduceat(self.values[number], np.array(ends[:-1])[some], axis=0, dtype=np.float64) / np.sqrt(sizes[some])[:, None]
             lo += len(sizes)
         return out
 
@@ -211,15 +212,16 @@ def _words_udf(text: pd.Series) -> pd.Series:
 
 
 def landmarks(known: DataFrame, telling: int = TELLING) -> list[str]:
-    """The words whose presence tells toxic texts (text, label) best, by the log-odds over its error. Each text counts a
-    word once; only as many words as asked for reach the driver."""
+    """The words whose presence tells toxic texts (text, label) best, by the likelihood ratio against one rate for both
+    labels. Each text counts a word once; only as many words as asked for reach the driver."""
     split = F.pandas_udf(_words_udf, T.ArrayType(T.StringType()))
     total = known.agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")).first()
     pos, neg = float(total["pos"] or 0), float(total["neg"] or 0)
     counts = known.select("label", F.explode(split("text")).alias("word")).groupBy("word").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
-    odds = F.log((F.col("p") + 0.5) / (pos - F.col("p") + 0.5)) - F.log((F.col("n") + 0.5) / (neg - F.col("n") + 0.5))
-    error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
-    top = counts.withColumn("z", odds / error).filter("p >= 2 AND z > 1.5").orderBy(F.desc("z"), "word").limit(telling)
+    p, n = F.col("p"), F.col("n")
+    part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / ((p + n) * share))).otherwise(0.0)
+    ratio = 2 * (part(p, pos / max(1.0, pos + neg)) + part(n, neg / max(1.0, pos + neg)))
+    top = counts.withColumn("ratio", ratio).filter((p >= 2) & (p * neg > n * pos) & (F.col("ratio") > EVIDENCE)).orderBy(F.desc("ratio"), "word").limit(telling)
     return [r["word"] for r in top.collect()]
 
 
@@ -248,15 +250,25 @@ def support_vectors(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 60
 
 
 def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a one-dimensional logistic fit to smoothed targets."""
+    """Slope and shift of a one-dimensional logistic fit to smoothed targets, by damped Newton steps."""
     pos, neg = (y > 0).sum(), (y < 0).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    v = np.array([1.0, 0.0])
     rows = np.stack([margin, np.ones_like(margin)], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(rows @ v, -30, 30)))
-        step = np.linalg.solve(rows.T @ (rows * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2), rows.T @ (target - p))
-        v += np.clip(step, -2, 2)
+
+    def loss(v):
+        f = rows @ v
+        return (np.logaddexp(0, f) - target * f).sum()
+
+    v = np.array([0.0, np.log((pos + 1) / (neg + 1))])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(rows @ v, -500, 500)))
+        step = np.linalg.solve(rows.T @ (rows * (p * (1 - p))[:, None]) + 1e-9 * np.eye(2), rows.T @ (target - p))
+        size, now = 1.0, loss(v)
+        while size > 1e-8 and loss(v + size * step) > now:
+            size /= 2
+        v = v + size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
     return float(v[0]), float(v[1])
 
 
@@ -276,7 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = _Means(kernel)
+        mean = _Sums(kernel)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(mean(b.column(0).to_pylist())), pa.list_(pa.float64()))], ["label", "x"])
 
@@ -311,7 +323,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     into = None if model is None else (SCALE * model.root @ model.weights).astype(np.float32)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = None if model is None else _worker_means(model, into)
+        mean = None if model is None else _worker_sums(model, into)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             score = np.zeros(batch.num_rows)
@@ -329,9 +341,9 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
 _last: list = [None, None]
 
 
-def _worker_means(model: Model, into: np.ndarray) -> _Means:
-    """The means of the task before, if this worker has had the same model: its words stay known."""
+def _worker_sums(model: Model, into: np.ndarray) -> _Sums:
+    """The sums of the task before, if this worker has had the same model: its words stay known."""
     key = (tuple(model.kernel.landmarks), into.tobytes())
     if _last[0] != key:
-        _last[:] = [key, _Means(model.kernel, into)]
+        _last[:] = [key, _Sums(model.kernel, into)]
     return _last[1]

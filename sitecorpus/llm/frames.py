@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,14 +19,32 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+ROWS = 512  # handled at once, so that a batch's texts are never all held a second time
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows. At the end, memory that the task has freed goes back to the system: workers are
+    kept by Spark, and several operators may follow each other in one."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
+    release()
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]]):
-    """The function for mapInArrow that handles each batch on its own."""
+    """The function for mapInArrow that handles a few rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
-                yield from [made] if isinstance(made, pa.RecordBatch) else made
+        for batch in in_parts(batches):
+            made = function(batch)
+            yield from [made] if isinstance(made, pa.RecordBatch) else made
 
     return run
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sitecorpus.llm.frames import per_batch
+from sitecorpus.llm.frames import in_parts, per_batch
 from sitecorpus.llm.tokens import tokenizer as worker_tokenizer
 from sitecorpus.session import stage
 
@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, limit: int = LIMIT,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker_tokenizer(tokenizer)
         counts = np.zeros(limit + 1, np.int64)
-        for batch in batches:
+        for batch in in_parts(batches):
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 own, first = encode(part.column(2).fill_null("").to_pylist(), end_id)

@@ -12,7 +12,7 @@ import numpy as np
 # place, so the chunks' ids in a row are the text's.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
-CACHED = 240_000  # chunks a worker keeps; the earliest half, the frequent ones, outlives the rest
+CACHED = 160_000  # chunks a worker keeps; the earliest half, the frequent ones, outlives the rest
 LONGEST = 48  # characters of a chunk that is kept
 
 

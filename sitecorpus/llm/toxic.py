@@ -25,14 +25,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sitecorpus.llm.frames import bounded, per_batch
+from sitecorpus.llm.frames import bounded, in_parts, per_batch
 from sitecorpus.session import stage
 
 SAMPLE = 20_000  # labelled texts to learn from, at most about this many
 TELLING, EVIDENCE = 200, 6.0  # landmarks at most, and the likelihood ratio they need
 DECAY, SPAN, SHARP, LEAST = 0.9, 6, 6.0, 0.5
 LONGEST = 24
-CACHED = 160_000  # words whose features a worker keeps; the earliest half, the frequent ones, outlives the rest
+CACHED = 160_000  # words whose features a task keeps; the earliest half, the frequent ones, outlives the rest
 THRESHOLD = 0.7
 RIDGE = 2.0
 SCALE = 3.0
@@ -289,7 +289,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mean = _Sums(kernel)
-        for b in batches:
+        for b in in_parts(batches):
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(mean(b.column(0).to_pylist())), pa.list_(pa.float64()))], ["label", "x"])
 
     table = known.mapInArrow(means, "label int, x array<double>").toPandas()  # bounded by the sample
@@ -323,7 +323,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     into = None if model is None else (SCALE * model.root @ model.weights).astype(np.float32)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = None if model is None else _worker_sums(model, into)
+        mean = None if model is None else _Sums(model.kernel, into)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             score = np.zeros(batch.num_rows)
@@ -336,14 +336,3 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
 
     fields = [f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in kept]
     return docs.mapInArrow(run, ", ".join([*fields, f"`{added[0]}` double", f"`{added[1]}` int"]))
-
-
-_last: list = [None, None]
-
-
-def _worker_sums(model: Model, into: np.ndarray) -> _Sums:
-    """The sums of the task before, if this worker has had the same model: its words stay known."""
-    key = (tuple(model.kernel.landmarks), into.tobytes())
-    if _last[0] != key:
-        _last[:] = [key, _Sums(model.kernel, into)]
-    return _last[1]

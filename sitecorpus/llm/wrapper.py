@@ -6,6 +6,10 @@ order of siblings. A node that has the same text on all pages is template. The r
 on the reference page that holds most of the text that varies, links apart, and every page's text is read from the node
 aligned with it, without template nodes and without elements that never are main text. A page with no partner, or whose
 tree has no node there, is judged by its own text alone.
+
+Elements that never are main text are told by their tag or a whole class, id or role name. They stay where they hold an
+article or main element, more than half of the text of the article or main element they are in, or, on a page with no
+text in such an element, more than half of the page's. Text within links does not count there.
 """
 
 from __future__ import annotations
@@ -27,8 +31,12 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|svg|iframe|title|object|select|math"
-DROPPED = frozenset("nav footer aside form head header button dialog menu audio video canvas figcaption".split())
+MATH = frozenset(
+    """math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts
+    mtable mtr mtd maction semantics""".split()
+)
+RAW = "script|style|noscript|template|textarea|svg|iframe|title|object|select|annotation-xml|annotation"
+DROPPED = frozenset("nav footer aside form head header button dialog menu audio video canvas".split())
 CONTAINERS = frozenset("html body article main section div td table tbody tr center".split())
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BLOCKS_END_P = frozenset(
@@ -45,12 +53,12 @@ _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</([a-z][^\s/>]*)[^>]*>|<([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<([a-z][^\s/>]*)([^>]*)>""",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_PART = re.compile(r"[a-z0-9]+")
+_NAMES = re.compile(r"""(?<![\w:.-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_BY_CLASS = frozenset("p h1 h2 h3 h4 h5 h6".split())  # their ids name what they say, not their role
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "kids", "shape", "linked")
+    __slots__ = ("tag", "attrs", "parent", "items", "kids", "shape", "linked", "amount", "kept")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -58,6 +66,8 @@ class Node:
         self.kids: list[Node] = []
         self.shape = 0
         self.linked = 0  # characters within links
+        self.amount = 0  # characters of its own text outside links
+        self.kept = False  # holds too much to be dropped
 
     @property
     def text(self) -> str:
@@ -65,12 +75,14 @@ class Node:
 
     def is_dropped(self, inside: bool) -> bool:
         """Never main text. inside: below an article, where a header holds the title."""
+        if self.kept:
+            return False
         if self.tag in DROPPED and not (inside and self.tag == "header"):
             return True
         if not self.attrs or self.tag in ("html", "body", "article", "main"):
             return False
-        names = " ".join(x or y or z for x, y, z in _NAMES.findall(self.attrs)).lower()
-        return not NUISANCE.isdisjoint(_PART.findall(names))
+        names = " ".join(x or y or z for kind, x, y, z in _NAMES.findall(self.attrs) if self.tag not in _BY_CLASS or kind.lower() != "id")
+        return not NUISANCE.isdisjoint(names.lower().split())
 
 
 def parse(page: str) -> Node:
@@ -93,7 +105,7 @@ def parse(page: str) -> Node:
             tag = tag.lower()
             if tag in INLINE:
                 links += tag == "a"
-            elif tag == "br":
+            elif tag == "br" or tag in MATH:
                 say(" ")
             elif tag in ("html", "body"):
                 pass
@@ -139,6 +151,35 @@ def _shapes(node: Node) -> None:
         n.shape = hash((n.tag, *[k.shape for k in n.kids]))
 
 
+def _keep(root: Node) -> None:
+    """Marks the blocks that hold an article or main element or most of the text."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo += n.kids
+    total: dict[Node, int] = {}
+    named = 0
+    for n in reversed(order):
+        n.amount = max(0, len(n.text) - n.linked)
+        total[n] = n.amount + sum(total[k] for k in n.kids)
+        if n.tag in ("article", "main"):
+            named += total[n]
+            up = n.parent
+            while up is not None and not up.kept:
+                up.kept = True
+                up = up.parent
+    within: dict[Node, Node | None] = {root: None if named else root}  # what a block's text is compared with
+    for n in order:
+        around = within[n]
+        if around is not None and 2 * total[n] > total[around]:
+            n.kept = True
+        if n.tag in ("article", "main") and (around is None or around is root):
+            around = n
+        for k in n.kids:
+            within[k] = around
+
+
 class Matcher:
     """Simple tree matching, with the sizes of matches between shapes kept."""
 
@@ -257,6 +298,7 @@ def main_texts(pages: list[str | None]) -> list[str]:
     some = [t for t in trees if t is not None]
     for t in some:
         _shapes(t)
+        _keep(t)
     if not some:
         return [""] * len(pages)
     # The reference is the page of median size, so that most parts have a partner.
@@ -273,9 +315,9 @@ def main_texts(pages: list[str | None]) -> list[str]:
     constant = {b for b, texts in seen.items() if len(texts) == 1 and distinct >= ALIKE and next(iter(texts)) and sum(texts.values()) == len(some)}
 
     def varies(n: Node) -> int:
-        return 0 if n in constant or len(seen.get(n, ())) < 2 else max(0, len(n.text) - n.linked)
+        return 0 if n in constant or len(seen.get(n, ())) < 2 else n.amount
 
-    alone = lambda n: max(0, len(n.text) - n.linked)
+    alone = lambda n: n.amount
     region = _region(reference, varies if distinct > 1 else alone)
     out = []
     for t in trees:

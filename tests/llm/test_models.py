@@ -54,6 +54,26 @@ def test_wrapper_finds_the_region_without_an_article_element():
     assert got[3] == "Text word3\n\nMore of word3 word3 word3"
 
 
+@pytest.mark.parametrize("wrap", ["div class='content has-sidebar'", "div class=sidebar", "form id=search", "aside", "div class='widget'"])
+@pytest.mark.parametrize("main", ["article", "main", "section"])
+def test_blocks_with_the_main_text_are_never_dropped(wrap, main):
+    page = "<body><nav><a href=/>Home</a></nav><{0}><{1}><h2>Title {2}</h2><p>Text number {2} is here</p></{1}></{3}><footer>End</footer>"
+    for pages in (range(1), range(7)):
+        got = wrapper.main_texts([page.format(wrap, main, n, wrap.split()[0]) for n in pages])
+        assert got == [f"Title {n}\n\nText number {n} is here" for n in pages]
+
+
+def test_most_of_an_article_is_kept_and_comments_are_not():
+    page = "<article><h1>T</h1><div class=notice><p>All the text of it</p></div></article><div class=comments><p>A much longer text that is no part of it at all</p></div>"
+    assert wrapper.main_texts([page]) == ["T\n\nAll the text of it"]
+
+
+def test_whole_names_and_parts_of_articles():
+    page = """<article><h2 id="search">Search</h2><p class="share-price">Price</p><div class="ad-hoc" data-id="menu">Hoc</div><p id="legal">Law</p><div class="Share">no</div>
+    <figure><img src=x><figcaption>Caption</figcaption></figure><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>, and <b>on</b></p><p class="ad">no</p></article>"""
+    assert wrapper.main_texts([page]) == ["Search\n\nPrice\n\nHoc\n\nLaw\n\nCaption\n\nSo x = 2, and on"]
+
+
 def test_tree_matching():
     a, b = (wrapper.parse(p) for p in ("<div><p>x</p><ul></ul><table></table></div>", "<div><ul></ul><p>y</p><table></table><p></p></div>"))
     for t in (a, b):

@@ -2,10 +2,14 @@
 
 Pages of one host are dealt into groups of bounded size. In a group, the tree of block elements of every page is aligned
 with that of a reference page by simple tree matching: the largest set of pairs of equal tags that keeps parents and the
-order of siblings. A node that has the same text on all pages is template. The region of the main text is the container
-on the reference page that holds most of the text that varies, links apart, and every page's text is read from the node
-aligned with it, without template nodes and without elements that never are main text. A page with no partner, or whose
-tree has no node there, is judged by its own text alone.
+order of siblings. The region of the main text is the container on the reference page that holds most of the text that
+varies, links apart, and every page's text is read from the node aligned with it, without elements that never are main
+text. A page with no partner, or whose tree has no node there, is judged by its own text alone.
+
+Pages may be versions of one text that differ in adverts or dates only, so what varies need not be the main text: the
+region is widened to what the page's own text and its article elements say. All of a region is read, whether or not other
+pages have it too. Only on a page without any region, template nodes go: nodes with the same text on all pages, outside
+articles, of a group with several distinct texts, and only if they are the lesser part of the page's text.
 
 Elements that never are main text are told by their tag or a whole class, id or role name. They stay where they hold an
 article or main element, more than half of the text of the article or main element they are in, or, on a page with no
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from sitecorpus.session import stage
 
 GROUP = 96  # pages in a group, about; hosts with more are split by a hash of the page
-ALIKE = 5  # distinct pages that must agree before a node counts as template
+ALIKE = 5  # pages of distinct texts that must agree before a node counts as template
 MOST = 0.6  # share of the varying text a container must hold
 
 # Elements by role.
@@ -252,13 +256,44 @@ def _region(root: Node, own) -> Node:
     total = _weights(root, own)
     at = root
     while at.tag not in ("article", "main"):
-        inner = [k for k in at.kids if total.get(k, 0) >= MOST * total[root] and k.tag in CONTAINERS and total[k] > 0]
+        inner = [k for k in at.kids if total.get(k, 0) >= MOST * total[root] and k.tag in CONTAINERS and total.get(k, 0) > 0]
         if not inner:
             break
         at = inner[0]
     return at
 
 
+def _named(node: Node | None) -> bool:
+    """Whether the node is, or is in, an article or main element."""
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _widened(root: Node, own: Node) -> Node:
+    """The region with what the page itself gives as main text: the place of most of its text, and its articles."""
+    total = _weights(root, lambda n: n.amount)
+    alone = _region(root, lambda n: n.amount)
+    if own.parent is None or (_named(alone) and not _named(own) and own not in _line(alone)):
+        own = alone
+    held = [alone] if _named(own) else [alone, *(n for n in total if n.tag in ("article", "main") and total[n])]
+    for n in held:
+        if n not in _line(own):
+            line = _line(n)
+            while own not in line:
+                own = own.parent
+    return own
+
+
+def _line(node: Node | None) -> set[Node]:
+    """The node and all it is in."""
+    out = set()
+    while node is not None:
+        out.add(node)
+        node = node.parent
+    return out
+
+
 def _blocks(region: Node, template: set[Node]) -> list[str]:
     out: list[str] = []
     words: list[str] = []
@@ -272,10 +307,7 @@ def _blocks(region: Node, template: set[Node]) -> list[str]:
             out.append(text)
         words.clear()
 
-    inner = region
-    while inner is not None and inner.tag not in ("article", "main"):
-        inner = inner.parent
-    todo: list = [(region, inner is not None)]
+    todo: list = [(region, _named(region))]
     while todo:
         item, inside = todo.pop()
         if item is None:
@@ -284,11 +316,12 @@ def _blocks(region: Node, template: set[Node]) -> list[str]:
             words.append(item)
         else:
             flush()
-            if item is not region and (item in template or item.is_dropped(inside)):
+            if item is not region and item.is_dropped(inside):
                 continue
             inside = inside or item.tag in ("article", "main")
             todo.append((None, inside))
-            todo += [(x, inside) for x in reversed(item.items)]
+            mute = item in template and not inside
+            todo += [(x, inside) for x in reversed(item.items) if not mute or x.__class__ is not str]
     return out
 
 
@@ -311,23 +344,29 @@ def main_texts(pages: list[str | None]) -> list[str]:
             text = a.text
             held = seen.setdefault(b, {})
             held[text] = held.get(text, 0) + 1
-    distinct = len({p for p in pages if p})
-    constant = {b for b, texts in seen.items() if len(texts) == 1 and distinct >= ALIKE and next(iter(texts)) and sum(texts.values()) == len(some)}
+    constant = {b for b, texts in seen.items() if len(texts) == 1 and next(iter(texts)) and sum(texts.values()) == len(some)}
 
     def varies(n: Node) -> int:
-        return 0 if n in constant or len(seen.get(n, ())) < 2 else n.amount
+        return 0 if len(seen.get(n, ())) < 2 else n.amount
 
-    alone = lambda n: n.amount
-    region = _region(reference, varies if distinct > 1 else alone)
+    region = _region(reference, varies)
+    chosen = {}
+    for t in some:
+        own = next((a for a, b in aligned[t].items() if b is region), None)
+        chosen[t] = _widened(t, own or t)
+    whole = {t: _blocks(n, set()) for t, n in chosen.items()}
+    distinct = len({tuple(w) for w in whole.values()})
     out = []
     for t in trees:
         if t is None:
             out.append("")
             continue
-        own = next((a for a, b in aligned[t].items() if b is region), None)
-        own = own if own is not None and own.parent is not None else _region(t, alone)
-        template = {a for a, b in aligned[t].items() if b in constant}
-        out.append("\n\n".join(_blocks(own, template) or _blocks(own, set())))
+        blocks = whole[t]
+        if chosen[t].parent is None and distinct >= ALIKE:
+            rest = _blocks(t, {a for a, b in aligned[t].items() if b in constant})
+            if 2 * sum(map(len, rest)) > sum(map(len, blocks)):
+                blocks = rest
+        out.append("\n\n".join(blocks))
     return out
 
 

@@ -74,6 +74,37 @@ def test_whole_names_and_parts_of_articles():
     assert wrapper.main_texts([page]) == ["Search\n\nPrice\n\nHoc\n\nLaw\n\nCaption\n\nSo x = 2, and on"]
 
 
+@pytest.mark.parametrize("n", [2, 5, 7])
+@pytest.mark.parametrize("body", [
+    "<article><h1>T</h1>{0}</article><div><p>Buy {1}</p></div>", "<article><h1>T</h1>{0}<p>Seen {1} times</p></article>", "<article><h1>T</h1>{0}</article><img src={1}>",
+    "<div><h1>T</h1>{0}</div><div><p>Buy {1}</p></div>", "<h1>T</h1>{0}<p>Buy {1}</p>", "<div><p>Some</p></div><article><h1>T</h1>{0}</article><div><p>Other words at the side</p></div><div><p>Buy {1}</p></div>",
+])
+def test_versions_of_one_text_are_whole(n, body):
+    own = "<p>The first passage of it</p><p>And the second one</p>"
+    for text in wrapper.main_texts([body.format(own, i) for i in range(n)]):
+        assert "T\n\nThe first passage of it\n\nAnd the second one" in text
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_passages_that_all_texts_share_stay(tag):
+    page = "<div><p>Menu</p></div><{0}><h1>Title {1}</h1><h2>Ingredients</h2><p>Take {1} of it, and of these {1}</p><h2>Method</h2></{0}>"
+    for n in (4, 6, 200):
+        got = wrapper.main_texts([page.format(tag, i) for i in range(n)])
+        assert got == [f"Title {i}\n\nIngredients\n\nTake {i} of it, and of these {i}\n\nMethod" for i in range(n)]
+
+
+def test_template_goes_where_there_is_no_region():
+    page = "<h4>Our site</h4><p>Text {0} and more of {0}</p><p>End {0}</p><h4>Address</h4>"
+    assert wrapper.main_texts([page.format(n) for n in range(6)])[3] == "Text 3 and more of 3\n\nEnd 3"
+    # Other markup does not make other texts.
+    same = wrapper.main_texts([page.format(1) + f"<img src={n}>" for n in range(6)])
+    assert set(same) == {"Our site\n\nText 1 and more of 1\n\nEnd 1\n\nAddress"}
+
+
+def test_pages_without_any_text():
+    assert wrapper.main_texts(["<div class=menu>x</div><div>y</div>", "<div class=menu><a href=x>x</a></div>", "<div></div>"])[1:] == ["", ""]
+
+
 def test_tree_matching():
     a, b = (wrapper.parse(p) for p in ("<div><p>x</p><ul></ul><table></table></div>", "<div><ul></ul><p>y</p><table></table><p></p></div>"))
     for t in (a, b):

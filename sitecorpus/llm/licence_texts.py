@@ -1,5 +1,7 @@
 """Licence templates. Notices and short licence texts as their owners publish them, without names and years."""
 
+from sitecorpus.llm.licence_full import FULL
+
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
@@ -58,5 +60,8 @@ this software, either in source code form or as a compiled binary, for any purpo
     ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the
 use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it
 freely, subject to the following restrictions."""),
+    ("all-rights-reserved", "All rights reserved."),
+    ("proprietary", "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."),
+    *FULL,
 )

@@ -43,11 +43,14 @@ class Scanner:
         self.sizes = [sum(c.values()) for c in self.counts]
         self.least = [math.ceil(b * threshold / (2 - threshold) - 1e-9) for b in self.sizes]
         self.most = [math.floor(b * (2 - threshold) / threshold + 1e-9) for b in self.sizes]
-        self.of: dict[int, list[int]] = {}
-        for k, c in enumerate(self.counts):
-            for g in c:
-                self.of.setdefault(g, []).append(k)
-        self.known = np.array(sorted(self.of), np.uint64)
+        # The templates of each known bigram, and how often it stands there, one after the other.
+        grams = np.array([g for c in self.counts for g in c], np.uint64)
+        of = np.array([k for k, c in enumerate(self.counts) for _ in c], np.int64)
+        times = np.array([n for c in self.counts for n in c.values()], np.int64)
+        order = np.argsort(grams, kind="stable")
+        self.of, self.times = of[order], times[order]
+        self.known, self.start = np.unique(grams[order], return_index=True)
+        self.many = np.diff(np.append(self.start, len(grams)))
         self.seen = np.zeros(1 << 16, bool)
         self.seen[(self.known & _U64(0xFFFF)).astype(np.int64)] = True
 
@@ -57,16 +60,17 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.known, bigrams[maybe]), len(self.known) - 1)
         return maybe[self.known[at] == bigrams[maybe]]
 
-    def passages(self, places: list[int], grams: list[int]) -> list[tuple[int, float, int, int]]:
+    def passages(self, places: np.ndarray | list[int], grams: np.ndarray | list[int]) -> list[tuple[int, float, int, int]]:
         """(template, score, first bigram, bigram after the last), disjoint, from the bigrams of one text that hit."""
-        by: dict[int, list[tuple[int, int]]] = {}
-        for p, g in zip(places, grams, strict=True):
-            for k in self.of[g]:
-                by.setdefault(k, []).append((p, g))
+        place, at = np.asarray(places, np.int64), np.searchsorted(self.known, np.asarray(grams, np.uint64))
+        many = self.many[at]
+        own = np.repeat(np.arange(len(place)), many)
+        entry = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.start[at], many)
+        template = self.of[entry]
         found = []
-        for k, own in by.items():
-            if len(own) >= self.least[k]:
-                found += self._passages(k, own)
+        for k in np.flatnonzero(np.bincount(template, minlength=len(self.sizes)) >= self.least).tolist():
+            mine = np.flatnonzero(template == k)
+            found += self._passages(k, place[own[mine]], at[own[mine]], self.times[entry[mine]])
         # The best first; then the longer, the earlier, and the template listed first.
         found.sort(key=lambda f: (-f[1], f[2] - f[3], f[2], f[0]))
         out: list[tuple[int, float, int, int]] = []  # in text order
@@ -76,29 +80,27 @@ class Scanner:
                 out.insert(at, f)
         return out
 
-    def _passages(self, k: int, own: list[tuple[int, int]]) -> list[tuple[int, float, int, int]]:
-        """The best passage from each start, for one template, if it reaches the threshold."""
-        b, least, most, counts = self.sizes[k], self.least[k], self.most[k], self.counts[k]
+    def _passages(self, k: int, place: np.ndarray, gram: np.ndarray, times: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """The best passage from each start, for one template, if it reaches the threshold.
+
+        times: how often the template holds each bigram. One that has stood so often since the start counts no more.
+        """
+        b, least, most = self.sizes[k], self.least[k], self.most[k]
+        starts = np.flatnonzero(place[least - 1 :] - place[: len(place) - least + 1] < most) if least else np.arange(len(place))
+        if not len(starts):
+            return []
+        order = np.argsort(gram, kind="stable")
+        before = np.arange(len(gram)) - times[order]
+        same = (before >= 0) & (gram[order][before] == gram[order])
+        used = np.full(len(gram), -1)  # the place among the bigrams from which on this one is one too many
+        used[order[same]] = order[before[same]]
+        ends = np.searchsorted(place, place[starts] + most)
         out = []
-        for i in range(len(own) - least + 1):
-            start = own[i][0]
-            if own[i + least - 1][0] - start >= most:
-                continue
-            left = dict(counts)
-            shared, best = 0, (0.0, 0)
-            for j in range(i, len(own)):
-                p, g = own[j]
-                size = p - start + 1
-                if size > most:
-                    break
-                if left[g]:
-                    left[g] -= 1
-                    shared += 1
-                    score = 2 * shared / (b + size)
-                    if score > best[0]:
-                        best = (score, p + 1)
-            if best[0] >= self.threshold:
-                out.append((k, best[0], start, best[1]))
+        for i, end in zip(starts.tolist(), ends.tolist(), strict=True):
+            score = 2 * np.cumsum(used[i:end] < i) / (b + place[i:end] - place[i] + 1)
+            j = int(score.argmax())
+            if score[j] >= self.threshold:
+                out.append((k, float(score[j]), int(place[i]), int(place[i + j]) + 1))
         return out
 
 
@@ -131,7 +133,7 @@ def scan(docs: DataFrame, text_col: str = "text", templates: tuple[tuple[str, st
                     for i in np.unique(row):
                         own = hits[np.searchsorted(row, i) : np.searchsorted(row, i, "right")]
                         base = int(words.first[i])
-                        found = scanner.passages((own - base).tolist(), grams[own].tolist())
+                        found = scanner.passages(own - base, grams[own])
                         made[i] = [{"licence": scanner.names[k], "score": s, "first": b, "last": e + 1} for k, s, b, e in found]
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), pa.array(made, _SPANS)], [*(names[i] for i in kept), "licences"])

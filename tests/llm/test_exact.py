@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from sitecorpus.llm import anchors, automaton, licences, naming, packing, sketch, words
+from sitecorpus.llm import anchors, automaton, licence_full, licences, naming, packing, sketch, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -196,6 +196,28 @@ def test_added_spans():
     assert got["handle"] == ["@some_one"] and got["card"] == ["4111 1111 1111 1111"]
 
 
+def _licences(text):
+    scanner = licences.Scanner()
+    data = np.frombuffer(text.encode(), np.uint8)
+    grams = licences._bigrams(words.Words(data, np.array([0, len(data)]), words.NON_ALNUM).hash)
+    hits = scanner.hits(grams)
+    return [(scanner.names[k], round(score, 2), first, last + 1) for k, score, first, last in scanner.passages(hits, grams[hits])]
+
+
+def test_plain_notice_and_whole_licences_are_found():
+    assert _licences("Some text here. All rights reserved.") == [("all-rights-reserved", 1.0, 3, 6)]
+    for name, text in licence_full.FULL:
+        w = re.findall("[A-Za-z0-9]+", text)
+        assert _licences("Before it " + text + " after it") == [(name, 1.0, 2, 2 + len(w))]
+    # Some words changed: the licence that is nearest, over nearly all of its text.
+    terms = {name: text for name, text in reversed(licence_full.FULL)}
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "EPL-1.0"):
+        w = re.findall("[A-Za-z0-9]+", terms[name])
+        w[::150] = ["changed"] * len(w[::150])
+        got = max(_licences(" ".join(w)), key=lambda x: x[3] - x[2])
+        assert got[0] == name and got[3] - got[2] > 0.95 * len(w), (name, got)
+
+
 def test_licence_passages():
     rnd = random.Random(4)
     templates = (("A", "a b c d e"), ("B", "b c d x y z a b"), ("C", "c c c d"))

@@ -35,7 +35,7 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s\"'<>()\[\]{}|]+")
-_ACCOUNT = re.compile(r"(?:\s?(?:number|no|id|key|name))?[\s.:=#\"']{1,4}([A-Za-z0-9][A-Za-z0-9_-]{3,63})")
+_ACCOUNT = re.compile(r"(?:\s?(?:number|no|id|key|name))?[\s.:=#\"']{1,4}([A-Za-z0-9][A-Za-z0-9_-]{3,})")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _HANDLE = re.compile(r"@[A-Za-z_][A-Za-z0-9_]{1,29}(?![A-Za-z0-9_@.-])")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")

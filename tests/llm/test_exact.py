@@ -196,6 +196,12 @@ def test_added_spans():
     assert got["handle"] == ["@some_one"] and got["card"] == ["4111 1111 1111 1111"]
 
 
+def test_long_secrets_are_whole():
+    for secret in ("0f" * 64, "a" * 64 + "1", "Ab-_" * 500 + "9"):
+        text = f"my token: {secret}. secret={secret}"
+        assert [text[a:b] for a, b in anchors.Finder()(text)["account"]] == [secret, secret]
+
+
 def _licences(text):
     scanner = licences.Scanner()
     data = np.frombuffer(text.encode(), np.uint8)

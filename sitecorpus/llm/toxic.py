@@ -6,7 +6,8 @@ normalised and sharpened, exp(SHARP (k - 1)), where similarities under LEAST cou
 their pairs of words over the root of their lengths, which is a kernel again. The
 landmarks are words: those that set toxic training texts apart. Words are mapped to the Nyström
 features of the landmarks, a text to the sum over its words, and a linear support vector machine with squared hinge
-loss learns from the labelled texts. Its margin is turned into a probability by a logistic fit.
+loss learns from the labelled texts. Its margin is turned into a probability by a logistic fit. A text of more than WINDOW
+words has the highest margin of the whole and its overlapping windows, so that its length does not hide a word.
 
 A word is a run of letters or digits with signs inside it; a row of single characters, as in i-d-i-o-t, is one word too.
 It is read with its signs as gaps and without them, words longer than LONGEST in overlapping windows, and the best counts.
@@ -36,6 +37,7 @@ CACHED = 160_000  # words whose features a task keeps; the earliest half, the fr
 THRESHOLD = 0.7
 RIDGE = 2.0
 SCALE = 3.0
+WINDOW = 512  # words; longer texts are also scored in windows of so many, each half over the next
 
 _WORD = re.compile(r"[^\W_](?:[\W_]{1,2}[^\W_]){2,}(?![^\W_])|[^\W_]+(?:[*@$!.'_~-]+[^\W_]+)*")
 
@@ -153,10 +155,10 @@ class Model:
 
 class _Sums:
     """Sum over the words of texts of their similarities to the landmarks, or of those times `into`, over the root of the
-    number of words; with a bounded cache of the words' vectors."""
+    number of words; with a bounded cache of the words' vectors. With `window`, the highest over the text and its windows."""
 
-    def __init__(self, kernel: Kernel, into: np.ndarray | None = None):
-        self.kernel, self.into = kernel, into
+    def __init__(self, kernel: Kernel, into: np.ndarray | None = None, window: int | None = None):
+        self.kernel, self.into, self.window = kernel, into, window
         self.width = len(kernel.landmarks) if into is None else into.shape[1]
         self.most = min(CACHED, 10_000_000 // self.width)
         self.known: dict[str, int] = {}
@@ -203,6 +205,11 @@ class _Sums:
             some = np.flatnonzero(sizes)
             if len(some):
                 out[lo + some] = np.add.reduceat(self.values[number], np.array(ends[:-1])[some], axis=0, dtype=np.float64) / np.sqrt(sizes[some])[:, None]
+            for i in np.flatnonzero(sizes > self.window).tolist() if self.window else ():
+                total = np.vstack([np.zeros(self.width), np.cumsum(self.values[number[ends[i] : ends[i + 1]]], axis=0, dtype=np.float64)])
+                first = np.append(np.arange(0, sizes[i] - self.window, self.window // 2), sizes[i] - self.window)
+                best = (total[first + self.window] - total[first]).max(axis=0) / np.sqrt(self.window)
+                out[lo + i] = np.maximum(out[lo + i], best)
             lo += len(sizes)
         return out
 
@@ -323,7 +330,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     into = None if model is None else (SCALE * model.root @ model.weights).astype(np.float32)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = None if model is None else _Sums(model.kernel, into)
+        mean = None if model is None else _Sums(model.kernel, into, WINDOW)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             score = np.zeros(batch.num_rows)

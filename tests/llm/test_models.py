@@ -1,5 +1,6 @@
 """Trained operators on rows they have not learnt from, page texts, and odd tables."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +31,16 @@ def test_toxicity(spark):
     assert (d.predicted == d.toxic).mean() > 0.93 and d[d.predicted == 1].toxic.mean() > 0.8 and d.score.between(0, 1).all()
 
 
+def test_one_insult_weighs_the_same_in_long_texts():
+    sums = toxic._Sums(toxic.Kernel(["stupid"]), np.ones((1, 1), np.float32), toxic.WINDOW)
+    at = lambda n, place: sums([" ".join(["thing"] * place + ["stupid"] + ["thing"] * (n - 1 - place))])[0, 0]
+    short = at(toxic.WINDOW, 7)
+    for n in (toxic.WINDOW + 1, 1300, 20_000):
+        for place in (0, 300, n // 2, n - 1):
+            assert at(n, place) >= 0.99 * short
+    assert sums(["", None]).tolist() == [[0], [0]]
+
+
 def test_kernel_tolerates_gaps_and_insertions():
     k = toxic.Kernel(["stupid", "worthless"])
     best = lambda w: max(k(toxic.readings(w)).max(1))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.llm import anchors, automaton, boosted, licences, naming, packing, ppm, sketch, toxic, wrapper
+from sitecorpus.llm import alignment, anchors, automaton, boosted, bpe, licences, naming, packing, ppm, sketch, toxic, whitening, wrapper
 from sitecorpus.llm.frames import crc_mod
 from sitecorpus.session import prepare
 
@@ -144,3 +144,27 @@ def op10_pii(table):
         F.sha2(F.array_join(F.transform(F.filter("spans", lambda s: s["kind"].isin(*base)), written), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", written), ",").alias("spans"),
     )
+
+
+@query("op11_bpe_codec")
+def op11_bpe_codec(table):
+    """Ids of every document by the word tokenizer, and the text decoded from them, as digests."""
+    coded = bpe.encode(table("documents"), "word_bpe_49k.json")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(table):
+    """Groups and links between two tokenizers' tokens of every document, weighed by how often their pairs are linked."""
+    return alignment.align(table("documents"), TOKENIZER, "piece_bpe_32k.model", full=False).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(table):
+    """Every vector on the first eight principal components, each scaled to variance one."""
+    return whitening.whiten(table("embeddings").select("vec_id", "embedding"), components=8).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+    )

@@ -80,8 +80,13 @@ def element_rows(pages: DataFrame) -> DataFrame:
     lv = lv.withColumn(
         "text", F.when((F.col("kind") == "open") & (F.col("next_kind") == "close"), F.col("text")).otherwise("")
     ).drop("next_kind")
+    return nested(lv)
+
+
+def nested(leveled: DataFrame) -> DataFrame:
+    """Opening and self-closing tags with a level and text, as nested elements."""
     # The opener rows only mark positions, so they travel without attributes and text.
-    two = lv.withColumn("probe", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns({
+    two = leveled.withColumn("probe", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns({
         "lvl": F.col("level") - F.col("probe"),
         "attrs": F.when(F.col("probe") == 1, F.col("attrs")),
         "text": F.when(F.col("probe") == 1, F.col("text")),

@@ -12,6 +12,11 @@ NAME_WIDGETS = (
     ("heading", "e-heading"), ("paragraph", "e-paragraph"), ("button", "e-button"), ("cta", "e-button"), ("image", "e-image"), ("img", "e-image"),
     ("divider", "e-divider"), ("card", "e-flexbox"), ("stats", "e-flexbox"), ("testimonial", "e-flexbox"), ("hero", "e-flexbox"), ("section", "e-flexbox"),
 )
+# Tags of a drawing, written in lower case.
+DRAWING_TAGS = (
+    "svg", "circle", "ellipse", "rect", "path", "polygon", "polyline", "line", "g", "defs", "use", "symbol", "text", "tspan", "mask",
+    "clippath", "lineargradient", "radialgradient", "stop", "pattern",
+)
 # Constants used when neither node, text style nor theme says anything.
 FALLBACK = {"e-heading": ("Inter", "32px", "#111111"), "e-paragraph": ("Inter", "16px", "#444444")}
 
@@ -26,7 +31,7 @@ def child_figures(nodes: DataFrame) -> DataFrame:
 def widget_classify(nodes: DataFrame) -> DataFrame:
     """Nodes with a widget type by ordered rules, and the heading tag of texts."""
     n = nodes.join(child_figures(nodes), ["page_id", "pos"], "left").fillna(0, ["children", "child_names"])
-    name = F.lower("name")
+    name = F.lower(F.coalesce("name", F.lit("")))
 
     def has(w):
         return F.contains(name, F.lit(w))
@@ -38,16 +43,17 @@ def widget_classify(nodes: DataFrame) -> DataFrame:
         if widget == "e-button":
             result = F.when(F.col("href").isNull() & ~name.isin("button", "cta"), "none").otherwise(widget)
         if widget == "e-image":
-            result = F.when(F.col("src").isNull(), "none").otherwise(widget)
+            result = F.when(F.col("src").isNull() & F.col("background_image").isNull(), "none").otherwise(widget)
         by_name = F.when(has(word), result).otherwise(by_name)
-    has_text = F.coalesce(F.length("text") > 0, F.lit(False))
+    has_text = F.coalesce(F.length("text") > 0, F.lit(False)) | (F.col("text_given") if "text_given" in nodes.columns else F.lit(False))
     text_type = F.when(name.rlike(r"\bh[1-6]\b|heading"), "e-heading").when(name.rlike(r"\bbody|paragraph|text|description|content"), "e-paragraph").otherwise("e-heading")
     grid = ((F.col("children") >= 2) & name.rlike(r"\b(grid|gallery|cards|stats|features|logos|columns)\b")) | ((F.col("children") >= 3) & (F.col("child_names") <= 2))
     widget = (
-        F.when(F.col("display") == "grid", "e-div-block").when(F.col("component_id").isNotNull(), "e-component")
-        .when(by_name != "none", by_name).when(F.col("tag") == "svg", "e-svg")
+        F.when((F.col("display") == "grid") | F.col("grid_columns").isNotNull() | F.col("grid_rows").isNotNull(), "e-div-block")
+        .when(F.col("component_id").isNotNull() | F.col("component_name").isNotNull(), "e-component")
+        .when(by_name != "none", by_name).when(F.col("tag").isin(*DRAWING_TAGS), "e-svg")
         .when(F.col("href").isNotNull() | has("button") | has("cta"), "e-button").when(has_text, text_type)
-        .when(F.col("src").isNotNull(), "e-image").when(grid, "e-div-block").otherwise("e-flexbox")
+        .when(F.col("src").isNotNull() | F.col("background_image").isNotNull(), "e-image").when(grid, "e-div-block").otherwise("e-flexbox")
     )
     tag = F.when(name.rlike(r"\bh1\b|heading.?1|title"), "h1")
     for i in range(2, 7):
@@ -56,61 +62,87 @@ def widget_classify(nodes: DataFrame) -> DataFrame:
     return n.withColumn("widget", widget).withColumn("html_tag", tag)
 
 
-# Fixed values: (widgets, attribute, property, value type); the mapping from layout attributes to style properties.
+# Fixed values: (widgets, attribute, property, value type); the mapping from layout attributes to style properties. Grids,
+# display, position and offsets depend on more than one attribute and follow in the function.
 _BOXES = ("e-div-block", "e-flexbox", "e-button")
 _TEXTS = ("e-heading", "e-paragraph")
+_SIZED = (*_BOXES, "e-image")
 PROP_MAP = (
     (("e-flexbox", "e-button"), "stack_direction", "flex-direction", "direction"), (_BOXES, "stack_gap", "gap", "size"),
-    (_BOXES, "padding", "padding", "dimensions"), (_BOXES, "background", "background", "color"), (_TEXTS, "font_size", "font-size", "size"),
-    (_TEXTS, "line_height", "line-height", "line-height"), (_TEXTS, "color", "color", "color"), (None, "opacity", "opacity", "unitless"),
+    (_BOXES, "padding", "padding", "dimensions"), (_BOXES, "max_width", "max-width", "dimension"), (_SIZED, "width", "width", "dimension"),
+    (_SIZED, "height", "height", "dimension"), (_BOXES, "background", "background", "color"), (_TEXTS, "font_size", "font-size", "size"),
+    (_TEXTS, "font_weight", "font-weight", "string"), (_TEXTS, "line_height", "line-height", "line-height"), (_TEXTS, "letter_spacing", "letter-spacing", "size"),
+    (_TEXTS, "font_family", "font-family", "family"), (_TEXTS, "color", "color", "color"), (None, "border_radius", "border-radius", "corners"), (None, "opacity", "opacity", "unitless"),
 )
+# Parts of a shorthand, by the side of a box that they follow.
+SIDES = (("top", "block-start"), ("bottom", "block-end"), ("left", "inline-start"), ("right", "inline-end"))
+CORNERS = (("top", "start-start"), ("right", "start-end"), ("bottom", "end-end"), ("left", "end-start"))
+_DIMENSION = r"^-?[\d.]+(px|%|em|rem|vw|vh)?$"
 
 
 def style_prop_rows(classified: DataFrame) -> DataFrame:
-    """Typed style properties of classified nodes, one row per property (padding as four).
+    """Typed style properties of classified nodes, one row per property (padding and corners as four).
 
-    The mapping is fixed, so it is an array of guarded structs expanded in place; no join.
+    A size that is no number with a known unit stays as text. The mapping is fixed, so it is an array of guarded structs
+    expanded in place; no join.
     """
     c = classified
-    num, unit = F.lit(None).cast("double"), F.lit(None).cast("string")
+    none, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
 
-    def entry(cond, prop, vtype, number=num, u=unit, text=None):
-        t = F.lit(None).cast("string") if text is None else text
-        return F.when(cond, F.struct(F.lit(prop).alias("prop"), F.lit(vtype).alias("vtype"), number.alias("num"), u.alias("unit"), t.alias("text")))
+    def entry(cond, prop, vtype, number=no_number, unit=none, text=none):
+        return F.when(cond, F.struct(F.lit(prop).alias("prop"), (F.lit(vtype) if isinstance(vtype, str) else vtype).alias("vtype"), number.alias("num"), unit.alias("unit"), text.alias("text")))
+
+    def sized(cond, prop, a):
+        number = size_number(a)
+        return entry(cond, prop, F.when(number.isNotNull(), "size").otherwise("string"), number, size_unit(a), F.when(number.isNull(), a))
 
     rows = []
     for widgets, attr, prop, kind in PROP_MAP:
         a = F.col(attr)
         cond = a.isNotNull() if widgets is None else a.isNotNull() & F.col("widget").isin(*widgets)
         if kind == "size":
-            rows.append(entry(cond, prop, "size", size_number(a), size_unit(a)))
+            rows.append(sized(cond, prop, a))
+        elif kind == "dimension":
+            rows.append(sized(cond & trim_ws(a).rlike(_DIMENSION), prop, a))
         elif kind == "unitless":
-            rows.append(entry(cond, prop, "size", leading_number(a), F.lit("custom")))
+            rows.append(entry(cond, prop, "size", F.coalesce(leading_number(a), F.lit(0.0)), F.lit("custom")))
         elif kind == "direction":
             rows.append(entry(cond, prop, "string", text=F.when(a == "vertical", "column").otherwise("row")))
+        elif kind == "string":
+            rows.append(entry(cond, prop, "string", text=a))
+        elif kind == "family":
+            rows.append(entry(cond, prop, "string", text=first_family(a)))
         elif kind == "color":
-            rows.append(entry(cond, prop, "color", text=hex_norm(a)))
+            rows.append(entry(cond & hex_norm(a).isNotNull(), prop, "color", text=hex_norm(a)))
         elif kind == "line-height":
-            pct = a.endswith("%")
-            bare = a.rlike(r"^-?[\d.]+$")
-            rows.append(entry(cond, prop, "size", F.when(pct, leading_number(a) / 100).otherwise(leading_number(a)), F.when(pct | bare, "custom").otherwise(size_unit(a))))
+            v = trim_ws(a)
+            pct = v.rlike(r"^-?[\d.]+%$")
+            bare = v.rlike(r"^-?[\d.]+$")
+            own = F.when(pct, leading_number(v) / 100).when(bare, leading_number(v)).otherwise(size_number(v))
+            rows.append(entry(cond, prop, F.when(own.isNull(), "string").otherwise("size"), own, F.when(pct | bare, "custom").otherwise(size_unit(v)), F.when(own.isNull(), v)))
         else:
-            for side, css in (("top", "block-start"), ("bottom", "block-end"), ("left", "inline-start"), ("right", "inline-end")):
-                v = shorthand_side(a, side)
-                rows.append(entry(cond, f"{prop}.{css}", "size", size_number(v), size_unit(v)))
-    display = F.when(F.col("widget").isin("e-flexbox", "e-button"), "flex").when(F.col("children") >= 2, "grid").otherwise("block")
-    rows.append(entry(F.col("widget").isin(*_BOXES), "display", "string", text=display))
-    cols = (
+            for side, css in SIDES if kind == "dimensions" else CORNERS:
+                rows.append(sized(cond, f"{prop}.{css}", F.coalesce(shorthand_side(a, side), F.lit("0px"))))
+    by_count = (
         F.when(F.col("children") == 2, "1fr 1fr").when(F.col("children") == 3, "1fr 1fr 1fr").when(F.col("children") == 4, "1fr 1fr 1fr 1fr")
-        .otherwise("repeat(auto-fit, minmax(250px, 1fr))")
+        .when(F.col("children") > 4, "repeat(auto-fit, minmax(250px, 1fr))")
     )
-    rows.append(entry((F.col("widget") == "e-div-block") & (F.col("children") >= 2), "grid-template-columns", "string", text=cols))
-    placed = F.col("position").isNotNull() & ((F.col("position") != "absolute") | F.col("top_offset").isNotNull())
+    grid = F.coalesce("grid_columns", F.when(F.col("grid_rows").isNull(), by_count))
+    display = F.when(F.col("widget").isin("e-flexbox", "e-button"), "flex").when(grid.isNotNull(), "grid").otherwise("block")
+    rows.append(entry(F.col("widget").isin(*_BOXES), "display", "string", text=display))
+    rows.append(entry((F.col("widget") == "e-div-block") & grid.isNotNull(), "grid-template-columns", "string", text=grid))
+    offsets = [(side, F.col(f"{side}_offset")) for side in ("top", "right", "bottom", "left")]
+    placed = F.col("position").isNotNull() & ((F.col("position") != "absolute") | F.coalesce(*[o for _, o in offsets]).isNotNull())
     rows.append(entry(placed, "position", "string", text=F.col("position")))
-    rows.append(entry(placed & F.col("top_offset").isNotNull(), "top", "size", size_number(F.col("top_offset")), size_unit(F.col("top_offset"))))
+    rows += [sized(placed & o.isNotNull(), side, o) for side, o in offsets]
     return c.select("page_id", "pos", "widget", F.inline(F.array_compact(F.array(*rows))))
 
 
+def first_family(c):
+    """The first family of a list, without quotes."""
+    return F.regexp_replace(trim_ws(F.split(c, ",").getItem(0)), "[\"']", "")
+
+
 def component_text(nodes: DataFrame, attributes=("name", "caption", "variant", "href", "src", "text")) -> DataFrame:
     """Best text of each component instance: its longest readable attribute, the first of several equal ones."""
     skip = {"name", "variant", "href"}
@@ -192,15 +224,24 @@ def unique_ids(nodes: DataFrame) -> DataFrame:
 
 
 def gv_substitute(props: DataFrame, kit: DataFrame) -> DataFrame:
-    """Literal colours replaced by the kit's variable of the same hex: rows with (vtype, text, ref_id) rewritten.
+    """Literal colours and font families replaced by the kit's variable of the same hex or family: rows with (vtype, text,
+    ref_id) rewritten.
 
-    `props` carries `site`; the kit is reduced to one variable per colour before the join.
+    Families are compared without quotes and case. `props` carries `site`; the kit is reduced to one variable per colour and
+    per family before the join.
     """
-    dim = kit.filter("hex is not null").groupBy("site", "hex").agg(F.max_by("gv_id", "ord").alias("gv_id"))
-    p = props.withColumn("hex", F.when(F.col("vtype") == "color", F.col("text")))
-    j = p.join(dim, ["site", "hex"], "left")
+    family = lambda c: trim_ws(F.lower(F.regexp_replace(c, "[\"']", "")))
+    colors = kit.filter("hex is not null").select("site", F.lit("color").alias("kind"), F.col("hex").alias("key"), "gv_id", "ord")
+    fonts = kit.filter("type = 'font' and value is not null").select("site", F.lit("font").alias("kind"), family(F.col("value")).alias("key"), "gv_id", "ord")
+    dim = colors.unionByName(fonts).filter("key <> ''").groupBy("site", "kind", "key").agg(F.max_by("gv_id", "ord").alias("gv_id"))
+    is_font = (F.col("prop") == "font-family") & (F.col("vtype") == "string")
+    p = props.withColumns({
+        "kind": F.when(F.col("vtype") == "color", "color").when(is_font, "font"),
+        "key": F.when(F.col("vtype") == "color", F.col("text")).when(is_font, family(F.col("text"))),
+    })
+    j = p.join(dim, ["site", "kind", "key"], "left")
     hit = F.col("gv_id").isNotNull()
     return j.select(
-        "site", "page_id", "pos", "prop", F.when(hit, "global-color-variable").otherwise(F.col("vtype")).alias("vtype"),
+        "site", "page_id", "pos", "prop", F.when(hit, F.concat(F.lit("global-"), "kind", F.lit("-variable"))).otherwise(F.col("vtype")).alias("vtype"),
         F.when(~hit, F.col("text")).alias("text"), F.col("gv_id").alias("ref_id"), hit.alias("substituted"),
     )

@@ -9,8 +9,8 @@ from sitecorpus.operators import graph, html, layout, tokens
 from sitecorpus.plans import token_queries
 from sitecorpus.plans.css_queries import hexsql, sp, trim
 from sitecorpus.plans.registry import CTES, Tables, cte, ora, query
-from sitecorpus.session import stage
-from sitecorpus.sources import design, layout as lsrc
+from sitecorpus.session import scratch_path, stage
+from sitecorpus.sources import design, design_xml, layout as lsrc
 
 # The element chain of page_queries again, over the styled pages.
 for _n in ("tag_text", "tags", "leveled", "els"):
@@ -35,13 +35,14 @@ def nodes_table(t: Tables):
 _by_name = "CASE " + " ".join(
     f"WHEN contains(nm, '{w}') THEN " + (
         f"CASE WHEN href IS NULL AND nm NOT IN ('button', 'cta') THEN 'none' ELSE '{x}' END" if x == "e-button" else
-        f"CASE WHEN src IS NULL THEN 'none' ELSE '{x}' END" if x == "e-image" else f"'{x}'")
+        f"CASE WHEN src IS NULL AND background_image IS NULL THEN 'none' ELSE '{x}' END" if x == "e-image" else f"'{x}'")
     for w, x in layout.NAME_WIDGETS) + " ELSE 'none' END"
 cte("wid", f"""
- SELECT *, CASE WHEN display = 'grid' THEN 'e-div-block' WHEN component_id IS NOT NULL THEN 'e-component' WHEN bn <> 'none' THEN bn WHEN tag = 'svg' THEN 'e-svg'
+ SELECT *, CASE WHEN display = 'grid' OR grid_columns IS NOT NULL OR grid_rows IS NOT NULL THEN 'e-div-block' WHEN component_id IS NOT NULL OR component_name IS NOT NULL THEN 'e-component'
+   WHEN bn <> 'none' THEN bn WHEN list_contains({list(layout.DRAWING_TAGS)}, tag) THEN 'e-svg'
    WHEN href IS NOT NULL OR contains(nm, 'button') OR contains(nm, 'cta') THEN 'e-button'
    WHEN length(text) > 0 THEN CASE WHEN regexp_matches(nm, '\\bh[1-6]\\b|heading') THEN 'e-heading' WHEN regexp_matches(nm, '\\bbody|paragraph|text|description|content') THEN 'e-paragraph' ELSE 'e-heading' END
-   WHEN src IS NOT NULL THEN 'e-image' WHEN (children >= 2 AND regexp_matches(nm, '\\b(grid|gallery|cards|stats|features|logos|columns)\\b')) OR (children >= 3 AND child_names <= 2) THEN 'e-div-block' ELSE 'e-flexbox' END AS widget,
+   WHEN src IS NOT NULL OR background_image IS NOT NULL THEN 'e-image' WHEN (children >= 2 AND regexp_matches(nm, '\\b(grid|gallery|cards|stats|features|logos|columns)\\b')) OR (children >= 3 AND child_names <= 2) THEN 'e-div-block' ELSE 'e-flexbox' END AS widget,
   CASE WHEN regexp_matches(nm, '\\bh1\\b|heading.?1|title') THEN 'h1' {" ".join(f"WHEN regexp_matches(nm, '\\bh{i}\\b|heading.?{i}') THEN 'h{i}'" for i in range(2, 7))}
    WHEN regexp_matches(nm, 'paragraph|body|text') THEN 'p' ELSE 'h2' END AS html_tag FROM (
   SELECT *, {_by_name} AS bn FROM (
@@ -63,25 +64,88 @@ def _row(cond: str, prop: str, vtype: str, num: str = "NULL::DOUBLE", unit: str
 
 
 _B, _F, _T = "widget IN ('e-div-block','e-flexbox','e-button')", "widget IN ('e-flexbox','e-button')", "widget IN ('e-heading','e-paragraph')"
-_p = "string_split(padding, ' ')"
-_sides = {"block-start": (1, 1, 1), "block-end": (1, 1, 3), "inline-start": (1, 2, 4), "inline-end": (1, 2, 2)}
+def _side(x: str, pick: tuple) -> str:
+    p = f"string_split({x}, ' ')"
+    return f"{p}[CASE len({p}) WHEN 1 THEN {pick[0]} WHEN 2 THEN {pick[1]} WHEN 3 THEN {pick[2]} ELSE {pick[3]} END]"
+
+
+_PICKS = {"top": (1, 1, 1, 1), "right": (1, 2, 2, 2), "bottom": (1, 1, 3, 3), "left": (1, 2, 2, 4)}
+_S = "widget IN ('e-div-block','e-flexbox','e-button','e-image')"
+_PLACED = "position IS NOT NULL AND (position <> 'absolute' OR coalesce(top_offset, right_offset, bottom_offset, left_offset) IS NOT NULL)"
+_GRID = "coalesce(grid_columns, CASE WHEN grid_rows IS NULL THEN CASE WHEN children = 2 THEN '1fr 1fr' WHEN children = 3 THEN '1fr 1fr 1fr' WHEN children = 4 THEN '1fr 1fr 1fr 1fr' WHEN children > 4 THEN 'repeat(auto-fit, minmax(250px, 1fr))' END END)"
+
+
+def _sized(cond: str, prop: str, x: str) -> str:
+    return f"SELECT page_id, pos::BIGINT AS pos, widget, '{prop}' AS prop, CASE WHEN {_num(x)} IS NULL THEN 'string' ELSE 'size' END AS vtype, {_num(x)} AS num, {_unit(x)} AS unit, CASE WHEN {_num(x)} IS NULL THEN {x} END AS text FROM wid WHERE {cond}"
+
+
+def _dimension(cond: str, prop: str, x: str) -> str:
+    return _sized(f"{cond} AND regexp_matches({x}, '^-?[\\d.]+(px|%|em|rem|vw|vh)?$')", prop, x)
+
+
 cte("lprop", " UNION ALL ".join([
     _row(f"{_F} AND stack_direction IS NOT NULL", "flex-direction", "string", text="CASE stack_direction WHEN 'vertical' THEN 'column' ELSE 'row' END"),
-    _row(f"{_B} AND stack_gap IS NOT NULL", "gap", "size", _num("stack_gap"), _unit("stack_gap")),
-    *[_row(f"{_B} AND padding IS NOT NULL", f"padding.{k}", "size", _num(x), _unit(x))
-      for k, (a, b, c) in _sides.items() for x in [f"{_p}[CASE len({_p}) WHEN 1 THEN {a} WHEN 2 THEN {b} ELSE {c} END]"]],
+    _sized(f"{_B} AND stack_gap IS NOT NULL", "gap", "stack_gap"),
+    *[_sized(f"{_B} AND padding IS NOT NULL", f"padding.{k}", _side("padding", _PICKS[s])) for s, k in layout.SIDES],
+    *[_sized("border_radius IS NOT NULL", f"border-radius.{k}", _side("border_radius", _PICKS[s])) for s, k in layout.CORNERS],
+    _dimension(_B, "max-width", "max_width"), _dimension(_S, "width", "width"), _dimension(_S, "height", "height"),
     _row(f"{_B} AND background IS NOT NULL", "background", "color", text=hexsql("background")),
-    _row(f"{_T} AND font_size IS NOT NULL", "font-size", "size", _num("font_size"), _unit("font_size")),
+    _sized(f"{_T} AND font_size IS NOT NULL", "font-size", "font_size"), _sized(f"{_T} AND letter_spacing IS NOT NULL", "letter-spacing", "letter_spacing"),
+    _row(f"{_T} AND font_weight IS NOT NULL", "font-weight", "string", text="font_weight"),
+    _row(f"{_T} AND font_family IS NOT NULL", "font-family", "string", text="regexp_replace(trim(split_part(font_family, ',', 1)), '[\"'']', '', 'g')"),
     _row(f"{_T} AND line_height IS NOT NULL", "line-height", "size", "CASE WHEN line_height LIKE '%\\%' ESCAPE '\\' THEN replace(line_height, '%', '')::DOUBLE / 100 ELSE replace(line_height, 'px', '')::DOUBLE END",
          "CASE WHEN line_height LIKE '%px' THEN 'px' ELSE 'custom' END"),
     _row(f"{_T} AND color IS NOT NULL", "color", "color", text=hexsql("color")),
     _row("opacity IS NOT NULL", "opacity", "size", "opacity::DOUBLE", "'custom'"),
-    _row(_B, "display", "string", text=f"CASE WHEN {_F} THEN 'flex' WHEN children >= 2 THEN 'grid' ELSE 'block' END"),
-    _row("widget = 'e-div-block' AND children >= 2", "grid-template-columns", "string", text="CASE children WHEN 2 THEN '1fr 1fr' WHEN 3 THEN '1fr 1fr 1fr' WHEN 4 THEN '1fr 1fr 1fr 1fr' ELSE 'repeat(auto-fit, minmax(250px, 1fr))' END"),
-    _row("position IS NOT NULL AND (position <> 'absolute' OR top_offset IS NOT NULL)", "position", "string", text="position"),
-    _row("position IS NOT NULL AND top_offset IS NOT NULL", "top", "size", _num("top_offset"), _unit("top_offset")),
+    _row(_B, "display", "string", text=f"CASE WHEN {_F} THEN 'flex' WHEN {_GRID} IS NOT NULL THEN 'grid' ELSE 'block' END"),
+    _row(f"widget = 'e-div-block' AND {_GRID} IS NOT NULL", "grid-template-columns", "string", text=_GRID),
+    _row(_PLACED, "position", "string", text="position"),
+    *[_sized(f"{_PLACED} AND {x}_offset IS NOT NULL", x, f"{x}_offset") for x in ("top", "right", "bottom", "left")],
 ]))
 query("style_prop_rows", ora("SELECT * FROM lprop"))(lambda t: layout.style_prop_rows(layout.widget_classify(nodes_table(t))))
+
+
+def xml_docs(t: Tables):
+    """The pages' layout as XML files of many documents, read back."""
+    path = scratch_path(t.spark, "layout-xml")
+    design_xml.layout_xml(nodes(t)).select("xml").write.text(path)
+    return design_xml.read_layout_xml(t.spark, path).filter("sound")
+
+
+def _nth(df):
+    """Nodes by their place in the document: tag places differ between HTML and XML."""
+    return df.withColumn("nth", F.row_number().over(W.partitionBy("page_id").orderBy("pos")))
+
+
+def _xml_classified(t: Tables):
+    return layout.widget_classify(stage(design_xml.xml_layout_nodes(xml_docs(t)), "xml-nodes"))
+
+
+cte("lnth", "SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS nth FROM lnode")
+query("src_tree_xml_nodes", ora(f"""
+ SELECT c.page_id, c.nth, c.depth::BIGINT AS depth, c.ord, c.tag, trim(regexp_replace(c.text, '\\s+', ' ', 'g')) AS text, p.nth AS parent_nth, {" + ".join(f"(c.{x} IS NOT NULL)::BIGINT" for x in design_xml.NODE_ATTRIBUTES)} AS attributes
+ FROM lnth c LEFT JOIN lnth p ON p.page_id = c.page_id AND p.pos = c.parent_pos"""))(
+    lambda t: (lambda e: e.join(e.select("page_id", F.col("pos").alias("parent_pos"), F.col("nth").alias("parent_nth")), ["page_id", "parent_pos"], "left").select(
+        "page_id", "nth", "depth", "ord", "tag", "text", "parent_nth", F.size("attributes").cast("bigint").alias("attributes")))(stage(_nth(design_xml.xml_elements(xml_docs(t))), "xml-elements")))
+query("widget_classify_xml", ora("SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS nth, tag, name, children, child_names, widget, html_tag FROM wid"))(
+    lambda t: _nth(_xml_classified(t)).select("page_id", "nth", "tag", "name", "children", "child_names", "widget", "html_tag"))
+query("style_prop_rows_xml", ora("SELECT page_id, nth, widget, prop, vtype, num, unit, l.text FROM lprop l JOIN (SELECT page_id, pos, nth FROM lnth) USING (page_id, pos)"))(
+    lambda t: layout.style_prop_rows(_nth(_xml_classified(t)).drop("pos").withColumnRenamed("nth", "pos")).withColumnRenamed("pos", "nth"))
+
+
+def _named_colors(t: Tables):
+    """The kit's colours as ColorStyle and Color elements, read back."""
+    path = scratch_path(t.spark, "color-xml")
+    kit = design.design_vars(stage(tokens.token_catalog(token_queries.sd(t)), "catalog")).filter("hex is not null")
+    named = kit.groupBy(F.concat_ws("/", "site", "label").alias("name")).agg(F.max("hex").alias("value"))
+    style = F.substring(F.md5("name"), 1, 1) < "9"
+    design_xml.style_xml(named.filter(style), "ColorStyle").write.mode("append").text(path)
+    design_xml.style_xml(named.withColumnRenamed("value", "hex"), "Color").write.mode("append").text(path)
+    return design_xml.named_colors(t.spark, path)
+
+
+query("src_color_styles", ora("""
+ SELECT site || '/' || label AS name, max(hex) AS value, CASE WHEN left(md5(site || '/' || label), 1) < '9' THEN 'ColorStyle' ELSE 'Color' END AS tag FROM kit WHERE hex IS NOT NULL GROUP BY site || '/' || label"""))(_named_colors)
 query("component_text", ora("""
  , a AS (SELECT page_id, pos, component_id, 1 AS ix, 'caption' AS attr, trim(caption) AS v FROM lnode WHERE component_id IS NOT NULL OR variant IS NOT NULL
   UNION ALL SELECT page_id, pos, component_id, 4, 'src', trim(src) FROM lnode WHERE component_id IS NOT NULL OR variant IS NOT NULL
@@ -133,14 +197,22 @@ def _substituted(t: Tables):
     return layout.gv_substitute(props, design.design_vars(kit))
 
 
-cte("kitcol", "SELECT site, hex, arg_max(gv_id, ord) AS gv FROM kit WHERE hex IS NOT NULL GROUP BY 1, 2")
+cte("kitcol", """
+ SELECT site, 'color' AS kind, hex AS key, arg_max(gv_id, ord) AS gv FROM kit WHERE hex IS NOT NULL GROUP BY 1, 2, 3
+ UNION ALL SELECT site, 'font', trim(lower(regexp_replace(value, '["'']', '', 'g'))), arg_max(gv_id, ord) FROM kit WHERE type = 'font' AND value IS NOT NULL GROUP BY 1, 2, 3""")
+cte("lkeyed", """
+ SELECT l.*, p.site, CASE WHEN vtype = 'color' THEN 'color' WHEN prop = 'font-family' AND vtype = 'string' THEN 'font' END AS kind,
+  CASE WHEN vtype = 'color' THEN text WHEN prop = 'font-family' AND vtype = 'string' THEN trim(lower(regexp_replace(text, '["'']', '', 'g'))) END AS key
+ FROM lprop l JOIN page_site p USING (page_id)""")
 query("gv_substitute", ora("""
- SELECT site, page_id, pos, prop, CASE WHEN gv IS NOT NULL THEN 'global-color-variable' ELSE vtype END AS vtype, CASE WHEN gv IS NULL THEN text END AS text, gv AS ref_id, gv IS NOT NULL AS substituted
- FROM (SELECT l.*, p.site FROM lprop l JOIN page_site p USING (page_id)) x LEFT JOIN kitcol k ON k.site = x.site AND x.vtype = 'color' AND k.hex = x.text""").replace("SELECT site, page_id", "SELECT x.site, page_id"))(_substituted)
+ SELECT x.site, page_id, pos, prop, CASE WHEN gv IS NOT NULL THEN 'global-' || x.kind || '-variable' ELSE vtype END AS vtype, CASE WHEN gv IS NULL THEN text END AS text, gv AS ref_id, gv IS NOT NULL AS substituted
+ FROM lkeyed x LEFT JOIN kitcol k ON k.site = x.site AND k.kind = x.kind AND k.key = x.key AND x.key <> ''"""))(_substituted)
 query("gv_coverage", ora("""
- SELECT x.site, count(*) FILTER (x.vtype = 'color') AS colors, count(gv) AS substituted FROM (SELECT l.*, p.site FROM lprop l JOIN page_site p USING (page_id)) x
- LEFT JOIN kitcol k ON k.site = x.site AND x.vtype = 'color' AND k.hex = x.text GROUP BY 1"""))(
-    lambda t: _substituted(t).groupBy("site").agg(F.count(F.when(F.col("vtype").isin("color", "global-color-variable"), 1)).alias("colors"), F.count(F.when(F.col("substituted"), 1)).alias("substituted")))
+ SELECT x.site, count(*) FILTER (x.kind = 'color') AS colors, count(*) FILTER (x.kind = 'font') AS families, count(gv) AS substituted
+ FROM lkeyed x LEFT JOIN kitcol k ON k.site = x.site AND k.kind = x.kind AND k.key = x.key AND x.key <> '' GROUP BY 1"""))(
+    lambda t: _substituted(t).groupBy("site").agg(
+        F.count(F.when(F.col("vtype").isin("color", "global-color-variable"), 1)).alias("colors"), F.count(F.when(F.col("prop") == "font-family", 1)).alias("families"),
+        F.count(F.when(F.col("substituted"), 1)).alias("substituted")))
 
 # --- graphs -------------------------------------------------------------------------------------------------
 

@@ -16,6 +16,20 @@ LAYOUT_COLUMNS = {
     "src": "CASE WHEN tag IN ('img', 'video') THEN coalesce(nullif(regexp_extract(attrs, 'src=\"([^\"]*)\"', 1), ''), '/') END",
     "display": "CASE WHEN tag = 'article' AND page_id % 3 = 0 THEN 'grid' END",
     "component_id": "CASE WHEN tag = 'footer' THEN concat('foot-', page_id % 4) END",
+    "component_name": "CASE WHEN tag = 'nav' AND page_id % 5 = 0 THEN 'Menu' END",
+    "background_image": "CASE WHEN tag = 'div' AND pos % 11 = 5 THEN concat('url(/bg-', pos % 4, '.png)') END",
+    "grid_columns": "CASE WHEN tag = 'ul' AND pos % 4 = 0 THEN '200px 1fr' END",
+    "grid_rows": "CASE WHEN tag = 'ul' AND pos % 4 = 1 THEN 'auto 1fr' END",
+    "width": "CASE WHEN tag IN ('div', 'img', 'ul', 'p') THEN CASE pos % 4 WHEN 0 THEN '100%' WHEN 1 THEN concat(40 + pos, 'px') WHEN 2 THEN 'auto' END END",
+    "height": "CASE WHEN tag IN ('img', 'article') THEN CASE pos % 3 WHEN 0 THEN '50vh' WHEN 1 THEN '12.5rem' ELSE 'fit-content' END END",
+    "max_width": "CASE WHEN tag IN ('div', 'section', 'article') AND pos % 3 = 1 THEN concat(600 + 20 * (pos % 10), 'px') END",
+    "border_radius": "CASE WHEN tag IN ('div', 'b', 'img') THEN CASE pos % 5 WHEN 0 THEN '4px' WHEN 1 THEN '4px 8px' WHEN 2 THEN '1px 2px 3px' WHEN 3 THEN '1px 2px 3px 4%' END END",
+    "font_weight": "CASE WHEN tag IN ('h1', 'b') THEN concat(300 + 100 * (pos % 6), '') END",
+    "font_family": "CASE WHEN tag IN ('h1', 'h2', 'p') THEN CASE pos % 3 WHEN 0 THEN concat('''Brand Sans''', ', serif') WHEN 1 THEN 'Inter' END END",
+    "letter_spacing": "CASE WHEN tag IN ('h2', 'p') AND pos % 3 = 2 THEN '-0.02em' END",
+    "right_offset": "CASE WHEN tag = 'nav' AND page_id % 3 = 0 THEN '10%' END",
+    "bottom_offset": "CASE WHEN tag = 'div' AND pos % 10 = 0 THEN '-4px' END",
+    "left_offset": "CASE WHEN tag = 'div' AND pos % 10 = 5 THEN 'auto' END",
     "stack_direction": "CASE WHEN tag IN ('div', 'nav', 'article', 'footer') THEN CASE WHEN pos % 2 = 0 THEN 'vertical' ELSE 'horizontal' END END",
     "stack_gap": "CASE WHEN tag IN ('div', 'ul', 'article') AND pos % 3 > 0 THEN concat(4 * (pos % 9), 'px') END",
     "padding": "CASE WHEN tag IN ('div', 'section') THEN CASE pos % 3 WHEN 0 THEN '10px' WHEN 1 THEN '40px 20px' ELSE '1px 2px 3px 4px' END END",

@@ -29,7 +29,32 @@ PROP_TYPES = {
     "font-size": ("size",), "line-height": ("size", "string"), "gap": ("size",), "width": ("size",), "opacity": ("size",),
     "padding": ("dimensions", "size"), "margin": ("dimensions", "size"), "color": ("color", "global-color-variable"),
     "background": ("background",), "font-family": ("string", "global-font-variable"), "flex-direction": ("string",), "flex-wrap": ("string",),
+    "letter-spacing": ("size",), "font-weight": ("string",), "height": ("size",), "min-width": ("size",), "min-height": ("size",), "max-width": ("size",),
+    "border-radius": ("border-radius", "size"), "display": ("string",), "position": ("string",), "top": ("size",), "right": ("size",), "bottom": ("size",), "left": ("size",),
+    "inset-block-start": ("size",), "scroll-margin-top": ("size",), "align-items": ("string",), "align-self": ("string",), "justify-content": ("string",),
+    "text-align": ("string",), "grid-template-columns": ("string",), "z-index": ("number",),
+    "title": ("html-v3",), "paragraph": ("html-v3",), "text": ("html-v3",), "image": ("image",), "image-src": ("image-src",), "svg-icon": ("html-v3",), "link": ("link",),
+    "classes": ("classes",), "tag": ("string",), "component-id": ("string",), "field-label": ("html-v3",), "field-placeholder": ("string",),
 }
+# What the value of each declared type is. A text names the kind of the value itself; a table names the kinds that
+# each field may have, "!" marks fields that must be there; "items" stands for the entries of a list.
+_VARIABLES = "global-color-variable", "global-font-variable", "global-size-variable"
+SHAPES = {
+    "string": "string", "number": "number", "boolean": "boolean", "url": "string", "image-attachment-id": "number", "color": "string",
+    **dict.fromkeys(_VARIABLES, "string"),
+    "size": {"size!": ("number",), "unit!": ("string",)},
+    "dimensions": dict.fromkeys(("block-start", "block-end", "inline-start", "inline-end"), ("size", "global-size-variable")),
+    "border-radius": dict.fromkeys(("start-start", "start-end", "end-end", "end-start"), ("size", "global-size-variable")),
+    "background": {"color": ("color", "global-color-variable")},
+    "image": {"src!": ("image-src",), "size": ("string",)},
+    "image-src": {"id": ("number", "image-attachment-id", "string", "null"), "url": ("url", "null")},
+    "classes": {"items": ("string",)},
+    "html-v3": {"content!": ("string",), "children": ("array",)},
+    "link": {"href!": ("string", "url"), "isTargetBlank": ("boolean",), "tag": ("string",)},
+}
+# Units of a size, and the texts of colours and variable ids.
+UNITS = ("px", "%", "em", "rem", "vw", "vh", "custom")
+FORMATS = {"color": "^#([0-9A-Fa-f]{3,4}|[0-9A-Fa-f]{6}|[0-9A-Fa-f]{8})$", **dict.fromkeys(_VARIABLES, "^e-gv-[0-9A-Za-z]+$")}
 # Visual properties that belong in styles and may not stand in a container's settings.
 VISUAL_SETTINGS = (
     "color", "font-size", "font-family", "font-weight", "line-height", "letter-spacing",
@@ -225,6 +250,43 @@ def c1_types(props: DataFrame, variants: DataFrame, elements: DataFrame) -> Data
     )
 
 
+def c1_shapes(typed: DataFrame) -> DataFrame:
+    """Values that are not shaped as their declared type says, at any depth: one row per fault, "path:type:fault".
+
+    A fault is a value of another kind, a field that is missing or of another kind, a unit or text of another form. Types
+    that the table does not know are not judged.
+    """
+    kind, fields = F.col("kind"), F.col("fields")
+    faults = F.lit(None).cast("array<string>")
+    for vtype, shape in SHAPES.items():
+        if isinstance(shape, str):
+            found = [F.when(kind != shape, F.concat(F.lit("is "), kind))]
+            if vtype in FORMATS:
+                found.append(F.when(~F.col("text").rlike(FORMATS[vtype]), F.concat(F.lit("reads "), F.col("text"))))
+        else:
+            holder = "array" if "items" in shape else "object"
+            found = [F.when(kind != holder, F.concat(F.lit("is "), kind))]
+            for field, kinds in shape.items():
+                name = field.rstrip("!")
+                if name == "items":
+                    for other in sorted({*_JSON_KINDS, *SHAPES} - set(kinds)):
+                        found.append(F.when(F.array_contains(F.split(F.try_element_at(fields, F.lit("items")), ","), other), F.lit(f"holds {other}")))
+                    continue
+                own = F.try_element_at(fields, F.lit(name))
+                wrong = F.when((kind == holder) & own.isNotNull() & ~own.isin(*kinds), F.concat(F.lit(f"{name} is "), own))
+                if field.endswith("!"):
+                    wrong = F.when((kind == holder) & own.isNull(), F.lit(f"{name} is missing")).otherwise(wrong)
+                found.append(wrong)
+            if vtype == "size":
+                found.append(F.when(~F.col("unit").isin(*UNITS), F.concat(F.lit("unit reads "), F.col("unit"))))
+        faults = F.when(F.col("vtype") == vtype, F.array_compact(F.array(*found))).otherwise(faults)
+    rows = typed.select(*_KEY, "path", "vtype", F.explode(faults).alias("fault"))
+    return _rows(rows, "c1", F.concat_ws(":", "path", "vtype", "fault"), "error")
+
+
+_JSON_KINDS = ("array", "boolean", "null", "number", "object", "string")
+
+
 def c3_style_ids(styles: DataFrame) -> DataFrame:
     bad = styles.filter(~F.col("style_id").startswith("gc-") & ~F.col("style_id").rlike(_VALID_ID))
     return _rows(bad, "c3", F.col("style_id"), "error")

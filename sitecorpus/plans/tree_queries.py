@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.operators import checks, trees as ops
 from sitecorpus.plans.css_queries import sp
-from sitecorpus.plans.registry import Tables, cte, ora, query
+from sitecorpus.plans.registry import CTES, Tables, cte, ora, query
 from sitecorpus.session import stage
 from sitecorpus.sources import trees
 
@@ -53,9 +54,10 @@ cte("jkit", """SELECT DISTINCT ref_id AS gv_id, CASE WHEN vtype LIKE '%color%' T
 # Every value below styles and settings, by DuckDB's own walk.
 cte("jt", """SELECT e.page_id, e.node_ix, 'styles' AS part, t.fullkey, t.key, t.type, t.value, t.atom, t.id AS tid, t.parent AS tpar FROM jel e, json_tree(e.styles) t
   UNION ALL SELECT e.page_id, e.node_ix, 'settings', t.fullkey, t.key, t.type, t.value, t.atom, t.id, t.parent FROM jel e, json_tree(e.settings) t""")
-cte("jval", """SELECT c.page_id, c.node_ix, c.part, replace(replace(regexp_replace(c.fullkey, '\\[(\\d+)\\]', '.\\1', 'g'), '"', ''), '$.', '') AS path, c.key,
-  CASE WHEN p.type = 'OBJECT' THEN p.value->>'$."$$type"' END AS parent_type, c.atom->>'$' AS text
-  FROM jt c JOIN jt p ON p.page_id = c.page_id AND p.node_ix = c.node_ix AND p.part = c.part AND p.tid = c.tpar WHERE c.type = 'VARCHAR' AND c.key <> '$$type'""")
+# A value's holder is found inside the one row's own walk, so nothing is joined across rows.
+cte("jtexts", """SELECT page_id, node_ix, part, unnest(list_filter(rows, lambda c: c.type = 'VARCHAR' AND c.key <> '$$type')) AS c, map_from_entries(list_transform(rows, lambda r: {'k': r.tid, 'v': r.own})) AS held FROM (
+  SELECT page_id, node_ix, part, list({'fullkey': fullkey, 'key': key, 'type': type, 'atom': atom, 'tid': tid, 'tpar': tpar, 'own': CASE WHEN type = 'OBJECT' THEN value->>'$."$$type"' END}) AS rows FROM jt GROUP BY 1, 2, 3)""")
+cte("jval", """SELECT page_id, node_ix, part, replace(replace(regexp_replace(c.fullkey, '\\[(\\d+)\\]', '.\\1', 'g'), '"', ''), '$.', '') AS path, c.key AS key, held[c.tpar] AS parent_type, c.atom->>'$' AS text FROM jtexts""")
 cte("jimg", """SELECT page_id, node_ix, json_extract(s, '$.id') IS NOT NULL AND json_type(s, '$.id') <> 'NULL' AS i, json_extract(s, '$.url') IS NOT NULL AND json_type(s, '$.url') <> 'NULL' AS u,
   coalesce(json_type(s, '$.url') = 'NULL', false) AS nu FROM (
   SELECT page_id, node_ix, CASE WHEN json_type(value, '$.value') = 'OBJECT' THEN json_extract(value, '$.value') ELSE value END AS s FROM jt WHERE type = 'OBJECT' AND value->>'$."$$type"' = 'image-src')""")
@@ -77,11 +79,11 @@ class Trees:
 
     @cached_property
     def styles(self):
-        return trees.style_rows(self.elements)
+        return self.keep(trees.style_rows(self.elements), "styles")
 
     @cached_property
     def variants(self):
-        return trees.variant_rows(self.elements)
+        return self.keep(trees.variant_rows(self.elements), "variants")
 
     @cached_property
     def props(self):
@@ -225,6 +227,62 @@ def _csql(*names):
 
 
 query("c1_types", _csql("c1"))(lambda t: (lambda x: checks.c1_types(x.props, x.variants, x.elements))(Trees.of(t)))
+# The same grammar over DuckDB's walk: typed objects, then one branch per field of each type.
+# For it, part of the documents get values of other shapes, by a hash of the page.
+_BENT = (
+    ("01", '"unit":"px"', '"unit":"fr"'), ("23", '"unit":"em"', '"unit":1'), ("4", '"value":"#ff6600"', '"value":"orange"'),
+    ("5", '"block-start":{"$$type":"size"', '"block-start":{"$$type":"string"'), ("6", '"children":[]', '"children":{}'),
+    ("7", '"$$type":"global-font-variable","value":"e-gv-', '"$$type":"global-font-variable","value":"gv '),
+)
+BENT_SQL = "CASE " + " ".join(f"WHEN substring(md5(page_id), 1, 1) IN ({', '.join(repr(c) for c in cs)}) THEN replace(doc, '{a}', '{b}')" for cs, a, b in _BENT) + " ELSE doc END"
+cte("b_tdoc", f"SELECT page_id, ({BENT_SQL})::JSON AS doc FROM (SELECT page_id, doc::VARCHAR AS doc FROM tdoc)")
+_walk = ["tdoc", *[f"tlv{i}" for i in range(5)], "jel", "jt"]
+for _n in _walk[1:]:
+    cte(f"b_{_n}", re.sub(rf"\b(FROM|JOIN) ({'|'.join(_walk)})\b", r"\1 b_\2", CTES[_n]))
+
+
+def bent_elements(t: Tables):
+    return trees.tree_rows(trees.conversation_trees(t.table("conversations")).withColumn("doc", F.expr(BENT_SQL)))
+
+
+cte("jtyped", """SELECT page_id, node_ix, replace(replace(regexp_replace(fullkey, '\\[(\\d+)\\]', '.\\1', 'g'), '"', ''), '$.', '') AS path, value->>'$."$$type"' AS vtype,
+  CASE WHEN list_contains(json_keys(value), 'value') THEN value->'$.value' ELSE value END AS v, NOT list_contains(json_keys(value), 'value') AS flat FROM b_jt WHERE type = 'OBJECT' AND json_type(value->'$."$$type"') = 'VARCHAR'""")
+
+
+def _kind_sql(x: str) -> str:
+    return (f"CASE json_type({x}) WHEN 'OBJECT' THEN CASE WHEN json_type({x}->'$.\"$$type\"') = 'VARCHAR' THEN {x}->>'$.\"$$type\"' ELSE 'object' END WHEN 'VARCHAR' THEN 'string' "
+            f"WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' ELSE 'number' END")
+
+
+_whole = "CASE WHEN flat THEN 'object' ELSE " + _kind_sql("v") + " END"
+
+
+def _fault_sql():
+    for vtype, shape in checks.SHAPES.items():
+        holder = shape if isinstance(shape, str) else "array" if "items" in shape else "object"
+        yield f"SELECT *, 'is ' || {_whole} AS fault FROM jtyped WHERE vtype = '{vtype}' AND {_whole} <> '{holder}'"
+        if vtype in checks.FORMATS:
+            yield f"SELECT *, 'reads ' || (v->>'$') FROM jtyped WHERE vtype = '{vtype}' AND json_type(v) = 'VARCHAR' AND NOT regexp_matches(v->>'$', '{checks.FORMATS[vtype]}')"
+        for field, kinds in () if isinstance(shape, str) else shape.items():
+            allowed = ", ".join(repr(k) for k in kinds)
+            if field == "items":
+                yield f"SELECT DISTINCT page_id, node_ix, path, vtype, v, flat, 'holds ' || k FROM (SELECT *, {_kind_sql('i')} AS k FROM (SELECT *, unnest(v->'$[*]') AS i FROM jtyped WHERE vtype = '{vtype}' AND json_type(v) = 'ARRAY')) WHERE k NOT IN ({allowed})"
+                continue
+            name = field.rstrip("!")
+            own, there = f"v->'$.\"{name}\"'", f"list_contains(json_keys(v), '{name}')"
+            yield f"SELECT * EXCLUDE (k), '{name} is ' || k FROM (SELECT *, {_kind_sql(f'({own})')} AS k FROM jtyped WHERE vtype = '{vtype}' AND {_whole} = 'object' AND {there}) WHERE k NOT IN ({allowed})"
+            if field.endswith("!"):
+                yield f"SELECT *, '{name} is missing' FROM jtyped WHERE vtype = '{vtype}' AND {_whole} = 'object' AND NOT {there}"
+        if vtype == "size":
+            units = ", ".join(repr(u) for u in checks.UNITS)
+            yield f"SELECT *, 'unit reads ' || (v->>'$.unit') FROM jtyped WHERE vtype = 'size' AND json_type(v->'$.unit') = 'VARCHAR' AND v->>'$.unit' NOT IN ({units})"
+
+
+cte("v_shape", "SELECT page_id, node_ix, path || ':' || vtype || ':' || fault AS detail FROM (" + " UNION ALL ".join(_fault_sql()) + ")")
+query("c1_shapes", ora("SELECT page_id, node_ix, 'c1' AS check_id, 'error' AS severity, detail FROM v_shape"))(lambda t: checks.c1_shapes(trees.typed_values(bent_elements(t))))
+query("typed_values", ora("SELECT vtype, count(*) AS values_, count(*) FILTER (" + _whole + " = 'object') AS objects, count(DISTINCT page_id) AS pages FROM jtyped GROUP BY 1"))(
+    lambda t: trees.typed_values(bent_elements(t)).groupBy("vtype").agg(
+        F.count("*").alias("values_"), F.count(F.when(F.col("kind") == "object", 1)).alias("objects"), F.countDistinct("page_id").alias("pages")))
 query("c2_binding", _csql("c2e", "c2w"))(lambda t: (lambda x: checks.binding_report(x.styles, x.classes))(Trees.of(t)))
 query("c3_style_ids", _csql("c3"))(lambda t: checks.c3_style_ids(Trees.of(t, False).styles))
 query("c4_responsive", _csql("c4"))(lambda t: (lambda x: checks.c4_responsive(x.props, x.variants))(Trees.of(t)))

@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.sources.styled import _expression
@@ -151,6 +152,61 @@ def tree_values(elements: DataFrame) -> DataFrame:
     return elements.select("page_id", "node_ix", "settings", "styles").mapInPandas(_value_batches, VALUE_SCHEMA)
 
 
+TYPED_SCHEMA = "page_id string, node_ix int, part string, path string, vtype string, kind string, text string, unit string, fields map<string,string>"
+_KINDS = {bool: "boolean", int: "number", float: "number", str: "string", list: "array", type(None): "null"}
+
+
+def _kind(value) -> str:
+    """What a value is: its declared type, or its JSON kind."""
+    if isinstance(value, dict):
+        own = value.get("$$type")
+        return own if isinstance(own, str) else "object"
+    return _KINDS[type(value)]
+
+
+def _typed(part: str, root: dict) -> Iterator[tuple]:
+    """All objects with a declared type below styles or settings, whatever their depth, by an explicit stack."""
+    stack = [("", root)]
+    while stack:
+        path, node = stack.pop()
+        if isinstance(node, dict) and isinstance(node.get("$$type"), str):
+            value = node["value"] if "value" in node else {k: v for k, v in node.items() if k != "$$type"}
+            fields = {k: _kind(v) for k, v in value.items()} if isinstance(value, dict) else {"items": ",".join(sorted({_kind(v) for v in value}))} if isinstance(value, list) else None
+            kind = _kind(value)
+            unit = value.get("unit") if isinstance(value, dict) else None
+            yield part, path, node["$$type"], kind, value if isinstance(value, str) else None, unit if isinstance(unit, str) else None, fields
+        for key, val in node.items() if isinstance(node, dict) else enumerate(node):
+            if isinstance(val, (dict, list)):
+                stack.append((f"{path}.{key}" if path else str(key), val))
+
+
+def _typed_batches(batches: Iterator[pa.RecordBatch], chunk: int = 20000) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([
+        ("page_id", pa.string()), ("node_ix", pa.int32()), ("part", pa.string()), ("path", pa.string()), ("vtype", pa.string()), ("kind", pa.string()),
+        ("text", pa.string()), ("unit", pa.string()), ("fields", pa.map_(pa.string(), pa.string())),
+    ])
+    for batch in batches:
+        rows = []
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array([list(r[i].items()) if i == 8 and r[i] is not None else r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        for page, ix, settings, styles in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, doc in (("styles", styles), ("settings", settings)):
+                rows.extend((page, ix, *row) for row in _typed(part, json.loads(doc)))
+            if len(rows) >= chunk:
+                yield made()
+                rows = []
+        if rows:
+            yield made()
+
+
+def typed_values(elements: DataFrame) -> DataFrame:
+    """Every object with a declared type in the styles and settings of each element: its path, the kind of its value, and of
+    an object's fields and a list's items what each is (a declared type or a JSON kind)."""
+    return elements.select("page_id", "node_ix", "settings", "styles").mapInArrow(_typed_batches, TYPED_SCHEMA)
+
+
 def style_rows(elements: DataFrame) -> DataFrame:
     """Style records: which of their fields are there, and the variants as VARIANT."""
     return elements.sparkSession.sql(

@@ -154,3 +154,42 @@ def test_responsive_rows_of_every_kind(spark):
         ("tablet", "margin.block-start"): 8.0, ("mobile", "margin.block-start"): 6.0, ("tablet", "margin.inline-end"): 30.0, ("mobile", "margin.inline-end"): 24.0,
         ("tablet", "grid-template-columns"): "1fr", ("mobile", "grid-template-columns"): "1fr",
     }
+
+
+def test_value_shapes(spark):
+    """One planted fault of every type and field, at any depth; sound values of every type give none."""
+    t = lambda kind, value: {"$$type": kind, "value": value}
+    px = size(1)
+    sound = {
+        "a": t("string", "x"), "b": t("number", 2.5), "c": t("boolean", True), "d": t("url", "https://x"), "e": px, "f": t("dimensions", {"block-start": px}),
+        "g": t("color", "#AbC"), "h": t("global-color-variable", "e-gv-1a"), "i": t("border-radius", {"start-start": px, "end-end": t("global-size-variable", "e-gv-9")}),
+        "j": t("background", {"color": t("color", "#112233")}), "k": t("image", {"src": t("image-src", {"id": t("image-attachment-id", 4)}), "size": t("string", "full")}),
+        "l": t("image-src", {"url": t("url", "u"), "id": None}), "m": t("classes", ["s_a"]), "n": html_v3("x"), "o": t("link", {"href": t("url", "/")}), "p": t("unheard-of", 1),
+        "q": {"$$type": "size", "size": 1, "unit": "vh"}, "r": t("classes", []),
+    }
+    broken = {
+        "a": t("string", 1), "b": t("number", "2"), "c": t("boolean", "true"), "d": t("url", None), "e1": t("size", "1px"), "e2": t("size", {"unit": "px"}), "e3": size("1"), "e4": size(1, "fr"),
+        "e5": t("size", {"size": 1, "unit": None}), "f1": t("dimensions", px), "f2": t("dimensions", {"inline-end": 4}), "g1": t("color", "red"), "g2": t("color", 3), "h": t("global-font-variable", "gv-1"),
+        "i": t("border-radius", {"end-start": t("string", "1px")}), "j": t("background", {"color": "#112233"}), "k1": t("image", {"size": t("string", "full")}), "k2": t("image", {"src": "u"}),
+        "l": t("image-src", {"url": "u"}), "m1": t("classes", "s_a"), "m2": t("classes", ["s_a", 4]), "n1": t("html-v3", "x"), "n2": t("html-v3", {"content": 1, "children": []}), "n3": t("html-v3", {"children": []}),
+        "o1": t("link", {"isTargetBlank": "no", "href": "/"}), "o2": t("link", {}), "deep": {"list": [{"x": [t("number", [])]}]}, "id": t("image-attachment-id", "7"), "var": t("global-size-variable", {}),
+    }
+    card = {"id": "c", "elType": "e-flexbox", "settings": broken, "styles": {"s": {"variants": [{"props": sound}]}}}
+    got = [r.detail for r in checks.c1_shapes(trees.typed_values(trees.tree_rows(docs(spark, card, {**card, "settings": {}})))).collect()]
+    assert sorted(got) == sorted([
+        "a:string:is number", "b:number:is string", "c:boolean:is string", "d:url:is null", "e1:size:is string", "e2:size:size is missing", "e3:size:size is string", "e4:size:unit reads fr",
+        "e5:size:unit is null", "f1:dimensions:is size", "f2:dimensions:inline-end is number", "g1:color:reads red", "g2:color:is number", "h:global-font-variable:reads gv-1",
+        "i:border-radius:end-start is string", "j:background:color is string", "k1:image:src is missing", "k2:image:src is string", "l:image-src:url is string", "m1:classes:is string",
+        "m2:classes:holds number", "n1:html-v3:is string", "n2:html-v3:content is number", "n3:html-v3:content is missing", "o1:link:isTargetBlank is string", "o2:link:href is missing",
+        "deep.list.0.x.0:number:is array", "id:image-attachment-id:is string", "var:global-size-variable:is object",
+    ])
+
+
+def test_property_table(spark):
+    """A value of a wrong declared type per property gives one row each; every accepted type none."""
+    wrong = {p: {"$$type": "transform", "value": 1} for p in checks.PROP_TYPES}
+    right = {p: {"$$type": ts[-1], "value": 1} for p, ts in checks.PROP_TYPES.items()}
+    card = lambda props: {"id": "c", "elType": "e-flexbox", "styles": {"s": {"variants": [{"props": props}]}}}
+    e = trees.tree_rows(docs(spark, card(wrong), card(right)))
+    got = checks.c1_types(trees.style_props(e), trees.variant_rows(e), e).collect()
+    assert {r.page_id for r in got} == {"0"} and sorted(r.detail for r in got) == sorted(f"type:{p}:transform" for p in checks.PROP_TYPES)

@@ -1,9 +1,8 @@
 """Structured Streaming twins of the reliability jobs.
 
-Windowed counts use watermarks and append mode. The ordered state machines (breaker, time-to-live dedupe) buffer
-rows per key until the watermark has passed them, then fold them in time order, so the result does not depend on
-how the input was split into batches. State per key is the open buffer plus a few numbers; the buffer holds
-what arrives within one batch (whose bytes the reader limits) and the watermark delay.
+Windowed counts use watermarks and append mode. The time-to-live dedupe keeps waiting rows in the state store, cut into slots
+of time, and holds one chunk of them at once. The breaker buffers rows per key until the watermark has passed them, then
+folds them in time order. Neither depends on how the input was split into batches.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -146,23 +146,122 @@ class Breaker(OrderedFold):
         return out
 
 
-class TtlDedupe(OrderedFold):
-    state_schema = "accepted bigint"
+class SlottedDedupe(StatefulProcessor):
+    """Repeats of a call within a time to live after the last accepted one, for the many call keys of a bucket.
+
+    Time is cut into slots as long as the time to live. A slot then accepts at most one call per key: the earliest that lies
+    far enough behind the one accepted in the slot before. So calls need no sorting and no list per key. They wait in the
+    state store in chunks per slot; when the watermark has passed them, one sweep over a slot's chunks finds each key's
+    earliest call, a second writes them out. Memory holds one chunk and one entry per key of a slot, whatever a key's calls;
+    what is kept of a slot after the next one is nothing.
+    """
+
+    KEYS = ["service", "ability", "k"]
+    CHUNK = 10_000
 
     def __init__(self, ttl_seconds: int):
         self.ttl_us = ttl_seconds * 1000000
 
-    def step(self, state, row):
-        ts_us, event_id, _ = row
-        last = None if state is None else state[0]
-        accept = last is None or ts_us >= last + self.ttl_us
-        return ((ts_us if accept else last),), (event_id, not accept)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getMapState("rows", "slot bigint, n bigint", "data binary")
+        self.accepted = handle.getMapState("accepted", "slot bigint", "data binary")
 
-    def output(self, key, results):
-        out = pd.DataFrame(results, columns=["event_id", "duplicate"])
-        for i, name in enumerate(("service", "ability", "k")):
-            out.insert(i, name, key[i])
-        return out
+    @staticmethod
+    def _packed(frame: pd.DataFrame) -> bytes:
+        table = pa.Table.from_pandas(frame, preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        return sink.getvalue().to_pybytes()
+
+    @staticmethod
+    def _frame(data: bytes) -> pd.DataFrame:
+        return pa.ipc.open_stream(data).read_all().to_pandas()
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        oldest, n = None, 1 + max((k[1] for k in self.rows.keys()), default=-1)
+        for frame in rows:
+            frame = frame[[*self.KEYS, "ts_us", "event_id"]]
+            for slot, part in frame.groupby(frame["ts_us"] // self.ttl_us):
+                for at in range(0, len(part), self.CHUNK):
+                    self.rows.updateValue((int(slot), n), (self._packed(part.iloc[at : at + self.CHUNK]),))
+                    n += 1
+            low = int(frame["ts_us"].min())
+            oldest = low if oldest is None else min(oldest, low)
+        if oldest is not None:
+            self.handle.registerTimer(oldest // 1000 + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        due_us = timerValues.getCurrentWatermarkInMs() * 1000
+        slots: dict[int, list[int]] = {}
+        for slot, n in self.rows.keys():
+            slots.setdefault(slot, []).append(n)
+        pending, held = None, {s for (s,) in self.accepted.keys()}
+        for slot in sorted(slots):
+            if slot * self.ttl_us > due_us:
+                low = slot * self.ttl_us
+                pending = low if pending is None else min(pending, low)
+                continue
+            for old in [s for s in held if s < slot - 1]:  # nothing accepted there reaches a call that is still to come
+                self.accepted.removeKey((old,))
+                held.remove(old)
+            held.add(slot)
+            rest = yield from self._slot(slot, sorted(slots[slot]), due_us)
+            if rest is not None:
+                pending = rest if pending is None else min(pending, rest)
+        for slot in held:
+            if (slot + 2) * self.ttl_us <= due_us:
+                self.accepted.removeKey((slot,))
+        if pending is not None:
+            self.handle.registerTimer(max(pending, due_us) // 1000 + 1)
+
+    def _slot(self, slot: int, chunks: list[int], due_us: int):
+        """Decides a slot's calls up to `due_us`; returns the earliest time among those that wait on."""
+        before = [self._frame(self.accepted.getValue((s,))[0]) for s in (slot - 1, slot) if self.accepted.containsKey((s,))]
+        last = pd.concat(before).groupby(self.KEYS, dropna=False, as_index=False)["ts_us"].max().rename(columns={"ts_us": "last"}) if before else None
+        best = None
+        only = self._chunk(slot, chunks[0]) if len(chunks) == 1 else None  # then read it once
+        for n in chunks:
+            c, _ = self._due(only if only is not None else self._chunk(slot, n), due_us)
+            if last is not None:
+                c = c.merge(last, on=self.KEYS, how="left")
+                c = c[c["last"].isna() | (c["ts_us"] >= c["last"] + self.ttl_us)].drop(columns="last")
+            c = c.assign(chunk=n).sort_values(["ts_us", "event_id"], kind="stable").drop_duplicates(self.KEYS)
+            best = c if best is None else pd.concat([best, c]).sort_values(["ts_us", "event_id", "chunk"], kind="stable").drop_duplicates(self.KEYS)
+        rest = None
+        for n in chunks:
+            c, waiting = self._due(only if only is not None else self._chunk(slot, n), due_us)
+            out = c[[*self.KEYS, "event_id"]].copy()
+            out["duplicate"] = True
+            out.loc[best.loc[best["chunk"] == n, "place"], "duplicate"] = False
+            if len(waiting):
+                self.rows.updateValue((slot, n), (self._packed(waiting),))
+                low = int(waiting["ts_us"].min())
+                rest = low if rest is None else min(rest, low)
+            else:
+                self.rows.removeKey((slot, n))
+            if len(out):
+                yield out
+        made = best[[*self.KEYS, "ts_us"]]
+        if self.accepted.containsKey((slot,)):
+            made = pd.concat([self._frame(self.accepted.getValue((slot,))[0]), made])
+        self.accepted.updateValue((slot,), (self._packed(made),))
+        return rest
+
+    def _chunk(self, slot: int, n: int) -> pd.DataFrame:
+        return self._frame(self.rows.getValue((slot, n))[0])
+
+    @staticmethod
+    def _due(c: pd.DataFrame, due_us: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The rows of a chunk that can be decided, with their place among them, and those that wait on."""
+        now = c["ts_us"] <= due_us
+        due = c[now].reset_index(drop=True)
+        return due.assign(place=due.index), c[~now]
+
+    def close(self) -> None:
+        pass
 
 
 def _ordered(calls: DataFrame, keys: list[str], processor: OrderedFold, schema: str, delay: str) -> DataFrame:
@@ -178,10 +277,16 @@ def breaker(calls: DataFrame, threshold: int, reset_ms: int, successes: int = 2,
     return _ordered(calls, ["service"], Breaker(threshold, reset_ms, successes), "service string, event_id bigint, decision string, state string", delay)
 
 
-def dedupe(calls: DataFrame, ttl_seconds: int, delay: str = "10 minutes") -> DataFrame:
-    """Repeats within a time to live; the batch twin is `ttl_dedupe`."""
+def dedupe(calls: DataFrame, ttl_seconds: int, delay: str = "10 minutes", buckets: int = 16) -> DataFrame:
+    """Repeats within a time to live; the batch twin is `ttl_dedupe`. Call keys share `buckets` groups of state, so that the
+    cost of a group is not paid for each key; the number must stay the same when a stream goes on from its checkpoint."""
     schema = "service string, ability string, k int, event_id bigint, duplicate boolean"
-    return _ordered(calls, ["service", "ability", "k"], TtlDedupe(ttl_seconds), schema, delay)
+    calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = calls.withWatermark("ts", delay).select(
+        F.pmod(F.xxhash64("service", "ability", "k"), F.lit(buckets)).alias("bucket"), "service", "ability", F.col("k").cast("int").alias("k"), "ts", F.unix_micros("ts").alias("ts_us"), "event_id")
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=SlottedDedupe(ttl_seconds), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    )
 
 
 def dedupe_within_watermark(calls: DataFrame, delay: str = "1 hour") -> DataFrame:

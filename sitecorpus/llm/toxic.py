@@ -15,6 +15,7 @@ It is read with its signs as gaps and without them, words longer than LONGEST in
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,7 @@ TELLING, EVIDENCE = 200, 6.0  # landmarks at most, and the likelihood ratio they
 DECAY, SPAN, SHARP, LEAST = 0.9, 6, 6.0, 0.5
 LONGEST = 24
 CACHED = 160_000  # words whose features a task keeps; the earliest half, the frequent ones, outlives the rest
+KEPT, WORD_BYTES = 80 << 20, 180  # bytes of scored words that a worker keeps, and what a word takes
 THRESHOLD = 0.7
 RIDGE = 2.0
 SCALE = 3.0
@@ -77,8 +79,8 @@ class Kernel:
         self.columns = np.zeros(self.base**3, np.int32)  # column of a subsequence, 0 for one of no landmark
         own = []
         for w in landmarks:
-            keys, weight, valid, full = self._keys([w])
-            summed, norm = self._merged(keys, weight, valid, full)
+            keys, weight, valid, points = self._keys([w])
+            summed, norm = self._merged(weight, valid, points)
             own.append((keys[0], summed[0] / max(norm[0], 1e-12)))
         known = np.unique(np.concatenate([k[k > 0] for k, _ in own]))
         self.columns[known] = np.arange(1, len(known) + 1)
@@ -89,7 +91,7 @@ class Kernel:
 
     def _keys(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For words of one length, a row each: keys of the subsequences in the landmarks' letters (0 if others), their
-        weights, whether they are free of signs, and keys in any letters."""
+        weights, whether they are free of signs, and the words' letters."""
         n = len(words[0])
         at, weight = _triples(n)
         points = np.minimum(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(-1, n), 0xFFFF)
@@ -97,12 +99,14 @@ class Kernel:
         x, y, z = (codes[:, at[:, k]] for k in range(3))
         keys = np.where((x > 0) & (y > 0) & (z > 0), (x * self.base + y) * self.base + z, 0)
         valid = letters[:, at[:, 0]] & letters[:, at[:, 1]] & letters[:, at[:, 2]]
-        a, b, c = (points[:, at[:, k]].astype(np.int64) for k in range(3))
-        return keys, weight, valid, (a << 32) | (b << 16) | c
+        return keys, weight, valid, points
 
     @staticmethod
-    def _merged(keys: np.ndarray, weight: np.ndarray, valid: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _merged(weight: np.ndarray, valid: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weights as they are, 0 where a sign is touched, and the norms with equal subsequences taken together."""
+        at, _ = _triples(points.shape[1])
+        a, b, c = (points[:, at[:, k]].astype(np.int64) for k in range(3))
+        full = (a << 32) | (b << 16) | c
         own = np.where(valid, weight, 0.0)
         order = np.argsort(full, axis=1)
         total = np.cumsum(np.take_along_axis(own, order, 1), axis=1)
@@ -123,13 +127,13 @@ class Kernel:
         for at in by.values():
             for lo in range(0, len(at), 4096):
                 some = np.array(at[lo : lo + 4096])
-                keys, weight, valid, full = self._keys([words[i] for i in some])
+                keys, weight, valid, points = self._keys([words[i] for i in some])
                 # By Cauchy-Schwarz a word with too little of its weight in the landmarks' subsequences is like none.
                 square = np.where(valid, weight**2, 0.0)
                 near = np.flatnonzero(np.where(self.columns[keys] > 0, square, 0.0).sum(1) >= 0.8 * LEAST**2 * np.maximum(square.sum(1), 1e-12))
                 if not len(near):
                     continue
-                own, norm = self._merged(keys[near], weight, valid[near], full[near])
+                own, norm = self._merged(weight, valid[near], points[near])
                 row, col = np.nonzero((self.columns[keys[near]] > 0) & (own > 0))
                 k = np.zeros((len(near), len(self.landmarks)), np.float32)
                 if len(row):
@@ -172,15 +176,29 @@ class _Sums:
             self.values = more
         for lo in range(0, len(words), 8192):
             some = words[lo : lo + 8192]
-            if all(w.isalnum() and len(w) <= LONGEST for w in some):
-                k = self.kernel(some)
-            else:
-                read = [readings(w) for w in some]
-                k = self.kernel([r for rs in read for r in rs])
-                k = np.maximum.reduceat(k, np.cumsum([0, *map(len, read)])[:-1], axis=0)  # the best of a word's readings
-            self.values[used + lo : used + lo + len(some)] = k if self.into is None else k @ self.into
+            self.values[used + lo : used + lo + len(some)] = self._new(some)
         self.known.update(zip(words, range(used, used + len(words)), strict=True))
 
+    def _new(self, words: list[str]) -> np.ndarray:
+        if all(w.isalnum() and len(w) <= LONGEST for w in words):
+            k = self.kernel(words)
+        else:
+            read = [readings(w) for w in words]
+            k = self.kernel([r for rs in read for r in rs])
+            k = np.maximum.reduceat(k, np.cumsum([0, *map(len, read)])[:-1], axis=0)  # the best of a word's readings
+        return k if self.into is None else k @ self.into
+
+    def _vectors(self, words: list[str]) -> np.ndarray:
+        new = set(words).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.most:
+                self.known = dict(islice(self.known.items(), self.most // 2))
+                new = set(words).difference(self.known)
+            plain = {w for w in new if w.isalnum() and len(w) <= LONGEST}
+            self._learn(list(plain))
+            self._learn(list(new - plain))
+        return self.values[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
+
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), self.width))
         lo = 0
@@ -192,21 +210,13 @@ class _Sums:
                 words += words_of(t)
                 ends.append(len(words))
                 size += len(t)
-            new = set(words).difference(self.known)
-            if new:
-                if len(self.known) + len(new) > self.most:
-                    self.known = dict(islice(self.known.items(), self.most // 2))
-                    new = set(words).difference(self.known)
-                plain = {w for w in new if w.isalnum() and len(w) <= LONGEST}
-                self._learn(list(plain))
-                self._learn(list(new - plain))
-            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            values = self._vectors(words)
             sizes = np.diff(ends)
             some = np.flatnonzero(sizes)
             if len(some):
-                out[lo + some] = np.add.reduceat(self.values[number], np.array(ends[:-1])[some], axis=0, dtype=np.float64) / np.sqrt(sizes[some])[:, None]
+                out[lo + some] = np.add.reduceat(values, np.array(ends[:-1])[some], axis=0, dtype=np.float64) / np.sqrt(sizes[some])[:, None]
             for i in np.flatnonzero(sizes > self.window).tolist() if self.window else ():
-                total = np.vstack([np.zeros(self.width), np.cumsum(self.values[number[ends[i] : ends[i + 1]]], axis=0, dtype=np.float64)])
+                total = np.vstack([np.zeros(self.width), np.cumsum(values[ends[i] : ends[i + 1]], axis=0, dtype=np.float64)])
                 first = np.append(np.arange(0, sizes[i] - self.window, self.window // 2), sizes[i] - self.window)
                 best = (total[first + self.window] - total[first]).max(axis=0) / np.sqrt(self.window)
                 out[lo + i] = np.maximum(out[lo + i], best)
@@ -214,6 +224,47 @@ class _Sums:
         return out
 
 
+class _Scores(_Sums):
+    """The same with one number per word, kept by the worker within a number of bytes; words not met lately go first."""
+
+    def __init__(self, kernel: Kernel, into: np.ndarray, window: int):
+        super().__init__(kernel, into, window)
+        self.young: dict[str, float] = {}
+        self.old: dict[str, float] = {}
+
+    def _vectors(self, words: list[str]) -> np.ndarray:
+        if len(self.young) > KEPT // WORD_BYTES // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = set(words).difference(young)
+        if old:
+            again = [w for w in new if w in old]
+            young.update((w, old[w]) for w in again)
+            new.difference_update(again)
+        plain = {w for w in new if w.isalnum() and len(w) <= LONGEST}
+        long: dict[str, float] = {}
+        for some in (list(plain), list(new - plain)):
+            for lo in range(0, len(some), 8192):
+                part = some[lo : lo + 8192]
+                made = zip(part, self._new(part)[:, 0].tolist(), strict=True)
+                for w, v in made:
+                    (young if len(w) <= 2 * LONGEST else long)[w] = v
+        get = young.__getitem__ if not long else lambda w: long[w] if w in long else young[w]
+        return np.fromiter(map(get, words), np.float32, len(words))[:, None]
+
+
+_scores: dict[bytes, _Scores] = {}
+
+
+def _kept_scores(model: Model, into: np.ndarray) -> _Scores:
+    """The worker's scores for a model, so that what a task has learnt serves the next; those of another model are dropped."""
+    name = hashlib.blake2b("\n".join(model.kernel.landmarks).encode() + into.tobytes()).digest()
+    if name not in _scores:
+        _scores.clear()
+        _scores[name] = _Scores(model.kernel, into, WINDOW)
+    return _scores[name]
+
+
 def _words_udf(text: pd.Series) -> pd.Series:
     return pd.Series([list(dict.fromkeys(w for w in words_of(t or "") if 3 <= len(w) <= LONGEST)) for t in text])
 
@@ -330,7 +381,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     into = None if model is None else (SCALE * model.root @ model.weights).astype(np.float32)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = None if model is None else _Sums(model.kernel, into, WINDOW)
+        mean = None if model is None else _kept_scores(model, into)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             score = np.zeros(batch.num_rows)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +58,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_open: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that `stage` writes inside are deleted at the end, but for those it is told to keep."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table several later steps read, to the shared folder, and read it back.
 
-    Survives executor loss, computes its input once, and gives the optimizer real sizes for join choices.
+    Survives executor loss, computes its input once, and gives the optimizer real sizes for join choices. `keep` lets it
+    outlast a `temporary` block around.
     """
     path = scratch_path(df.sparkSession, name)
+    if _open and not keep:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

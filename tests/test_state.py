@@ -247,3 +247,17 @@ def test_a_hot_key_takes_constant_memory(ttl):
     large, rows, accepted, p = _hot_key_peak(200_000, ttl)
     assert rows == 200_000 and accepted == list(range(0, 200_000, ttl * 1000))
     assert large < 1.5 * small and not p.rows.data and len(p.accepted.data) <= 2
+
+
+def test_temporary_tables_go(spark):
+    import os
+
+    from sitecorpus.session import stage, temporary
+
+    with temporary(spark):
+        gone = stage(spark.range(5), "gone")
+        kept = stage(gone.filter("id > 2"), "kept", keep=True)
+        paths = [df.inputFiles()[0].removeprefix("file://") for df in (gone, kept)]
+        assert all(map(os.path.exists, paths))
+    assert [os.path.exists(p) for p in paths] == [False, True] and kept.count() == 2
+    assert os.path.exists(stage(spark.range(1), "outside").inputFiles()[0].removeprefix("file://"))

@@ -33,6 +33,7 @@ BANDS = COORDS // ROWS
 WORDS = 5
 LEAST = 85  # hundredths of the union
 WIDE = 8  # members of a bucket up to which all its pairs are made
+BLOOM_BITS, BLOOM_HASHES = 1 << 26, 4  # of the filter of the texts that are read again
 SLOTS = 1 << 18  # counters of shingle frequencies; they only put shingles in order
 # Equal coordinates (by 8 bits) below which a pair need not be verified: at similarity 0.85, 163 of 192 are expected, with a
 # standard deviation of 5; 128 is seven deviations less.
@@ -96,6 +97,27 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(per_batch(run), f"rid binary, doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, bits binary")
 
 
+def _places(rids: pa.Array, size: int) -> np.ndarray:
+    """The bits of each row key in the Bloom filter; the keys are hashes already."""
+    halves = np.frombuffer(b"".join(rids.to_pylist()), "<u8").reshape(-1, 2)
+    return (halves[:, :1] + np.arange(BLOOM_HASHES, dtype=np.uint64) * halves[:, 1:]) % _U64(size)
+
+
+def _bloom(rids: DataFrame, size: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of the row keys as words of 32 bits; its size is fixed, so it may pass more than it should, never less."""
+
+    def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = np.unique(_places(batch.column(0), size))
+        word, first = np.unique(at >> _U64(5), return_index=True)
+        bits = np.bitwise_or.reduceat(_U64(1) << (at & _U64(31)), first) if len(at) else at
+        return pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.astype(np.int64))], ["word", "bits"])
+
+    table = rids.mapInArrow(per_batch(marked), "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(size // 32, np.uint32)
+    words[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return words
+
+
 def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(digest, set) of the classes: the sorted shingle hashes of the row that stands for each, from the whole text again."""
 
@@ -105,9 +127,15 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
             own = [shingles(words, i, WORDS).tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["digest", "set"])
 
-    # The same plan at every size: the classes may be too many to send everywhere.
+    bloom = _bloom(classes.select("rid"))
+
+    def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = _places(batch.column(0), 32 * len(bloom))
+        return batch.filter(pa.array(((bloom[at >> _U64(5)] >> (at & _U64(31)).astype(np.uint32)) & 1).all(1)))
+
+    # The same plan at every size: the classes may be too many to send everywhere. Most texts stay where they are.
     texts = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
-    rows = texts.join(classes.select("rid", "digest").hint("merge"), "rid").select("digest", "text")
+    rows = texts.mapInArrow(per_batch(wanted), "rid binary, text string").join(classes.select("rid", "digest").hint("merge"), "rid").select("digest", "text")
     # A row that is repeated as a whole comes several times.
     return stage(rows.mapInArrow(per_batch(run), "digest binary, set binary").dropDuplicates(["digest"]), "shingle-sets")
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -253,3 +254,11 @@ def test_licence_passages():
         grams = licences._bigrams(words.Words(data, np.array([0, len(data)]), words.NON_ALNUM).hash) if len(w) > 1 else np.zeros(0, np.uint64)
         hits = scanner.hits(grams)
         assert scanner.passages(hits.tolist(), grams[hits].tolist()) == sorted(want, key=lambda f: f[2]), text
+
+
+def test_bloom_filter_misses_nothing(spark):
+    keys = [hashlib.md5(str(i).encode()).digest() for i in range(300)]
+    bloom = sketch._bloom(spark.createDataFrame([(bytearray(k),) for k in keys[:100]], "rid binary").repartition(3), 1 << 10)  # so small that it passes others too
+    at = sketch._places(pa.array(keys, pa.binary()), 1 << 10)
+    hit = ((bloom[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & 1).all(1)
+    assert hit[:100].all() and hit[100:].sum() < 100

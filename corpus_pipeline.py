@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.llm import automaton, naming, packing, sketch, toxic
 from sitecorpus.llm.frames import crc_mod, free_name, row_key
-from sitecorpus.session import prepare, stage
+from sitecorpus.session import prepare, stage, temporary
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -15,7 +15,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`docs` without the rows that the machine holds toxic. It learns from labelled rows whose crc32 of the id mod 3 is
     not 1; without both labels among them nothing goes. Null texts stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
-    model = toxic.train(docs.filter(crc_mod(F.col("doc_id"), 3) != 1), labels)
+    with temporary(spark):
+        model = toxic.train(docs.filter(crc_mod(F.col("doc_id"), 3) != 1), labels)
     added = free_name(docs, "toxic_score"), free_name(docs, "toxic_predicted")
     return toxic.scored(docs, model, returned=docs.columns, added=added).filter(F.col(added[1]) == 0).select(docs.columns)
 
@@ -34,14 +35,16 @@ def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, as in naming.exact_groups; of rows repeated as a whole, one."""
-    groups = stage(naming.exact_groups(docs).filter("group_size > 1").select("rid", "kept"), "copies")
-    repeated = stage(groups.filter("kept").groupBy("rid").count().filter("count > 1").select("rid"), "repeated")
+    with temporary(spark):
+        groups = stage(naming.exact_groups(docs).filter("group_size > 1").select("rid", "kept"), "copies", keep=True)
+        repeated = stage(groups.filter("kept").groupBy("rid").count().filter("count > 1").select("rid"), "repeated", keep=True)
     return _without(docs, groups.filter("NOT kept").select("rid"), repeated)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies stays, as in sketch.near_groups; rows without words all stay."""
-    gone = stage(sketch.near_groups(docs).filter("NOT kept").select("rid"), "near-copies")
+    with temporary(spark):
+        gone = stage(sketch.near_groups(docs).filter("NOT kept").select("rid"), "near-copies", keep=True)
     return _without(docs, gone, gone.limit(0))
 
 

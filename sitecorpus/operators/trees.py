@@ -144,8 +144,8 @@ def tree_candidates(elements: DataFrame, min_dups: int = 2) -> DataFrame:
         "struct_hash", "n_children", "occurrences", "pages", F.col("f.page_id").alias("page_id"), F.col("f.first_ix").alias("first_ix"))
 
 
-def component_fields(elements: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Editable fields of each repeated structure, from the children of its first place."""
+def component_widget_fields(elements: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Editable widgets of each repeated structure, from the children of its first place."""
     kind = F.regexp_extract("widget_type", "^e-(heading|paragraph|image|button)$", 1)
     key = F.when(kind == "heading", "title").when(kind == "paragraph", "paragraph").when(kind == "button", "text")
     text = F.coalesce(
@@ -157,6 +157,50 @@ def component_fields(elements: DataFrame, candidates: DataFrame) -> DataFrame:
     return e.select("struct_hash", "ord", "field", F.coalesce(key, F.lit("image")).alias("setting"), text.alias("default_value"))
 
 
+def ancestor_rows(elements: DataFrame) -> DataFrame:
+    """(page_id, node_ix, above_ix, steps) of every element and each element it lies in.
+
+    In document order the last element before a node at each smaller depth is its ancestor, so one window per (page, depth)
+    finds them all; there are as many rows as elements times depth.
+    """
+    e = elements.select("page_id", "node_ix", "depth", F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("level"))
+    at_level = W.partitionBy("page_id", "level").orderBy("node_ix").rowsBetween(W.unboundedPreceding, 0)
+    found = e.withColumn("above_ix", F.last(F.when(F.col("level") == F.col("depth"), F.col("node_ix")), ignorenulls=True).over(at_level))
+    return found.filter("level < depth").select("page_id", "node_ix", "above_ix", (F.col("depth") - F.col("level")).alias("steps"))
+
+
+# Words in an element's id that make it a field, in order; of several the last counts.
+FIELD_WORDS = (("text", "title", "heading|title"), ("text", "paragraph", "paragraph|body|description"), ("image", "image", "image|img|icon"), ("link", "link", "button|cta|link"))
+# Where each setting holds its text, address or image.
+_HELD = {
+    "title": ("$.title.value.content.value", "$.text.value.content.value"), "paragraph": ("$.paragraph.value.content.value",), "link": ("$.text.value.content.value",),
+    "image": ("$.image.value.src.value.id.value", "$.image.value.src.value.id", "$['image-src'].value.id.value", "$['image-src'].value.id"), "href": ("$.link.value.destination.value",),
+}
+
+
+def component_fields(elements: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Editable fields of each repeated structure, from all elements below its first place, with their defaults.
+
+    Words in an element's id make it a field: texts, images (by media id, 0 for none) and links (text and address). Of
+    elements with one id the last counts. `name` is the structure's: letters and digits of its first title that has any.
+    """
+    found = lambda name: F.coalesce(*[F.nullif(F.expr(f"""try_variant_get(s, "{path}", 'string')"""), F.lit("")) for path in _HELD[name]], F.lit("0" if name == "image" else ""))
+    c = candidates.select("struct_hash", "page_id", F.col("first_ix").alias("above_ix"))
+    below = ancestor_rows(elements).join(c, ["page_id", "above_ix"]).select("struct_hash", "page_id", "node_ix", "steps")
+    e = below.join(elements.select("page_id", "node_ix", F.coalesce("node_id", F.lit("")).alias("field_id"), F.expr("parse_json(settings)").alias("s")), ["page_id", "node_ix"])
+    kind = prop = F.lit(None).cast("string")
+    value = F.lit(None).cast("string")
+    for k, p, words in FIELD_WORDS:
+        hit = F.col("field_id").rlike(f"(?i){words}")
+        kind, prop, value = F.when(hit, k).otherwise(kind), F.when(hit, p).otherwise(prop), F.when(hit, found(p)).otherwise(value)
+    is_title = F.col("field_id").rlike(f"(?i){FIELD_WORDS[0][2]}")
+    title = F.when(is_title, F.nullif(F.regexp_replace(found("title"), "[^a-zA-Z0-9]", ""), F.lit("")))
+    rows = e.select("struct_hash", "field_id", "node_ix", "steps", title.alias("title"), kind.alias("type"), prop.alias("prop"), value.alias("default_value"), F.when(kind == "link", found("href")).alias("href"))
+    names = rows.filter("title IS NOT NULL").groupBy("struct_hash").agg(F.min_by("title", "node_ix").alias("name"))
+    last = rows.filter("type IS NOT NULL").groupBy("struct_hash", "field_id").agg(F.max_by(F.struct("type", "prop", "default_value", "href", "steps"), "node_ix").alias("f"))
+    return last.join(names, "struct_hash", "left").select("struct_hash", "name", "field_id", "f.*")
+
+
 def component_usage(elements: DataFrame) -> DataFrame:
     """Component references: occurrences, kinds of parents, first instance."""
     cid = F.expr("try_variant_get(parse_json(settings), '$.component-id.value', 'string')")
@@ -169,6 +213,43 @@ def component_usage(elements: DataFrame) -> DataFrame:
     ).select("component_id", "occurrences", "parent_types", F.concat_ws("/", "f.page_id", "f.node_id").alias("first_instance"))
 
 
+PROPERTY = "property-"
+
+
+def component_overrides(elements: DataFrame, definitions: DataFrame) -> DataFrame:
+    """What instances of each component set themselves: one row per component and property, with how many instances set it,
+    how many of those differ from the definition (definitions: component_id, settings), the value of the first instance
+    and the definition's.
+
+    Settings called property-… count, wrapped or plain. A property that only the definition has is listed with 0
+    instances; components without properties have one row without. `resolved` tells whether a definition exists at all,
+    `instances` counts the component's instances. Both sides' maps are compared key by key as VARIANT rows.
+    """
+    spark = elements.sparkSession
+    explode = """
+        SELECT i.*, substring(k.key, {n}) AS property,
+          coalesce(try_variant_get(k.value, '$.value', 'string'), try_variant_get(k.value, '$', 'string')) AS value
+        FROM {i} i, LATERAL variant_explode(parse_json(i.settings)) k WHERE startswith(k.key, '{p}')
+    """.replace("{n}", str(len(PROPERTY) + 1)).replace("{p}", PROPERTY)
+    cid = F.coalesce(F.expr("try_variant_get(parse_json(settings), '$[\"component-id\"].value', 'string')"), F.lit("unknown"))
+    instances = elements.filter("widget_type = 'e-component'").select(cid.alias("component_id"), "page_id", "node_ix", "settings")
+    totals = instances.groupBy("component_id").agg(F.count("*").alias("instances"), F.min(F.struct("page_id", "node_ix")).alias("first"))
+    known = definitions.groupBy("component_id").agg(F.min("settings").alias("settings"))
+    own = spark.sql(explode, i=instances).select("component_id", "page_id", "node_ix", "property", "value")
+    default = spark.sql(explode, i=known).select("component_id", "property", F.col("value").alias("default_value"), F.lit(True).alias("defined"))
+    differs = ~F.col("value").eqNullSafe(F.col("default_value")) | F.col("defined").isNull()
+    sets = own.join(default, ["component_id", "property"], "left").groupBy("component_id", "property").agg(
+        F.count("*").alias("overriding"), F.count(F.when(differs, 1)).alias("changed"), F.countDistinct("value").alias("values_"),
+        F.min(F.struct("page_id", "node_ix", "value")).alias("least"))
+    rows = sets.join(default, ["component_id", "property"], "full")
+    out = totals.join(rows, "component_id", "left").join(known.select("component_id", F.lit(True).alias("resolved")), "component_id", "left")
+    at_first = (F.col("least.page_id") == F.col("first.page_id")) & (F.col("least.node_ix") == F.col("first.node_ix"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.select(
+        "component_id", F.coalesce("resolved", F.lit(False)).alias("resolved"), "instances", "property", zero("overriding"), zero("changed"), zero("values_"),
+        F.when(at_first, F.col("least.value")).alias("first_value"), "default_value")
+
+
 def schema_profile(elements: DataFrame, variants: DataFrame, props: DataFrame) -> DataFrame:
     """What the corpus contains: element and widget types, breakpoints, states, value types per property."""
     def part(df, section, name, detail):

@@ -50,12 +50,62 @@ cte("jcand", """
   SELECT e.page_id, p.node_ix AS parent_ix, count(*) AS n_children, md5(string_agg(coalesce(e.widget_type, e.el_type) || '|' || e.n_children || '|' || array_to_string(list_sort(json_keys(e.styles)), ','), '::' ORDER BY e.ord)) AS struct_hash
   FROM jel e JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY 1, 2 HAVING count(*) >= 2""")
 query("component_candidates_tree", ora("SELECT struct_hash, n_children, occurrences, pages, f[1] AS page_id, f[2] AS first_ix FROM jcand"))(lambda t: ops.tree_candidates(Trees.of(t).elements))
-query("component_fields", ora("""
+query("component_widget_fields", ora("""
  SELECT struct_hash, e.ord AS ord, fld AS field, CASE fld WHEN 'heading' THEN 'title' WHEN 'paragraph' THEN 'paragraph' WHEN 'button' THEN 'text' ELSE 'image' END AS setting,
   coalesce(e.settings->>'$.title.value.content.value', e.settings->>'$.paragraph.value.content.value', e.settings->>'$.text.value.content.value') AS default_value FROM (
   SELECT *, regexp_extract(widget_type, '^e-(heading|paragraph|image|button)$', 1) AS fld FROM jel) e
  JOIN jel p ON p.page_id = e.page_id AND p.path = e.path[1:len(e.path) - 1] JOIN jcand c ON c.f[1] = e.page_id AND c.f[2] = p.node_ix WHERE fld <> ''"""))(
-    lambda t: (lambda x: ops.component_fields(x.elements, ops.tree_candidates(x.elements)))(Trees.of(t)))
+    lambda t: (lambda x: ops.component_widget_fields(x.elements, ops.tree_candidates(x.elements)))(Trees.of(t)))
+# Ids that say what an element is, links of buttons and own properties of component instances, added to the documents' elements.
+_FIELD_ID = "CASE widget_type WHEN 'e-heading' THEN concat('Title-', node_id) WHEN 'e-paragraph' THEN concat('body-', node_id) WHEN 'e-image' THEN concat('img-', node_id) WHEN 'e-button' THEN concat('CTA-', node_id) ELSE node_id END"
+_FIELD_SETTINGS = """CASE widget_type WHEN 'e-button' THEN concat('{"link":{"$$type":"link","value":{"destination":{"value":"/go/', node_id, '"}}},', substring({s}, 2))
+  WHEN 'e-component' THEN concat('{"property-title":{"$$type":"string","value":"T', CAST(substring(node_id, 5) AS BIGINT) % 5, '"},',
+   CASE WHEN CAST(substring(node_id, 5) AS BIGINT) % 7 < 4 THEN concat('"property-size":', CAST(substring(node_id, 5) AS BIGINT) % 7, ',') ELSE '' END, substring({s}, 2)) ELSE {s} END"""
+cte("jfel", f"SELECT page_id, path, depth, node_ix, ord, el_type, widget_type, {_FIELD_ID} AS node_id, ({_FIELD_SETTINGS.replace('{s}', 'settings')})::JSON AS settings FROM (SELECT * REPLACE (settings::VARCHAR AS settings) FROM jel)")
+
+
+def _field_elements(x: Trees):
+    return x.elements.withColumns({"settings": F.expr(_FIELD_SETTINGS.replace("{s}", "settings")), "node_id": F.expr(_FIELD_ID)})
+
+
+cte("jdefs", """SELECT DISTINCT settings->>'$."component-id".value' AS component_id, '{"property-title":{"value":"T1"},"property-tone":"dark"}' AS settings FROM jfel
+  WHERE widget_type = 'e-component' AND settings->>'$."component-id".value' <> 'cmp-2'""")
+
+
+def _definitions(e):
+    ids = e.filter("widget_type = 'e-component'").select(F.expr("""try_variant_get(parse_json(settings), '$["component-id"].value', 'string')""").alias("component_id")).distinct()
+    return ids.filter("component_id <> 'cmp-2'").withColumn("settings", F.lit('{"property-title":{"value":"T1"},"property-tone":"dark"}'))
+
+
+def _held_sql(name: str) -> str:
+    paths = ", ".join("nullif(settings->>'" + p.replace("['image-src']", '."image-src"') + "', '')" for p in ops._HELD[name])
+    return f"coalesce({paths}, '{'0' if name == 'image' else ''}')"
+
+
+_hits = [(k, p, f"regexp_matches(node_id, '(?i){w}')") for k, p, w in reversed(ops.FIELD_WORDS)]
+query("component_fields", ora(f"""
+ , e AS (SELECT c.struct_hash, d.node_id AS field_id, d.node_ix, len(d.path) - len(p.path) AS steps,
+   CASE WHEN {_hits[-1][2]} THEN nullif(regexp_replace({_held_sql('title')}, '[^a-zA-Z0-9]', '', 'g'), '') END AS title,
+   CASE {" ".join(f"WHEN {h} THEN '{k}'" for k, p, h in _hits)} END AS type, CASE {" ".join(f"WHEN {h} THEN '{p}'" for k, p, h in _hits)} END AS prop,
+   CASE {" ".join(f"WHEN {h} THEN {_held_sql(p)}" for k, p, h in _hits)} END AS default_value, CASE WHEN {_hits[0][2]} THEN {_held_sql('href')} END AS href
+   FROM (SELECT page_id, node_ix, path FROM jel) p JOIN jcand c ON c.f[1] = p.page_id AND c.f[2] = p.node_ix JOIN jfel d ON d.page_id = p.page_id AND len(d.path) > len(p.path) AND d.path[1:len(p.path)] = p.path),
+ n AS (SELECT struct_hash, arg_min(title, node_ix) AS name FROM e WHERE title IS NOT NULL GROUP BY 1)
+ SELECT struct_hash, name, field_id, type, prop, default_value, href, steps FROM (SELECT *, row_number() OVER (PARTITION BY struct_hash, field_id ORDER BY node_ix DESC) AS rn FROM e WHERE type IS NOT NULL)
+ LEFT JOIN n USING (struct_hash) WHERE rn = 1""").replace("d.node_id AS field_id", "d.node_id AS field_id"))(
+    lambda t: (lambda x: ops.component_fields(_field_elements(x), ops.tree_candidates(x.elements)))(Trees.of(t)))
+query("component_overrides", ora("""
+ , i AS (SELECT coalesce(settings->>'$."component-id".value', 'unknown') AS component_id, page_id, node_ix, settings FROM jfel WHERE widget_type = 'e-component'),
+ t AS (SELECT component_id, count(*) AS instances, min((page_id, node_ix)) AS first FROM i GROUP BY 1),
+ o AS (SELECT component_id, page_id, node_ix, k[10:] AS property, coalesce(json_extract_string(v, '$.value'), v->>'$') AS value FROM (
+   SELECT *, json_extract(settings, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(settings)) AS k FROM i) WHERE k LIKE 'property-%')),
+ d AS (SELECT component_id, k[10:] AS property, coalesce(json_extract_string(v, '$.value'), v->>'$') AS default_value FROM (
+   SELECT *, json_extract(settings::JSON, '$."' || k || '"') AS v FROM (SELECT *, unnest(json_keys(settings::JSON)) AS k FROM jdefs) WHERE k LIKE 'property-%')),
+ s AS (SELECT component_id, property, count(*) AS overriding, count(*) FILTER (d.property IS NULL OR value IS DISTINCT FROM default_value) AS changed, count(DISTINCT value) AS values_, arg_min(value, (page_id, node_ix)) AS fv, min((page_id, node_ix)) AS fk
+   FROM o LEFT JOIN d USING (component_id, property) GROUP BY 1, 2),
+ r AS (SELECT component_id, property, overriding, changed, values_, fv, fk, default_value FROM s FULL JOIN d USING (component_id, property))
+ SELECT t.component_id, t.component_id IN (SELECT component_id FROM jdefs) AS resolved, instances, property, coalesce(overriding, 0) AS overriding, coalesce(changed, 0) AS changed, coalesce(values_, 0) AS values_,
+  CASE WHEN fk = first THEN fv END AS first_value, default_value FROM t LEFT JOIN r USING (component_id)"""))(
+    lambda t: (lambda e: ops.component_overrides(e, _definitions(e)))(_field_elements(Trees.of(t))))
 query("component_usage", ora("""
  SELECT cid AS component_id, count(*) AS occurrences, string_agg(DISTINCT p.el_type, ',' ORDER BY p.el_type) AS parent_types, arg_min(i.page_id || '/' || i.node_id, (i.page_id, i.node_id)) AS first_instance
  FROM (SELECT *, settings->>'$."component-id".value' AS cid FROM jel) i JOIN jel p ON p.page_id = i.page_id AND p.path = i.path[1:len(i.path) - 1] WHERE cid IS NOT NULL GROUP BY 1"""))(

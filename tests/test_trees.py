@@ -193,3 +193,51 @@ def test_property_table(spark):
     e = trees.tree_rows(docs(spark, card(wrong), card(right)))
     got = checks.c1_types(trees.style_props(e), trees.variant_rows(e), e).collect()
     assert {r.page_id for r in got} == {"0"} and sorted(r.detail for r in got) == sorted(f"type:{p}:transform" for p in checks.PROP_TYPES)
+
+
+def _node(i, *kids, kind=None, **settings):
+    return {"id": i, "elType": "widget" if kind else "e-flexbox", "widgetType": kind, "settings": settings, "styles": {}, "elements": list(kids)}
+
+
+def test_fields_at_any_depth(spark):
+    def card(n, word):
+        link = {"$$type": "link", "value": {"destination": {"value": f"/go/{n}"}}}
+        img = {"$$type": "image", "value": {"src": {"$$type": "image-src", "value": {"id": {"$$type": "image-attachment-id", "value": 40 + n}}}}}
+        deep = _node("box", _node("box2", _node("my-CTA", kind="e-button", text=html_v3("Go"), link=link), _node("hero-icon", kind="e-image", image=img)))
+        return _node(f"c{n}", _node("Title", kind="e-heading", title=html_v3(word)), _node("bodytext", kind="e-paragraph", paragraph=html_v3("p")), deep, _node("plain"))
+
+    root = _node("r", card(1, "!?"), card(2, "B b"))
+    e = trees.tree_rows(docs(spark, root))
+    above = {(r.node_ix, r.above_ix): r.steps for r in ops.ancestor_rows(e).collect()}
+    ix = {r.node_id: r.node_ix for r in e.filter("node_id in ('r', 'c1', 'box')").collect()}
+    assert above[(ix["c1"], ix["r"])] == 1 and len(above) == 2 * (1 + 4 * 2 + 3 + 2 * 4)
+    got = ops.component_fields(e, ops.tree_candidates(e)).collect()
+    outer = [r for r in got if r.steps > 1 or r.field_id in ("Title", "bodytext")]
+    rows = {(r.field_id, r.type, r.prop, r.default_value, r.href, r.steps) for r in outer}
+    assert {("Title", "text", "title", "!?", None, 1), ("bodytext", "text", "paragraph", "p", None, 1), ("my-CTA", "link", "link", "Go", "/go/1", 3), ("hero-icon", "image", "image", "41", None, 3)} <= rows
+    # The pair inside the box repeats too, and is a structure of its own, one step down.
+    assert {(r.field_id, r.steps) for r in got if r not in outer} == {("my-CTA", 1), ("hero-icon", 1)}
+    assert {r.name for r in got} == {None}  # no letter or digit in the first card's title
+
+
+def test_last_word_and_last_element_count(spark):
+    pair = lambda: _node("p", _node("title-link", kind="e-heading", title=html_v3("First One")), _node("title-link", kind="e-button", text=html_v3("Second")), _node("img"))
+    e = trees.tree_rows(docs(spark, _node("r", pair(), pair())))
+    got = [r for r in ops.component_fields(e, ops.tree_candidates(e)).collect() if r.steps == 1]
+    assert {(r.name, r.field_id, r.type, r.default_value, r.href) for r in got if r.field_id == "title-link"} == {("FirstOne", "title-link", "link", "Second", "")}
+    assert {(r.field_id, r.default_value) for r in got if r.type == "image"} == {("img", "0")}
+
+
+def test_component_overrides(spark):
+    def use(i, cid, **own):
+        s = {"component-id": {"$$type": "string", "value": cid}} if cid else {}
+        return {**_node(i, kind="e-component"), "settings": {**s, **{f"property-{k}": v for k, v in own.items()}}}
+
+    one = _node("r", use("a", "x", title={"value": "T1"}, size=3), use("b", "x", title={"value": "T2"}), use("c", "y"), use("d", None, note="n"))
+    two = _node("r", use("e", "x", title={"value": "T1"}, extra=True), use("f", "z"), _node("g"))
+    definitions = spark.createDataFrame([("x", '{"property-title": "T1", "property-tone": {"value": "dark"}, "other": 1}'), ("z", "{}"), ("unused", '{"property-q": 1}')], "component_id string, settings string")
+    got = {(r.component_id, r.property): tuple(r)[1:3] + tuple(r)[4:] for r in ops.component_overrides(trees.tree_rows(docs(spark, one, two)), definitions).collect()}
+    assert got == {  # resolved, instances, overriding, changed, values, first value, definition's value
+        ("x", "title"): (True, 3, 3, 1, 2, "T1", "T1"), ("x", "size"): (True, 3, 1, 1, 1, "3", None), ("x", "extra"): (True, 3, 1, 1, 1, None, None), ("x", "tone"): (True, 3, 0, 0, 0, None, "dark"),
+        ("y", None): (False, 1, 0, 0, 0, None, None), ("unknown", "note"): (False, 1, 1, 1, 1, "n", None), ("z", None): (True, 1, 0, 0, 0, None, None),
+    }

@@ -132,6 +132,79 @@ def build_order_layers(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
     return state.select(*g, "node", "layer")
 
 
+def _trimmed(e: DataFrame, max_rounds: int) -> DataFrame:
+    """The edges between nodes that have both an edge in and one out, again and again: all cycles lie among them."""
+    g, left = ["graph_id"], e.count()
+    for _ in range(max_rounds):
+        into, out = e.select(*g, F.col("dst").alias("node")), e.select(*g, F.col("src").alias("node"))
+        inner = into.intersect(out)
+        e = cut(e.join(inner.withColumnRenamed("node", "src"), [*g, "src"], "left_semi").join(inner.withColumnRenamed("node", "dst"), [*g, "dst"], "left_semi"))
+        now = e.count()
+        if now == left:
+            return e
+        left = now
+    raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
+
+
+def strong_components(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
+    """(graph_id, node, component, members, cyclic): nodes that need each other, named after the smallest of them.
+
+    Edges outside cycles are trimmed away first. Then every node takes the largest name that reaches it; the nodes of one
+    name that reach its bearer are a component, which leaves; the rest goes round again. A node alone is cyclic if it has
+    an edge to itself. State is edges and one name per node.
+    """
+    g = ["graph_id"]
+    every = cut(edges.select(*g, "src", "dst").distinct())
+    rest = _trimmed(cut(every.filter("src <> dst")), max_rounds)
+    found = None
+    for _ in range(max_rounds):
+        if rest.isEmpty():
+            break
+        color = cut(rest.select(*g, F.col("src").alias("node")).unionByName(rest.select(*g, F.col("dst").alias("node"))).distinct().withColumn("color", F.col("node")))
+        while True:
+            sent = rest.join(color.withColumnRenamed("node", "src"), [*g, "src"]).groupBy(*g, F.col("dst").alias("node")).agg(F.max("color").alias("sent"))
+            new = cut(color.join(sent, [*g, "node"], "left").select(*g, "node", F.greatest("color", "sent").alias("color"), (F.col("sent") > F.col("color")).alias("moved")))
+            moved = not new.filter("moved").isEmpty()
+            color = new.drop("moved")
+            if not moved:
+                break
+        both = rest.join(color.withColumnRenamed("node", "src"), [*g, "src"]).join(color.select(*g, F.col("node").alias("dst"), F.col("color").alias("color2")), [*g, "dst"])
+        same = cut(both.filter("color = color2").select(*g, "src", "dst"))
+        reached = last = cut(color.filter("node = color"))
+        while True:
+            step = same.join(last.select(*g, F.col("node").alias("dst"), "color"), [*g, "dst"]).select(*g, F.col("src").alias("node"), "color").distinct()
+            last = cut(step.join(reached.select(*g, "node"), [*g, "node"], "left_anti"))
+            if last.isEmpty():
+                break
+            reached = cut(reached.unionByName(last))
+        found = reached if found is None else cut(found.unionByName(reached))
+        gone = reached.select(*g, "node")
+        rest = rest.join(gone.withColumnRenamed("node", "src"), [*g, "src"], "left_anti").join(gone.withColumnRenamed("node", "dst"), [*g, "dst"], "left_anti")
+        rest = _trimmed(cut(rest), max_rounds)
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    nodes = every.select(*g, F.col("src").alias("node")).unionByName(every.select(*g, F.col("dst").alias("node"))).distinct()
+    if found is None:
+        named = nodes.withColumn("component", F.col("node")).withColumn("members", F.lit(1).cast("bigint"))
+    else:
+        sizes = found.groupBy(*g, "color").agg(F.min("node").alias("component"), F.count("*").alias("members"))
+        own = found.join(sizes, [*g, "color"]).select(*g, "node", "component", "members")
+        named = nodes.join(own, [*g, "node"], "left").select(*g, "node", F.coalesce("component", "node").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
+    loops = every.filter("src = dst").select(*g, F.col("src").alias("node"), F.lit(True).alias("loop"))
+    return named.join(loops, [*g, "node"], "left").select(*g, "node", "component", "members", ((F.col("members") > 1) | F.coalesce("loop", F.lit(False))).alias("cyclic"))
+
+
+def build_order(edges: DataFrame, max_rounds: int = 10000) -> DataFrame:
+    """Build layers with cycles: (graph_id, node, component, members, cyclic, layer). Nodes that need each other are built
+    together and share a layer; what lies above a cycle follows it."""
+    g = ["graph_id"]
+    named = cut(strong_components(edges, max_rounds))
+    side = lambda k: named.select(*g, F.col("node").alias(k), F.col("component").alias(f"{k}_c"))
+    between = edges.join(side("src"), [*g, "src"]).join(side("dst"), [*g, "dst"]).filter("src_c <> dst_c").select(*g, F.col("src_c").alias("src"), F.col("dst_c").alias("dst"))
+    layers = build_order_layers(between, max_rounds).withColumnRenamed("node", "component")
+    return named.join(layers, [*g, "component"], "left").select(*g, "node", "component", "members", "cyclic", F.coalesce("layer", F.lit(1)).alias("layer"))
+
+
 def nearest_ancestor(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Nearest kept ancestor of every node: (page_id, node, ancestor).
 

@@ -247,16 +247,17 @@ query("overlap_noise_reduction", ora("""
 # Elements that count as components, named by tag and depth (deep ones share a name, which makes cycles).
 COMPONENT_TAGS = ("nav", "ul", "li", "article", "p", "b", "footer", "div", "body", "html")
 _ct = ", ".join(f"'{x}'" for x in COMPONENT_TAGS)
-_COMPONENT = f"CASE WHEN tag IN ({_ct}) AND pos % 7 > 0 THEN concat(tag, '-', least(depth, 9)) END"
+_COMPONENT = f"CASE WHEN tag IN ({_ct}) THEN concat(tag, '-', depth) END"
+_TAG_COMPONENT = f"CASE WHEN tag IN ({_ct}) THEN tag END"  # one name at all depths: lists in lists need each other
 
 
-def component_nodes(t: Tables):
+def component_nodes(t: Tables, component: str = _COMPONENT):
     e = stage(html.element_rows(t.table("pages")), "elements")
-    return e.select("page_id", F.col("pos").alias("node"), F.col("parent_pos").alias("parent"), F.expr(_COMPONENT).alias("component"))
+    return e.select("page_id", F.col("pos").alias("node"), F.col("parent_pos").alias("parent"), F.expr(component).alias("component"))
 
 
-def component_graph(t: Tables):
-    return graph.dependency_edges(component_nodes(t), html.with_site(t.table("pages")).select("page_id", "site"))
+def component_graph(t: Tables, component: str = _COMPONENT):
+    return graph.dependency_edges(component_nodes(t, component), html.with_site(t.table("pages")).select("page_id", "site"))
 
 
 _anc = f"""
@@ -276,6 +277,17 @@ query("build_order_layers", ora(_anc + """
  SELECT n.graph_id, n.node, (SELECT max(layer) FROM pth p WHERE p.graph_id = n.graph_id AND p.node = n.node)::BIGINT AS layer FROM nd n""").replace("WITH ", "WITH RECURSIVE ", 1))(
     lambda t: graph.build_order_layers(component_graph(t)))
 
+_RCH = """
+ , nd AS (SELECT graph_id, src AS node FROM dep UNION SELECT graph_id, dst FROM dep),
+ rch AS (SELECT graph_id, src, dst FROM dep UNION SELECT r.graph_id, r.src, d.dst FROM rch r JOIN dep d ON d.graph_id = r.graph_id AND d.src = r.dst),
+ mut AS (SELECT a.graph_id, a.src AS node, a.dst AS other FROM rch a JOIN rch b ON b.graph_id = a.graph_id AND b.src = a.dst AND b.dst = a.src),
+ scc AS (SELECT n.graph_id, n.node, coalesce(min(least(m.other, n.node)), n.node) AS component, greatest(count(DISTINCT m.other), 1) AS members, count(m.other) > 0 AS cyclic
+   FROM nd n LEFT JOIN mut m ON m.graph_id = n.graph_id AND m.node = n.node GROUP BY n.graph_id, n.node),
+ cdep AS (SELECT DISTINCT d.graph_id, a.component AS src, b.component AS dst FROM dep d JOIN scc a ON a.graph_id = d.graph_id AND a.node = d.src JOIN scc b ON b.graph_id = d.graph_id AND b.node = d.dst WHERE a.component <> b.component),
+ pth AS (SELECT DISTINCT graph_id, component, 1 AS layer FROM scc UNION SELECT p.graph_id, c.src, p.layer + 1 FROM pth p JOIN cdep c ON c.graph_id = p.graph_id AND c.dst = p.component)
+ SELECT graph_id, node, component, members, cyclic, max(layer)::BIGINT AS layer FROM scc JOIN pth USING (graph_id, component) GROUP BY ALL"""
+query("build_order", ora(_anc.replace(_COMPONENT, _TAG_COMPONENT) + _RCH).replace("WITH ", "WITH RECURSIVE ", 1))(lambda t: graph.build_order(component_graph(t, _TAG_COMPONENT)))
+
 _PASS = "tag IN ('html', 'body', 'div', 'section', 'nav', 'ul', 'article') AND kids = 1 AND coalesce(trim(attrs), '') = ''"
 
 

@@ -261,3 +261,60 @@ def test_temporary_tables_go(spark):
         assert all(map(os.path.exists, paths))
     assert [os.path.exists(p) for p in paths] == [False, True] and kept.count() == 2
     assert os.path.exists(stage(spark.range(1), "outside").inputFiles()[0].removeprefix("file://"))
+
+
+def tarjan(edges):
+    """Strongly connected components by depth-first search: node to its set."""
+    import sys
+
+    sys.setrecursionlimit(10_000)
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+        out.setdefault(b, [])
+    index, low, stack, on, found = {}, {}, [], set(), {}
+
+    def visit(v):
+        index[v] = low[v] = len(index)
+        stack.append(v)
+        on.add(v)
+        for w in out[v]:
+            if w not in index:
+                visit(w)
+                low[v] = min(low[v], low[w])
+            elif w in on:
+                low[v] = min(low[v], index[w])
+        if low[v] == index[v]:
+            members = set()
+            while True:
+                w = stack.pop()
+                on.discard(w)
+                members.add(w)
+                if w == v:
+                    break
+            found.update(dict.fromkeys(members, frozenset(members)))
+
+    for v in out:
+        if v not in index:
+            visit(v)
+    return found
+
+
+def test_strong_components_are_tarjans(spark):
+    rnd = random.Random(4)
+    graphs = {f"g{n}-{m}": {(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)} for n, m in ((1, 1), (6, 9), (12, 14), (12, 30), (25, 28), (30, 45))}
+    graphs["chain"] = {(i, i + 1) for i in range(9)}
+    graphs["ring-and-tail"] = {(0, 1), (1, 2), (2, 0), (3, 2), (4, 3), (2, 5), (5, 6), (6, 5), (7, 7), (8, 7)}
+    rows = [(g, f"n{a:02}", f"n{b:02}") for g, es in graphs.items() for a, b in es]
+    got = graph.build_order(spark.createDataFrame(rows, "graph_id string, src string, dst string")).collect()
+    by = {(r.graph_id, r.node): r for r in got}
+    assert len(by) == len(got)
+    for g, es in graphs.items():
+        edges = {(f"n{a:02}", f"n{b:02}") for a, b in es}
+        want = tarjan(edges)
+        for node, members in want.items():
+            r = by.pop((g, node))
+            assert (r.component, r.members, r.cyclic) == (min(members), len(members), len(members) > 1 or (node, node) in edges)
+            below = [by_layer for a, b in edges if a in members and b not in members for by_layer in [next(x.layer for x in got if (x.graph_id, x.node) == (g, b))]]
+            assert r.layer == 1 + max(below, default=0)
+    assert not by

@@ -35,6 +35,26 @@ def asset_references(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame
     return pages.select("page_id", *carry, F.inline(all_refs)).filter(F.col("url").startswith("http"))
 
 
+# Paths of a value that name an image's address, and the host that layout XML loads images from.
+IMAGE_PATH = r"(^|\.)(image[-_]src|src)(\.value)?\.url(\.value)?$"
+_XML_SRC = r"""(?i)src=["']?(https?://framerusercontent\.com/[^"'\s>]+)"""
+
+
+def tree_asset_references(elements: DataFrame, values: DataFrame) -> DataFrame:
+    """Image addresses in element trees (elements, and every text below them with its path, `sources.trees.tree_values`):
+    (page_id, context_ix, context with the element's id, pos, url), at any depth of settings and styles."""
+    found = values.filter((F.col("kind") == "string") & F.col("path").rlike(IMAGE_PATH) & F.col("text").startswith("http"))
+    named = elements.select("page_id", "node_ix", F.coalesce("node_id", F.lit("?")).alias("node_id"))
+    j = found.join(named, ["page_id", "node_ix"])
+    return j.select("page_id", F.lit(5).alias("context_ix"), F.concat(F.lit("element-tree:"), "node_id").alias("context"), F.col("node_ix").alias("pos"), F.col("text").alias("url"))
+
+
+def xml_asset_references(docs: DataFrame) -> DataFrame:
+    """Image addresses in layout XML (page_id, xml): (page_id, context_ix, context, pos, url) in document order."""
+    urls = F.transform(F.regexp_extract_all("xml", F.lit(_XML_SRC), F.lit(1)), lambda u, i: F.struct(i.alias("pos"), F.replace(u, F.lit("&amp;"), F.lit("&")).alias("url")))
+    return docs.select("page_id", F.lit(6).alias("context_ix"), F.lit("mcp-xml:src").alias("context"), F.inline(urls))
+
+
 def classify_asset_url(url):
     """(type, extension, filename) of an asset URL without its query."""
     low = F.lower(F.regexp_extract(url, r"^([^?]*)", 1))
@@ -89,13 +109,21 @@ def filter_assets(refs: DataFrame, only: str = "all", cdn: str | None = None) ->
     return refs
 
 
-def asset_manifest(pages: DataFrame, only: str = "all", cdn: str | None = None) -> DataFrame:
+def asset_manifest(pages: DataFrame, only: str = "all", cdn: str | None = None, more: list[DataFrame] | None = None) -> DataFrame:
     """Assets per site, case-insensitively distinct, first spelling kept.
 
     Counts go through (site, asset, context) first: a logo on every page of a huge site is one partial row per task.
+    `more` are references of other sources, each (site, page_id, context_ix, context, pos, url); their places follow those
+    of the pages in the order of the list.
     """
-    refs = filter_assets(asset_references(with_site(pages), ("site",)), only, cdn)
-    at = F.struct("page_id", "context_ix", "pos")
+    columns = ["site", "source", "page_id", "context_ix", "context", "pos", "url"]
+    refs = asset_references(with_site(pages), ("site",)).withColumn("source", F.lit(0))
+    if more:
+        refs = refs.withColumn("page_id", F.col("page_id").cast("string"))
+    for n, other in enumerate(more or [], 1):
+        refs = refs.select(columns).unionByName(other.withColumn("source", F.lit(n)).withColumn("page_id", F.col("page_id").cast("string")).select(columns))
+    refs = filter_assets(refs, only, cdn)
+    at = F.struct("source", "page_id", "context_ix", "pos")
     per_context = refs.groupBy("site", F.lower("url").alias("key"), "context").agg(
         F.count("*").alias("n"), F.min(F.struct(at.alias("at"), "url")).alias("first")
     )

@@ -263,6 +263,18 @@ def schema_profile(elements: DataFrame, variants: DataFrame, props: DataFrame) -
     )
 
 
+def class_samples(classes: DataFrame, elements: DataFrame, k: int = 5) -> DataFrame:
+    """The `k` first class ids of each kind of element, in order: (kind, place, class_id, uses).
+
+    Uses are counted before the rank, and a rank that is compared with a constant is limited in each task before the
+    exchange, so no more than `k` rows per kind and task move.
+    """
+    kinds = elements.select("page_id", "node_ix", F.coalesce("widget_type", "el_type", F.lit("(none)")).alias("kind"))
+    n = classes.filter("class_id is not null").join(kinds, ["page_id", "node_ix"]).groupBy("kind", "class_id").agg(F.count("*").alias("uses"))
+    place = F.row_number().over(W.partitionBy("kind").orderBy("class_id"))
+    return n.withColumn("place", place).filter(F.col("place") <= k).select("kind", "place", "class_id", "uses")
+
+
 def _band(v, ok, warn, up=True):
     return F.when((v >= ok) if up else (v <= ok), "OK").when((v >= warn) if up else (v <= warn), "WARN").otherwise("FAIL")
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window as W, functions as F
 
 from sitecorpus.functions.dims import PRO_WIDGETS
-from sitecorpus.operators import graph, html, layout, tokens
+from sitecorpus.operators import assets, graph, html, layout, tokens
 from sitecorpus.plans import token_queries
 from sitecorpus.plans.css_queries import hexsql, sp, trim
+from sitecorpus.plans.asset_queries import _file, _type
 from sitecorpus.plans.registry import CTES, Tables, cte, ora, query
+from sitecorpus.plans.tree_queries import Trees
 from sitecorpus.session import scratch_path, stage
 from sitecorpus.sources import design, design_xml, layout as lsrc
 
@@ -133,6 +135,27 @@ query("style_prop_rows_xml", ora("SELECT page_id, nth, widget, prop, vtype, num,
     lambda t: layout.style_prop_rows(_nth(_xml_classified(t)).drop("pos").withColumnRenamed("nth", "pos")).withColumnRenamed("pos", "nth"))
 
 
+cte("xref", """SELECT page_id, 6::BIGINT AS context_ix, 'mcp-xml:src' AS context, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS pos, regexp_extract(src, '^(?i)[^\"''\\s>]+', 0) AS url
+  FROM lnode WHERE regexp_matches(src, '(?i)^https?://framerusercontent\\.com/[^\"''\\s>]+')""")
+query("asset_references_xml", ora("SELECT * FROM xref"))(lambda t: assets.xml_asset_references(xml_docs(t)))
+
+
+def _all_assets(t: Tables):
+    xml = assets.xml_asset_references(xml_docs(t)).join(html.with_site(t.table("pages")).select("page_id", "site"), "page_id")
+    x = Trees.of(t)
+    tree = assets.tree_asset_references(x.elements, x.values).withColumn("site", F.lit("layout documents"))
+    return assets.asset_manifest(sp(t), more=[tree, xml])
+
+
+query("asset_manifest_all", ora(f"""
+ , r AS (SELECT site, 0 AS source, page_id::VARCHAR AS page_id, context_ix, context, pos, aref.url AS url FROM aref JOIN page_site USING (page_id)
+  UNION ALL SELECT 'layout documents', 1, page_id, context_ix, context, pos, url FROM tref UNION ALL SELECT site, 2, page_id::VARCHAR, context_ix, context, pos, xref.url FROM xref JOIN page_site USING (page_id))
+ SELECT site, url, uses, contexts, type, filename, coalesce(nullif(lower(regexp_extract(filename, '\\.([^.]+)$', 1)), ''), 'unknown') AS extension FROM (
+  SELECT *, {_type('url')} AS type, {_file('url')} AS filename FROM (
+  SELECT site, arg_min(url, (source, page_id, context_ix, pos)) AS url, count(*) AS uses, string_agg(DISTINCT context, ',' ORDER BY context) AS contexts FROM r GROUP BY site, lower(r.url)))"""))(
+    lambda t: _all_assets(t).drop("folder"))
+
+
 def _named_colors(t: Tables):
     """The kit's colours as ColorStyle and Color elements, read back."""
     path = scratch_path(t.spark, "color-xml")

@@ -116,6 +116,12 @@ query("schema_profile", ora("""
   UNION ALL SELECT 'prop', prop, coalesce(vtype, 'plain-' || kind) FROM jprop WHERE nested = 0) GROUP BY 1, 2, 3"""))(lambda t: (lambda x: ops.schema_profile(x.elements, x.variants, x.props))(Trees.of(t)))
 
 
+query("class_samples", ora("""
+ SELECT kind, place, class_id, uses FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY class_id) AS place FROM (
+  SELECT coalesce(e.widget_type, e.el_type, '(none)') AS kind, class_id, count(*) AS uses FROM jcls c JOIN jel e ON e.page_id = c.page_id AND e.node_ix = c.node_ix WHERE class_id IS NOT NULL GROUP BY 1, 2)) WHERE place <= 5"""))(
+    lambda t: (lambda x: ops.class_samples(x.classes, x.elements))(Trees.of(t)))
+
+
 def _b(x: str, ok: int, warn: int, up: bool = True) -> str:
     op = ">=" if up else "<="
     return f"CASE WHEN {x} {op} {ok} THEN 'OK' WHEN {x} {op} {warn} THEN 'WARN' ELSE 'FAIL' END"
@@ -241,31 +247,52 @@ query("autofix_plan", ora(_items + f"""
 # --- sources and sinks: files Spark writes from the given tables, read back through the library's readers ---
 
 
-def _css_folder(t: Tables) -> str:
+ROWS_PER_FILE = 1000
+
+
+def _filed(df, number, columns):
+    """`df` as a folder of text or JSON files of about ROWS_PER_FILE rows, by a running number of the rows."""
+    bucket = F.floor(number / ROWS_PER_FILE)
+    return df.select(bucket.alias("bucket"), *columns).repartition("bucket").write.partitionBy("bucket")
+
+
+def _css_folder(t: Tables):
     from sitecorpus.operators import css
 
     path = scratch_path(t.spark, "css-files")
-    css.page_css(sp(t)).write.partitionBy("page_id").text(path)
+    _filed(css.page_css(sp(t)), F.col("page_id"), ["css"]).text(path)
+    return path
+
+
+def _css_bundles(t: Tables):
+    from sitecorpus.operators import css
+
+    path = scratch_path(t.spark, "css-bundles")
+    _filed(css.page_css(sp(t)), F.col("page_id"), [F.concat(F.lit("page-"), "page_id").alias("source"), "css"]).json(path)
     return path
 
 
 query("src_css_files", ora("SELECT page_id, length(css) AS css_chars FROM css_text"))(
-    lambda t: files.read_css(t.spark, _css_folder(t), "*.txt").select(
-        F.regexp_extract("source", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"), (F.length("css") - 1).alias("css_chars")))
-query("src_asset_inventory", ora("SELECT 'txt' AS extension, 'application/octet-stream' AS mime, count(*) AS files, (sum(strlen(css)) + count(*))::BIGINT AS bytes FROM css_text"))(
+    lambda t: files.read_css_bundles(t.spark, _css_bundles(t)).select(F.regexp_extract("source", r"page-(\d+)", 1).cast("bigint").alias("page_id"), F.length("css").alias("css_chars")))
+query("src_asset_inventory", ora(f"""SELECT 'txt' AS extension, 'application/octet-stream' AS mime, count(DISTINCT page_id // {ROWS_PER_FILE}) AS files, (sum(strlen(css)) + count(*))::BIGINT AS bytes FROM css_text"""))(
     lambda t: files.asset_inventory(t.spark, _css_folder(t)).filter("extension = 'txt'").groupBy("extension", "mime").agg(F.count("*").alias("files"), F.sum("length").alias("bytes")))
+# A part of the lines is cut off, so that they are no documents any more.
+_CUT_LINE = "substring(md5(page_id), 1, 1) = '0'"
 
 
-def _tree_files(t: Tables):
+def _tree_lines(t: Tables):
     path = scratch_path(t.spark, "tree-files")
     docs = tsrc.conversation_trees(t.table("conversations"))
-    docs.write.partitionBy("page_id").text(path)
-    raw = t.spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"page_id=([^/]+)", 1).alias("page_id"), F.col("value").alias("doc")).filter(F.try_parse_json("doc").isNotNull())
+    line = F.when(F.expr(_CUT_LINE), F.expr("substring(doc, 1, length(doc) - 5)")).otherwise(F.col("doc"))
+    _filed(docs, F.split("page_id", "-")[0].cast("bigint"), [line.alias("value")]).text(path)
+    return tsrc.read_tree_lines(t.spark, path)
 
 
-query("src_tree_json", ora("SELECT page_id, count(*) AS elements, max(depth) AS max_depth FROM jel GROUP BY 1"))(
-    lambda t: tsrc.tree_rows(_tree_files(t)).groupBy("page_id").agg(F.count("*").alias("elements"), F.max("depth").alias("max_depth")))
+query("src_tree_json", ora(f"""SELECT n->>'id' AS root_id, elements, max_depth FROM (SELECT page_id, n FROM tlv0) JOIN (SELECT page_id, count(*) AS elements, max(depth) AS max_depth FROM jel GROUP BY 1) USING (page_id) WHERE NOT {_CUT_LINE}"""))(
+    lambda t: (lambda e: e.groupBy("page_id").agg(F.min_by("node_id", "node_ix").alias("root_id"), F.count("*").alias("elements"), F.max("depth").alias("max_depth")).drop("page_id"))(
+        tsrc.tree_rows(_tree_lines(t).filter("sound").withColumnRenamed("doc_id", "page_id"))))
+query("src_tree_json_malformed", ora(f"SELECT count(*) FILTER (NOT {_CUT_LINE}) AS sound, count(*) FILTER ({_CUT_LINE}) AS malformed FROM tdoc"))(
+    lambda t: _tree_lines(t).agg(F.count(F.when(F.col("sound"), 1)).alias("sound"), F.count(F.when(~F.col("sound"), 1)).alias("malformed")))
 
 
 def _style_xml(t: Tables):

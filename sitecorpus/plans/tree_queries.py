@@ -7,7 +7,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from sitecorpus.operators import checks, trees as ops
+from sitecorpus.operators import assets, checks, trees as ops
 from sitecorpus.plans.css_queries import sp
 from sitecorpus.plans.registry import CTES, Tables, cte, ora, query
 from sitecorpus.session import stage
@@ -63,6 +63,10 @@ cte("jimg", """SELECT page_id, node_ix, json_extract(s, '$.id') IS NOT NULL AND
   SELECT page_id, node_ix, CASE WHEN json_type(value, '$.value') = 'OBJECT' THEN json_extract(value, '$.value') ELSE value END AS s FROM jt WHERE type = 'OBJECT' AND value->>'$."$$type"' = 'image-src')""")
 
 
+cte("tref", f"""SELECT v.page_id, 5::BIGINT AS context_ix, 'element-tree:' || coalesce(e.node_id, '?') AS context, v.node_ix AS pos, v.text AS url FROM jval v JOIN jel e ON e.page_id = v.page_id AND e.node_ix = v.node_ix
+  WHERE regexp_matches(v.path, '{assets.IMAGE_PATH}') AND starts_with(v.text, 'http')""")
+
+
 class Trees:
     """The tree tables of one run. Documents are flattened once: the element rows are written, and what several rules read
     (styles, variants, properties, values) is written when it is first asked for. `staged=False` serves queries that read
@@ -122,6 +126,8 @@ query("element_classes", ora("SELECT page_id, node_ix, node_id, pos, class_id FR
 query("style_variants", ora("SELECT page_id, node_ix, node_id, el_type, widget_type, style_id, variant_ix, breakpoint, bp_present, state, state_present, css_kind FROM jvar"))(
     lambda t: Trees.of(t, False).variants.drop("props"))
 
+query("asset_references_tree", ora("SELECT * FROM tref"))(lambda t: (lambda x: assets.tree_asset_references(x.elements, x.values))(Trees.of(t)))
+
 _V = {
     "g01": "SELECT DISTINCT page_id, node_ix, text AS detail FROM jval WHERE text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit)",
     "g02": "SELECT page_id, node_ix, path || ':' || text AS detail FROM jval WHERE part = 'styles' AND parent_type = 'global-color-variable' AND text LIKE 'e-gv-%' AND text NOT IN (SELECT gv_id FROM jkit WHERE kind = 'color' AND regexp_matches(hex, '^#[0-9a-f]{6}$'))",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sitecorpus.operators.assets import mime_of
 
@@ -18,6 +18,30 @@ def read_css(spark: SparkSession, path: str, pattern: str = "*.css") -> DataFram
     return raw.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("css"))
 
 
+def read_css_bundles(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Style sheets of bundle files, many records a file: (source, css). A record names its sheet; without a name the file
+    and the record's place in it do. Records that are no JSON objects are left out."""
+    lines = numbered_lines(spark, path, pattern)
+    record = F.from_json("value", "source string, css string")
+    return lines.select(F.coalesce(record["source"], F.concat_ws("#", "source", "place")).alias("source"), record["css"].alias("css")).filter("css is not null")
+
+
+def numbered_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Lines of all files below a folder: (source, place, value); place is the byte at which the line begins, if lines end
+    in one byte.
+
+    Lines of a block are added up within the block, blocks by one row each, so a huge file is not ordered in one task.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    at = F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth")
+    lines = raw.select(*at, "value", (F.octet_length("value") + 1).cast("bigint").alias("bytes"))
+    blocks = lines.groupBy("source", "block").agg(F.sum("bytes").alias("size"))
+    start = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum("bytes").over(Window.partitionBy("source", "block").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.withColumn("inside", inside).join(blocks.select("source", "block", start.alias("start")), ["source", "block"])
+    return placed.select("source", (F.col("start") + F.col("inside")).alias("place"), "value")
+
+
 def read_style_xml(spark: SparkSession, path: str, tag: str = "TextStyle", schema: str = TEXT_STYLE_SCHEMA) -> DataFrame:
     """Named styles of design-tool XML, one row per `tag` element (TextStyle, ColorStyle or Color)."""
     return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sitecorpus.sources.files import numbered_lines
 from sitecorpus.sources.styled import _expression
 
 
@@ -19,6 +20,13 @@ def read_tree_json(spark: SparkSession, path: str) -> DataFrame:
     return raw.filter(F.try_parse_json("doc").isNotNull())
 
 
+def read_tree_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Documents of files that hold one per line: (doc_id, doc, sound). A document is named by its file and the byte where
+    it begins; `sound` is false for lines that are no JSON."""
+    lines = numbered_lines(spark, path, pattern).filter("trim(value) <> ''")
+    return lines.select(F.concat_ws("#", "source", "place").alias("doc_id"), F.col("value").alias("doc"), F.try_parse_json("value").isNotNull().alias("sound"))
+
+
 _SIZE = '{"$$type":"size","value":{"size":%s,"unit":"px"}}'
 _CARD = (
     """{"id":"[[CASE WHEN k % 11 = 0 THEN concat('Card-', k) WHEN k % 13 = 0 THEN 'dup' ELSE concat('card', k) END]]","elType":"[[CASE WHEN k % 17 = 0 THEN 'e-grid' ELSE 'e-flexbox' END]]","settings":{"classes":[[CASE WHEN k % 10 = 3 THEN concat('["s_card', k, '"]') WHEN k % 7 = 0 THEN '{"$$type":"classes","value":["gc-card"]}' WHEN k % 9 = 0 THEN concat('{"$$type":"classes","value":["s_card', k, '","gc-card","e-lost', k, '"]}') ELSE concat('{"$$type":"classes","value":["s_card', k, '","gc-card"]}') END]][[CASE WHEN k % 19 = 0 THEN ',"padding":"10px"' ELSE '' END]]},"styles":{"s_card[[k]]":{"id":"[[CASE WHEN k % 23 = 0 THEN 'other' ELSE concat('s_card', k) END]]","type":"class",[[CASE WHEN k % 5 = 1 THEN '' ELSE '"label":"local",' END]]"variants":[{"meta":{[[CASE WHEN k % 6 = 1 THEN '"breakpoint":"desktop",' WHEN k % 6 = 2 THEN '' ELSE '"breakpoint":null,' END]]"state":null},"props":{"padding":{"$$type":"dimensions","value":{"block-start":"""

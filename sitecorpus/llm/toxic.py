@@ -35,7 +35,7 @@ TELLING, EVIDENCE = 200, 6.0  # landmarks at most, and the likelihood ratio they
 DECAY, SPAN, SHARP, LEAST = 0.9, 6, 6.0, 0.5
 LONGEST = 24
 CACHED = 160_000  # words whose features a task keeps; the earliest half, the frequent ones, outlives the rest
-KEPT, WORD_BYTES = 80 << 20, 180  # bytes of scored words that a worker keeps, and what a word takes
+KEPT, WORD_BYTES = 40 << 20, 180  # bytes of scored words that a worker keeps, and what a word takes
 THRESHOLD = 0.7
 RIDGE = 2.0
 SCALE = 3.0
@@ -84,10 +84,15 @@ class Kernel:
             own.append((keys[0], summed[0] / max(norm[0], 1e-12)))
         known = np.unique(np.concatenate([k[k > 0] for k, _ in own]))
         self.columns[known] = np.arange(1, len(known) + 1)
-        self.weights = np.zeros((len(known) + 1, len(landmarks)), np.float32)
+        weights = np.zeros((len(known) + 1, len(landmarks)))
         for i, (k, w) in enumerate(own):
-            np.add.at(self.weights[:, i], self.columns[k], w)
-        self.weights[0] = 0
+            np.add.at(weights[:, i], self.columns[k], w)
+        weights[0] = 0
+        # By subsequence, the landmarks that have it and its weight there: few of all.
+        column, self.having = np.nonzero(weights)
+        self.weights = weights[column, self.having]
+        self.many = np.bincount(column, minlength=len(weights))
+        self.first = np.cumsum(self.many) - self.many
 
     def _keys(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For words of one length, a row each: keys of the subsequences in the landmarks' letters (0 if others), their
@@ -134,13 +139,16 @@ class Kernel:
                 if not len(near):
                     continue
                 own, norm = self._merged(weight, valid[near], points[near])
-                row, col = np.nonzero((self.columns[keys[near]] > 0) & (own > 0))
-                k = np.zeros((len(near), len(self.landmarks)), np.float32)
-                if len(row):
-                    first = np.flatnonzero(np.diff(row, prepend=-1))
-                    got = self.weights[self.columns[keys[near[row], col]]] * (own[row, col] / norm[row]).astype(np.float32)[:, None]
-                    k[row[first]] = np.add.reduceat(got, first, axis=0)
-                out[some[near]] = np.where(k >= LEAST, np.exp(SHARP * (np.minimum(k, 1) - 1)), 0)
+                columns = self.columns[keys[near]]
+                row, col = np.nonzero((columns > 0) & (own > 0))
+                column, value = columns[row, col], own[row, col] / norm[row]
+                many = self.many[column]
+                upto = np.cumsum(many)
+                at = np.repeat(self.first[column] - upto + many, many) + np.arange(upto[-1] if len(upto) else 0)
+                cell = np.repeat(row * len(self.landmarks), many) + self.having[at]
+                k = np.bincount(cell, self.weights[at] * np.repeat(value, many), len(near) * len(self.landmarks)).reshape(len(near), -1)
+                row, col = np.nonzero(k >= LEAST)
+                out[some[near[row]], col] = np.exp(SHARP * (np.minimum(k[row, col], 1) - 1))
         return out
 
 

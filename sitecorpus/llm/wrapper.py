@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -184,6 +185,9 @@ def _keep(root: Node) -> None:
             within[k] = around
 
 
+RUN = 2048  # children that are matched in one table
+
+
 class Matcher:
     """Simple tree matching, with the sizes of matches between shapes kept."""
 
@@ -191,43 +195,79 @@ class Matcher:
         self.sizes: dict[tuple[int, int], int] = {}
 
     def size(self, a: Node, b: Node) -> int:
-        if a.tag != b.tag:
-            return 0
-        key = (a.shape, b.shape)
-        if key not in self.sizes:
-            self.sizes[key] = 1 + sum(self.size(x, y) for x, y in self.pairs(a, b))
-        return self.sizes[key]
+        """The number of matched nodes; by a stack of what is asked for, since trees may be deep."""
+        todo = [(a, b)]
+        while todo:
+            x, y = todo[-1]
+            key = (x.shape, y.shape)
+            if x.tag != y.tag or key in self.sizes:
+                todo.pop()
+                continue
+            unknown = [(k, m) for k, m in self._compared(x, y) if k.tag == m.tag and (k.shape, m.shape) not in self.sizes]
+            if unknown:
+                todo += unknown
+            else:
+                self.sizes[key] = 1 + sum(self._size(k, m) for k, m in self.pairs(x, y))
+        return self._size(a, b)
 
-    def pairs(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
-        """The matched children. Equal shapes at either end match without a table."""
-        x, y, lo = a.kids, b.kids, 0
-        end = min(len(x), len(y))
-        while lo < end and x[lo].shape == y[lo].shape:
+    def _size(self, a: Node, b: Node) -> int:
+        return self.sizes[a.shape, b.shape] if a.tag == b.tag else 0
+
+    @staticmethod
+    def _ends(x: list[Node], y: list[Node]) -> tuple[int, int, int]:
+        """How many children at the beginning have equal shapes, and where those at the end begin on both sides."""
+        lo, p, q = 0, len(x), len(y)
+        while lo < min(p, q) and x[lo].shape == y[lo].shape:
             lo += 1
-        p, q = len(x), len(y)
         while p > lo and q > lo and x[p - 1].shape == y[q - 1].shape:
             p, q = p - 1, q - 1
+        return lo, p, q
+
+    def _compared(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """Pairs of children whose sizes the matching needs, one for each pair of shapes."""
+        lo, p, q = self._ends(a.kids, b.kids)
+        same = {k.shape: k for k in a.kids[:lo] + a.kids[p:]}
+        left, right = {k.shape: k for k in a.kids[lo:p]}, {k.shape: k for k in b.kids[lo:q]}
+        return [(k, k) for k in same.values()] + [(k, m) for k in left.values() for m in right.values()]
+
+    def pairs(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """The matched children. Equal shapes at either end match without a table."""
+        x, y = a.kids, b.kids
+        lo, p, q = self._ends(x, y)
         out = list(zip(x[:lo], y[:lo], strict=True)) + list(zip(x[p:], y[q:], strict=True))
-        n, m = p - lo, q - lo
-        if n and m:
-            w = [[self.size(x[lo + i], y[lo + j]) for j in range(m)] for i in range(n)]
-            best = [[0] * (m + 1) for _ in range(n + 1)]
-            for i in range(n):
-                for j in range(m):
-                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + w[i][j])
-            i, j = n, m
-            while i and j:
-                if best[i][j] == best[i - 1][j]:
-                    i -= 1
-                elif best[i][j] == best[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    out.append((x[lo + i], y[lo + j]))
+        parts = -(-max(p - lo, q - lo) // RUN)  # longer runs are cut alike on both sides, and part matched with part
+        for k in range(parts):
+            i, j = lo + (p - lo) * k // parts, lo + (q - lo) * k // parts
+            out += self._matched(x[i : lo + (p - lo) * (k + 1) // parts], y[j : lo + (q - lo) * (k + 1) // parts])
+        return out
+
+    def _matched(self, x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
+        """The pairs of a heaviest matching in order."""
+        n, m = len(x), len(y)
+        if not n or not m:
+            return []
+        shapes, column = np.unique([k.shape for k in y], return_inverse=True)
+        of_shape = {k.shape: k for k in y}
+        rows: dict[int, np.ndarray] = {}
+        best = np.zeros((n + 1, m + 1), np.int32)
+        for i, node in enumerate(x):
+            if node.shape not in rows:
+                rows[node.shape] = np.array([self._size(node, of_shape[s]) for s in shapes.tolist()], np.int32)
+            np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + rows[node.shape][column]), out=best[i + 1, 1:])
+        out, i, j = [], n, m
+        while i and j:
+            if best[i, j] == best[i - 1, j]:
+                i -= 1
+            elif best[i, j] == best[i, j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((x[i], y[j]))
         return out
 
     def align(self, a: Node, b: Node) -> dict[Node, Node]:
         """{node of a: node of b} of the matched nodes."""
+        self.size(a, b)
         out, todo = {a: b}, [(a, b)]
         while todo:
             for x, y in self.pairs(*todo.pop()):

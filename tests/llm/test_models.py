@@ -1,5 +1,8 @@
 """Trained operators on rows they have not learnt from, page texts, and odd tables."""
 
+import random
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +127,51 @@ def test_tree_matching():
     assert m.size(a, b) == 4 and len(m.align(a, b)) == 4  # html, div, table and one of p and ul
 
 
+def _tree(rnd, depth):
+    kids = "".join(_tree(rnd, depth - 1) for _ in range(rnd.randint(0, 4))) if depth else ""
+    return "<{0}>{1}x</{0}>".format(rnd.choice(["div", "ul", "section", "table"]), kids)
+
+
+def _naive(a, b):
+    """Simple tree matching as it is written, without shapes, ends or tables kept."""
+    if a.tag != b.tag:
+        return 0
+    best = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
+    for i, x in enumerate(a.kids):
+        for j, y in enumerate(b.kids):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + _naive(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_matching_of_random_trees():
+    rnd = random.Random(8)
+    for _ in range(60):
+        a, b = (wrapper.parse(_tree(rnd, 4)) for _ in range(2))
+        for t in (a, b):
+            wrapper._shapes(t)
+        m = wrapper.Matcher()
+        found = m.align(a, b)
+        assert m.size(a, b) == _naive(a, b) == len(found) == len(set(found.values()))
+        assert all(x.tag == y.tag and (x is a or found[x.parent] is y.parent) for x, y in found.items())
+
+
+@pytest.mark.parametrize("deep", [500, 5000])
+def test_pages_of_unequal_depth(deep):
+    pages = ["<div>" * n + f"<p>text {n}</p>" + "</div>" * n for n in (deep, deep + 1)]
+    assert wrapper.main_texts(pages) == [f"text {n}" for n in (deep, deep + 1)]
+
+
+def test_many_mixed_siblings():
+    rnd = random.Random(1)
+    pages = ["".join(f"<p>{i} {k}</p><h{h}>{k}{i}</h{h}>" for i in range(1500) for h in [rnd.randint(2, 5)]) for k in "ab"]
+    trees = [wrapper.parse(p) for p in pages]
+    began = time.process_time()
+    for t in trees:
+        wrapper._shapes(t)
+    m = wrapper.Matcher()
+    assert m.size(*trees) > 2000 and time.process_time() - began < 2
+
+
 # Nulls in every column, empty and very long texts, ties, repeated rows, and columns called like those the operators add.
 CLASH = "rid string, row_key string, score string, predicted string, spans string, n_words string, items string, digest string, kept string, part string, place string, toxic_score string"
 SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {CLASH}"

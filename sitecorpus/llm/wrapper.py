@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -62,6 +63,18 @@ _NAMES = re.compile(r"""(?<![\w:.-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'
 _BY_CLASS = frozenset("p h1 h2 h3 h4 h5 h6".split())  # their ids name what they say, not their role
 
 
+# Words that say where or what a block is, not what it is about: with one of the above they make a compound name.
+NEUTRAL = frozenset("site page global area section buttons button posts list items bar box widget links wrapper container block inner outer top bottom left right primary secondary main group panel content".split())
+
+
+@lru_cache(maxsize=4096)
+def is_nuisance(name: str) -> bool:
+    """Whether a class, id or role says so as a whole, or by parts of which the others say nothing (site-header, comments-area;
+    not has-sidebar or share-price)."""
+    parts = [p for p in re.split("[-_]+", name) if p]
+    return name in NUISANCE or (len(parts) > 1 and not NUISANCE.isdisjoint(parts) and all(p in NUISANCE or p in NEUTRAL for p in parts))
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "items", "kids", "shape", "linked", "amount", "kept")
 
@@ -87,7 +100,7 @@ class Node:
         if not self.attrs or self.tag in ("html", "body", "article", "main"):
             return False
         names = " ".join(x or y or z for kind, x, y, z in _NAMES.findall(self.attrs) if self.tag not in _BY_CLASS or kind.lower() != "id")
-        return not NUISANCE.isdisjoint(names.lower().split())
+        return any(map(is_nuisance, names.lower().split()))
 
 
 def parse(page: str) -> Node:

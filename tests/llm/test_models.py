@@ -172,6 +172,18 @@ def test_many_mixed_siblings():
     assert m.size(*trees) > 2000 and time.process_time() - began < 2
 
 
+@pytest.mark.parametrize("name", ["site-header", "cookie-banner", "comments-area", "site-footer", "share-buttons", "related-posts", "comments-section", "page_footer"])
+def test_compound_names_of_nuisance(name):
+    page = "<div class='{0}'>Left out {1}</div><main><p>Text {1} of the page, long enough to be most of it, {1}.</p><div class='{0}'>Also left out {1}</div></main>"
+    assert wrapper.main_texts([page.format(name, i) for i in range(3)]) == [f"Text {i} of the page, long enough to be most of it, {i}." for i in range(3)]
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "share-price", "ad-hoc", "menu-engineering", "comment-le-faire"])
+def test_compound_names_of_content(name):
+    page = "<main><div class='{0}'>Text {1} stays</div><p>and more {1}</p></main>"
+    assert wrapper.main_texts([page.format(name, i) for i in range(3)]) == [f"Text {i} stays\n\nand more {i}" for i in range(3)]
+
+
 # Nulls in every column, empty and very long texts, ties, repeated rows, and columns called like those the operators add.
 CLASH = "rid string, row_key string, score string, predicted string, spans string, n_words string, items string, digest string, kept string, part string, place string, toxic_score string"
 SCHEMA = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {CLASH}"

@@ -273,6 +273,25 @@ def boilerplate_strip(pages: DataFrame, rules) -> DataFrame:
     return pages.select("page_id", "url", F.length("html").alias("before"), F.array(*cols).alias("steps"))
 
 
+def without_cdn_srcset(html):
+    """A page whose srcset lists keep only entries that are no absolute addresses; an empty list goes with its attribute."""
+
+    def cleaned(part):
+        end = F.instr(part, '"')
+        entries = F.transform(F.split(F.substring(part, F.lit(1), end - 1), ","), trim_ws)
+        left = F.array_join(F.filter(entries, lambda e: ~F.startswith(e, F.lit("http"))), ", ")
+        rest = F.substring(part, end + 1, F.length(part))
+        return F.when(end == 0, F.concat(F.lit('srcset="'), part)).otherwise(F.concat(F.when(left != "", F.concat(F.lit('srcset="'), left, F.lit('"'))).otherwise(""), rest))
+
+    return F.array_join(F.transform(F.split(html, 'srcset="'), lambda p, i: F.when(i == 0, p).otherwise(cleaned(p))), "")
+
+
+def srcset_strip(pages: DataFrame) -> DataFrame:
+    """Pages with their absolute srcset entries removed: (page_id, html, removed characters)."""
+    out = without_cdn_srcset(F.col("html"))
+    return pages.select("page_id", out.alias("html"), (F.length("html") - F.length(out)).alias("removed"))
+
+
 def boilerplate_report(pages: DataFrame, rules) -> DataFrame:
     """Removed characters per site and rule."""
     s = with_site(boilerplate_strip(pages, rules)).select("site", F.inline("steps"))

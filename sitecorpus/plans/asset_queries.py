@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sitecorpus.functions.dims import MIME
 from sitecorpus.operators import assets
+from sitecorpus.operators.html import srcset_strip
 from sitecorpus.plans.css_queries import sp, trim
 from sitecorpus.plans.registry import Tables, cte, ora, query
 from sitecorpus.session import stage
@@ -24,6 +27,13 @@ cte("aref", "SELECT page_id, context_ix, context, pos, url FROM (" + " UNION ALL
 query("asset_references", ora("SELECT * FROM aref"))(lambda t: assets.asset_references(sp(t)))
 
 
+query("srcset_strip", ora("""
+ , p AS (SELECT page_id, length(html) AS n, string_split(html, 'srcset="') AS parts FROM sp),
+ c AS (SELECT page_id, n, parts[1] || array_to_string(list_transform(parts[2:], lambda x: CASE WHEN instr(x, '"') = 0 THEN 'srcset="' || x ELSE
+   coalesce('srcset="' || nullif(array_to_string(list_filter(list_transform(string_split(split_part(x, '"', 1), ','), lambda e: regexp_replace(e, '^\\s+|\\s+$', '', 'g')), lambda e: NOT starts_with(e, 'http')), ', '), '') || '"', '') || x[instr(x, '"') + 1:] END), '') AS html FROM p)
+ SELECT page_id, md5(html) AS html_md5, n - length(html) AS removed FROM c"""))(lambda t: srcset_strip(sp(t)).select("page_id", F.md5("html").alias("html_md5"), "removed"))
+
+
 def _type(u: str) -> str:
     low = f"lower(split_part({u}, '?', 1))"
     return (f"CASE WHEN regexp_matches({low}, '\\.(mp4|webm|mov|ogg|avi)$') THEN 'video' WHEN regexp_matches({low}, '\\.svg$') THEN 'svg' "

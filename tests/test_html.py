@@ -106,3 +106,14 @@ def test_all_links_count(pages):
     df = pages(hub, *["<p>"] * 60, url=["https://h.example/"] + [f"https://h.example/p{i}" for i in range(60)])
     assert internal_links(df).count() == 60
     assert [r.path for r in site_link_graph(df).filter("orphan").collect()] == ["/"]
+
+
+def test_absolute_srcset_entries_go(spark, pages):
+    from sitecorpus.operators.html import srcset_strip
+
+    cases = {
+        '<img srcset="https://c/a.png 1x, img/b.png 2x" alt="x">': '<img srcset="img/b.png 2x" alt="x">', '<img srcset="https://c/a.png 1x,http://c/b.png 2x">': "<img >",
+        '<img srcset="a.png 1x , b.png 2x"><p>y</p>': '<img srcset="a.png 1x, b.png 2x"><p>y</p>', '<i srcset="open': '<i srcset="open', "none": "none", '<a srcset="">': "<a >",
+    }
+    got = {r.page_id: (r.html, r.removed) for r in srcset_strip(pages(*cases)).collect()}
+    assert [got[i] for i in range(len(cases))] == [(want, len(case) - len(want)) for case, want in cases.items()]

@@ -127,6 +127,52 @@ def test_tree_matching():
     assert m.size(a, b) == 4 and len(m.align(a, b)) == 4  # html, div, table and one of p and ul
 
 
+def _subsequences(word):
+    """Weights of a word's three-letter subsequences, letter by letter."""
+    out = {}
+    for i in range(len(word)):
+        for j in range(i + 1, len(word)):
+            for k in range(j + 1, len(word)):
+                if k - i < toxic.SPAN and (word[i] + word[j] + word[k]).isalnum():
+                    out[word[i], word[j], word[k]] = out.get((word[i], word[j], word[k]), 0) + toxic.DECAY ** (k - i + 1)
+    return out
+
+
+def _similarity(a, b):
+    x, y = _subsequences(a), _subsequences(b)
+    norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return min(1.0, sum(v * y.get(k, 0) for k, v in x.items()) / norm) if norm else 0.0
+
+
+def test_kernel_letter_by_letter():
+    rnd = random.Random(6)
+    marks = list(dict.fromkeys("".join(rnd.choice("aeimnrst") for _ in range(rnd.randint(3, 10))) for _ in range(25))) + ["naïve", "ааа"]
+    bent = [w[:k] + rnd.choice("*-.xé") + w[k:] for w in marks for k in (1, len(w) // 2)]
+    words = marks + bent + ["".join(rnd.choice("aeimnrst*") for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    got = toxic.Kernel(marks)(words)
+    close = 0
+    for i, w in enumerate(words):
+        for j, m in enumerate(marks):
+            k = _similarity(w, m) if len(w) >= 3 else 0.0
+            if abs(k - toxic.LEAST) > 1e-6:
+                want = np.exp(toxic.SHARP * (k - 1)) if k >= toxic.LEAST else 0.0
+                close += want > 0
+                assert abs(got[i, j] - want) < 1e-5, (w, m, k)
+    assert close > 60
+
+
+def test_scores_kept_or_not_are_the_same(monkeypatch):
+    rnd = random.Random(2)
+    marks = ["horrible", "idiot", "stupide"]
+    kernel, into = toxic.Kernel(marks), np.array([[1.0], [2.0], [0.5]], np.float32)
+    pool = marks + ["idi0t", "i d i o t", "x" * 70, "st*pide"] + ["".join(rnd.choice("adehiorst") for _ in range(rnd.randint(1, 9))) for _ in range(400)]
+    texts = [" ".join(rnd.choice(pool) for _ in range(rnd.randint(0, 900))) for _ in range(40)] + [None, ""]
+    whole = toxic._Sums(kernel, into, toxic.WINDOW)(texts)
+    monkeypatch.setattr(toxic, "KEPT", 2 * 50 * toxic.WORD_BYTES)  # fifty words in a generation
+    few = toxic._Scores(kernel, into, toxic.WINDOW)
+    assert np.allclose(np.concatenate([few(texts[i : i + 3]) for i in range(0, len(texts), 3)]), whole, atol=1e-5)
+
+
 def _tree(rnd, depth):
     kids = "".join(_tree(rnd, depth - 1) for _ in range(rnd.randint(0, 4))) if depth else ""
     return "<{0}>{1}x</{0}>".format(rnd.choice(["div", "ul", "section", "table"]), kids)

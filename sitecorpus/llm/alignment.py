@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sitecorpus.llm.bpe import byte_characters, text_steps
-from sitecorpus.llm.frames import in_parts
+from sitecorpus.llm.frames import in_parts, kept
 from sitecorpus.session import stage
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -161,15 +161,9 @@ class TwoSides:
         return number, many
 
 
-_sides: dict[tuple[str, str], TwoSides] = {}
-
-
 def two_sides(a_name: str, b_name: str) -> TwoSides:
     """One for each worker process."""
-    key = (a_name, b_name)
-    if key not in _sides:
-        _sides[key] = TwoSides(a_name, b_name)
-    return _sides[key]
+    return kept(("sides", a_name, b_name), lambda: TwoSides(a_name, b_name))
 
 
 def overlaps(a_size: np.ndarray, a_doc: np.ndarray, b_size: np.ndarray, b_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

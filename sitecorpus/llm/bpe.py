@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sitecorpus.llm.frames import in_parts
+from sitecorpus.llm.frames import in_parts, kept
 
 # The file's normaliser and word pattern, and the characters whose class and case are the same in every
 # version of Unicode in use. Texts with others are normalised and cut by the library's own parts.
@@ -76,7 +76,7 @@ def byte_characters() -> list[str]:
 class Codec:
     """Ids of texts, and texts of ids, for a tokenizer file (a name among the public ones, or a path)."""
 
-    def __init__(self, name: str, kept: int = KEPT):
+    def __init__(self, name: str, most: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's own core
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -104,7 +104,7 @@ class Codec:
         self.added = {f" {s}": array("i", [i]).tobytes() for s, i in added.items()}
         self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.cut_words = regex.compile(WORD)
-        self.known = Recent(kept)
+        self.known = Recent(most)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one word. The queue gives the pair of lowest rank, leftmost first; an entry whose pair has changed since is skipped."""
@@ -193,14 +193,9 @@ class Codec:
         return " ".join(filter(None, self.strings[ids].tolist()))
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def codec(name: str) -> Codec:
     """One for each worker process: words that a task has merged serve the next."""
-    if name not in _codecs:
-        _codecs[name] = Codec(name)
-    return _codecs[name]
+    return kept(("codec", name), lambda: Codec(name))
 
 
 STEP = 1 << 20  # characters of text handled at once

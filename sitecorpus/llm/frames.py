@@ -22,9 +22,28 @@ def free_name(df: DataFrame, name: str) -> str:
 ROWS = 512  # handled at once, so that a batch's texts are never all held a second time
 
 
+_kept: dict[object, object] = {}
+_asked: set[object] = set()
+
+
+def kept(name: object, make: Callable[[], object]):
+    """What a worker keeps from task to task under a name, for as long as the tasks that it is given ask for it."""
+    _asked.add(name)
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
 def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of few rows. At the end, memory that the task has freed goes back to the system: workers are
-    kept by Spark, and several operators may follow each other in one."""
+    """The batches in parts of few rows. Before them goes what earlier tasks have kept and this one has not asked for; at the
+    end, memory that the task has freed goes back to the system: workers are kept by Spark, and several operators may
+    follow each other in one."""
+    others = _kept.keys() - _asked
+    _asked.clear()
+    if others:
+        for name in others:
+            del _kept[name]
+        release()
     for batch in batches:
         for lo in range(0, batch.num_rows, ROWS):
             yield batch.slice(lo, ROWS)

@@ -8,6 +8,8 @@ from itertools import islice
 
 import numpy as np
 
+from sitecorpus.llm.frames import kept
+
 # A text is cut before single spaces between visible characters: no pre-token of the byte-level pattern spans such a
 # place, so the chunks' ids in a row are the text's.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -114,11 +116,6 @@ def _byte_characters() -> dict[int, str]:
     return out | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in out)}
 
 
-_kept: dict[str, CachedTokenizer] = {}
-
-
 def tokenizer(name: str) -> CachedTokenizer:
     """One for each worker process, so that what a task has learnt serves the next."""
-    if name not in _kept:
-        _kept[name] = CachedTokenizer(name)
-    return _kept[name]
+    return kept(("tokens", name), lambda: CachedTokenizer(name))

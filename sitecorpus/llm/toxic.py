@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sitecorpus.llm.frames import bounded, in_parts, per_batch
+from sitecorpus.llm.frames import bounded, in_parts, kept, per_batch
 from sitecorpus.session import stage
 
 SAMPLE = 20_000  # labelled texts to learn from, at most about this many
@@ -261,16 +261,10 @@ class _Scores(_Sums):
         return np.fromiter(map(get, words), np.float32, len(words))[:, None]
 
 
-_scores: dict[bytes, _Scores] = {}
-
-
 def _kept_scores(model: Model, into: np.ndarray) -> _Scores:
-    """The worker's scores for a model, so that what a task has learnt serves the next; those of another model are dropped."""
+    """The worker's scores for a model, so that what a task has learnt serves the next."""
     name = hashlib.blake2b("\n".join(model.kernel.landmarks).encode() + into.tobytes()).digest()
-    if name not in _scores:
-        _scores.clear()
-        _scores[name] = _Scores(model.kernel, into, WINDOW)
-    return _scores[name]
+    return kept(name, lambda: _Scores(model.kernel, into, WINDOW))
 
 
 def _words_udf(text: pd.Series) -> pd.Series:
@@ -384,7 +378,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
     """
     names = docs.columns
     at = names.index(text_col)
-    kept = [i for i, n in enumerate(names) if (n != text_col if returned is None else n in returned)]
+    shown = [i for i, n in enumerate(names) if (n != text_col if returned is None else n in returned)]
     # A linear machine needs one number per word.
     into = None if model is None else (SCALE * model.root @ model.weights).astype(np.float32)[:, None]
 
@@ -396,9 +390,9 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", thresho
             if mean is not None:
                 score = model.probabilities(mean(batch.column(at).to_pylist())[:, 0] + model.bias)
             made = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
-            return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *made], [*(names[i] for i in kept), *added])
+            return pa.RecordBatch.from_arrays([*(batch.column(i) for i in shown), *made], [*(names[i] for i in shown), *added])
 
         yield from per_batch(one)(batches)
 
-    fields = [f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in kept]
+    fields = [f"`{docs.schema[i].name}` {docs.schema[i].dataType.simpleString()}" for i in shown]
     return docs.mapInArrow(run, ", ".join([*fields, f"`{added[0]}` double", f"`{added[1]}` int"]))

@@ -38,7 +38,7 @@ def test_codec_is_the_library(library, text):
 
 
 def test_codec_with_a_small_memory(library):
-    own, rnd = bpe.Codec(WORDS, kept=20_000), random.Random(5)
+    own, rnd = bpe.Codec(WORDS, most=20_000), random.Random(5)
     for _ in range(30):
         texts = [" ".join("".join(rnd.choice("abcdeilnorst") for _ in range(rnd.randint(1, 12))) for _ in range(rnd.randint(0, 60))) for _ in range(10)]
         ids, many = own.encode(texts)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from sitecorpus.llm import alignment, bpe, queries
+from sitecorpus.llm import alignment, bpe, frames, queries
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
@@ -160,3 +160,13 @@ def test_op12_on_the_given_table(spark):
     for (i, _), want in zip(short, aligned([t for _, t in short]), strict=True):
         r = got[i]
         assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) == (*want[:6], hashlib.sha256(want[6].encode()).hexdigest() if want[6] else "")
+
+
+def test_what_a_worker_keeps():
+    a = frames.kept("a", lambda: ["a"])
+    list(frames.in_parts(iter([])))
+    assert frames.kept("a", lambda: ["b"]) is a  # asked for again
+    list(frames.in_parts(iter([])))
+    frames.kept("c", lambda: ["c"])
+    list(frames.in_parts(iter([])))
+    assert frames.kept("a", lambda: ["b"]) == ["b"]  # a task came between that did not ask

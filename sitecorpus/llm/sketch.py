@@ -33,7 +33,7 @@ BANDS = COORDS // ROWS
 WORDS = 5
 LEAST = 85  # hundredths of the union
 WIDE = 8  # members of a bucket up to which all its pairs are made
-BLOOM_BITS, BLOOM_HASHES = 1 << 26, 4  # of the filter of the texts that are read again
+BLOOM_BITS, BLOOM_HASHES = 1 << 26, 4  # at most, of the filter of the texts that are read again
 SLOTS = 1 << 18  # counters of shingle frequencies; they only put shingles in order
 # Equal coordinates (by 8 bits) below which a pair need not be verified: at similarity 0.85, 163 of 192 are expected, with a
 # standard deviation of 5; 128 is seven deviations less.
@@ -103,8 +103,8 @@ def _places(rids: pa.Array, size: int) -> np.ndarray:
     return (halves[:, :1] + np.arange(BLOOM_HASHES, dtype=np.uint64) * halves[:, 1:]) % _U64(size)
 
 
-def _bloom(rids: DataFrame, size: int = BLOOM_BITS) -> np.ndarray:
-    """A Bloom filter of the row keys as words of 32 bits; its size is fixed, so it may pass more than it should, never less."""
+def _bloom(rids: DataFrame, size: int) -> np.ndarray:
+    """A Bloom filter of the row keys as words of 32 bits; it may pass more than it should, never less."""
 
     def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = np.unique(_places(batch.column(0), size))
@@ -127,7 +127,9 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
             own = [shingles(words, i, WORDS).tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["digest", "set"])
 
-    bloom = _bloom(classes.select("rid"))
+    wanted_keys = classes.select("rid")
+    # Sixteen bits a key keep false hits under one in four hundred; beyond the largest size more texts than needed move.
+    bloom = _bloom(wanted_keys, min(BLOOM_BITS, max(1 << 16, 1 << (16 * wanted_keys.count()).bit_length())))
 
     def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = _places(batch.column(0), 32 * len(bloom))

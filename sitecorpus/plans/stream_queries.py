@@ -50,7 +50,7 @@ query("stream_dedupe_watermark", ora("SELECT DISTINCT service, ability, k FROM c
 
 def notes_stream(t: Tables):
     schema = t.table("documents").schema
-    d = t.spark.readStream.schema(schema).option("pathGlobFilter", "documents*.parquet").parquet(t.sf_dir)
+    d = t.spark.readStream.schema(schema).parquet(src.stream_path(t.sf_dir, "documents"))
     return d.select(F.col("text").alias("content"))
 
 

@@ -29,7 +29,13 @@ def stream_calls_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str, batch_bytes: int = 4 << 30) -> DataFrame:
     """The `events` table of a folder as a stream, in batches of bounded size."""
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxBytesPerTrigger", str(batch_bytes)).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxBytesPerTrigger", str(batch_bytes)).parquet(stream_path(sf_dir, "events"))
+
+
+def stream_path(sf_dir: str, name: str) -> str:
+    """A table as a stream's path, be it one file or a folder of files. A stream takes a single file only by a pattern, and
+    this one matches no other name."""
+    return f"{sf_dir}/{name}.parque[t]"
 
 
 # Error messages by payload number, written the way clients report them.

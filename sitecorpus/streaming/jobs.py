@@ -55,6 +55,7 @@ def updates_to_table(df: DataFrame, name: str, keys: list[str], version) -> Data
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    spark.createDataFrame([], df.schema).write.parquet(f"{path}/data/batch=none")  # a stream without rows runs no batch
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")

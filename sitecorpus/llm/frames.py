@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sitecorpus.functions.batches import release
+
 
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, or a longer one if `df` has such a column."""
@@ -50,13 +49,6 @@ def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def release() -> None:
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]]):
     """The function for mapInArrow that handles a few rows at a time."""
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from sitecorpus.functions.columns import trim_ws
+from sitecorpus.functions.columns import bind, trim_ws
 from sitecorpus.operators.html import ATTRS, leveled_tokens, nested
 
 ROOT = "Layout"
@@ -84,14 +84,21 @@ def read_layout_xml(spark: SparkSession, path: str, root: str = ROOT) -> DataFra
     is left out; a document is sound if it has that tag and as many closing as opening tags.
     """
     raw = spark.read.option("recursiveFileLookup", True).option("lineSep", f"</{root}>").text(path)
+
+    def balanced(plain: Column) -> Column:
+        opened = F.regexp_count(plain, F.lit(rf"<[A-Za-z0-9_:-]{ATTRS}>")) - F.regexp_count(plain, F.lit(rf"<[A-Za-z0-9_:-]{ATTRS}(?<=/)>"))
+        return opened == F.regexp_count(plain, F.lit(r"</[A-Za-z0-9_:-]+\s*>")) + 1  # the root's own closing tag separates records
+
+    def record(xml: Column) -> Column:
+        page = F.regexp_extract(xml, rf"""^<{root}[^>]*\spage=["']([^"']*)["']""", 1).try_cast("bigint")
+        return F.struct(
+            page.alias("page_id"), F.when(xml != "", xml).otherwise(F.col("value")).alias("xml"),
+            F.when(xml == "", F.lit(False)).otherwise(bind(_markup(xml), balanced)).alias("sound"))
+
+    # A row of its own: what is read of it is not worked out again for each condition on it.
     xml = F.regexp_extract("value", rf"(?s)(<{root}[\s>].*)$", 1)
-    docs = raw.select(F.col("_metadata.file_path").alias("source"), "value", xml.alias("xml")).filter(trim_ws(F.col("value")) != "")
-    plain = _markup(F.col("xml"))
-    opened = F.regexp_count(plain, F.lit(rf"<[A-Za-z0-9_:-]{ATTRS}>")) - F.regexp_count(plain, F.lit(rf"<[A-Za-z0-9_:-]{ATTRS}(?<=/)>"))
-    closed = F.regexp_count(plain, F.lit(r"</[A-Za-z0-9_:-]+\s*>"))
-    page = F.regexp_extract("xml", rf"""^<{root}[^>]*\spage=["']([^"']*)["']""", 1).try_cast("bigint")
-    sound = (F.col("xml") != "") & (opened == closed + 1)  # the root's own closing tag separates records
-    return docs.select("source", page.alias("page_id"), F.when(F.col("xml") != "", F.col("xml")).otherwise(F.col("value")).alias("xml"), sound.alias("sound"))
+    docs = raw.select(F.col("_metadata.file_path").alias("source"), "value").filter(trim_ws(F.col("value")) != "")
+    return docs.select("source", F.inline(F.array(bind(xml, record))))
 
 
 def _markup(xml: Column) -> Column:
@@ -104,26 +111,36 @@ def _markup(xml: Column) -> Column:
 
 
 def xml_tokens(docs: DataFrame) -> DataFrame:
-    """One row per tag: (page_id, pos, kind open|close|self, tag as written, attrs, text after the tag)."""
+    """One row per tag: (page_id, pos, kind open|close|self, tag as written, attrs, text after the tag).
+
+    A tag's parts follow each other, so that only its attributes need the whole pattern, once.
+    """
     raw = docs.select("page_id", F.posexplode(F.regexp_extract_all(_markup(F.col("xml")), F.lit(_TOKEN), F.lit(0))).alias("pos", "tok"))
-    part = lambda i: F.regexp_extract("tok", _TAG, i)
-    text = F.regexp_replace(F.regexp_replace("tok", rf"^<{ATTRS}>", ""), r"\s+", " ")
-    return raw.select(
-        "page_id", "pos", F.when(part(1) == "/", "close").when(part(3).endswith("/"), "self").otherwise("open").alias("kind"),
-        part(2).alias("tag"), part(3).alias("attrs"), unescaped(trim_ws(text)).alias("text"),
-    )
+    cut = raw.select("page_id", "pos", "tok", F.startswith("tok", F.lit("</")).alias("closes"), F.regexp_extract("tok", _TAG, 3).alias("attrs"), F.regexp_extract("tok", r"^</?([A-Za-z0-9_:-]+)", 1).alias("tag"))
+    after = F.length("tag") + F.length("attrs") + F.when(F.col("closes"), 4).otherwise(3)
+    text = F.substring("tok", after, F.length("tok"))
+    text = F.when(text == "", text).otherwise(unescaped(trim_ws(F.regexp_replace(text, r"\s+", " "))))
+    kind = F.when(F.col("closes"), "close").when(F.endswith("attrs", F.lit("/")), "self").otherwise("open")
+    return cut.select("page_id", "pos", kind.alias("kind"), "tag", "attrs", text.alias("text"))
 
 
 def attribute_map(attrs: Column) -> Column:
     """Attributes as a map. A quoted value is taken as it stands, a bare name means 'true', a name with an unquoted value
     nothing; of repeated names the last counts."""
     found = F.filter(F.regexp_extract_all(attrs, F.lit(_ATTRIBUTE), F.lit(1)), lambda a: ~F.endswith(a, F.lit("=")))
-    pairs = F.transform(found, lambda a: F.struct(
-        F.regexp_extract(a, "^([^=]+)", 1).alias("k"), F.when(F.contains(a, F.lit("=")), unescaped(F.regexp_extract(a, r"""(?s)=["'](.*)["']$""", 1))).otherwise("true").alias("v")))
-    backwards = F.reverse(pairs)
-    names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    last = lambda n: F.get(F.filter(backwards, lambda p: p["k"] == n), F.lit(0))["v"]
-    return F.map_from_arrays(names, F.transform(names, last))
+
+    def pair(a: Column) -> Column:
+        at = F.instr(a, "=")
+        quoted = unescaped(F.substring(a, at + 2, F.length(a) - at - 2))
+        return F.struct(F.when(at > 0, F.substring(a, F.lit(1), at - 1)).otherwise(a).alias("k"), F.when(at > 0, quoted).otherwise("true").alias("v"))
+
+    def last_of_each(pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+        last = lambda n: F.element_at(F.filter(pairs, lambda p: p["k"] == n), F.lit(-1))["v"]
+        return F.when(F.size(names) == F.size(pairs), F.map_from_entries(pairs)).otherwise(F.map_from_arrays(names, F.transform(names, last)))
+
+    # An expression inside a lambda is evaluated for each item, so the pairs are made before.
+    return bind(F.transform(found, pair), last_of_each)
 
 
 def xml_elements(docs: DataFrame) -> DataFrame:

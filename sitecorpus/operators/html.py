@@ -67,14 +67,15 @@ def leveled_tokens(tokens: DataFrame) -> DataFrame:
     ).drop("after")
 
 
-def element_rows(pages: DataFrame) -> DataFrame:
+def element_rows(pages: DataFrame, parts: int | None = None) -> DataFrame:
     """Nested elements: (page_id, pos, parent_pos, ord, depth, tag, attrs, text); depth of a root is 0.
 
     The parent of an element at level L is the last opening tag at level L-1 before it. Each element
     contributes an opener row at L and a probe row at L-1, so one window per (page, level) finds every
-    parent without a join.
+    parent without a join. `parts` fixes in how many parts the pages are dealt out; the sorts of later windows hold a part each.
     """
-    lv = leveled_tokens(html_tokens(pages))
+    t = html_tokens(pages)
+    lv = leveled_tokens(t.repartition(parts, "page_id") if parts else t)
     by_page = W.partitionBy("page_id").orderBy("pos")
     lv = lv.withColumn("next_kind", F.lead("kind").over(by_page)).filter(F.col("kind") != "close")
     lv = lv.withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from sitecorpus.functions.columns import hex_norm, leading_number, size_number, size_unit, shorthand_side, trim_ws
+from sitecorpus.functions.columns import SIDE_PARTS, hex_norm, leading_number, size_number, trim_ws
 from sitecorpus.functions.dims import PRO_WIDGETS
 
 # Name word to widget, in matching order.
@@ -30,7 +30,8 @@ def child_figures(nodes: DataFrame) -> DataFrame:
 
 def widget_classify(nodes: DataFrame) -> DataFrame:
     """Nodes with a widget type by ordered rules, and the heading tag of texts."""
-    n = nodes.join(child_figures(nodes), ["page_id", "pos"], "left").fillna(0, ["children", "child_names"])
+    # Merged at every size, so that nodes come out in the order of the document whether or not the figures could be sent everywhere.
+    n = nodes.join(child_figures(nodes).hint("merge"), ["page_id", "pos"], "left").fillna(0, ["children", "child_names"])
     name = F.lower(F.coalesce("name", F.lit("")))
 
     def has(w):
@@ -84,58 +85,69 @@ def style_prop_rows(classified: DataFrame) -> DataFrame:
     """Typed style properties of classified nodes, one row per property (padding and corners as four).
 
     A size that is no number with a known unit stays as text. The mapping is fixed, so it is an array of guarded structs
-    expanded in place; no join.
+    expanded in place; no join. A value is parsed once, in the row of its property.
     """
-    c = classified
-    none, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-
-    def entry(cond, prop, vtype, number=no_number, unit=none, text=none):
-        return F.when(cond, F.struct(F.lit(prop).alias("prop"), (F.lit(vtype) if isinstance(vtype, str) else vtype).alias("vtype"), number.alias("num"), unit.alias("unit"), text.alias("text")))
+    rows = []
+    # Each group of widgets is tested once per node.
+    groups = {widgets: f"_in_{i}" for i, widgets in enumerate({w: 0 for w, *_ in PROP_MAP if w})}
+    c = classified.withColumns({name: F.col("widget").isin(*widgets) for widgets, name in groups.items()})
 
-    def sized(cond, prop, a):
-        number = size_number(a)
-        return entry(cond, prop, F.when(number.isNotNull(), "size").otherwise("string"), number, size_unit(a), F.when(number.isNull(), a))
+    def entry(cond, prop, kind, value):
+        rows.append(F.when(cond, F.struct(F.lit(prop).alias("prop"), F.lit(kind).alias("kind"), value.alias("raw"))))
 
-    rows = []
     for widgets, attr, prop, kind in PROP_MAP:
         a = F.col(attr)
-        cond = a.isNotNull() if widgets is None else a.isNotNull() & F.col("widget").isin(*widgets)
-        if kind == "size":
-            rows.append(sized(cond, prop, a))
-        elif kind == "dimension":
-            rows.append(sized(cond & trim_ws(a).rlike(_DIMENSION), prop, a))
-        elif kind == "unitless":
-            rows.append(entry(cond, prop, "size", F.coalesce(leading_number(a), F.lit(0.0)), F.lit("custom")))
-        elif kind == "direction":
-            rows.append(entry(cond, prop, "string", text=F.when(a == "vertical", "column").otherwise("row")))
-        elif kind == "string":
-            rows.append(entry(cond, prop, "string", text=a))
-        elif kind == "family":
-            rows.append(entry(cond, prop, "string", text=first_family(a)))
-        elif kind == "color":
-            rows.append(entry(cond & hex_norm(a).isNotNull(), prop, "color", text=hex_norm(a)))
-        elif kind == "line-height":
-            v = trim_ws(a)
-            pct = v.rlike(r"^-?[\d.]+%$")
-            bare = v.rlike(r"^-?[\d.]+$")
-            own = F.when(pct, leading_number(v) / 100).when(bare, leading_number(v)).otherwise(size_number(v))
-            rows.append(entry(cond, prop, F.when(own.isNull(), "string").otherwise("size"), own, F.when(pct | bare, "custom").otherwise(size_unit(v)), F.when(own.isNull(), v)))
-        else:
+        cond = a.isNotNull() if widgets is None else a.isNotNull() & F.col(groups[widgets])
+        if kind == "direction":
+            entry(cond, prop, "string", F.when(a == "vertical", "column").otherwise("row"))
+        elif kind in ("dimensions", "corners"):
             for side, css in SIDES if kind == "dimensions" else CORNERS:
-                rows.append(sized(cond, f"{prop}.{css}", F.coalesce(shorthand_side(a, side), F.lit("0px"))))
+                entry(cond, f"{prop}.{css}", side, a)
+        else:
+            entry(cond, prop, kind, a)
     by_count = (
         F.when(F.col("children") == 2, "1fr 1fr").when(F.col("children") == 3, "1fr 1fr 1fr").when(F.col("children") == 4, "1fr 1fr 1fr 1fr")
         .when(F.col("children") > 4, "repeat(auto-fit, minmax(250px, 1fr))")
     )
     grid = F.coalesce("grid_columns", F.when(F.col("grid_rows").isNull(), by_count))
     display = F.when(F.col("widget").isin("e-flexbox", "e-button"), "flex").when(grid.isNotNull(), "grid").otherwise("block")
-    rows.append(entry(F.col("widget").isin(*_BOXES), "display", "string", text=display))
-    rows.append(entry((F.col("widget") == "e-div-block") & grid.isNotNull(), "grid-template-columns", "string", text=grid))
+    entry(F.col(groups[_BOXES]), "display", "string", display)
+    entry((F.col("widget") == "e-div-block") & grid.isNotNull(), "grid-template-columns", "string", grid)
     offsets = [(side, F.col(f"{side}_offset")) for side in ("top", "right", "bottom", "left")]
     placed = F.col("position").isNotNull() & ((F.col("position") != "absolute") | F.coalesce(*[o for _, o in offsets]).isNotNull())
-    rows.append(entry(placed, "position", "string", text=F.col("position")))
-    rows += [sized(placed & o.isNotNull(), side, o) for side, o in offsets]
-    return c.select("page_id", "pos", "widget", F.inline(F.array_compact(F.array(*rows))))
+    entry(placed, "position", "string", F.col("position"))
+    for side, o in offsets:
+        entry(placed & o.isNotNull(), side, "size", o)
+    given = c.select("page_id", "pos", "widget", F.inline(F.array_compact(F.array(*rows))))
+    return _typed_values(given).select("page_id", "pos", "widget", "prop", "vtype", "num", "unit", "text")
+
+
+def _typed_values(given: DataFrame) -> DataFrame:
+    """Rows with (kind, raw) as (vtype, num, unit, text); rows whose value gives no property go."""
+    kind, trimmed = F.col("kind"), F.col("trimmed")
+    shorthand = kind.isin(*SIDE_PARTS)
+    given = given.withColumn("trimmed", F.when(shorthand | kind.isin("dimension", "line-height"), trim_ws(F.col("raw"))))
+    given = given.withColumns({"parts": F.when(shorthand, F.split("trimmed", r"\s+")), "hex": F.when(kind == "color", hex_norm(F.col("raw")))})
+    given = given.filter((kind != "color") | F.col("hex").isNotNull()).filter((kind != "dimension") | trimmed.rlike(_DIMENSION))
+    part = F.lit(0)
+    for side, at in SIDE_PARTS.items():
+        part = F.when(kind == side, F.get(F.array(*[F.lit(i) for i in at]), F.size("parts") - 1)).otherwise(part)
+    pct, bare = trimmed.rlike(r"^-?[\d.]+%$"), trimmed.rlike(r"^-?[\d.]+$")
+    given = given.withColumn("value", F.when(shorthand, F.coalesce(F.get("parts", part - 1), F.lit("0px"))).when(kind == "line-height", trimmed).otherwise(F.col("raw")))
+    value = F.col("value")
+    number = (
+        F.when(kind == "line-height", F.when(pct, leading_number(value) / 100).when(bare, leading_number(value)).otherwise(size_number(value)))
+        .when(kind == "unitless", F.coalesce(leading_number(value), F.lit(0.0))).when(~kind.isin("string", "family", "color"), size_number(value))
+    )
+    given = given.withColumn("num", number)
+    num = F.col("num")
+    custom = (kind == "unitless") | ((kind == "line-height") & (pct | bare))
+    own = F.when(kind == "color", F.col("hex")).when(kind == "family", first_family(value)).otherwise(value)
+    return given.withColumns({
+        "vtype": F.when(kind == "color", "color").when(num.isNotNull(), "size").otherwise("string"),
+        "unit": F.when(custom, "custom").when(num.isNotNull(), F.coalesce(F.nullif(F.regexp_extract("value", r"(px|%|em|rem|vw|vh)$", 1), F.lit("")), F.lit("px"))),
+        "text": F.when(num.isNull(), own),
+    })
 
 
 def first_family(c):

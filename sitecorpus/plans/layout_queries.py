@@ -25,8 +25,11 @@ cte("lnode", "SELECT page_id, pos, parent_pos, ord, depth, tag, text, " + ", ".j
 cte("lchild", "SELECT page_id, parent_pos AS pos, count(*) AS children, count(DISTINCT nullif(regexp_replace(lower(name), '\\d+$', ''), '')) AS child_names FROM lnode WHERE parent_pos IS NOT NULL GROUP BY 1, 2")
 
 
-def nodes(t: Tables):
-    return lsrc.layout_nodes(html.element_rows(sp(t)))
+PAGES_A_PART = 500  # that one task nests and writes as XML; some 0.13 MB of sorted rows a page
+
+
+def nodes(t: Tables, parts: int | None = None):
+    return lsrc.layout_nodes(html.element_rows(sp(t), parts))
 
 
 def nodes_table(t: Tables):
@@ -108,9 +111,11 @@ query("style_prop_rows", ora("SELECT * FROM lprop"))(lambda t: layout.style_prop
 
 
 def xml_docs(t: Tables):
-    """The pages' layout as XML files of many documents, read back."""
+    """The pages' layout as XML files of many documents, read back. Parts are cut by pages, as several sorts of a part are in
+    memory at once; bytes of a shuffle, by which Spark would join parts, are a small fraction of that."""
     path = scratch_path(t.spark, "layout-xml")
-    design_xml.layout_xml(nodes(t)).select("xml").write.text(path)
+    parts = -(-t.table("pages").count() // PAGES_A_PART)
+    design_xml.layout_xml(nodes(t, parts)).select("xml").write.text(path)
     return design_xml.read_layout_xml(t.spark, path).filter("sound")
 
 

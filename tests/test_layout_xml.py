@@ -3,6 +3,7 @@
 import pytest
 
 from sitecorpus.operators import layout
+from sitecorpus.plans import layout_queries, registry
 from sitecorpus.sources import design_xml
 
 DOC = """<?xml version="1.0"?><!-- a <Frame> that is none --><Layout page="7">
@@ -120,3 +121,19 @@ def test_fonts_and_colors_become_variables(spark):
     got = {(r.site, r.pos): (r.vtype, r.text, r.ref_id) for r in layout.gv_substitute(props, kit).collect()}
     assert got == {("s", 1): ("global-color-variable", None, "e-gv-1"), ("s", 2): ("global-font-variable", None, "e-gv-2"), ("s", 3): ("string", "Other", None),
                    ("s", 4): ("string", "inter", None), ("t", 1): ("color", "#112233", None)}
+
+
+def test_style_values_are_parsed_once(docs):
+    rows = layout.style_prop_rows(layout.widget_classify(design_xml.xml_layout_nodes(docs)))
+    generator = next(x for x in rows._jdf.queryExecution().optimizedPlan().toString().split("\n") if "inline(" in x)
+    assert "split(" not in generator and "regexp_extract(" not in generator
+
+
+def test_layout_xml_is_written_in_parts_of_few_pages(spark, tmp_path):
+    html = "<html><body><div><p>a</p><img src='x.png'></div></body></html>"
+    rows = spark.range(3 * layout_queries.PAGES_A_PART).selectExpr("id AS page_id", "concat('https://s.example/', id) AS url", f"""\"{html}\" AS html""")
+    rows.write.parquet(f"{tmp_path}/pages.parquet")
+    t = registry.Tables(spark, str(tmp_path))
+    docs = layout_queries.xml_docs(t)
+    sizes = [r["count"] for r in docs.groupBy("source").count().collect()]
+    assert sum(sizes) == 3 * layout_queries.PAGES_A_PART and max(sizes) < 2 * layout_queries.PAGES_A_PART

@@ -23,14 +23,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
     """`docs` without the rows with a key in `gone`; of rows repeated as a whole (keys in `repeated`) one stays."""
-    key = free_name(docs, "row_key")
-    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    key, flag = free_name(docs, "row_key"), free_name(docs, "may_go")
     named = lambda keys: keys.select(F.col("rid").alias(key))
-    kept = keyed.join(named(gone), key, "left_anti")
-    if repeated.isEmpty():
-        return kept.drop(key)
-    once = kept.join(named(repeated), key, "left_semi").dropDuplicates([key])
-    return kept.join(named(repeated), key, "left_anti").unionByName(once).drop(key)
+    # Only rows that may have such a key meet the keys; all other texts stay where they are.
+    may_go = sketch.may_be_in(gone.select("rid").unionByName(repeated.select("rid")))
+    split = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).withColumn(flag, may_go(F.col(key)))
+    stays, met = split.filter(~F.col(flag)), split.filter(F.col(flag))
+    kept = met.join(named(gone), key, "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(named(repeated), key, "left_semi").dropDuplicates([key])
+        kept = kept.join(named(repeated), key, "left_anti").unionByName(once)
+    return stays.unionByName(kept).drop(key, flag)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,6 +118,23 @@ def _bloom(rids: DataFrame, size: int) -> np.ndarray:
     return words
 
 
+def _filter_size(n: int) -> int:
+    """Sixteen bits a key keep false hits under one in four hundred; beyond the largest size more rows than needed pass."""
+    return min(BLOOM_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
+
+
+def may_be_in(keys: DataFrame):
+    """A test of a column of row keys: true for all of `keys` (rid) and few others."""
+    bloom = _bloom(keys, _filter_size(keys.count()))
+
+    @F.arrow_udf("boolean")
+    def test(rids: pa.Array) -> pa.Array:
+        at = _places(rids, 32 * len(bloom))
+        return pa.array(((bloom[at >> _U64(5)] >> (at & _U64(31)).astype(np.uint32)) & 1).all(1))
+
+    return test
+
+
 def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(digest, set) of the classes: the sorted shingle hashes of the row that stands for each, from the whole text again."""
 
@@ -128,8 +145,7 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["digest", "set"])
 
     wanted_keys = classes.select("rid")
-    # Sixteen bits a key keep false hits under one in four hundred; beyond the largest size more texts than needed move.
-    bloom = _bloom(wanted_keys, min(BLOOM_BITS, max(1 << 16, 1 << (16 * wanted_keys.count()).bit_length())))
+    bloom = _bloom(wanted_keys, _filter_size(wanted_keys.count()))
 
     def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = _places(batch.column(0), 32 * len(bloom))

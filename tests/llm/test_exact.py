@@ -11,7 +11,9 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sitecorpus.llm import anchors, automaton, licence_full, licences, naming, packing, sketch, words
+from sitecorpus.llm.frames import row_key
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -262,3 +264,14 @@ def test_bloom_filter_misses_nothing(spark):
     at = sketch._places(pa.array(keys, pa.binary()), 1 << 10)
     hit = ((bloom[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & 1).all(1)
     assert hit[:100].all() and hit[100:].sum() < 100
+
+
+def test_rows_without_gone_keys_stay_in_place(spark):
+    rows = [(i, f"text {i}") for i in range(300)] + [(1000, "twice"), (1000, "twice"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("rid"))
+    gone, repeated = keys.filter("doc_id % 10 = 3").select("rid"), keys.filter("doc_id = 1000").select("rid").distinct()
+    left = corpus_pipeline._without(docs, gone, repeated)
+    assert sorted((r.doc_id or -1, r.text or "") for r in left.collect()) == sorted({(d or -1, t or "") for d, t in rows if d is None or d % 10 != 3})
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "ArrowEvalPython" in plan.split("Join Left")[0]

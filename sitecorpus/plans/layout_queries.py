@@ -280,8 +280,9 @@ _TAG_COMPONENT = f"CASE WHEN tag IN ({_ct}) THEN tag END"  # one name at all dep
 
 
 def component_nodes(t: Tables, component: str = _COMPONENT):
-    e = stage(html.element_rows(t.table("pages")), "elements")
-    return e.select("page_id", F.col("pos").alias("node"), F.col("parent_pos").alias("parent"), F.expr(component).alias("component"))
+    # Chosen before they are written, so that attributes and texts are neither dealt out nor sorted.
+    e = html.element_rows(t.table("pages"))
+    return stage(e.select("page_id", F.col("pos").alias("node"), F.col("parent_pos").alias("parent"), F.expr(component).alias("component")), "elements")
 
 
 def component_graph(t: Tables, component: str = _COMPONENT):

@@ -137,3 +137,8 @@ def test_layout_xml_is_written_in_parts_of_few_pages(spark, tmp_path):
     docs = layout_queries.xml_docs(t)
     sizes = [r["count"] for r in docs.groupBy("source").count().collect()]
     assert sum(sizes) == 3 * layout_queries.PAGES_A_PART and max(sizes) < 2 * layout_queries.PAGES_A_PART
+
+
+def test_component_nodes_are_written_without_texts(spark):
+    nodes = layout_queries.component_nodes(registry.Tables(spark, "/root/testdata/sf0.001"))
+    assert spark.read.parquet(*nodes.inputFiles()).columns == ["page_id", "node", "parent", "component"]

@@ -249,6 +249,59 @@ def test_a_hot_key_takes_constant_memory(ttl):
     assert large < 1.5 * small and not p.rows.data and len(p.accepted.data) <= 2
 
 
+class Handle(Held):
+    """The same with a single value as well."""
+
+    value = None
+
+    def getValueState(self, name, schema):
+        return Handle()
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def _breaker_frame(rows):
+    import pandas as pd
+
+    return pd.DataFrame([(s, i, status == "error", us(t)) for i, t, s, _, _, status in rows], columns=["service", "event_id", "failed", "ts_us"])
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.4, 1.0])
+@pytest.mark.parametrize("most", [300, 200_000])
+def test_breakers_that_share_a_group_of_state(spark, hot, most):
+    rows, _ = log(spark, 6000, 21, hot=hot, step=60, fail=0.5)
+    p = jobs.Breaker(3, 60000, 2)
+    p.MOST, p.GATHERED = most, 1000
+    p.init(Handle())
+    ends, got, largest = [us(rows[i][1]) // 1000 for i in (2000, 4500)] + [us(rows[-1][1]) // 1000 + 1], {}, 0
+    for at, end in zip((0, 2500, 5000), ends, strict=True):
+        part = rows[at : at + 2500 if at < 5000 else len(rows)]
+        random.Random(at).shuffle(part)
+        list(p.handleInputRows((0,), iter([_breaker_frame(part[:900]), _breaker_frame(part[900:])]), None))
+        assert p.handle.timer < end
+        for out in p.handleExpiredTimer((0,), Clock(end), None):
+            largest = max(largest, len(out))
+            got |= {i: (d, s) for i, d, s in zip(out["event_id"].tolist(), out["decision"], out["state"], strict=True)}
+    assert got == breaker_by_hand(rows, 3, 60000)
+    assert largest <= most + 50 and not p.rows.data and not p.pieces.data  # a few calls have the same time
+
+
+def test_a_lone_call_is_decided_when_the_watermark_is_at_it(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, t, "a", "x", 1, "error"), (2, t + dt.timedelta(minutes=10), "b", "x", 1, "ok"), (3, None, "c", "x", 1, "ok")]
+    path = scratch_path(spark, "edge")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(SCHEMA).parquet(path)
+    assert [tuple(r) for r in jobs.run_to_table(jobs.breaker(stream, 3, 60000), "edge").collect()] == [("a", 1, "failed", "CLOSED")]
+
+
 def test_temporary_tables_go(spark):
     import os
 

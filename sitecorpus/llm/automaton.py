@@ -8,12 +8,11 @@ its own, so what is sent to the executors does not grow with the benchmark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sitecorpus.llm.frames import free_name, per_batch
 from sitecorpus.llm.words import NON_ALNUM, Words, text_slices
@@ -224,7 +223,7 @@ def _scan(automaton: Automaton | None, text_at: int, names: list[str], before: b
 
 def scan(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-    returned: list[str] | None = None, block_words: int = BLOCK_WORDS,
+    returned: list[str] | None = None, block_words: int = BLOCK_WORDS, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
 ) -> DataFrame:
     """`docs` (or its columns named in `returned`) with n_words, spans and items.
 
@@ -232,6 +231,7 @@ def scan(
     items: sorted ids, as strings, of the items with a run of `window` words, or the whole shorter item, in the text.
     Null and empty texts have no words; items without words never hit; an item without an id hits but is not listed.
     Repeated items count once, repeated rows are scanned each. Columns of `docs` called like the three are replaced.
+    `finish` makes batches of `docs` alone out of the rows with the three, in the worker that has scanned them.
     """
     docs = docs.drop(*_FOUND)
     names = docs.columns
@@ -245,8 +245,11 @@ def scan(
         automaton = Automaton(block, window) if block else None
         last = following is None
         kept = [n for n in names if n in returned or not last]
-        schema = ", ".join([f"`{n}` {kind[n]}" for n in kept] + [f"{n} {t}" for n, (t, _) in _FOUND.items()])
-        out = out.mapInArrow(per_batch(_scan(automaton, names.index(text_col), names, before, kept)), schema)
+        schema = [f"`{n}` {kind[n]}" for n in kept]
+        found = _scan(automaton, names.index(text_col), names, before, kept)
+        if last and finish:
+            return out.mapInArrow(per_batch(lambda batch: map(finish, found(batch))), ", ".join(schema))
+        out = out.mapInArrow(per_batch(found), ", ".join(schema + [f"{n} {t}" for n, (t, _) in _FOUND.items()]))
         if last:
             return out
         out, before, block = stage(out, "item-hits"), True, following
@@ -257,16 +260,28 @@ def n_hit() -> Column:
     return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
 
 
-@F.pandas_udf(T.StringType())
-def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
-    def cut(t: str, ss) -> str:
-        raw, at, parts = t.encode(), 0, []
-        for s in ss:
-            parts.append(raw[at : s["start"]].decode())
-            at = s["stop"]
-        return "".join([*parts, raw[at:].decode()])
+def _cut(text: str, spans: list[dict]) -> str:
+    raw, at, parts = text.encode(), 0, []
+    for s in spans:
+        parts.append(raw[at : s["start"]].decode())
+        at = s["stop"]
+    return "".join([*parts, raw[at:].decode()])
 
-    return pd.Series([cut(t, s) if len(s) else t for t, s in zip(text, spans, strict=True)])
+
+def _cleaned(text_col: str, max_coverage: float):
+    """A batch of scan()'s rows without the hit stretches, the rows that are mostly such, and the columns of scan()."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_words, spans = (batch.column(n).to_pylist() for n in ("n_words", "spans"))
+        out = batch.drop_columns(list(_FOUND))
+        if not any(spans):
+            return out
+        texts = [_cut(t, s) if s else t for t, s in zip(batch.column(text_col).to_pylist(), spans, strict=True)]
+        at = out.schema.get_field_index(text_col)
+        out = out.set_column(at, out.schema.field(at), pa.array(texts, out.schema.field(at).type))
+        return out.filter(pa.array([sum(x["last"] - x["first"] for x in s) <= n * max_coverage for n, s in zip(n_words, spans, strict=True)], pa.bool_()))
+
+    return run
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, text_col: str = "text", **options) -> DataFrame:
@@ -275,6 +290,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     Rows without a hit come back as they are, null texts too.
     """
     other = {c: free_name(docs, f"_{c}") for c in docs.columns if c.lower() in _FOUND}
-    found = scan(docs.withColumnsRenamed(other), items, window, text_col, **options).filter(n_hit() <= F.col("n_words") * max_coverage)
-    clean = F.when(F.size("spans") > 0, _without(F.col(text_col), F.col("spans"))).otherwise(F.col(text_col))
-    return found.withColumn(text_col, clean).drop(*_FOUND).withColumnsRenamed({v: k for k, v in other.items()}).select(docs.columns)
+    clean = scan(docs.withColumnsRenamed(other), items, window, text_col, finish=_cleaned(text_col, max_coverage), **options)
+    return clean.withColumnsRenamed({v: k for k, v in other.items()}).select(docs.columns)

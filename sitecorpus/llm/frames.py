@@ -33,16 +33,21 @@ def kept(name: object, make: Callable[[], object]):
     return _kept[name]
 
 
-def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of few rows. Before them goes what earlier tasks have kept and this one has not asked for; at the
-    end, memory that the task has freed goes back to the system: workers are kept by Spark, and several operators may
-    follow each other in one."""
+def forget() -> None:
+    """What earlier tasks have kept and nothing has asked for since goes, and its memory goes back to the system."""
     others = _kept.keys() - _asked
     _asked.clear()
     if others:
         for name in others:
             del _kept[name]
         release()
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows. Before them goes what earlier tasks have kept and this one has not asked for; at the
+    end, memory that the task has freed goes back to the system: workers are kept by Spark, and several operators may
+    follow each other in one."""
+    forget()
     for batch in batches:
         for lo in range(0, batch.num_rows, ROWS):
             yield batch.slice(lo, ROWS)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitecorpus.llm.frames import per_batch, row_key
+from sitecorpus.llm.frames import forget, per_batch, row_key
 from sitecorpus.llm.words import SPACES, Words, mix, shingles, text_slices
 from sitecorpus.operators.graph import connected_components
 from sitecorpus.session import stage
@@ -129,6 +129,7 @@ def may_be_in(keys: DataFrame):
 
     @F.arrow_udf("boolean")
     def test(rids: pa.Array) -> pa.Array:
+        forget()
         at = _places(rids, 32 * len(bloom))
         return pa.array(((bloom[at >> _U64(5)] >> (at & _U64(31)).astype(np.uint32)) & 1).all(1))
 

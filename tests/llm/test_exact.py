@@ -12,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sitecorpus.llm import anchors, automaton, licence_full, licences, naming, packing, sketch, words
+from sitecorpus.llm import anchors, automaton, frames, licence_full, licences, naming, packing, sketch, words
 from sitecorpus.llm.frames import row_key
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -144,6 +144,36 @@ def test_decontaminate(spark):
     assert 2 not in got and got[3].text is None and got[4].text == "clean"
 
 
+@pytest.mark.parametrize("block", [6, 10_000])
+def test_one_worker_of_a_task_scans_and_cuts(spark, block):
+    rnd = random.Random(8)
+    text = lambda n: rnd.choice([" ", ", é "]).join(rnd.choice(["one", "Two", "Öl", "three", "x1"]) for _ in range(rnd.randint(0, n)))
+    docs = table(spark, [(i, text(40)) for i in range(300)] + [(7, None), (8, "one"), (8, "one")])
+    items = table(spark, [(i, text(9)) for i in range(4)], "item_id bigint, text string")
+    want = []
+    for r in automaton.scan(docs, items, window=4).collect():
+        raw, at, parts = (r.text or "").encode(), 0, []
+        for x in r.spans:
+            parts.append(raw[at : x["start"]])
+            at = x["stop"]
+        if sum(x["last"] - x["first"] for x in r.spans) <= 0.5 * r.n_words:
+            want.append((r.doc_id, None if r.text is None else b"".join([*parts, raw[at:]]).decode()))
+    got = automaton.decontaminate(docs, items, window=4, block_words=block)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert len(want) < 300 and any(a != b for a, b in zip(sorted(want, key=str), sorted(map(tuple, docs.collect()), key=str)))
+
+
+def test_the_key_test_drops_what_earlier_tasks_kept(spark):
+    keys = spark.createDataFrame([(bytearray(b"0123456789abcdef"),)], "rid binary")
+    test = sketch.may_be_in(keys).func
+    frames.kept("earlier", lambda: 1)
+    frames.forget()
+    assert "earlier" in frames._kept  # asked for
+    assert test(pa.array([b"0123456789abcdef", b"fedcba9876543210"], pa.binary()))[0].as_py() and "earlier" not in frames._kept
+
+
 def test_packing(spark):
     rnd = random.Random(2)
     rows = [(i, " ".join(rnd.choice(["the", "worthless", "ééü", "x\n\ny", "  ", "123"]) for _ in range(rnd.choice([0, 1, 5, 60, 300, 900])))) for i in range(120)] + [(None, None), (5, None)]

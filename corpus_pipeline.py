@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.llm import automaton, naming, packing, sketch, toxic
@@ -9,8 +12,24 @@ from sitecorpus.llm.frames import crc_mod, free_name, row_key
 from sitecorpus.session import prepare, stage, temporary
 
 TOKENIZER = "byte_bpe_50k.json"
+BATCH_ROWS, READ_ROWS = 2048, 1024  # rows with whole texts that a task hands to Python, and reads from a file, at once
+
+
+def prepared(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage with the session set for it, as stages are also called one by one. Rows wait in the JVM while Python has
+    their keys only, so that bounded bytes of a batch do not bound them."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
+        return function(spark, docs, sf_dir)
+
+    return run
 
 
+@prepared
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`docs` without the rows that the machine holds toxic. It learns from labelled rows whose crc32 of the id mod 3 is
     not 1; without both labels among them nothing goes. Null texts stay."""
@@ -36,6 +55,7 @@ def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame
     return stays.unionByName(kept).drop(key, flag)
 
 
+@prepared
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, as in naming.exact_groups; of rows repeated as a whole, one."""
     with temporary(spark):
@@ -44,6 +64,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, groups.filter("NOT kept").select("rid"), repeated)
 
 
+@prepared
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies stays, as in sketch.near_groups; rows without words all stay."""
     with temporary(spark):
@@ -51,12 +72,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, gone, gone.limit(0))
 
 
+@prepared
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stretches from benchmark items are cut out of the texts, and n_chars follows; rows that are mostly such go."""
     clean = automaton.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
+@prepared
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place, as in packing.pack."""
     return packing.pack(packing.pieces(docs, TOKENIZER))
@@ -70,7 +93,6 @@ ORACLE_SQL = None  # the toxicity stage is a trained model
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each one's result is written to the shared folder and read again by the next."""
-    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)

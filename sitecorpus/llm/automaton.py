@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitecorpus.llm.frames import free_name, per_batch
-from sitecorpus.llm.words import NON_ALNUM, Words, text_slices
+from sitecorpus.llm.words import NON_ALNUM, SMALL_BYTES, Words, text_slices
 from sitecorpus.session import stage
 
 WINDOW = 10
@@ -193,7 +193,7 @@ def _scan(automaton: Automaton | None, text_at: int, names: list[str], before: b
     kept = [i for i, n in enumerate(names) if n in returned]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for lo, hi, data, offsets in text_slices(batch.column(text_at)):
+        for lo, hi, data, offsets in text_slices(batch.column(text_at), SMALL_BYTES):
             words = Words(data, offsets, NON_ALNUM)
             found: dict[int, tuple[list, set]] = {}
             for b, numbers in automaton.runs(words) if automaton else ():

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitecorpus.llm.frames import forget, per_batch, row_key
-from sitecorpus.llm.words import SPACES, Words, mix, shingles, text_slices
+from sitecorpus.llm.words import SMALL_BYTES, SPACES, Words, mix, shingles, text_slices
 from sitecorpus.operators.graph import connected_components
 from sitecorpus.session import stage
 
@@ -74,7 +74,7 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for lo, hi, data, offsets in text_slices(batch.column(2)):
+        for lo, hi, data, offsets in text_slices(batch.column(2), SMALL_BYTES):
             words = Words(data, offsets, SPACES)
             n, digest, bands, bits = [], [], [], []
             for i in range(hi - lo):
@@ -140,7 +140,7 @@ def _sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> Da
     """(digest, set) of the classes: the sorted shingle hashes of the row that stands for each, from the whole text again."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for lo, hi, data, offsets in text_slices(batch.column(1)):
+        for lo, hi, data, offsets in text_slices(batch.column(1), SMALL_BYTES):
             words = Words(data, offsets, SPACES)
             own = [shingles(words, i, WORDS).tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["digest", "set"])

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 21  # text handled at once; a longer text is a slice of its own
+SMALL_BYTES = 1 << 19  # the same where a task holds much besides: Words needs some forty bytes for each of the text
 
 _U64 = np.uint64
 _BASE = _U64(0x9E3779B97F4A7C15 | 1)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -32,6 +33,21 @@ def test_word_spans_and_hashes():
     assert list(w.first) == [0, 1, 5]
 
 
+def test_scanning_takes_few_times_the_text():
+    texts = ["Some words of a text, and the number %d " % i * 60 for i in range(frames.ROWS)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    item = np.frombuffer(b"words of a text and", np.uint8)
+    made = automaton.Automaton([("i", words.Words(item, np.array([0, len(item)]), words.NON_ALNUM).hash)], 10)
+    scan = automaton._scan(made, 1, ["doc_id", "text"], False, ["doc_id"])
+    tracemalloc.start()
+    out = list(scan(batch))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 1 << 20 and peak < 36 << 20
+    assert [r["doc_id"] for b in out for r in b.to_pylist()] == list(range(len(texts)))
+    assert all(len(r["spans"]) == 60 and r["items"] == ["i"] for b in out for r in b.to_pylist())
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_groups(spark, weak):
     rnd = random.Random(3)

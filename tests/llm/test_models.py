@@ -330,6 +330,16 @@ def test_stages_do_what_their_operators_say(spark):
     assert ids(same) == ids(docs) - hit
 
 
+def test_each_stage_alone_bounds_its_batches(spark):
+    bounds = {"spark.sql.execution.arrow.maxBytesPerBatch": "64m", "spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.parquet.columnarReaderBatchSize": "4096"}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES:
+        for key, value in bounds.items():
+            spark.conf.set(key, value)
+        function(spark, docs, SF)
+        assert [spark.conf.get(k) for k in bounds] == ["8m", "2048", "1024"], name
+
+
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b")] * 3 + [(2, "ab "), (3, "c")], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.exact_dedup(spark, docs, "").collect()) == [1, 3]

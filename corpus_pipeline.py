@@ -13,6 +13,7 @@ from sitecorpus.session import prepare, stage, temporary
 
 TOKENIZER = "byte_bpe_50k.json"
 BATCH_ROWS, READ_ROWS = 2048, 1024  # rows with whole texts that a task hands to Python, and reads from a file, at once
+MAP_BITS = 1 << 26  # at most, of the map of the rows that may go
 
 
 def prepared(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -40,13 +41,28 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxic.scored(docs, model, returned=docs.columns, added=added).filter(F.col(added[1]) == 0).select(docs.columns)
 
 
-def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+def _mapped(docs: DataFrame, key: str, flag: str, keys: DataFrame) -> DataFrame:
+    """`docs` with `flag`: true for all rows with a `key` in `keys` (rid) and for one in sixteen of the others, or for more
+    where the keys are too many for the largest bit map. DataFrame functions only; words of 64 bits are sent out."""
+    bits = min(MAP_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    slot, word, marks = (free_name(docs, n) for n in ("map_slot", "map_word", "map_marks"))
+    placed = lambda df, c: df.withColumn(slot, F.pmod(F.xxhash64(c), F.lit(bits))).withColumn(word, F.expr(f"{slot} div 64")).withColumn(slot, F.expr(f"cast({slot} % 64 AS int)"))
+    table = placed(keys.select("rid"), "rid").groupBy(word).agg(F.bit_or(F.expr(f"shiftleft(1L, {slot})")).alias(marks))
+    met = placed(docs, key).join(F.broadcast(table), word, "left")  # bounded by MAP_BITS
+    return met.withColumn(flag, F.coalesce(F.getbit(marks, slot) == 1, F.lit(False))).drop(slot, word, marks)
+
+
+def _sketched(docs: DataFrame, key: str, flag: str, keys: DataFrame) -> DataFrame:
+    """The same by a Bloom filter in Python, which few others pass."""
+    return docs.withColumn(flag, sketch.may_be_in(keys)(F.col(key)))
+
+
+def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame, flagged: Callable[..., DataFrame] = _sketched) -> DataFrame:
     """`docs` without the rows with a key in `gone`; of rows repeated as a whole (keys in `repeated`) one stays."""
     key, flag = free_name(docs, "row_key"), free_name(docs, "may_go")
     named = lambda keys: keys.select(F.col("rid").alias(key))
     # Only rows that may have such a key meet the keys; all other texts stay where they are.
-    may_go = sketch.may_be_in(gone.select("rid").unionByName(repeated.select("rid")))
-    split = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))).withColumn(flag, may_go(F.col(key)))
+    split = flagged(docs.withColumn(key, row_key(F.col("doc_id"), F.col("text"))), key, flag, gone.select("rid").unionByName(repeated.select("rid")))
     stays, met = split.filter(~F.col(flag)), split.filter(F.col(flag))
     kept = met.join(named(gone), key, "left_anti")
     if not repeated.isEmpty():
@@ -57,11 +73,11 @@ def _without(docs: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame
 
 @prepared
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays, as in naming.exact_groups; of rows repeated as a whole, one."""
+    """One row of each group of equal texts stays, as in naming.exact_groups; of rows repeated as a whole, one. DataFrame functions only."""
     with temporary(spark):
         groups = stage(naming.exact_groups(docs).filter("group_size > 1").select("rid", "kept"), "copies", keep=True)
         repeated = stage(groups.filter("kept").groupBy("rid").count().filter("count > 1").select("rid"), "repeated", keep=True)
-    return _without(docs, groups.filter("NOT kept").select("rid"), repeated)
+    return _without(docs, groups.filter("NOT kept").select("rid"), repeated, _mapped)
 
 
 @prepared

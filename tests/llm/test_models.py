@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sitecorpus.llm import anchors, automaton, boosted, licences, naming, packing, ppm, queries, sketch, toxic, wrapper
+from sitecorpus.llm.frames import row_key
 from sitecorpus.session import stage
 
 SF = "/root/testdata/sf0.01"
@@ -340,6 +341,18 @@ def test_each_stage_alone_bounds_its_batches(spark):
         assert [spark.conf.get(k) for k in bounds] == ["8m", "2048", "1024"], name
 
 
+def test_exact_dedup_runs_no_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, docs, SF)
+    plan = kept._jdf.queryExecution().toString()
+    assert "Parquet" in plan and "Python" not in plan and "InArrow" not in plan
+    keys = docs.filter("doc_id % 7 = 0").select(row_key(F.col("doc_id"), F.col("text")).alias("rid"))
+    marked = corpus_pipeline._mapped(docs.withColumn("k", row_key(F.col("doc_id"), F.col("text"))), "k", "f", keys)
+    others, passed = marked.filter("doc_id % 7 <> 0").agg(F.count("*"), F.count_if("f")).first()
+    assert marked.filter("doc_id % 7 = 0 AND NOT f").count() == 0 and marked.count() == docs.count() and passed < others / 8
+    assert marked.columns == [*docs.columns, "k", "f"]
+
+
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b")] * 3 + [(2, "ab "), (3, "c")], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.exact_dedup(spark, docs, "").collect()) == [1, 3]
